@@ -1,2 +1,383 @@
-"""The same queries in SQL, for a second engine to check results against."""
-ORACLES: dict[str, str] = {}
+"""The same queries in SQL, for a second engine (DuckDB) to check results against.
+
+Each statement is put together from named WITH parts; all run over the whole tables.
+"""
+
+from __future__ import annotations
+
+from pairlab.functions.text import STOP_WORDS
+
+WS = r"'\s+'"
+
+# The patterns of the other engine: ``\s`` is enough, the texts hold only blanks and line ends.
+PARTS = {
+    "pairs": """
+        SELECT doc_id AS id,
+               CASE WHEN doc_id % 10 = 0 THEN 'test' WHEN doc_id % 10 = 1 THEN 'validation' ELSE 'train' END AS split,
+               CASE WHEN doc_id % 5 = 0 THEN '(CNN) -- ' ELSE '' END ||
+               CASE WHEN contains(text, chr(10)) THEN substr(text, strpos(text, chr(10)) + 1) ELSE text END AS article,
+               CASE WHEN contains(text, chr(10)) THEN substr(text, 1, strpos(text, chr(10)) - 1) END AS highlights
+        FROM documents""",
+    "filled": "SELECT * FROM pairs WHERE article IS NOT NULL AND highlights IS NOT NULL",
+    "firsts": """
+        SELECT * FROM filled
+        QUALIFY row_number() OVER (PARTITION BY split, article, highlights ORDER BY id) = 1""",
+}
+
+
+def clean(column: str) -> str:
+    untagged = rf"regexp_replace(coalesce({column}, 'nan'), '^\(CNN\)\s*(--)?\s*', '', 'i')"
+    undashed = rf"regexp_replace({untagged}, '-{{2,}}', '-', 'g')"
+    return rf"trim(regexp_replace({undashed}, {WS}, ' ', 'g'))"
+
+
+def words(text: str) -> str:
+    return rf"[w FOR w IN regexp_split_to_array({text}, {WS}) IF w <> '']"
+
+
+def word_count(column: str, null_text: str) -> str:
+    return rf"CAST(len(regexp_extract_all(coalesce({column}, '{null_text}'), '\S+')) AS BIGINT)"
+
+
+def sentences(column: str) -> str:
+    return (
+        rf"[s FOR s IN [trim(regexp_replace(x, {WS}, ' ', 'g')) FOR x IN "
+        rf"regexp_extract_all({column}, '[^.!?]+[.!?]*')] IF s <> '']"
+    )
+
+
+def rouge_tokens(column: str) -> str:
+    return f"[t FOR t IN regexp_split_to_array(lower({column}), '[^a-z0-9]+') IF t <> '']"
+
+
+FITS = "length(article) BETWEEN 200 AND 20000 AND length(highlights) BETWEEN 20 AND 2000"
+STOPS = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
+
+PARTS |= {
+    "cleaned": f"SELECT id, split, {clean('article')} AS article, {clean('highlights')} AS highlights FROM filled",
+    "cleaned_firsts": f"SELECT id, split, {clean('article')} AS article, {clean('highlights')} AS highlights FROM firsts",
+    "processed": f"SELECT * FROM cleaned_firsts WHERE {FITS}",
+    "lengths": f"""
+        SELECT id, split,
+               CAST(length(coalesce(article, '')) AS BIGINT) AS article_chars,
+               CAST(length(coalesce(highlights, '')) AS BIGINT) AS summary_chars,
+               {word_count('article', '')} AS article_words,
+               {word_count('highlights', '')} AS summary_words
+        FROM pairs""",
+    "nan_words": f"""
+        SELECT id, split, {word_count('article', 'nan')} AS article, {word_count('highlights', 'nan')} AS summary
+        FROM pairs""",
+    "counted": rf"""
+        SELECT id, [w FOR w IN {words("lower(coalesce(highlights, 'nan'))")}
+                    IF regexp_full_match(w, '\p{{L}}+') AND w NOT IN {STOPS}] AS w
+        FROM pairs""",
+    "lead": f"""
+        SELECT id, article, highlights AS reference_summary,
+               array_to_string(list_slice({sentences('article')}, 1, 3), ' ') AS generated_summary
+        FROM cleaned""",
+}
+
+
+def with_parts(names: str, body: str) -> str:
+    """A statement with the named parts, written in the order in which they build on each other."""
+    return "WITH " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in names.split()) + "\n" + body
+
+
+def sampled(source: str, n: int) -> str:
+    return f"SELECT * FROM {source} ORDER BY md5('42:' || id), id LIMIT {n}"
+
+
+def stats(metric: str) -> str:
+    return f"""
+        SELECT '{metric}' AS metric,
+               round(coalesce(avg({metric}), 0), 6) AS mean,
+               round(coalesce(quantile_cont({metric}, 0.5), 0), 6) AS median,
+               round(coalesce(stddev_pop({metric}), 0), 6) AS std,
+               coalesce(min({metric}), 0) AS min, coalesce(max({metric}), 0) AS max,
+               round(coalesce(quantile_cont({metric}, 0.9), 0), 6) AS p90,
+               round(coalesce(quantile_cont({metric}, 0.95), 0), 6) AS p95,
+               round(coalesce(quantile_cont({metric}, 0.99), 0), 6) AS p99
+        FROM lengths"""
+
+
+def token_stats(source: str) -> str:
+    return f"""
+        SELECT count(*) AS sample_size,
+               round(avg(article), 6) AS article_tokens_mean,
+               round(quantile_cont(article, 0.95), 6) AS article_tokens_p95,
+               round(avg(summary), 6) AS summary_tokens_mean,
+               round(quantile_cont(summary, 0.95), 6) AS summary_tokens_p95
+        FROM {source}"""
+
+
+def histogram(side: str) -> str:
+    return f"""
+        SELECT '{side}' AS side,
+               CAST(CASE WHEN hi = lo THEN 26 ELSE least(((v - lo) * 50) // (hi - lo) + 1, 50) END AS BIGINT) AS bucket,
+               count(*) AS n
+        FROM (SELECT {side} AS v, min({side}) OVER () AS lo, max({side}) OVER () AS hi FROM nan_words)
+        GROUP BY ALL"""
+
+
+def grams(n: int, tokens: str) -> str:
+    """List of n-grams of a token list, joined by a blank."""
+    return f"[array_to_string({tokens}[i:i + {n - 1}], ' ') FOR i IN range(1, len({tokens}) - {n - 2})]"
+
+
+def rouge_parts(source: str, n: int) -> str:
+    """WITH parts ending in ``scores``: clipped n-gram overlap per row of a table of texts."""
+    pred, ref = "generated_summary", "reference_summary"
+    return f"""
+        toks AS (SELECT id, {rouge_tokens(pred)} AS p, {rouge_tokens(ref)} AS r FROM {source}
+                 WHERE {pred} IS NOT NULL AND {ref} IS NOT NULL),
+        gram AS (SELECT id, {grams(n, 'p')} AS p, {grams(n, 'r')} AS r FROM toks),
+        pc AS (SELECT id, g, count(*) AS c FROM (SELECT id, unnest(p) AS g FROM gram) GROUP BY ALL),
+        rc AS (SELECT id, g, count(*) AS c FROM (SELECT id, unnest(r) AS g FROM gram) GROUP BY ALL),
+        ov AS (SELECT id, sum(least(pc.c, rc.c)) AS o FROM pc JOIN rc USING (id, g) GROUP BY id),
+        pr AS (SELECT id, CASE WHEN len(p) > 0 THEN coalesce(o, 0) / len(p) ELSE 0 END AS p,
+                          CASE WHEN len(r) > 0 THEN coalesce(o, 0) / len(r) ELSE 0 END AS r
+               FROM gram LEFT JOIN ov USING (id)),
+        scores AS (SELECT id, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM pr)"""
+
+
+ROUNDED_SCORES = "SELECT id, round(p, 6) AS p, round(r, 6) AS r, round(f1, 6) AS f1 FROM scores"
+LEAD_PARTS = "pairs filled cleaned lead"
+
+
+def rouge_rows(n: int) -> str:
+    return with_parts(LEAD_PARTS, "").rstrip() + "," + rouge_parts("lead", n) + "\n" + ROUNDED_SCORES
+
+
+PARTS |= {
+    "vocab_counts": f"""
+        SELECT token, count(*) AS n
+        FROM (SELECT unnest(list_concat({words("coalesce(article, '')")}, {words("coalesce(highlights, '')")})) AS token FROM pairs)
+        GROUP BY token""",
+    "vocab": """
+        SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 2 AS BIGINT) AS token_id, n
+        FROM vocab_counts ORDER BY n DESC, token LIMIT 5000""",
+    "kept_words": f"""
+        SELECT id, {words("'summarize: ' || coalesce(article, 'nan')")}[1:511] AS source,
+               {words("coalesce(highlights, 'nan')")}[1:127] AS target
+        FROM pairs""",
+    "source_ids": """
+        SELECT id, list(coalesce(token_id, 2) ORDER BY pos) AS ids
+        FROM (SELECT id, unnest(source) AS token, generate_subscripts(source, 1) AS pos FROM kept_words)
+        LEFT JOIN vocab USING (token) GROUP BY id""",
+    "target_ids": """
+        SELECT id, list(coalesce(token_id, 2) ORDER BY pos) AS ids
+        FROM (SELECT id, unnest(target) AS token, generate_subscripts(target, 1) AS pos FROM kept_words)
+        LEFT JOIN vocab USING (token) GROUP BY id""",
+    "encoded": """
+        SELECT k.id, list_resize(list_append(coalesce(s.ids, []), 1), 512, 0) AS input_ids,
+               list_resize(list_append(coalesce(t.ids, []), 1), 128, 0) AS targets
+        FROM kept_words k LEFT JOIN source_ids s USING (id) LEFT JOIN target_ids t USING (id)""",
+    "sentence_rows": f"""
+        SELECT id, s, generate_subscripts(s, 1) AS pos, unnest(s) AS sentence
+        FROM (SELECT id, {sentences("coalesce(article, '')")} AS s FROM pairs)""",
+    "sentence_words": rf"""
+        SELECT id, pos, w FROM (SELECT id, pos, unnest({words('lower(sentence)')}) AS w FROM sentence_rows)
+        WHERE regexp_full_match(w, '\p{{L}}+') AND w NOT IN {STOPS}""",
+    "frequencies": "SELECT id, w, count(*) AS c FROM sentence_words GROUP BY id, w",
+    "sentence_scores": """
+        SELECT id, pos, sum(c) / count(*) AS score FROM sentence_words JOIN frequencies USING (id, w) GROUP BY id, pos""",
+    "ranked_sentences": """
+        SELECT id, pos, sentence,
+               row_number() OVER (PARTITION BY id ORDER BY coalesce(score, 0) DESC, pos) AS place
+        FROM sentence_rows LEFT JOIN sentence_scores USING (id, pos)""",
+}
+EXTRACTIVE_PARTS = "pairs sentence_rows sentence_words frequencies sentence_scores ranked_sentences"
+ENCODE_PARTS = "pairs vocab_counts vocab kept_words source_ids target_ids encoded"
+MASKED = "[CASE WHEN x = 0 THEN -100 ELSE x END FOR x IN targets]"
+
+MATCH_PARTS = """
+    tok AS (SELECT CAST(label AS BIGINT) AS id, vec_id, CAST(embedding AS DOUBLE[]) AS v, vec_id % 2 = 0 AS is_pred FROM embeddings),
+    best AS (SELECT a.id, a.is_pred, a.vec_id, max(list_cosine_similarity(a.v, b.v)) AS m
+             FROM tok a JOIN tok b ON a.id = b.id AND a.is_pred <> b.is_pred GROUP BY ALL),
+    pr AS (SELECT id, avg(m) FILTER (is_pred) AS p, avg(m) FILTER (NOT is_pred) AS r FROM best GROUP BY id),
+    matched AS (SELECT id, p AS precision, r AS recall, 2 * p * r / (p + r) AS f1 FROM pr)"""
+
+ALL_PAIRS = with_parts("pairs", "SELECT id, split, article, highlights FROM pairs")
+
+ORACLES: dict[str, str] = {
+    "pairs_union_splits": ALL_PAIRS,
+    "csv_roundtrip": ALL_PAIRS,
+    "drop_na": with_parts("pairs filled", "SELECT * FROM filled"),
+    "drop_duplicates": with_parts("pairs filled firsts", "SELECT * FROM firsts"),
+    "clean_text": with_parts(
+        "pairs", f"SELECT id, split, {clean('article')} AS article, {clean('highlights')} AS highlights FROM pairs"
+    ),
+    "length_filter": with_parts("pairs filled", f"SELECT * FROM filled WHERE {FITS}"),
+    "preprocess_rows": with_parts("pairs filled firsts cleaned_firsts processed", "SELECT * FROM processed"),
+    "processed_roundtrip": with_parts("pairs filled firsts cleaned_firsts processed", "SELECT * FROM processed"),
+    "preprocess_counts": with_parts(
+        "pairs filled firsts cleaned_firsts processed", "SELECT split, count(*) AS num_rows FROM processed GROUP BY split"
+    ),
+    "step_row_counts": with_parts(
+        "pairs filled firsts cleaned_firsts processed",
+        """
+        , c AS (SELECT (SELECT count(*) FROM pairs) AS a, (SELECT count(*) FROM filled) AS b,
+                       (SELECT count(*) FROM firsts) AS d, (SELECT count(*) FROM processed) AS e)
+        SELECT 'drop_na' AS step, a AS rows_before, b AS rows_after FROM c
+        UNION ALL SELECT 'drop_duplicates', b, d FROM c
+        UNION ALL SELECT 'text_cleaning', d, d FROM c
+        UNION ALL SELECT 'length_filter', d, e FROM c""",
+    ),
+    "overview": with_parts(
+        "pairs",
+        """SELECT count(*) AS num_rows, CAST(4 AS BIGINT) AS num_columns,
+                  CAST(sum(strlen(split)) + sum(strlen(article)) + sum(strlen(highlights)) AS BIGINT) AS text_bytes
+           FROM pairs""",
+    ),
+    "missing_values": with_parts(
+        "pairs",
+        """
+        , c AS (SELECT 'id' AS column_name, count(*) - count(id) AS n_missing FROM pairs
+                UNION ALL SELECT 'split', count(*) - count(split) FROM pairs
+                UNION ALL SELECT 'article', count(*) - count(article) FROM pairs
+                UNION ALL SELECT 'highlights', count(*) - count(highlights) FROM pairs)
+        SELECT * FROM c WHERE n_missing > 0
+        UNION ALL SELECT 'missing', 0 WHERE NOT EXISTS (SELECT 1 FROM c WHERE n_missing > 0)""",
+    ),
+    "duplicate_counts": with_parts(
+        "pairs",
+        """
+        SELECT (SELECT count(*) FROM pairs) - (SELECT count(*) FROM (SELECT DISTINCT article FROM pairs)) AS duplicate_articles,
+               (SELECT count(*) FROM pairs) - (SELECT count(*) FROM (SELECT DISTINCT highlights FROM pairs)) AS duplicate_summaries,
+               (SELECT count(*) FROM pairs) - (SELECT count(*) FROM (SELECT DISTINCT article, highlights FROM pairs)) AS duplicate_pairs""",
+    ),
+    "length_stats": with_parts(
+        "pairs lengths",
+        " UNION ALL ".join(stats(m) for m in ("article_chars", "summary_chars", "article_words", "summary_words")),
+    ),
+    "compression_ratio": with_parts(
+        "pairs lengths",
+        """SELECT round(coalesce(avg(summary_words / article_words) FILTER (article_words > 0), 0), 6)
+                  AS compression_ratio_mean FROM lengths""",
+    ),
+    "empty_counts": with_parts(
+        "pairs lengths",
+        """SELECT count(*) FILTER (article_words = 0) AS empty_articles,
+                  count(*) FILTER (summary_words = 0) AS empty_summaries FROM lengths""",
+    ),
+    "row_counts": with_parts("pairs", "SELECT count(*) AS num_rows FROM pairs"),
+    "split_sizes": with_parts("pairs", "SELECT split, count(*) AS num_rows FROM pairs GROUP BY split"),
+    "split_inspection": with_parts(
+        "pairs nan_words",
+        """SELECT split, count(*) AS num_rows, round(avg(article), 6) AS avg_article_words,
+                  round(avg(summary), 6) AS avg_summary_words FROM nan_words GROUP BY split""",
+    ),
+    "length_histogram": with_parts("pairs nan_words", f"{histogram('article')} UNION ALL {histogram('summary')}"),
+    "non_empty_articles": with_parts("pairs", f"SELECT * FROM pairs WHERE {word_count('article', '')} > 0"),
+    "sample_exact": with_parts("pairs", sampled("pairs", 500)),
+    "load_subset_dev": with_parts(
+        "pairs",
+        """SELECT id, split, article, highlights FROM pairs
+           QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('42:' || id), id)
+                   <= CASE split WHEN 'train' THEN 500 ELSE 100 END""",
+    ),
+    "token_counts": with_parts("pairs nan_words", token_stats(f"({sampled('nan_words', 5000)})")),
+    "token_counts_all": with_parts("pairs nan_words", token_stats("nan_words")),
+    "sample_pairs": with_parts(
+        "pairs",
+        f"""SELECT id, substr(coalesce(article, 'nan'), 1, 500) AS article, coalesce(highlights, 'nan') AS summary
+            FROM ({sampled('pairs', 5)})""",
+    ),
+    "scatter_sample": with_parts(
+        "pairs nan_words",
+        f"SELECT id, article AS article_words, summary AS summary_words FROM ({sampled('nan_words', 5000)})",
+    ),
+    "top_words": with_parts(
+        "pairs counted",
+        """SELECT term, count(*) AS n FROM (SELECT unnest(w) AS term FROM counted)
+           GROUP BY term ORDER BY n DESC, term LIMIT 30""",
+    ),
+    "top_ngrams": with_parts(
+        "pairs counted",
+        f"""SELECT term, count(*) AS n FROM (
+              SELECT unnest({grams(2, 'w')}) AS term FROM counted UNION ALL SELECT unnest({grams(3, 'w')}) FROM counted)
+            GROUP BY term ORDER BY n DESC, term LIMIT 30""",
+    ),
+    "summarize_lead": with_parts(
+        "pairs",
+        f"""SELECT id, array_to_string(list_slice({sentences("coalesce(article, '')")}, 1, 3), ' ') AS generated_summary
+            FROM pairs""",
+    ),
+    "summarize_extractive": with_parts(
+        EXTRACTIVE_PARTS,
+        """SELECT p.id, coalesce(g.generated_summary, '') AS generated_summary
+           FROM pairs p LEFT JOIN (SELECT id, string_agg(sentence, ' ' ORDER BY pos) AS generated_summary
+                                   FROM ranked_sentences WHERE place <= 3 GROUP BY id) g USING (id)""",
+    ),
+    "generation_length_stats": with_parts(
+        LEAD_PARTS,
+        f"""SELECT round(avg(w), 6) AS mean_words, min(w) AS min_words, max(w) AS max_words
+            FROM (SELECT {word_count('generated_summary', '')} AS w FROM lead)""",
+    ),
+    "predictions_vs_references": with_parts(
+        LEAD_PARTS, "SELECT id, substr(article, 1, 300) AS article, reference_summary, generated_summary FROM lead"
+    ),
+    "rouge1_rows": rouge_rows(1),
+    "rouge2_rows": rouge_rows(2),
+    "rouge1_turn_rows": "WITH turns AS (SELECT concat_ws('-', a.conv_id, a.turn) AS id, a.text AS reference_summary, "
+    "b.text AS generated_summary FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id "
+    "AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant'),"
+    + rouge_parts("turns", 1)
+    + "\n"
+    + ROUNDED_SCORES,
+    "rouge_corpus_nostem": "SELECT "
+    + ", ".join(
+        f"(SELECT round(100 * avg(f1), 4) FROM ({with_parts(LEAD_PARTS, '').rstrip()},{rouge_parts('lead', n)} SELECT * FROM scores)) AS rouge{n}"
+        for n in (1, 2)
+    ),
+    "build_vocab": with_parts("pairs vocab_counts vocab", "SELECT token, token_id, n FROM vocab"),
+    "encode_pairs": with_parts(
+        ENCODE_PARTS,
+        f"""SELECT id, array_to_string(input_ids, ',') AS input_ids,
+                   array_to_string([CASE WHEN x = 0 THEN 0 ELSE 1 END FOR x IN input_ids], ',') AS attention_mask,
+                   array_to_string({MASKED}, ',') AS labels
+            FROM encoded""",
+    ),
+    "label_mask": with_parts(ENCODE_PARTS, f"SELECT id, array_to_string({MASKED}, ',') AS labels FROM encoded"),
+    "decode_ids": with_parts(
+        ENCODE_PARTS,
+        """SELECT e.id, coalesce(g.text, '') AS text FROM encoded e LEFT JOIN (
+             SELECT id, string_agg(token, ' ' ORDER BY pos) AS text
+             FROM (SELECT id, unnest(targets) AS token_id, generate_subscripts(targets, 1) AS pos FROM encoded)
+             JOIN vocab USING (token_id) GROUP BY id) g USING (id)""",
+    ),
+    "truncation_report": with_parts(
+        "pairs",
+        f"""SELECT split,
+                   round(avg(CASE WHEN {word_count("'summarize: ' || coalesce(article, 'nan')", '')} > 511 THEN 1.0 ELSE 0.0 END), 6)
+                     AS article_truncated,
+                   round(avg(CASE WHEN {word_count('highlights', 'nan')} > 127 THEN 1.0 ELSE 0.0 END), 6) AS summary_truncated
+            FROM pairs GROUP BY split""",
+    ),
+    "greedy_match_score": "WITH" + MATCH_PARTS + """
+        SELECT id, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM matched""",
+    "greedy_match_corpus": "WITH" + MATCH_PARTS + """
+        SELECT round(avg(precision), 4) AS match_precision, round(avg(recall), 4) AS match_recall,
+               round(avg(f1), 4) AS match_f1 FROM matched""",
+    "report_rows": with_parts(
+        "pairs lengths nan_words counted",
+        """
+        , toks AS (SELECT * FROM nan_words ORDER BY md5('42:' || id), id LIMIT 5000)
+        SELECT 'totals' AS section, 'num_rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM pairs
+        UNION ALL SELECT 'duplicates', 'duplicate_articles', CAST((SELECT count(*) FROM pairs) - count(*) AS VARCHAR)
+                  FROM (SELECT DISTINCT article FROM pairs)
+        UNION ALL SELECT 'duplicates', 'duplicate_summaries', CAST((SELECT count(*) FROM pairs) - count(*) AS VARCHAR)
+                  FROM (SELECT DISTINCT highlights FROM pairs)
+        UNION ALL SELECT 'duplicates', 'duplicate_pairs', CAST((SELECT count(*) FROM pairs) - count(*) AS VARCHAR)
+                  FROM (SELECT DISTINCT article, highlights FROM pairs)
+        UNION ALL SELECT 'lengths', 'article_words_mean', printf('%.6f', avg(article_words)) FROM lengths
+        UNION ALL SELECT 'lengths', 'summary_words_mean', printf('%.6f', avg(summary_words)) FROM lengths
+        UNION ALL SELECT 'lengths', 'compression_ratio_mean',
+                         printf('%.6f', avg(summary_words / article_words) FILTER (article_words > 0)) FROM lengths
+        UNION ALL SELECT 'tokens', 'article_tokens_p95', printf('%.6f', quantile_cont(article, 0.95)) FROM toks
+        UNION ALL SELECT 'tokens', 'summary_tokens_p95', printf('%.6f', quantile_cont(summary, 0.95)) FROM toks
+        UNION ALL (SELECT 'top_words', term, CAST(count(*) AS VARCHAR) FROM (SELECT unnest(w) AS term FROM counted)
+                   GROUP BY term ORDER BY count(*) DESC, term LIMIT 15)
+        UNION ALL SELECT 'splits', split, CAST(count(*) AS VARCHAR) FROM pairs GROUP BY split""",
+    ),
+}
