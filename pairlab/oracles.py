@@ -5,6 +5,7 @@ Each statement is put together from named WITH parts; all run over the whole tab
 
 from __future__ import annotations
 
+from pairlab.functions.stem import IRREGULAR, STEP_2, STEP_3, STEP_4
 from pairlab.functions.text import STOP_WORDS
 
 WS = r"'\s+'"
@@ -123,32 +124,164 @@ def grams(n: int, tokens: str) -> str:
     """List of n-grams of a token list, joined by a blank."""
     return f"[array_to_string({tokens}[i:i + {n - 1}], ' ') FOR i IN range(1, len({tokens}) - {n - 2})]"
 
+# Porter steps over a table of distinct tokens, as regular expressions.  A leading y is written Y: a consonant.
+_CONSONANTS, _VOWELS = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
 
-def rouge_parts(source: str, n: int) -> str:
-    """WITH parts ending in ``scores``: clipped n-gram overlap per row of a table of texts."""
+
+def _has(x: str, pattern: str) -> str:
+    return f"regexp_matches({x}, '{pattern}')"
+
+
+def _measure_above_0(x: str) -> str:
+    return _has(x, f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}")
+
+
+def _measure_is_1(x: str) -> str:
+    return _has(x, f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}({_VOWELS})?$")
+
+
+def _measure_above_1(x: str) -> str:
+    return _has(x, f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}{_VOWELS}{_CONSONANTS}")
+
+
+def _has_vowel(x: str) -> str:
+    return _has(x, f"^({_CONSONANTS})?[aeiouy]")
+
+
+def _short(x: str) -> str:
+    return f"({_has(x, f'^{_CONSONANTS}[aeiouy][^aeiouwxy]$')} OR {_has(x, '^[aeiou][^aeiou]$')})"
+
+
+def _cut(x: str, n: int) -> str:
+    return f"substr({x}, 1, length({x}) - {n})"
+
+
+def _suffix_rules(rules: dict[str, str], allowed) -> str:
+    """Longest suffix first; a suffix that matches but may not fire ends the step."""
+    cases = [
+        f"WHEN suffix(x, '{old}') THEN CASE WHEN {allowed(old)} THEN {_cut('x', len(old))} || '{new}' ELSE x END"
+        for old, new in sorted(rules.items(), key=lambda rule: -len(rule[0]))
+    ]
+    return "CASE " + " ".join(cases) + " ELSE x END"
+
+
+def _step_2_allowed(old: str) -> str:
+    return _measure_above_0(_cut("x", 3 if old == "logi" else len(old)))
+
+
+def _step_4_allowed(old: str) -> str:
+    rest = _cut("x", len(old))
+    return _measure_above_1(rest) + (f" AND {_has(rest, '[st]$')}" if old == "ion" else "")
+
+
+def stem_parts(source: str) -> str:
+    """WITH parts from a table ``source(token)`` to ``stems(token, stem)``."""
+    irregular = ", ".join(f"'{w}'" for w in IRREGULAR)
+    steps = {
+        "st0": f"SELECT token, regexp_replace(token, '^y', 'Y') AS x FROM {source} "
+        f"WHERE length(token) > 3 AND token NOT IN ({irregular})",
+        "st1a": f"""SELECT token, CASE WHEN suffix(x, 'ies') THEN CASE WHEN length(x) = 4 THEN {_cut('x', 1)} ELSE {_cut('x', 2)} END
+            WHEN suffix(x, 'sses') THEN {_cut('x', 2)} WHEN suffix(x, 'ss') THEN x
+            WHEN suffix(x, 's') THEN {_cut('x', 1)} ELSE x END AS x FROM st0""",
+        "st1r": f"""SELECT token, x, CASE WHEN suffix(x, 'ied') OR suffix(x, 'eed') THEN NULL
+            WHEN suffix(x, 'ed') AND {_has_vowel(_cut('x', 2))} THEN {_cut('x', 2)}
+            WHEN suffix(x, 'ing') AND {_has_vowel(_cut('x', 3))} THEN {_cut('x', 3)} END AS r FROM st1a""",
+        "st1b": f"""SELECT token, CASE
+            WHEN suffix(x, 'ied') THEN CASE WHEN length(x) = 4 THEN {_cut('x', 1)} ELSE {_cut('x', 2)} END
+            WHEN suffix(x, 'eed') THEN CASE WHEN {_measure_above_0(_cut('x', 3))} THEN {_cut('x', 1)} ELSE x END
+            WHEN r IS NULL THEN x
+            WHEN {_has('r', '(at|bl|iz)$')} THEN r || 'e'
+            WHEN length(r) > 1 AND substr(r, -1) = substr(r, -2, 1) AND {_has('r', '[^aeiouy]$')}
+                 THEN CASE WHEN {_has('r', '[lsz]$')} THEN r ELSE {_cut('r', 1)} END
+            WHEN {_measure_is_1('r')} AND {_short('r')} THEN r || 'e' ELSE r END AS x FROM st1r""",
+        "st1c": f"SELECT token, CASE WHEN length(x) > 2 AND {_has('x', '[^aeiouy]y$')} THEN {_cut('x', 1)} || 'i' ELSE x END AS x FROM st1b",
+        "st2a": f"SELECT token, CASE WHEN suffix(x, 'alli') AND {_measure_above_0(_cut('x', 4))} THEN {_cut('x', 2)} ELSE x END AS x FROM st1c",
+        "st2": f"SELECT token, {_suffix_rules(STEP_2, _step_2_allowed)} AS x FROM st2a",
+        "st3": f"SELECT token, {_suffix_rules(STEP_3, lambda old: _measure_above_0(_cut('x', len(old))))} AS x FROM st2",
+        "st4": f"SELECT token, {_suffix_rules(dict.fromkeys(STEP_4, ''), _step_4_allowed)} AS x FROM st3",
+        "st5a": f"""SELECT token, CASE WHEN suffix(x, 'e') AND ({_measure_above_1(_cut('x', 1))} OR
+            ({_measure_is_1(_cut('x', 1))} AND NOT {_short(_cut('x', 1))})) THEN {_cut('x', 1)} ELSE x END AS x FROM st4""",
+        "st5b": f"SELECT token, CASE WHEN suffix(x, 'll') AND {_measure_above_1(_cut('x', 1))} THEN {_cut('x', 1)} ELSE x END AS x FROM st5a",
+        "stems": f"""SELECT token, lower(x) AS stem FROM st5b
+            UNION ALL SELECT token, CASE token {' '.join(f"WHEN '{w}' THEN '{s}'" for w, s in IRREGULAR.items())} END
+                      FROM {source} WHERE length(token) > 3 AND token IN ({irregular})
+            UNION ALL SELECT token, token FROM {source} WHERE length(token) <= 3""",
+    }
+    return ",\n".join(f"{name} AS ({body})" for name, body in steps.items())
+
+
+def stemmed_tokens(source: str) -> str:
+    """WITH parts from a table of texts to ``toks(id, p, r)``, token lists with every token stemmed."""
+    pred, ref = "generated_summary", "reference_summary"
+    return f"""
+        raw AS (SELECT id, {rouge_tokens(pred)} AS p, {rouge_tokens(ref)} AS r FROM {source}
+                WHERE {pred} IS NOT NULL AND {ref} IS NOT NULL AND {ref} <> ''),
+        seen AS (SELECT DISTINCT token FROM (SELECT unnest(list_concat(p, r)) AS token FROM raw)),
+        {stem_parts('seen')},
+        ps AS (SELECT id, list(stem ORDER BY i) AS p
+               FROM (SELECT id, unnest(p) AS token, generate_subscripts(p, 1) AS i FROM raw) JOIN stems USING (token) GROUP BY id),
+        rs AS (SELECT id, list(stem ORDER BY i) AS r
+               FROM (SELECT id, unnest(r) AS token, generate_subscripts(r, 1) AS i FROM raw) JOIN stems USING (token) GROUP BY id),
+        toks AS (SELECT id, coalesce(ps.p, []) AS p, coalesce(rs.r, []) AS r FROM raw LEFT JOIN ps USING (id) LEFT JOIN rs USING (id))"""
+
+
+def plain_tokens(source: str) -> str:
     pred, ref = "generated_summary", "reference_summary"
     return f"""
         toks AS (SELECT id, {rouge_tokens(pred)} AS p, {rouge_tokens(ref)} AS r FROM {source}
-                 WHERE {pred} IS NOT NULL AND {ref} IS NOT NULL),
-        gram AS (SELECT id, {grams(n, 'p')} AS p, {grams(n, 'r')} AS r FROM toks),
-        pc AS (SELECT id, g, count(*) AS c FROM (SELECT id, unnest(p) AS g FROM gram) GROUP BY ALL),
-        rc AS (SELECT id, g, count(*) AS c FROM (SELECT id, unnest(r) AS g FROM gram) GROUP BY ALL),
-        ov AS (SELECT id, sum(least(pc.c, rc.c)) AS o FROM pc JOIN rc USING (id, g) GROUP BY id),
-        pr AS (SELECT id, CASE WHEN len(p) > 0 THEN coalesce(o, 0) / len(p) ELSE 0 END AS p,
-                          CASE WHEN len(r) > 0 THEN coalesce(o, 0) / len(r) ELSE 0 END AS r
-               FROM gram LEFT JOIN ov USING (id)),
-        scores AS (SELECT id, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM pr)"""
-
-
-ROUNDED_SCORES = "SELECT id, round(p, 6) AS p, round(r, 6) AS r, round(f1, 6) AS f1 FROM scores"
+                 WHERE {pred} IS NOT NULL AND {ref} IS NOT NULL)"""
+
+
+def ngram_scores(n: int) -> str:
+    """WITH parts from ``toks`` to ``scores<n>(id, p, r, f1)``: clipped n-gram overlap."""
+    return f"""
+        gram{n} AS (SELECT id, {grams(n, 'p')} AS p, {grams(n, 'r')} AS r FROM toks),
+        pc{n} AS (SELECT id, g, count(*) AS c FROM (SELECT id, unnest(p) AS g FROM gram{n}) GROUP BY ALL),
+        rc{n} AS (SELECT id, g, count(*) AS c FROM (SELECT id, unnest(r) AS g FROM gram{n}) GROUP BY ALL),
+        ov{n} AS (SELECT id, sum(least(pc{n}.c, rc{n}.c)) AS o FROM pc{n} JOIN rc{n} USING (id, g) GROUP BY id),
+        scores{n} AS ({score('gram%d LEFT JOIN ov%d USING (id)' % (n, n))})"""
+
+
+def score(source: str) -> str:
+    """Precision, recall, F1 from an overlap ``o`` and the lists ``p`` and ``r``."""
+    return f"""SELECT id, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM (
+        SELECT id, CASE WHEN len(p) > 0 THEN coalesce(o, 0) / len(p) ELSE 0 END AS p,
+                   CASE WHEN len(r) > 0 THEN coalesce(o, 0) / len(r) ELSE 0 END AS r FROM {source})"""
+
+
+# Longest common subsequence, one row of the table per round: with c[j] the best of "keep the row above" and
+# "match here", the next row is the running maximum of c.
+LCS_SCORES = f"""
+    small AS (SELECT id, p, r FROM toks WHERE len(p) > 0 AND len(r) > 0),
+    cell AS (SELECT id, unnest(r) AS t, generate_subscripts(r, 1) AS j FROM small),
+    step AS (
+        SELECT id, 0 AS i, j, t, 0 AS v FROM cell
+        UNION ALL
+        SELECT id, i + 1, j, t, max(c) OVER (PARTITION BY id ORDER BY j) AS v FROM (
+            SELECT step.id, i, j, t,
+                   CASE WHEN p[i + 1] = t THEN 1 + coalesce(lag(v) OVER (PARTITION BY step.id ORDER BY j), 0) ELSE v END AS c
+            FROM step JOIN small ON step.id = small.id WHERE i < len(p))),
+    longest AS (SELECT step.id, max(v) AS o FROM step GROUP BY step.id),
+    scoresL AS ({score('toks LEFT JOIN longest USING (id)')})"""
+
 LEAD_PARTS = "pairs filled cleaned lead"
 
 
-def rouge_rows(n: int) -> str:
-    return with_parts(LEAD_PARTS, "").rstrip() + "," + rouge_parts("lead", n) + "\n" + ROUNDED_SCORES
+def scores_of(parts: str, *more: str, body: str, recursive: bool = False) -> str:
+    """A statement with named parts, then further WITH parts, then the body."""
+    statement = ",".join([with_parts(parts, "").rstrip(), *more]) + "\n" + body
+    return statement.replace("WITH", "WITH RECURSIVE", 1) if recursive else statement
+
+
+def rounded_scores(table: str) -> str:
+    return f"SELECT id, round(p, 6) AS p, round(r, 6) AS r, round(f1, 6) AS f1 FROM {table}"
 
 
 PARTS |= {
+    "optional_lead": f"""
+        SELECT id, highlights AS reference_summary,
+               array_to_string(list_slice({sentences(clean('article'))}, 1, 3), ' ') AS generated_summary
+        FROM pairs""",
     "vocab_counts": f"""
         SELECT token, count(*) AS n
         FROM (SELECT unnest(list_concat({words("coalesce(article, '')")}, {words("coalesce(highlights, '')")})) AS token FROM pairs)
@@ -188,6 +321,10 @@ PARTS |= {
 }
 EXTRACTIVE_PARTS = "pairs sentence_rows sentence_words frequencies sentence_scores ranked_sentences"
 ENCODE_PARTS = "pairs vocab_counts vocab kept_words source_ids target_ids encoded"
+CORPUS = ", ".join(
+    f'(SELECT round(100 * avg(f1), 4) FROM {table}) AS "{name}"'
+    for name, table in {"rouge1": "scores1", "rouge2": "scores2", "rougeL": "scoresL", "rougeLsum": "scoresL"}.items()
+)
 MASKED = "[CASE WHEN x = 0 THEN -100 ELSE x END FOR x IN targets]"
 
 MATCH_PARTS = """
@@ -317,18 +454,51 @@ ORACLES: dict[str, str] = {
     "predictions_vs_references": with_parts(
         LEAD_PARTS, "SELECT id, substr(article, 1, 300) AS article, reference_summary, generated_summary FROM lead"
     ),
-    "rouge1_rows": rouge_rows(1),
-    "rouge2_rows": rouge_rows(2),
+    "rouge1_rows": scores_of(LEAD_PARTS, plain_tokens("lead"), ngram_scores(1), body=rounded_scores("scores1")),
+    "rouge2_rows": scores_of(LEAD_PARTS, plain_tokens("lead"), ngram_scores(2), body=rounded_scores("scores2")),
+    "stem_map": scores_of(
+        "pairs",
+        f"seen AS (SELECT DISTINCT token FROM (SELECT unnest({rouge_tokens('article')}) AS token FROM pairs))",
+        stem_parts("seen"),
+        body="SELECT token, stem FROM stems",
+    ),
+    "rouge1_stem_rows": scores_of(LEAD_PARTS, stemmed_tokens("lead"), ngram_scores(1), body=rounded_scores("scores1")),
+    "rouge_l_rows": scores_of(LEAD_PARTS, stemmed_tokens("lead"), LCS_SCORES, body=rounded_scores("scoresL"), recursive=True),
+    "rouge_rows": scores_of(
+        "pairs optional_lead", stemmed_tokens("optional_lead"), ngram_scores(1), ngram_scores(2), LCS_SCORES, recursive=True,
+        body="""SELECT a.id, round(100 * s1.f1, 4) AS "rouge1", round(100 * s2.f1, 4) AS "rouge2",
+                       round(100 * l.f1, 4) AS "rougeL", round(100 * l.f1, 4) AS "rougeLsum"
+                FROM optional_lead a LEFT JOIN scores1 s1 USING (id) LEFT JOIN scores2 s2 USING (id)
+                     LEFT JOIN scoresL l USING (id)""",
+    ),
+    "rouge_corpus": scores_of(
+        LEAD_PARTS, stemmed_tokens("lead"), ngram_scores(1), ngram_scores(2), LCS_SCORES, recursive=True,
+        body=f"SELECT {CORPUS}",
+    ),
+    "evaluate": scores_of(
+        LEAD_PARTS, stemmed_tokens("lead"), ngram_scores(1), ngram_scores(2), LCS_SCORES, recursive=True,
+        body=f"""SELECT {CORPUS}, round(avg(w), 6) AS mean_words, min(w) AS min_words, max(w) AS max_words
+                 FROM (SELECT {word_count('generated_summary', '')} AS w FROM lead)""",
+    ),
+    "evaluate_table": scores_of(
+        "pairs filled firsts cleaned_firsts processed",
+        "best AS (SELECT * FROM processed WHERE split = 'test')",
+        *(f"{n} AS ({PARTS[n].replace('FROM pairs', 'FROM best')})" for n in EXTRACTIVE_PARTS.split()[1:]),
+        """chosen AS (SELECT b.id, b.highlights AS reference_summary, coalesce(g.s, '') AS generated_summary
+           FROM best b LEFT JOIN (SELECT id, string_agg(sentence, ' ' ORDER BY pos) AS s
+                                  FROM ranked_sentences WHERE place <= 3 GROUP BY id) g USING (id))""",
+        stemmed_tokens("chosen"), ngram_scores(1), ngram_scores(2), LCS_SCORES, recursive=True,
+        body=f"""SELECT {CORPUS}, round(avg(w), 6) AS mean_words, min(w) AS min_words, max(w) AS max_words
+                 FROM (SELECT {word_count('generated_summary', '')} AS w FROM chosen)""",
+    ),
     "rouge1_turn_rows": "WITH turns AS (SELECT concat_ws('-', a.conv_id, a.turn) AS id, a.text AS reference_summary, "
     "b.text AS generated_summary FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id "
     "AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant'),"
-    + rouge_parts("turns", 1)
-    + "\n"
-    + ROUNDED_SCORES,
-    "rouge_corpus_nostem": "SELECT "
-    + ", ".join(
-        f"(SELECT round(100 * avg(f1), 4) FROM ({with_parts(LEAD_PARTS, '').rstrip()},{rouge_parts('lead', n)} SELECT * FROM scores)) AS rouge{n}"
-        for n in (1, 2)
+    + plain_tokens("turns") + "," + ngram_scores(1) + "\n" + rounded_scores("scores1"),
+    "rouge_corpus_nostem": scores_of(
+        LEAD_PARTS, plain_tokens("lead"), ngram_scores(1), ngram_scores(2),
+        body="""SELECT (SELECT round(100 * avg(f1), 4) FROM scores1) AS rouge1,
+                       (SELECT round(100 * avg(f1), 4) FROM scores2) AS rouge2""",
     ),
     "build_vocab": with_parts("pairs vocab_counts vocab", "SELECT token, token_id, n FROM vocab"),
     "encode_pairs": with_parts(

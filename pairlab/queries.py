@@ -141,7 +141,7 @@ def turn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evaluate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test split, extractive predictor, all scores; the latency is left out, it differs from run to run."""
     results = scoring.evaluate_table(preprocess(pairs(spark, sf_dir)), generation.extractive_predictor(), preset="full")
-    return results.drop("avg_latency_sec_per_sample")
+    return rounded(results.drop("avg_latency_sec_per_sample"))
 
 
 def eda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
