@@ -66,15 +66,19 @@ def lcs_positions(ref, masks: PositionMasks, can) -> list[int]:
 
     Traces back from the end; where two ways are equally long it shortens ``ref`` first, as the common scorers
     do.  Every k-th row of the table is kept and the rows between are built again, so memory grows with the
-    square root of the length of ``ref``.
+    square root of the length of ``ref``.  Tokens of ``ref`` that ``can`` lacks change no row and are left out.
     """
+    shared = [i for i, token in enumerate(ref) if token in masks]
+    if not shared:
+        return []
+    ref = [ref[i] for i in shared]
     full = (1 << masks.width) - 1
     step = max(64, isqrt(len(ref)) + 1)
 
     def rows_after(row, lo, hi):
         rows = [row]
         for token in ref[lo:hi]:
-            row = _advance(row, masks.of(token)) & full if token in masks else row
+            row = _advance(row, masks.of(token)) & full
             rows.append(row)
         return rows
 
@@ -88,14 +92,14 @@ def lcs_positions(ref, masks: PositionMasks, can) -> list[int]:
         return j - (row & ((1 << j) - 1)).bit_count()
 
     found = []
-    i, j, base = len(ref), len(can), (len(ref) - 1) // step * step if ref else 0
-    left = length_at(kept[-1], j) if ref else 0
+    i, j, base = len(ref), len(can), (len(ref) - 1) // step * step
+    left = length_at(kept[-1], j)
     while left > 0:
         if i <= base:
             base -= step
             rows = rows_after(kept[base // step], base, base + step)
         if ref[i - 1] == can[j - 1]:
-            found.append(i - 1)
+            found.append(shared[i - 1])
             i, j, left = i - 1, j - 1, left - 1
         elif rows[i - base] >> (j - 1) & 1 and length_at(rows[i - 1 - base], j) < left:
             j -= 1

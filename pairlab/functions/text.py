@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from pairlab.functions.arrays import let
+
 # The patterns the results depend on.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
-WORD = r"(?U)[^\s\x1c-\x1f]+"
+NOT_BLANK_WHITESPACE = r"(?U)[\s\x1c-\x1f&&[^ ]]"
 LEADING_TAG = r"(?iU)^\(CNN\)[\s\x1c-\x1f]*(--)?[\s\x1c-\x1f]*"
 DASH_RUN = r"-{2,}"
 LETTERS_ONLY = r"^\p{L}+$"
@@ -44,17 +46,30 @@ def null_spelling_to_null(value: Column | str) -> Column:
     return F.when(~column.isin(NULL_SPELLINGS), column)
 
 
-def word_count(value: Column | str) -> Column:
-    return F.regexp_count(as_column(value), F.lit(WORD)).cast("bigint")
-
-
 def char_count(value: Column | str) -> Column:
     return F.char_length(as_column(value)).cast("bigint")
 
 
+def blank_separated(value: Column | str, squeezed: bool = False) -> Column:
+    """Every whitespace character as a blank; with ``squeezed``, every run of them as one.
+
+    Most texts hold only blanks and line ends, which a plain byte replacement covers; the Unicode pattern runs
+    on the rest.
+    """
+    pattern = NOT_BLANK_WHITESPACE + ("|  " if squeezed else "")
+    lines_joined = F.replace(as_column(value), F.lit("\n"), F.lit(" "))
+    return let(
+        lines_joined, lambda t: F.when(t.rlike(pattern), F.regexp_replace(t, WHITESPACE, " ")).otherwise(t)
+    )
+
+
 def words(value: Column | str) -> Column:
     """Whitespace split; a blank text has no words."""
-    return F.array_remove(F.split(as_column(value), WHITESPACE), "")
+    return F.array_remove(F.split(blank_separated(value), " "), "")
+
+
+def word_count(value: Column | str) -> Column:
+    return F.size(words(value)).cast("bigint")
 
 
 def is_letters(word: Column | str) -> Column:
@@ -67,10 +82,18 @@ def is_counted_word(word: Column | str) -> Column:
 
 
 def clean_text(value: Column | str, lowercase: bool = False) -> Column:
-    """Drop one leading ``(CNN) --`` tag, squeeze dash runs and whitespace runs, trim, optionally lower."""
-    cleaned = F.regexp_replace(as_column(value), LEADING_TAG, "")
-    cleaned = F.regexp_replace(cleaned, DASH_RUN, "-")
-    cleaned = F.trim(F.regexp_replace(cleaned, WHITESPACE, " "))
+    """Drop one leading ``(CNN) --`` tag, squeeze dash runs and whitespace runs, trim, optionally lower.
+
+    Each pattern runs only on texts that a cheap test lets through.
+    """
+
+    def untagged(t: Column) -> Column:
+        return F.when(F.upper(F.substring(t, 1, 5)) == "(CNN)", F.regexp_replace(t, LEADING_TAG, "")).otherwise(t)
+
+    def undashed(t: Column) -> Column:
+        return F.when(F.contains(t, F.lit("--")), F.regexp_replace(t, DASH_RUN, "-")).otherwise(t)
+
+    cleaned = let(untagged(as_column(value)), lambda t: F.trim(blank_separated(undashed(t), squeezed=True)))
     return F.lower(cleaned) if lowercase else cleaned
 
 
@@ -83,10 +106,9 @@ def add_prefix(value: Column | str, prefix: str) -> Column:
 
 
 def sentences(value: Column | str) -> Column:
-    """Runs of text up to and including ``.``, ``!`` or ``?``, trimmed, blanks left out."""
-    found = F.regexp_extract_all(as_column(value), F.lit(SENTENCE), F.lit(0))
-    trimmed = F.transform(found, lambda s: F.trim(F.regexp_replace(s, WHITESPACE, " ")))
-    return F.array_remove(trimmed, "")
+    """Runs of text up to and including ``.``, ``!`` or ``?``, whitespace squeezed and trimmed, blanks left out."""
+    found = F.regexp_extract_all(blank_separated(value, squeezed=True), F.lit(SENTENCE), F.lit(0))
+    return F.array_remove(F.transform(found, lambda s: F.trim(s)), "")
 
 
 def rouge_tokens(value: Column | str) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pairlab.sources.readers import read_table
+
 
 def _first_line_end(value: Column) -> Column:
     return F.instr(value, "\n")
@@ -15,7 +17,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     One-line documents have a null summary, every fifth article carries a dateline tag, and the last digit of
     the id names the split.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = read_table(spark, f"{sf_dir}/documents.parquet", "doc_id").select("doc_id", "text")
     body = F.col("text")
     line_end = _first_line_end(body)
     last_digit = F.col("doc_id") % 10
@@ -35,7 +37,7 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Turns are numbered without gaps, so the next turn is an equality on (conversation, number): the longest
     conversation is spread like any other rows.
     """
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id")
     asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("article"))
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("highlights")
