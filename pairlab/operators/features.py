@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -39,8 +41,8 @@ def _first_words(value: Column, n: int) -> Column:
     return F.slice(parts, 1, n)
 
 
-def _lookup(tokens: Column, vocab: DataFrame, vocab_size: int) -> Column:
-    """Ids of token arrays through a vocabulary held by every task.  The filter bounds what is collected."""
+def _lookup(vocab: DataFrame, vocab_size: int) -> Callable[[Column], Column]:
+    """Token arrays to id arrays through a vocabulary held by every task.  The filter bounds what is collected."""
     held = vocab.where(F.col("token_id") < FIRST_ID + vocab_size).select("token", "token_id").toArrow()
     known = vocab.sparkSession.sparkContext.broadcast(
         (held["token"].combine_chunks().cast(pa.string()), held["token_id"].combine_chunks().cast(pa.int32()))
@@ -53,7 +55,7 @@ def _lookup(tokens: Column, vocab: DataFrame, vocab_size: int) -> Column:
         found = pc.fill_null(ids.take(pc.index_in(values, value_set=words)), UNK)
         return pa.ListArray.from_arrays(offsets, found)
 
-    return to_ids(tokens)
+    return to_ids
 
 
 def _joined_ids(df: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
@@ -118,11 +120,8 @@ def encode_pairs(
         _first_words(text.null_to_text(summary_col, "nan"), max_target_length - 1).alias("target"),
     )
     if vocab_size <= BROADCAST_VOCAB:
-        coded = kept.select(
-            id_col,
-            _lookup(F.col("source"), vocab, vocab_size).alias("source"),
-            _lookup(F.col("target"), vocab, vocab_size).alias("target"),
-        )
+        to_ids = _lookup(vocab, vocab_size)
+        coded = kept.select(id_col, to_ids("source").alias("source"), to_ids("target").alias("target"))
     else:
         coded = _joined_ids(kept, vocab.where(F.col("token_id") < FIRST_ID + vocab_size), id_col)
 

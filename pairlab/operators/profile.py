@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairlab.functions import text
@@ -48,22 +50,37 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def lengths(
-    df: DataFrame, text_col: str = "article", summary_col: str = "highlights", null_text: str = ""
+    df: DataFrame,
+    text_col: str = "article",
+    summary_col: str = "highlights",
+    count_tokens: Callable[[Column], Column] = text.word_count,
 ) -> DataFrame:
-    """Characters and words of both texts; the texts themselves are left behind.
+    """Characters, words and tokens of both texts; the texts themselves are left behind.
 
-    Persist this when several of the statistics below run on it: it is four numbers per row.
+    All statistics below run on this table of numbers: write it once (``materialize``) when several are wanted.
+    Characters and words take a null for an empty text, tokens take it for the text ``nan``.  ``count_tokens``
+    maps a text column to a count; the default splits at whitespace, a tokenizer's Arrow UDF fits in its place.
     """
     require_columns(df, text_col, summary_col)
-    article, summary = text.null_to_text(text_col, null_text), text.null_to_text(summary_col, null_text)
     kept = [c for c in ("id", "split") if c in df.columns]
-    return df.select(
-        *kept,
-        text.char_count(article).alias("article_chars"),
-        text.char_count(summary).alias("summary_chars"),
-        text.word_count(article).alias("article_words"),
-        text.word_count(summary).alias("summary_words"),
-    )
+    measured = []
+    for side, column in (("article", text_col), ("summary", summary_col)):
+        filled = text.null_to_text(column)
+        measured += [
+            text.char_count(filled).alias(f"{side}_chars"),
+            text.word_count(filled).alias(f"{side}_words"),
+            count_tokens(text.null_to_text(column, "nan")).cast("bigint").alias(f"{side}_tokens"),
+        ]
+    return df.select(*kept, *measured)
+
+
+def _zero_rows(df: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    """One (metric, null, 0) per metric, so that an empty table still gives a row for each."""
+    rows = [
+        F.struct(F.lit(m).alias("metric"), F.lit(None).cast("bigint").alias("value"), F.lit(0).cast("bigint").alias("n"))
+        for m in metrics
+    ]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def value_counts(measured: DataFrame, metrics: tuple[str, ...] = LENGTH_METRICS) -> DataFrame:
@@ -77,10 +94,7 @@ def value_counts(measured: DataFrame, metrics: tuple[str, ...] = LENGTH_METRICS)
 
 def length_stats(measured: DataFrame, metrics: tuple[str, ...] = LENGTH_METRICS) -> DataFrame:
     """Mean, median, population deviation, extremes and exact p90/p95/p99 per metric; zeros on an empty table."""
-    zero_rows = measured.sparkSession.createDataFrame(
-        [(m, None, 0) for m in metrics], "metric string, value bigint, n bigint"
-    )
-    counts = value_counts(measured, metrics).unionByName(zero_rows)
+    counts = value_counts(measured, metrics).unionByName(_zero_rows(measured, metrics))
     exact = lambda c: c.cast("decimal(38,0)")
     rows, total, squares = (
         F.sum("n"),
@@ -110,10 +124,12 @@ def length_stats(measured: DataFrame, metrics: tuple[str, ...] = LENGTH_METRICS)
 
 
 def length_totals(measured: DataFrame) -> DataFrame:
-    """Rows, mean compression ratio over rows with an article, and empty texts, in one aggregate."""
+    """Rows, mean words, mean compression ratio over rows with an article, empty texts: one aggregate."""
     ratio = F.avg(F.when(F.col("article_words") > 0, F.col("summary_words") / F.col("article_words")))
     return measured.agg(
         F.count("*").alias("num_rows"),
+        _zero_if_null(F.avg("article_words")).alias("article_words_mean"),
+        _zero_if_null(F.avg("summary_words")).alias("summary_words_mean"),
         _zero_if_null(ratio).alias("compression_ratio_mean"),
         F.count_if(F.col("article_words") == 0).alias("empty_articles"),
         F.count_if(F.col("summary_words") == 0).alias("empty_summaries"),
@@ -128,28 +144,11 @@ def empty_counts(measured: DataFrame) -> DataFrame:
     return length_totals(measured).select("empty_articles", "empty_summaries")
 
 
-def token_counts(
-    df: DataFrame,
-    sample_size: int | None = 5000,
-    seed: int = 42,
-    text_col: str = "article",
-    summary_col: str = "highlights",
-    id_col: str = "id",
-    count_tokens=text.word_count,
-) -> DataFrame:
-    """Mean and p95 tokens of both texts on a sample (None: whole table).
-
-    ``count_tokens`` maps a text column to a count column; the default splits at whitespace, a tokenizer's
-    Arrow UDF fits in its place.
-    """
-    sampled = sample_exact(df, sample_size, seed, id_col).select(
-        count_tokens(text.null_to_text(text_col, "nan")).alias("article"),
-        count_tokens(text.null_to_text(summary_col, "nan")).alias("summary"),
-    )
-    zero_rows = df.sparkSession.createDataFrame(
-        [("article", None, 0), ("summary", None, 0)], "metric string, value bigint, n bigint"
-    )
-    counts = value_counts(sampled, ("article", "summary")).unionByName(zero_rows)
+def token_counts(measured: DataFrame, sample_size: int | None = 5000, seed: int = 42, id_col: str = "id") -> DataFrame:
+    """Mean and p95 tokens of both texts on a sample (None: whole table)."""
+    sides = ("article_tokens", "summary_tokens")
+    sampled = sample_exact(measured, sample_size, seed, id_col)
+    counts = value_counts(sampled, sides).unionByName(_zero_rows(measured, sides))
     per_side = counts.groupBy("metric").agg(
         F.sum("n").alias("rows"),
         F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
@@ -160,11 +159,8 @@ def token_counts(
         return F.max(F.when(F.col("metric") == side, F.col(column)))
 
     return per_side.agg(
-        of("article", "rows").alias("sample_size"),
-        of("article", "mean").alias("article_tokens_mean"),
-        of("article", "p95").alias("article_tokens_p95"),
-        of("summary", "mean").alias("summary_tokens_mean"),
-        of("summary", "p95").alias("summary_tokens_p95"),
+        of(sides[0], "rows").alias("sample_size"),
+        *[of(side, column).alias(f"{side}_{column}") for side in sides for column in ("mean", "p95")],
     )
 
 
@@ -176,32 +172,26 @@ def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count("*").alias("num_rows"))
 
 
-def split_inspection(
-    df: DataFrame, text_col: str = "article", summary_col: str = "highlights", split_col: str = "split"
-) -> DataFrame:
+def split_inspection(measured: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows and mean words per split; a table without a split column gives one row holding a note."""
-    if split_col not in df.columns:
+    if split_col not in measured.columns:
         note = "single dataframe passed, no split column present"
-        return df.sparkSession.createDataFrame([(note,)], "note string")
-    return df.groupBy(split_col).agg(
+        return measured.sparkSession.range(1).select(F.lit(note).alias("note"))
+    return measured.groupBy(split_col).agg(
         F.count("*").alias("num_rows"),
-        F.avg(text.word_count(text.null_to_text(text_col, "nan"))).alias("avg_article_words"),
-        F.avg(text.word_count(text.null_to_text(summary_col, "nan"))).alias("avg_summary_words"),
+        F.avg("article_tokens").alias("avg_article_words"),
+        F.avg("summary_tokens").alias("avg_summary_words"),
     )
 
 
-def length_histogram(
-    df: DataFrame, bins: int = 50, text_col: str = "article", summary_col: str = "highlights"
-) -> DataFrame:
+def length_histogram(measured: DataFrame, bins: int = 50) -> DataFrame:
     """Equal-width word-count histogram per side, buckets 1..bins, empty buckets left out.
 
     Runs on the distinct counts, so the rows are read once.  When all counts are equal they fall into the
     middle bucket, as with bounds half a word to each side.
     """
-    measured = lengths(df, text_col, summary_col, null_text="nan").select(
-        F.col("article_words").alias("article"), F.col("summary_words").alias("summary")
-    )
-    counts = value_counts(measured, ("article", "summary"))
+    sides = measured.select(F.col("article_tokens").alias("article"), F.col("summary_tokens").alias("summary"))
+    counts = value_counts(sides, ("article", "summary"))
     bounds = counts.groupBy("metric").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     span = F.col("hi") - F.col("lo")
     scaled = F.floor(F.try_divide((F.col("value") - F.col("lo")) * bins, span)).cast("bigint") + 1
@@ -212,3 +202,10 @@ def length_histogram(
         .groupBy(F.col("metric").alias("side"), bucket.cast("bigint").alias("bucket"))
         .agg(F.sum("n").alias("n"))
     )
+
+
+def scatter_sample(measured: DataFrame, n: int = 5000, seed: int = 42, id_col: str = "id") -> DataFrame:
+    """Points (article words, summary words) of a sample."""
+    return sample_exact(measured, n, seed, id_col).select(
+        id_col, F.col("article_tokens").alias("article_words"), F.col("summary_tokens").alias("summary_words")
+    )

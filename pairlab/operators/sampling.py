@@ -103,22 +103,6 @@ def sample_pairs(
     )
 
 
-def scatter_sample(
-    df: DataFrame,
-    n: int = 5000,
-    seed: int = 42,
-    text_col: str = "article",
-    summary_col: str = "highlights",
-    id_col: str = "id",
-) -> DataFrame:
-    """Points (article words, summary words) of a sample."""
-    return sample_exact(df, n, seed, id_col).select(
-        id_col,
-        text.word_count(text.null_to_text(text_col, "nan")).alias("article_words"),
-        text.word_count(text.null_to_text(summary_col, "nan")).alias("summary_words"),
-    )
-
-
 def head(df: DataFrame, max_samples: int | None, seed: int = 42, id_col: str = "id") -> DataFrame:
     """Cap the rows to score; None or 0 means no cap.  The head is that of the sample order."""
     return sample_exact(df, max_samples or None, seed, id_col)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.operators import dedup, profile, sampling, words
-from pairlab.operators.cleaning import require_columns
 from pairlab.sources.scratch import materialize
 
 
@@ -34,26 +33,22 @@ def report_rows(
 ) -> DataFrame:
     """(section, key, value) digest: totals, duplicates, mean lengths, compression, p95 tokens, rows per split,
     first words.  Numbers with a fraction have six decimals."""
-    require_columns(df, text_col, summary_col)
-    measured = profile.lengths(df, text_col, summary_col)
+    measured = materialize(profile.lengths(df, text_col, summary_col), "lengths")
     totals = profile.length_totals(measured)
-    means = measured.agg(
-        F.coalesce(F.avg("article_words"), F.lit(0.0)).alias("article_words_mean"),
-        F.coalesce(F.avg("summary_words"), F.lit(0.0)).alias("summary_words_mean"),
-    )
     duplicates = dedup.duplicate_counts(df, text_col, summary_col)
-    tokens = profile.token_counts(df, token_sample, text_col=text_col, summary_col=summary_col)
+    tokens = profile.token_counts(measured, token_sample)
     top_words = words.top_words(df, top, sample, text_col=summary_col)
     pieces = [
         _columns_as_rows(totals, "totals", ["num_rows"]),
         _columns_as_rows(duplicates, "duplicates", ["duplicate_articles", "duplicate_summaries", "duplicate_pairs"]),
-        _columns_as_rows(means, "lengths", ["article_words_mean", "summary_words_mean"], floating=True),
-        _columns_as_rows(totals, "lengths", ["compression_ratio_mean"], floating=True),
+        _columns_as_rows(
+            totals, "lengths", ["article_words_mean", "summary_words_mean", "compression_ratio_mean"], floating=True
+        ),
         _columns_as_rows(tokens, "tokens", ["article_tokens_p95", "summary_tokens_p95"], floating=True),
         _rows(top_words, "top_words", F.col("term"), F.col("n").cast("string")),
     ]
     if "split" in df.columns:
-        pieces.append(_rows(profile.split_sizes(df), "splits", F.col("split"), F.col("num_rows").cast("string")))
+        pieces.append(_rows(profile.split_sizes(measured), "splits", F.col("split"), F.col("num_rows").cast("string")))
     report, *others = pieces
     for piece in others:
         report = report.unionByName(piece)
@@ -75,7 +70,6 @@ def eda_report(
     Lengths and word counts are computed once and written to scratch as a table of numbers.  What goes into the
     row is bounded: a few statistics per metric, column and split, the top lists, five pairs.
     """
-    require_columns(df, text_col, summary_col)
     spark = df.sparkSession
     measured = materialize(profile.lengths(df, text_col, summary_col), "lengths")
 
@@ -97,10 +91,10 @@ def eda_report(
         one(dedup.duplicate_counts(df, text_col, summary_col)).alias("duplicates"),
         many(profile.length_stats(measured)).alias("length_distribution"),
         one(profile.length_totals(measured)).alias("length_totals"),
-        one(profile.token_counts(df, token_sample, seed, text_col, summary_col)).alias("token_counts"),
+        one(profile.token_counts(measured, token_sample, seed)).alias("token_counts"),
         ranked(words.top_words(df, top_n, sample, seed, summary_col)).alias("top_words"),
         ranked(words.top_ngrams(df, top_n, ngram_range, sample, seed, summary_col)).alias("top_ngrams"),
-        many(profile.split_inspection(df, text_col, summary_col)).alias("split_inspection"),
+        many(profile.split_inspection(measured)).alias("split_inspection"),
         many(sampling.sample_pairs(df, 5, seed, text_col, summary_col)).alias("sample_pairs"),
     )
 

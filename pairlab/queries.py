@@ -174,15 +174,15 @@ QUERIES: dict[str, Query] = {
     "empty_counts": lambda s, d: profile.empty_counts(_lengths(s, d)),
     "row_counts": lambda s, d: profile.row_counts(pairs(s, d)),
     "split_sizes": lambda s, d: profile.split_sizes(pairs(s, d)),
-    "split_inspection": lambda s, d: rounded(profile.split_inspection(pairs(s, d))),
-    "length_histogram": lambda s, d: profile.length_histogram(pairs(s, d)),
+    "split_inspection": lambda s, d: rounded(profile.split_inspection(_lengths(s, d))),
+    "length_histogram": lambda s, d: profile.length_histogram(_lengths(s, d)),
     "non_empty_articles": lambda s, d: cleaning.non_empty_articles(pairs(s, d)),
     "sample_exact": lambda s, d: sampling.sample_exact(pairs(s, d), 500).select("id", "split", "article", "highlights"),
     "load_subset_dev": lambda s, d: sampling.load_subset(pairs(s, d), "dev").select("id", "split", "article", "highlights"),
-    "token_counts": lambda s, d: rounded(profile.token_counts(pairs(s, d))),
-    "token_counts_all": lambda s, d: rounded(profile.token_counts(pairs(s, d), None)),
+    "token_counts": lambda s, d: rounded(profile.token_counts(_lengths(s, d))),
+    "token_counts_all": lambda s, d: rounded(profile.token_counts(_lengths(s, d), None)),
     "sample_pairs": lambda s, d: sampling.sample_pairs(pairs(s, d)),
-    "scatter_sample": lambda s, d: sampling.scatter_sample(pairs(s, d)),
+    "scatter_sample": lambda s, d: profile.scatter_sample(_lengths(s, d)),
     "top_words": lambda s, d: words.top_words(pairs(s, d), sample=None),
     "top_ngrams": lambda s, d: words.top_ngrams(pairs(s, d), sample=None),
     "summarize_lead": lambda s, d: generation.summarize_lead(pairs(s, d)).select("id", "generated_summary"),
