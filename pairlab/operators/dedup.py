@@ -7,30 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.functions.text import joint_digest, text_digest
+from pairlab.sources.scratch import materialize
 
 
 def pair_digest(text_col: str, summary_col: str) -> Column:
     return joint_digest(text_digest(text_col), text_digest(summary_col))
 
 
-def duplicate_ids(
+def first_ids(
     df: DataFrame,
     text_col: str = "article",
     summary_col: str = "highlights",
     id_col: str = "id",
     within: Sequence[str] = ("split",),
 ) -> DataFrame:
-    """Ids of every row that repeats an earlier (smaller id) pair of its split.
+    """Smallest id of each distinct pair per split.
 
-    Two narrow shuffles: (split, digest, id) reduced map-side to one row per pair, then ids alone.  A pair with
-    a third of all rows shrinks to one row per map task in the first; the second is keyed by unique ids.
+    The shuffle carries (split, digest, id), reduced map-side: a pair with a third of all rows is one row per
+    map task.
     """
-    first_ids = (
-        df.groupBy(*within, pair_digest(text_col, summary_col).alias("pair_key"))
-        .agg(F.min(id_col).alias(id_col))
-        .select(id_col)
-    )
-    return df.select(id_col).join(first_ids, id_col, "left_anti")
+    key = pair_digest(text_col, summary_col).alias("pair_key")
+    return df.groupBy(*within, key).agg(F.min(id_col).alias(id_col)).select(id_col)
+
+
+def without_repeats(
+    rows: DataFrame, all_ids: DataFrame, kept_ids: DataFrame, id_col: str = "id", store_ids: bool = False
+) -> DataFrame:
+    """``rows`` without the ids of ``all_ids`` that are not in ``kept_ids``.  Both joins are on unique ids, so
+    no key is hot.
+
+    With ``store_ids`` the ids to remove are written to scratch first: their size is then known when the text
+    join is planned, and where they are few the texts are not shuffled at all.
+    """
+    removed = all_ids.select(id_col).join(kept_ids, id_col, "left_anti")
+    removed = materialize(removed, "repeated-ids") if store_ids else removed
+    return rows.join(removed, id_col, "left_anti")
 
 
 def drop_duplicates(
@@ -39,9 +50,10 @@ def drop_duplicates(
     summary_col: str = "highlights",
     id_col: str = "id",
     within: Sequence[str] = ("split",),
+    store_ids: bool = False,
 ) -> DataFrame:
     """Keep the row with the smallest id of each identical pair, per split; null equals null."""
-    return df.join(duplicate_ids(df, text_col, summary_col, id_col, within), id_col, "left_anti")
+    return without_repeats(df, df, first_ids(df, text_col, summary_col, id_col, within), id_col, store_ids)
 
 
 def duplicate_counts(df: DataFrame, text_col: str = "article", summary_col: str = "highlights") -> DataFrame:

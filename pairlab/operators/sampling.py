@@ -37,21 +37,22 @@ def sample_ids(
     wanted = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
     ranked = df.select(F.col(id_col), group.alias("grp"), sample_rank(seed, id_col).alias("rank"))
     ranked = ranked.where(F.col("grp").isin(list(limits))).withColumn("prefix", F.substring("rank", 1, 4))
-    # At most 65,536 prefixes per group reach these windows, whatever the size of the table.
+    # At most 65,536 prefixes per group reach this window, whatever the size of the table.
     counts = ranked.groupBy("grp", "prefix").agg(F.count("*").alias("n"))
     upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy("grp").orderBy("prefix")))
-    cut = (
-        upto.withColumn("limit", wanted[F.col("grp")].cast("bigint"))
-        .where(F.col("upto") >= F.col("limit"))
-        .groupBy("grp")
-        .agg(F.min("prefix").alias("edge"), F.min_by(F.col("limit") - (F.col("upto") - F.col("n")), "prefix").alias("need"))
+    reached = upto.withColumn("limit", F.try_element_at(wanted, "grp").cast("bigint")).where("upto >= limit")
+    cut = reached.groupBy("grp").agg(
+        F.min("prefix").alias("edge"), F.min_by(F.expr("limit - (upto - n)"), "prefix").alias("need")
     )
-    # One row per group: bounded by the number of limits given by the caller.
-    placed = ranked.join(F.broadcast(cut), "grp", "left")
-    below = placed.where(F.col("edge").isNull() | (F.col("prefix") < F.col("edge"))).select(id_col)
+    # One entry per group of the caller's limits, read as a single value: no join with the rows.
+    entries = F.collect_list(F.struct("grp", F.struct("edge", "need")))
+    cuts = cut.agg(F.map_from_entries(entries).alias("cuts")).scalar()
+    placed = ranked.withColumn("cut", F.try_element_at(cuts, F.col("grp")))
+    edge = F.col("cut.edge")
+    below = placed.where(edge.isNull() | (F.col("prefix") < edge)).select(id_col)
     place = F.row_number().over(W.partitionBy("grp").orderBy("rank", id_col))
-    at_edge = placed.where(F.col("prefix") == F.col("edge")).withColumn("place", place)
-    return below.unionAll(at_edge.where(F.col("place") <= F.col("need")).select(id_col))
+    at_edge = placed.where(F.col("prefix") == edge).withColumn("place", place)
+    return below.unionAll(at_edge.where(F.col("place") <= F.col("cut.need")).select(id_col))
 
 
 def _keep_ids(df: DataFrame, ids: DataFrame, n: int, id_col: str) -> DataFrame:

@@ -140,7 +140,7 @@ def run_preprocessing(
     path = scratch_path(spark, "raw")
     raw.write.partitionBy("split").parquet(path)
     stored = spark.read.schema(raw.schema).parquet(path)
-    sinks.write_processed(preprocess(stored, text_col, summary_col, **options), processed_dir)
+    sinks.write_processed(preprocess(stored, text_col, summary_col, store_ids=True, **options), processed_dir)
     counts = profile.split_sizes(spark.read.schema(raw.schema).parquet(processed_dir))
     stats = counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("split", "num_rows")))).alias("num_rows"))
     sinks.write_report_json(stats, f"{processed_dir}_stats")

@@ -16,24 +16,25 @@ def preprocess(
     use_drop_na: bool = True,
     use_drop_duplicates: bool = True,
     lowercase: bool = False,
+    store_ids: bool = False,
     **bounds: int,
 ) -> DataFrame:
     """Null removal, exact dedup on the raw texts, cleaning, length bounds.
 
     Duplicates are decided on raw text, so pairs that become equal only by cleaning all stay.  Equal raw pairs
-    have equal cleaned lengths; the rows may therefore be cleaned and filtered before the duplicate ids are
-    joined away, and fewer and shorter texts reach that join.
+    have equal cleaned lengths; the rows may therefore be cleaned and filtered before the repeated ids are
+    joined away, and fewer and shorter texts reach that join.  The list of all ids is read without the texts:
+    ids of rows dropped for a null may be in it, they are gone from the rows already.
     """
     cleaning.require_columns(df, text_col, summary_col)
-    if use_drop_na:
-        df = cleaning.drop_na(df, text_col, summary_col)
+    filled = cleaning.drop_na(df, text_col, summary_col) if use_drop_na else df
     kept = cleaning.length_filter(
-        cleaning.clean_pairs(df, text_col, summary_col, lowercase), text_col, summary_col, **bounds
+        cleaning.clean_pairs(filled, text_col, summary_col, lowercase), text_col, summary_col, **bounds
     )
     if not use_drop_duplicates:
         return kept
-    repeated = dedup.duplicate_ids(df, text_col, summary_col, id_col, within)
-    return kept.join(repeated, id_col, "left_anti").select(*df.columns)
+    firsts = dedup.first_ids(filled, text_col, summary_col, id_col, within)
+    return dedup.without_repeats(kept, df, firsts, id_col, store_ids).select(*df.columns)
 
 
 def step_row_counts(
