@@ -29,9 +29,6 @@ class PositionMasks:
             self.positions.setdefault(token, []).append(i)
         self._built = {}
 
-    def __contains__(self, token):
-        return token in self.positions
-
     def of(self, token) -> int:
         mask = self._built.get(token)
         if mask is None:
@@ -44,11 +41,6 @@ class PositionMasks:
         return mask
 
 
-def _advance(row: int, mask: int) -> int:
-    hit = row & mask
-    return (row + hit) | (row - hit)
-
-
 def lcs_length(a, b) -> int:
     if len(a) > len(b):
         a, b = b, a
@@ -56,19 +48,22 @@ def lcs_length(a, b) -> int:
     full = (1 << masks.width) - 1
     row = full
     for token in a:
-        if token in masks:
-            row = _advance(row, masks.of(token)) & full
+        if token in masks.positions:
+            hit = row & masks.of(token)
+            row = ((row + hit) | (row - hit)) & full
     return masks.width - row.bit_count()
 
 
-def lcs_positions(ref, masks: PositionMasks, can) -> list[int]:
+def lcs_positions(ref, masks: PositionMasks, can, among=None) -> list[int]:
     """Positions in ``ref`` of one longest common subsequence with ``can``.
 
     Traces back from the end; where two ways are equally long it shortens ``ref`` first, as the common scorers
     do.  Every k-th row of the table is kept and the rows between are built again, so memory grows with the
-    square root of the length of ``ref``.  Tokens of ``ref`` that ``can`` lacks change no row and are left out.
+    square root of the length of ``ref``.  Tokens of ``ref`` that ``can`` lacks change no row and are left out;
+    ``among`` names the positions to look at if the caller knows more are of no use.
     """
-    shared = [i for i, token in enumerate(ref) if token in masks]
+    known = masks.positions
+    shared = [i for i in (range(len(ref)) if among is None else among) if ref[i] in known]
     if not shared:
         return []
     ref = [ref[i] for i in shared]
@@ -78,7 +73,8 @@ def lcs_positions(ref, masks: PositionMasks, can) -> list[int]:
     def rows_after(row, lo, hi):
         rows = [row]
         for token in ref[lo:hi]:
-            row = _advance(row, masks.of(token)) & full
+            hit = row & masks.of(token)
+            row = ((row + hit) | (row - hit)) & full
             rows.append(row)
         return rows
 
@@ -122,10 +118,11 @@ def union_lcs_hits(ref_lines, can_lines) -> int:
             lines_with.setdefault(token, []).append(k)
     hits = 0
     for line in ref_lines:
-        touched = {k for token in set(line) for k in lines_with.get(token, ())}
+        shared = [p for p, token in enumerate(line) if token in lines_with]
+        touched = {k for token in {line[p] for p in shared} for k in lines_with[token]}
         union = set()
         for k in touched:
-            union.update(lcs_positions(line, masks[k], can_lines[k]))
+            union.update(lcs_positions(line, masks[k], can_lines[k], shared))
         for p in sorted(union):
             token = line[p]
             if left_can[token] > 0 and left_ref[token] > 0:

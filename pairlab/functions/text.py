@@ -72,6 +72,13 @@ def word_count(value: Column | str) -> Column:
     return F.size(words(value)).cast("bigint")
 
 
+def first_words(value: Column | str, n: int) -> Column:
+    """The first n words.  The split stops after n + 2 parts, however long the text: one may be the empty part
+    before a leading blank, the last is the uncut rest."""
+    parts = F.array_remove(F.split(blank_separated(value, squeezed=True), " ", n + 2), "")
+    return F.slice(parts, 1, n)
+
+
 def is_letters(word: Column | str) -> Column:
     return as_column(word).rlike(LETTERS_ONLY)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pairlab.functions import text
 from pairlab.functions.arrays import pad
 from pairlab.functions.stem import flat_values
+from pairlab.operators.sampling import top_k
 
 # Special ids, the label that losses skip, widths.
 PAD, EOS, UNK, FIRST_ID = 0, 1, 2, 3
@@ -30,17 +31,11 @@ def build_vocab(df: DataFrame, cols: tuple[str, ...] = ("article", "highlights")
     texts = F.array_compact(F.array(*[F.col(c) for c in cols]))
     words = df.select(F.explode(F.flatten(F.transform(texts, text.words))).alias("token"))
     counts = words.groupBy("token").agg(F.count("*").alias("n"))
-    kept = counts.orderBy(F.desc("n"), "token").limit(size)
+    kept = top_k(counts, size, "token")
     place = F.row_number().over(W.orderBy(F.desc("n"), "token"))
     return kept.select("token", (place + (FIRST_ID - 1)).cast("bigint").alias("token_id"), "n")
 
 
-def _first_words(value: Column, n: int) -> Column:
-    """The first n words.  The split stops after n + 2 parts, however long the text."""
-    parts = F.array_remove(F.split(value, text.WHITESPACE, n + 2), "")
-    return F.slice(parts, 1, n)
-
-
 def _lookup(vocab: DataFrame, vocab_size: int) -> Callable[[Column], Column]:
     """Token arrays to id arrays through a vocabulary held by every task.  The filter bounds what is collected."""
     held = vocab.where(F.col("token_id") < FIRST_ID + vocab_size).select("token", "token_id").toArrow()
@@ -116,8 +111,8 @@ def encode_pairs(
     source = text.add_prefix(text.null_to_text(text_col, "nan"), prefix)
     kept = df.select(
         id_col,
-        _first_words(source, max_input_length - 1).alias("source"),
-        _first_words(text.null_to_text(summary_col, "nan"), max_target_length - 1).alias("target"),
+        text.first_words(source, max_input_length - 1).alias("source"),
+        text.first_words(text.null_to_text(summary_col, "nan"), max_target_length - 1).alias("target"),
     )
     if vocab_size <= BROADCAST_VOCAB:
         to_ids = _lookup(vocab, vocab_size)

@@ -76,8 +76,7 @@ def summarize_lead(df: DataFrame, k: int = 3, text_col: str = "article", output_
 
 def lead_words(df: DataFrame, n: int = 128, text_col: str = "article", output_col: str = "generated_summary") -> DataFrame:
     """First n words, the other form of the baseline."""
-    parts = F.slice(F.array_remove(F.split(text.null_to_text(text_col), text.WHITESPACE, n + 2), ""), 1, n)
-    return df.withColumn(output_col, F.array_join(parts, " "))
+    return df.withColumn(output_col, F.array_join(text.first_words(text.null_to_text(text_col), n), " "))
 
 
 def extractive_predictor(k: int = 3) -> Callable[[], Predictor]:

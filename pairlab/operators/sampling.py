@@ -24,6 +24,9 @@ PRESETS = {
 # An id table of at most this many rows (16 MB) is broadcast; a larger one is joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
+DIRECT_TOP_K = 1_000
+TOP_BUCKETS = 64
+
 
 def sample_rank(seed: int, id_col: str = "id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
@@ -110,5 +113,14 @@ def head(df: DataFrame, max_samples: int | None, seed: int = 42, id_col: str = "
 
 
 def top_k(counts: DataFrame, k: int, term_col: str = "term", count_col: str = "n") -> DataFrame:
-    """The k most frequent; ties in term order (first-seen order does not exist in a distributed count)."""
-    return counts.orderBy(F.desc(count_col), F.asc(term_col)).limit(k)
+    """The k most frequent; ties in term order (first-seen order does not exist in a distributed count).
+
+    ``limit`` sends up to k rows of every partition to one task.  For a large k each of a few hash buckets
+    gives its own k first, so that task gets ``TOP_BUCKETS * k`` rows however many partitions there are.
+    """
+    order = [F.desc(count_col), F.asc(term_col)]
+    if k > DIRECT_TOP_K:
+        bucket = F.pmod(F.xxhash64(term_col), F.lit(TOP_BUCKETS))
+        place = F.row_number().over(W.partitionBy(bucket).orderBy(*order))
+        counts = counts.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    return counts.orderBy(*order).limit(k)

@@ -308,6 +308,9 @@ PARTS |= {
     "sentence_rows": f"""
         SELECT id, s, generate_subscripts(s, 1) AS pos, unnest(s) AS sentence
         FROM (SELECT id, {sentences("coalesce(article, '')")} AS s FROM pairs)""",
+    "prefixed_rows": f"""
+        SELECT id, s, generate_subscripts(s, 1) AS pos, unnest(s) AS sentence
+        FROM (SELECT id, {sentences("'summarize: ' || coalesce(article, 'nan')")} AS s FROM pairs)""",
     "sentence_words": rf"""
         SELECT id, pos, w FROM (SELECT id, pos, unnest({words('lower(sentence)')}) AS w FROM sentence_rows)
         WHERE regexp_full_match(w, '\p{{L}}+') AND w NOT IN {STOPS}""",
@@ -446,6 +449,11 @@ ORACLES: dict[str, str] = {
            FROM pairs p LEFT JOIN (SELECT id, string_agg(sentence, ' ' ORDER BY pos) AS generated_summary
                                    FROM ranked_sentences WHERE place <= 3 GROUP BY id) g USING (id)""",
     ),
+    "summarize_table": with_parts(
+        EXTRACTIVE_PARTS.replace("sentence_rows", "prefixed_rows"),
+        """SELECT p.id, p.split, coalesce(g.sentence, '') AS generated_summary
+           FROM pairs p LEFT JOIN (SELECT * FROM ranked_sentences WHERE place = 1) g USING (id)""",
+    ).replace("prefixed_rows AS", "sentence_rows AS"),
     "generation_length_stats": with_parts(
         LEAD_PARTS,
         f"""SELECT round(avg(w), 6) AS mean_words, min(w) AS min_words, max(w) AS max_words

@@ -99,8 +99,7 @@ def joined_with_commas(df: DataFrame) -> DataFrame:
 
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = pairs(spark, sf_dir)
-    vocab = materialize(features.build_vocab(table, size=VOCAB), "vocab")
-    return features.encode_pairs(table, vocab, prefix=PREFIX, vocab_size=VOCAB)
+    return features.encode_pairs(table, features.build_vocab(table, size=VOCAB), prefix=PREFIX, vocab_size=VOCAB)
 
 
 def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,10 @@ def test_head(rows):
 def test_plan_reads_ids_and_sorts_no_rows(rows):
     plan = plan_of(sampling.sample_exact(rows, 20))
     assert "TakeOrdered" not in plan and "NestedLoop" not in plan
+
+
+def test_top_k_through_buckets(spark, monkeypatch):
+    counts = spark.range(500).selectExpr("concat('t', id) AS term", "id % 7 AS n")
+    direct = [tuple(r) for r in sampling.top_k(counts, 120).collect()]
+    monkeypatch.setattr(sampling, "DIRECT_TOP_K", 10)
+    assert [tuple(r) for r in sampling.top_k(counts, 120).collect()] == direct
