@@ -39,12 +39,18 @@ STEP_4 = [
 ]
 
 
+_SHAPES = str.maketrans({ch: "v" if ch in "aeiou" else "c" for ch in "abcdefghijklmnopqrstuvwxyz0123456789"})
+
+
 def shape(word: str) -> str:
     """A word as a string of c (consonant) and v (vowel); y is a vowel after a consonant."""
-    out = []
-    for ch in word:
-        vowel = ch in "aeiou" or (ch == "y" and bool(out) and out[-1] == "c")
-        out.append("v" if vowel else "c")
+    found = word.translate(_SHAPES)
+    if "y" not in word:
+        return found
+    out = list(found)
+    for i, ch in enumerate(word):
+        if ch == "y":
+            out[i] = "v" if i and out[i - 1] == "c" else "c"
     return "".join(out)
 
 

@@ -145,15 +145,24 @@ def with_f1(
     ).drop("_pl", "_rl", "_p", "_r")
     ps, rs = F.col("_ps"), F.col("_rs")
     grams = measured.withColumns({"_p2": ngrams(ps, 2, 2), "_r2": ngrams(rs, 2, 2)})
+    # Overlaps are columns of their own: each is used several times below and must be worked out once.
+    counted = grams.withColumns(
+        {
+            "_o1": multiset_overlap(ps, rs),
+            "_o2": multiset_overlap(F.col("_p2"), F.col("_r2")),
+            "_np": F.size(ps), "_nr": F.size(rs), "_np2": F.size("_p2"), "_nr2": F.size("_r2"),
+        }
+    ).drop("_p2", "_r2", "_rs")
+    n_pred, n_ref = F.col("_np"), F.col("_nr")
     scored = {
-        "rouge1": _f1(multiset_overlap(ps, rs), F.size(ps), F.size(rs)),
-        "rouge2": _f1(multiset_overlap(F.col("_p2"), F.col("_r2")), F.size("_p2"), F.size("_r2")),
-        "rougeL": _f1(F.col("_l"), F.size(ps), F.size(rs)),
-        "rougeLsum": _f1(F.coalesce(F.col("_s"), F.col("_l")), F.size(ps), F.size(rs)),
+        "rouge1": _f1(F.col("_o1"), n_pred, n_ref),
+        "rouge2": _f1(F.col("_o2"), F.col("_np2"), F.col("_nr2")),
+        "rougeL": _f1(F.col("_l"), n_pred, n_ref),
+        "rougeLsum": _f1(F.coalesce(F.col("_s"), F.col("_l")), n_pred, n_ref),
     }
     present = ps.isNotNull()
-    return grams.withColumns({name: F.when(present, value) for name, value in scored.items()}).drop(
-        "_ps", "_rs", "_l", "_s", "_p2", "_r2"
+    return counted.withColumns({name: F.when(present, value) for name, value in scored.items()}).drop(
+        "_ps", "_l", "_s", "_o1", "_o2", "_np", "_nr", "_np2", "_nr2"
     )
 
 
