@@ -118,9 +118,12 @@ def sentences(value: Column | str) -> Column:
     return F.array_remove(F.transform(found, lambda s: F.trim(s)), "")
 
 
-def rouge_tokens(value: Column | str) -> Column:
-    """Lower-case runs of ``a-z`` and ``0-9``; every other character separates."""
-    return F.array_remove(F.split(F.lower(as_column(value)), ROUGE_SEPARATORS), "")
+def rouge_tokens(value: Column | str, separators: str = ROUGE_SEPARATORS) -> Column:
+    """Lower-case runs of ``a-z`` and ``0-9``; every other character separates.
+
+    Another pattern of separators, such as one that keeps all letters, suits other languages.
+    """
+    return F.array_remove(F.split(F.lower(as_column(value)), separators), "")
 
 
 def file_stem(name: Column | str) -> Column:

@@ -20,10 +20,10 @@ from pairlab.functions.stem import stem_lines, stem_tokens, stem_word
 SCORES = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 
 
-def token_lines(value: Column | str) -> Column:
+def token_lines(value: Column | str, separators: str = text.ROUGE_SEPARATORS) -> Column:
     """Tokens per line; empty lines are left out."""
     lines = F.array_remove(F.split(text.as_column(value), "\n"), "")
-    return F.transform(lines, text.rouge_tokens)
+    return F.transform(lines, lambda line: text.rouge_tokens(line, separators))
 
 
 def stem_map(df: DataFrame, text_col: str) -> DataFrame:
@@ -47,10 +47,12 @@ def _named(scores: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in scores.items()]
 
 
-def _token_pairs(df: DataFrame, pred_col: str, ref_col: str, id_col: str) -> DataFrame:
+def _token_pairs(df: DataFrame, pred_col: str, ref_col: str, id_col: str, separators: str) -> DataFrame:
     """Rows with a reference, as token arrays."""
     return df.where(F.col(pred_col).isNotNull() & F.col(ref_col).isNotNull()).select(
-        id_col, text.rouge_tokens(pred_col).alias("pred"), text.rouge_tokens(ref_col).alias("ref")
+        id_col,
+        text.rouge_tokens(pred_col, separators).alias("pred"),
+        text.rouge_tokens(ref_col, separators).alias("ref"),
     )
 
 
@@ -61,9 +63,10 @@ def rouge_n(
     pred_col: str = "generated_summary",
     ref_col: str = "reference_summary",
     id_col: str = "id",
+    separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
     """(id, p, r, f1) of the clipped n-gram overlap; 0 where a side has no n-gram."""
-    tokens = _token_pairs(df, pred_col, ref_col, id_col)
+    tokens = _token_pairs(df, pred_col, ref_col, id_col, separators)
     if stem:
         tokens = tokens.select(id_col, stem_tokens(F.col("pred")).alias("pred"), stem_tokens(F.col("ref")).alias("ref"))
     grams = tokens.select(
@@ -84,11 +87,12 @@ def rouge_l(
     pred_col: str = "generated_summary",
     ref_col: str = "reference_summary",
     id_col: str = "id",
+    separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
     """(id, p, r, f1) of the longest common token subsequence."""
     pred, ref = F.col("pred"), F.col("ref")
     common = lcs(stem_tokens(pred), stem_tokens(ref)) if stem else lcs(pred, ref)
-    counted = _token_pairs(df, pred_col, ref_col, id_col).select(
+    counted = _token_pairs(df, pred_col, ref_col, id_col, separators).select(
         id_col, common.alias("common"), F.size(pred).alias("n_pred"), F.size(ref).alias("n_ref")
     )
     return counted.select(id_col, *_named(_precision_recall_f1(F.col("common"), F.col("n_pred"), F.col("n_ref"))))
@@ -100,10 +104,11 @@ def rouge_lsum(
     pred_col: str = "generated_summary",
     ref_col: str = "reference_summary",
     id_col: str = "id",
+    separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
     """(id, p, r, f1) of the summary-level LCS over the lines of both texts."""
     lines = df.where(F.col(pred_col).isNotNull() & F.col(ref_col).isNotNull()).select(
-        id_col, token_lines(pred_col).alias("pred"), token_lines(ref_col).alias("ref")
+        id_col, token_lines(pred_col, separators).alias("pred"), token_lines(ref_col, separators).alias("ref")
     )
     pred, ref = F.col("pred"), F.col("ref")
     hits = union_lcs(stem_lines(ref), stem_lines(pred)) if stem else union_lcs(ref, pred)
@@ -121,6 +126,7 @@ def with_f1(
     stem: bool = True,
     pred_col: str = "generated_summary",
     ref_col: str = "reference_summary",
+    separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
     """The table with ``rouge1 .. rougeLsum`` F1 columns (0..1), null where the reference is null or empty.
 
@@ -130,8 +136,8 @@ def with_f1(
     referenced = F.col(ref_col).isNotNull() & (F.col(ref_col) != "")
     lines = df.withColumns(
         {
-            "_pl": F.when(referenced, token_lines(text.null_to_text(pred_col))),
-            "_rl": F.when(referenced, token_lines(ref_col)),
+            "_pl": F.when(referenced, token_lines(text.null_to_text(pred_col), separators)),
+            "_rl": F.when(referenced, token_lines(ref_col, separators)),
         }
     )
     flat = lines.withColumns({"_p": F.flatten("_pl"), "_r": F.flatten("_rl")})
@@ -172,9 +178,10 @@ def rouge_rows(
     pred_col: str = "generated_summary",
     ref_col: str = "reference_summary",
     id_col: str = "id",
+    separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
     """Single-pair scores as percentages with four decimals; null without a reference."""
-    scored = with_f1(df.select(id_col, pred_col, ref_col), stem, pred_col, ref_col)
+    scored = with_f1(df.select(id_col, pred_col, ref_col), stem, pred_col, ref_col, separators)
     return scored.select(id_col, *[F.round(100 * F.col(s), 4).alias(s) for s in SCORES])
 
 
@@ -189,6 +196,7 @@ def rouge_corpus(
     stem: bool = True,
     pred_col: str = "generated_summary",
     ref_col: str = "reference_summary",
+    separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
-    scored = with_f1(df.select(*group_cols, pred_col, ref_col), stem, pred_col, ref_col)
+    scored = with_f1(df.select(*group_cols, pred_col, ref_col), stem, pred_col, ref_col, separators)
     return scored.groupBy(*group_cols).agg(*[corpus_score(s) for s in SCORES])

@@ -19,11 +19,12 @@ def evaluate(
     ref_col: str = "reference_summary",
     group_cols: Sequence[str] = (),
     stem: bool = True,
+    separators: str = text.ROUGE_SEPARATORS,
     token_embeddings: DataFrame | None = None,
     throughput: sinks.Throughput | None = None,
 ) -> DataFrame:
     """Corpus ROUGE and prediction lengths from one pass, optionally with embedding matching and latency."""
-    scored = rouge.with_f1(df.select(*group_cols, pred_col, ref_col), stem, pred_col, ref_col)
+    scored = rouge.with_f1(df.select(*group_cols, pred_col, ref_col), stem, pred_col, ref_col, separators)
     count = text.word_count(text.null_to_text(pred_col))
     result = scored.groupBy(*group_cols).agg(
         *[rouge.corpus_score(s) for s in rouge.SCORES],

@@ -189,3 +189,24 @@ def test_stem_map(spark):
     df = spark.createDataFrame([("Running runs", ), ("run RUNNING cats!",)], "t string")
     assert {(r.token, r.stem) for r in rouge.stem_map(df, "t").collect()} == {
         ("running", "run"), ("runs", "run"), ("run", "run"), ("cats", "cat")}
+
+
+def test_other_separators(spark):
+    df = spark.createDataFrame([(1, "élan vert", "lan vert")], "id long, generated_summary string, reference_summary string")
+    assert rouge.rouge_n(df, 1, stem=False).first().p == 1.0
+    keep_letters = r"[^\p{L}\p{N}]+"
+    assert rouge.rouge_n(df, 1, stem=False, separators=keep_letters).first().p == 0.5
+    assert rouge.rouge_rows(df, separators=keep_letters).first().rougeLsum == 50.0
+
+
+def test_evaluation_in_one_row(spark, cases):
+    from pairlab.plans.evaluate import evaluate
+    from pairlab.sources.sinks import Throughput
+
+    vectors = spark.createDataFrame(
+        [(1, "pred", 0, [1.0, 0.0]), (1, "ref", 0, [1.0, 0.0])], "id long, side string, pos long, vec array<float>"
+    )
+    row = evaluate(cases.where("id in (1, 2)"), token_embeddings=vectors, throughput=Throughput(4, 2.0)).first()
+    assert (row.rouge1, row.mean_words, row.match_f1, row.avg_latency_sec_per_sample) == (50.0, 3.5, 1.0, 0.5)
+    grouped = evaluate(cases.where("id in (1, 2)"), group_cols=["id"])
+    assert {r.id: r.rouge1 for r in grouped.collect()} == {1: 100.0, 2: 0.0}
