@@ -120,17 +120,17 @@ def encode_pairs(
     else:
         coded = _joined_ids(kept, vocab.where(F.col("token_id") < FIRST_ID + vocab_size), id_col)
 
-    def fixed(ids: str, width: int) -> Column:
-        return pad(F.concat(F.col(ids), F.array(F.lit(EOS))), width, PAD)
-
-    padded = coded.select(
-        id_col, fixed("source", max_input_length).alias("input_ids"), fixed("target", max_target_length).alias("targets")
+    # Real ids are never PAD, so masks follow from lengths and need no look at each id.
+    ended = coded.select(
+        id_col,
+        F.concat("source", F.array(F.lit(EOS))).alias("source"),
+        F.concat("target", F.array(F.lit(EOS))).alias("target"),
     )
-    return padded.select(
+    return ended.select(
         id_col,
-        "input_ids",
-        attention_mask(F.col("input_ids")).alias("attention_mask"),
-        label_mask(F.col("targets")).alias("labels"),
+        pad(F.col("source"), max_input_length, PAD).alias("input_ids"),
+        pad(F.array_repeat(F.lit(1), F.size("source")), max_input_length, 0).alias("attention_mask"),
+        pad(F.col("target"), max_target_length, IGNORED_LABEL).alias("labels"),
     )
 
 

@@ -63,15 +63,20 @@ def lengths(
     """
     require_columns(df, text_col, summary_col)
     kept = [c for c in ("id", "split") if c in df.columns]
-    measured = []
-    for side, column in (("article", text_col), ("summary", summary_col)):
+    sides = {"article": text_col, "summary": summary_col}
+    measured, tokens = [], []
+    for side, column in sides.items():
         filled = text.null_to_text(column)
-        measured += [
-            text.char_count(filled).alias(f"{side}_chars"),
-            text.word_count(filled).alias(f"{side}_words"),
-            count_tokens(text.null_to_text(column, "nan")).cast("bigint").alias(f"{side}_tokens"),
-        ]
-    return df.select(*kept, *measured)
+        measured += [text.char_count(filled).alias(f"{side}_chars"), text.word_count(filled).alias(f"{side}_words")]
+        if count_tokens is text.word_count:
+            # Counted already; only a null differs, it is one word.
+            measured.append(F.col(column).isNull().alias(f"{side}_null"))
+            counted = F.when(F.col(f"{side}_null"), F.lit(1).cast("bigint")).otherwise(F.col(f"{side}_words"))
+        else:
+            measured.append(count_tokens(text.null_to_text(column, "nan")).cast("bigint").alias(f"{side}_count"))
+            counted = F.col(f"{side}_count")
+        tokens.append(counted.alias(f"{side}_tokens"))
+    return df.select(*kept, *measured).select(*kept, *LENGTH_METRICS, *tokens)
 
 
 def _zero_rows(df: DataFrame, metrics: tuple[str, ...]) -> DataFrame:

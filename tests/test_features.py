@@ -62,3 +62,12 @@ def test_unmask(encoded):
 def test_truncation_report(table):
     got = {r.split: (r.article_truncated, r.summary_truncated) for r in features.truncation_report(table, 6, 3).collect()}
     assert got == {"train": (0.5, 0.0), "test": (0.0, 0.0)}
+
+
+def test_masks_agree_with_those_made_from_ids(encoded):
+    unmasked = encoded.select(
+        "attention_mask", "labels",
+        features.attention_mask(F.col("input_ids")).alias("m"),
+        features.label_mask(features.unmask_labels(F.col("labels"))).alias("l"),
+    )
+    assert unmasked.where("m <> attention_mask OR l <> labels").count() == 0
