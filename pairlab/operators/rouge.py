@@ -128,12 +128,12 @@ def with_f1(
     ref_col: str = "reference_summary",
     separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
-    """The table with ``rouge1 .. rougeLsum`` F1 columns (0..1), null where the reference is null or empty.
+    """The table with ``rouge1 .. rougeLsum`` F1 columns (0..1), null where the reference is null.
 
     All Python work of the four scores is in one Arrow pass: tokens go out once, stems and LCS lengths come
     back.  Lines are sent only for rows with several lines, the others have Lsum = L.
     """
-    referenced = F.col(ref_col).isNotNull() & (F.col(ref_col) != "")
+    referenced = F.col(ref_col).isNotNull()
     lines = df.withColumns(
         {
             "_pl": F.when(referenced, token_lines(text.null_to_text(pred_col), separators)),
@@ -180,8 +180,12 @@ def rouge_rows(
     id_col: str = "id",
     separators: str = text.ROUGE_SEPARATORS,
 ) -> DataFrame:
-    """Single-pair scores as percentages with four decimals; null without a reference."""
-    scored = with_f1(df.select(id_col, pred_col, ref_col), stem, pred_col, ref_col, separators)
+    """Single-pair scores as percentages with four decimals; null without a reference, also an empty one.
+
+    In a corpus mean an empty reference counts as 0 instead.
+    """
+    given = df.select(id_col, pred_col, F.nullif(F.col(ref_col), F.lit("")).alias(ref_col))
+    scored = with_f1(given, stem, pred_col, ref_col, separators)
     return scored.select(id_col, *[F.round(100 * F.col(s), 4).alias(s) for s in SCORES])
 
 

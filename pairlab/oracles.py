@@ -215,7 +215,7 @@ def stemmed_tokens(source: str) -> str:
     pred, ref = "generated_summary", "reference_summary"
     return f"""
         raw AS (SELECT id, {rouge_tokens(pred)} AS p, {rouge_tokens(ref)} AS r FROM {source}
-                WHERE {pred} IS NOT NULL AND {ref} IS NOT NULL AND {ref} <> ''),
+                WHERE {pred} IS NOT NULL AND {ref} IS NOT NULL),
         seen AS (SELECT DISTINCT token FROM (SELECT unnest(list_concat(p, r)) AS token FROM raw)),
         {stem_parts('seen')},
         ps AS (SELECT id, list(stem ORDER BY i) AS p
@@ -279,7 +279,7 @@ def rounded_scores(table: str) -> str:
 
 PARTS |= {
     "optional_lead": f"""
-        SELECT id, highlights AS reference_summary,
+        SELECT id, nullif(highlights, '') AS reference_summary,
                array_to_string(list_slice({sentences(clean('article'))}, 1, 3), ' ') AS generated_summary
         FROM pairs""",
     "vocab_counts": f"""

@@ -90,7 +90,8 @@ def summarize_single(
 ) -> DataFrame:
     """Summary and, where a reference is given, its scores.  One text is a table of one row."""
     predicted = generation.summarize_table(df, predictor_factory, text_col, **overrides)
-    scored = rouge.with_f1(predicted, ref_col=ref_col)
+    given = predicted.withColumn(ref_col, F.nullif(F.col(ref_col), F.lit("")))
+    scored = rouge.with_f1(given, ref_col=ref_col)
     return scored.withColumns({s: F.round(100 * F.col(s), 4) for s in rouge.SCORES})
 
 

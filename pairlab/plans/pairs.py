@@ -37,7 +37,7 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Turns are numbered without gaps, so the next turn is an equality on (conversation, number): the longest
     conversation is spread like any other rows.
     """
-    turns = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id")
+    turns = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn")
     asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("article"))
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("highlights")

@@ -19,14 +19,14 @@ SPREAD_BELOW_BYTES = 256 << 20
 BYTES_PER_TASK = 1 << 20
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, *spread_by: str) -> DataFrame:
     """Parquet scan.  A row group is read by one task, so a small table in one row group would keep all later
     work on one core: it is spread by its key first, at most 256 MB in all.  Filters and column pruning still
     reach the scan."""
     table = spark.read.parquet(path)
     n_bytes = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     tasks = min(spark.sparkContext.defaultParallelism, n_bytes // BYTES_PER_TASK)
-    return table.repartition(tasks, spread_by) if 1 < tasks and n_bytes <= SPREAD_BELOW_BYTES else table
+    return table.repartition(tasks, *spread_by) if 1 < tasks and n_bytes <= SPREAD_BELOW_BYTES else table
 
 
 def _base_name(path: Column) -> Column:

@@ -210,3 +210,10 @@ def test_evaluation_in_one_row(spark, cases):
     assert (row.rouge1, row.mean_words, row.match_f1, row.avg_latency_sec_per_sample) == (50.0, 3.5, 1.0, 0.5)
     grouped = evaluate(cases.where("id in (1, 2)"), group_cols=["id"])
     assert {r.id: r.rouge1 for r in grouped.collect()} == {1: 100.0, 2: 0.0}
+
+
+def test_empty_reference_counts_as_zero_in_the_corpus(cases):
+    """Rows alone have no score without a reference; in a mean an empty reference is a miss, a null is no row."""
+    assert rouge.rouge_corpus(cases.where("id in (1, 6)")).first().rouge1 == 50.0
+    assert rouge.rouge_corpus(cases.where("id in (1, 5)")).first().rouge1 == 100.0
+    assert rouge.rouge_rows(cases.where("id = 6")).first().rouge1 is None
