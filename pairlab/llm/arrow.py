@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.sources.scratch import materialize
 
 BATCH_BYTES = 8 << 20
+FILTER_BITS = 1 << 24
 
 
 def whole_text(name: str) -> Column:
@@ -60,5 +61,71 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def is_empty(spark: SparkSession, df: DataFrame) -> bool:
-    return not df.take(1)
+def repeated(df: DataFrame, key: str, order: list[str], head: str | None = None) -> DataFrame:
+    """Rows whose long ``key`` another row has too, sorted by key and ``order`` within each partition, with the run's
+    first value of ``head`` as column ``hub``. Rows pass in a stream; a run of any length needs no memory."""
+    names = df.columns
+    at = names.index(key)
+    out = df.select("*", *([F.col(head).alias("hub")] if head else [])).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, before, hub = None, None, None
+
+        def emit(rows: pa.RecordBatch, last: bool) -> pa.RecordBatch | None:
+            """All rows but the last one, which waits for its successor."""
+            nonlocal before, hub
+            keys = rows.column(at).to_numpy()
+            same = np.concatenate([[before is not None and keys[0] == before], keys[1:] == keys[:-1]])
+            after = np.concatenate([same[1:], [False]])
+            n = len(keys) if last else len(keys) - 1
+            columns = list(rows.columns)
+            if head:
+                firsts = np.maximum.accumulate(np.where(same, -1, np.arange(len(keys))))
+                values = columns[names.index(head)]
+                own = values.take(pa.array(np.maximum(firsts, 0)))
+                if firsts[0] < 0:
+                    lead = pa.array([hub] * int((firsts < 0).sum()), values.type)
+                    own = pa.concat_arrays([lead, own.slice(len(lead))])
+                columns.append(own)
+                if n:
+                    hub = own[n - 1].as_py()
+            if n:
+                before = keys[n - 1]
+            keep = np.flatnonzero((same | after)[:n])
+            if not len(keep):
+                return None
+            return pa.RecordBatch.from_arrays([c.take(pa.array(keep)) for c in columns], names=out.names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if pending is None else pa.Table.from_batches([pending, batch]).combine_chunks().to_batches()[0]
+            made = emit(rows, last=False)
+            pending = rows.slice(rows.num_rows - 1)
+            if made is not None:
+                yield made
+        if pending is not None and (made := emit(pending, last=True)) is not None:
+            yield made
+
+    return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, out)
+
+
+def fixed_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bitmap of ``bits`` bits with the bit of each long value set. It has one size however many values there are, so
+    it may be broadcast; what passes it by chance has to be dropped by a join afterwards."""
+    word = F.pmod(F.col(column), F.lit(bits))
+    rows = (
+        df.select(F.floor(word / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (word % 64).cast("int")).alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toPandas()
+    )
+    table = np.zeros(bits // 64, np.uint64)
+    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return table
+
+
+def passes(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the filter's bit of each 64-bit value is set."""
+    bit = np.mod(values.view(np.int64), np.int64(64 * len(table)))
+    return ((table[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)

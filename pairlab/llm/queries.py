@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from pairlab.llm import bpe, html, sharding, token_counts
+from pairlab.llm import bpe, decontaminate, html, minhash, quality, sharding, token_counts
+
+
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=4, percent=80)
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +21,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512).drop("fits")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return decontaminate.contaminated(docs, items)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.digest(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -26,5 +35,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return quality.classify(docs, labels, threshold=0.7)
+
+
 QUERIES = {name: made for name, made in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
