@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairlab.llm import bpe, decontaminate, html, minhash, quality, sharding, token_counts
+from pairlab.llm import bpe, decontaminate, fm_dedup, html, minhash, quality, sharding, suffix_dedup, token_counts
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items)
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=100)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.digest(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -35,6 +39,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op9_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=20)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return quality.classify(docs, labels, threshold=0.7)
