@@ -1,11 +1,72 @@
-"""From raw documents to token ids, stage by stage."""
+"""From raw documents to token ids: quality, near duplicates, repeated passages, benchmark items, tokens.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; all but the last return the
+columns of ``documents``. Rows without an id pass the filters untouched, as they can't be told apart.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pairlab.llm import bpe, decontaminate, minhash, quality, suffix_dedup
+from pairlab.session import ship
 
+# No SQL can express the classifier, near-duplicate groups or the tokenizer; tests hold each stage against a plain version.
 ORACLE_SQL = None
-STAGES: list = []
+QUALITY_THRESHOLD = 0.7
+REPEATED_BYTES = 100
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; word vectors come from all of ``docs``."""
+    ship(spark)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.with_score(docs, model, score_column="_llm_score")
+    return scored.where(F.col("_llm_score") >= QUALITY_THRESHOLD).drop("_llm_score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the smallest id (words in runs of five, 0.8)."""
+    ship(spark)
+    groups = minhash.near_duplicates(docs, width=5, percent=80)
+    gone = groups.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document, or the same one, already has; the first copy stays.
+    Documents of which nothing is left go."""
+    ship(spark)
+    return suffix_dedup.without_repeats(docs, width=REPEATED_BYTES).where("text IS NULL OR length(trim(text)) > 0")
+
+
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, plain or with other numbers, names or units."""
+    ship(spark)
+    held = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(held.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256) of what is left."""
+    ship(spark)
+    encoded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_items),
+    ("BPE encoding and decoding", token_ids),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

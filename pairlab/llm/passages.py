@@ -73,8 +73,8 @@ def anchors(values: np.ndarray, offsets: np.ndarray, window: int, gram: int) ->
 
 
 def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
-            duplicates: Callable[[list[np.ndarray], np.ndarray], np.ndarray]) -> DataFrame:
-    """(id, text, whole, spans) per row of ``docs``: whole marks a text that an earlier document has entirely; spans
+            duplicates: Callable[[list[np.ndarray], np.ndarray], np.ndarray], whole_rows: bool = False) -> DataFrame:
+    """(id, text, whole, spans), and the row with ``whole_rows``, per row of ``docs``: whole marks a text that an earlier document has entirely; spans
     are the (start, end) symbols that windows with an earlier start cover, else.
 
     ``duplicates(pieces, anchor_offsets)`` gets pieces in document order and tells, as one flat boolean array over all
@@ -86,7 +86,10 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
     """
     kind = docs.schema[id_column].dataType.simpleString()
     window = symbols.window
-    texts = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")).withColumn("digest", F.md5("text"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_rows else F.lit(None)
+    texts = docs.select(
+        F.col(id_column).alias("id"), whole_text(text_column).alias("text"), others.alias("row")
+    ).withColumn("digest", F.md5("text"))
     known = texts.where("id IS NOT NULL")
     firsts = known.groupBy("digest").agg(F.min("id").alias("id")).groupBy("id").agg(F.min("digest").alias("own"))
     moved = texts.join(firsts, "id", "left")
@@ -156,6 +159,7 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
         "text",
         (F.col("id").isNotNull() & F.col("own").isNull()).alias("whole"),
         F.when(F.col("digest") == F.col("own"), F.col("spans")).alias("spans"),
+        *(["row"] if whole_rows else []),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairlab.llm import bpe, decontaminate, fm_dedup, html, minhash, quality, sharding, suffix_dedup, token_counts
+from pairlab.llm import bpe, decontaminate, fm_dedup, html, minhash, quality, sharding, suffix_dedup, token_counts, topk_search
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512).drop("fits")
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=10, every=100)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return decontaminate.contaminated(docs, items)
@@ -49,4 +53,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {name: made for name, made in list(globals().items()) if name.startswith("op")}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_topk_search": """
+        WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e
+                   FROM embeddings),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+}

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, flat_bytes, map_batches
 from pairlab.llm.passages import Symbols, covered, union_of
@@ -158,15 +158,25 @@ def digest(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     )
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 100) -> DataFrame:
-    """(id, text) per row with the repeated spans taken out, characters kept whole."""
-    kind = docs.schema[id_column].dataType.simpleString()
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 100) -> DataFrame:
+    """All rows and columns of ``docs``, the repeated spans taken out of the texts, characters kept whole. A null text
+    stays null; edge cases as for ``repeated_bytes``."""
+    symbols = Symbols(_read, np.uint8, width, GRAM)
+    found = covered(docs, id_column, text_column, symbols, lambda p, at: columnwise(p, at, width), whole_rows=True)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [
-            kept_text(text, [(s["a"], s["b"]) for s in spans]) if spans else text
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-        ]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_column, "text"])
-
-    return map_batches(repeated_bytes(docs, id_column, text_column, width), work, f"`{id_column}` {kind}, text string")
+        texts = []
+        for text, whole, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "whole", "spans")), strict=True):
+            size = len(text.encode()) if whole else 0
+            runs = [(0, size)] if size >= width else union_of([(s["a"], s["b"]) for s in spans or ()])
+            texts.append(kept_text(text, runs) if runs else text)
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "kept"])
+
+    schema = found.select("row", F.col("text").alias("kept")).schema
+    made = map_batches(found, work, schema)
+    return made.select(
+        *(
+            F.when(F.col(f"row.`{c}`").isNotNull(), F.col("kept")).alias(c) if c == text_column else F.col(f"row.`{c}`")
+            for c in docs.columns
+        )
+    )
