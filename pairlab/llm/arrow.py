@@ -61,36 +61,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def repeated(df: DataFrame, key: str, order: list[str], head: str | None = None) -> DataFrame:
-    """Rows whose long ``key`` another row has too, sorted by key and ``order`` within each partition, with the run's
-    first value of ``head`` as column ``hub``. Rows pass in a stream; a run of any length needs no memory."""
+def repeated(df: DataFrame, key: str, order: list[str], place: str | None = None) -> DataFrame:
+    """Rows whose long ``key`` another row has too, sorted by key and ``order`` within each partition, numbered from 0
+    within their run in column ``place`` if asked. Rows pass in a stream; a run of any length needs no memory."""
     names = df.columns
     at = names.index(key)
-    out = df.select("*", *([F.col(head).alias("hub")] if head else [])).schema
+    out = df.select("*", *([F.lit(0).cast("long").alias(place)] if place else [])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending, before, hub = None, None, None
+        pending, before, count = None, None, 0
 
         def emit(rows: pa.RecordBatch, last: bool) -> pa.RecordBatch | None:
             """All rows but the last one, which waits for its successor."""
-            nonlocal before, hub
+            nonlocal before, count
             keys = rows.column(at).to_numpy()
             same = np.concatenate([[before is not None and keys[0] == before], keys[1:] == keys[:-1]])
-            after = np.concatenate([same[1:], [False]])
+            after = np.append(same[1:], False)
             n = len(keys) if last else len(keys) - 1
             columns = list(rows.columns)
-            if head:
-                firsts = np.maximum.accumulate(np.where(same, -1, np.arange(len(keys))))
-                values = columns[names.index(head)]
-                own = values.take(pa.array(np.maximum(firsts, 0)))
-                if firsts[0] < 0:
-                    lead = pa.array([hub] * int((firsts < 0).sum()), values.type)
-                    own = pa.concat_arrays([lead, own.slice(len(lead))])
-                columns.append(own)
-                if n:
-                    hub = own[n - 1].as_py()
+            index = np.arange(len(keys))
+            first = np.maximum.accumulate(np.where(same, -count, index))
+            number = index - first
+            if place:
+                columns.append(pa.array(number, pa.int64()))
             if n:
-                before = keys[n - 1]
+                before, count = keys[n - 1], int(number[n - 1]) + 1
             keep = np.flatnonzero((same | after)[:n])
             if not len(keep):
                 return None

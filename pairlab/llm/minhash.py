@@ -112,8 +112,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Texts with equal words are one node from the start. Nodes meet in the buckets of BANDS bands; in each bucket every
     node is paired with the bucket's hub alone, so pairs are at most nodes x BANDS. Pairs are confirmed on full sets. A
-    bucket whose nodes do not all come together takes the next node as hub, against those of other components, until
-    each of its nodes has been hub or it is one component: no pair that shares a bucket goes untested. Two texts at the
+    bucket whose nodes do not all come together takes further nodes as hubs, three times as many as it had, against those
+    of other components, until each of its nodes has been hub or it is one component: no pair that shares a bucket goes
+    untested. Two texts at the
     threshold share no bucket with probability (1 - 0.8^5)^40, about 1e-7.
 
     Null and empty texts and texts without words have 0 shingles and only themselves. Rows with equal ids are separate
@@ -123,22 +124,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sets = stored(_sets(docs, id_column, text_column, width), "shingle-sets")
     nodes = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
     members = stored(
-        repeated(nodes.select(F.explode("bands").alias("value"), "key"), "value", ["key"], head="key").withColumn(
-            "open", F.col("key") != F.col("hub")
-        ),
-        "members",
+        repeated(nodes.select(F.explode("bands").alias("value"), "key"), "value", ["key"], place="place"), "members"
     )
     texts = stored(_texts(docs, id_column, text_column, members.select("key").distinct().join(nodes.drop("bands"), "key")), "texts")
-    links, tested, roots = None, None, None
-    while members.where("open").take(1):
-        pairs = members.where("open").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    tested, roots, low, high = None, None, 0, 1
+    while members.take(1):
+        # Hubs are few and spread over all buckets; each meets the members after it that are not joined to it yet.
+        hubs = members.where(F.col("place").between(low, high - 1)).withColumnsRenamed({"key": "a", "place": "at"})
+        pairs = members.join(hubs.drop("root") if roots is None else hubs.withColumnRenamed("root", "a_root"), "value")
+        pairs = pairs.where("place > at" if roots is None else "place > at AND root <> a_root")
+        pairs = pairs.select("a", F.col("key").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         judged = stored(_confirmed(pairs, texts, width, percent), "judged")
         tested = judged if tested is None else tested.union(judged)
-        links = tested.where("linked").select("a", "b")
-        roots = stored(components(links), "roots")
-        members = stored(_open_buckets(members, roots), "members")
+        roots = stored(components(tested.where("linked").select("a", "b")), "roots")
+        members = stored(_open_buckets(members, roots, high), "members")
+        low, high = high, 4 * high
     if roots is None:
         roots = docs.sparkSession.createDataFrame([], "node binary, root binary")
     least = nodes.select("key", "least").join(roots, F.col("key") == F.col("node"), "left").withColumn(
@@ -159,27 +161,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
-def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component and a node that has not been hub, with the next hub."""
-    known = members.join(roots, F.col("key") == F.col("node"), "left").select(
-        "value", "key", "hub", F.coalesce("root", "key").alias("root")
+def _open_buckets(members: DataFrame, roots: DataFrame, done: int) -> DataFrame:
+    """Members, with their components, of the buckets that hold more than one component and, besides the last, a member
+    that has not been hub."""
+    known = members.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+        "value", "key", "place", F.coalesce("root", "key").alias("root")
     )
-    following = (
+    opened = (
         known.groupBy("value")
-        .agg(
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            F.min(F.when(F.col("key") > F.col("hub"), F.struct("key", "root"))).alias("next"),
-        )
-        .where("low <> high AND next IS NOT NULL")
-        .select("value", "next")
-    )
-    return (
-        known.drop("hub")
-        .join(following, "value")
-        .where(F.col("key") >= F.col("next.key"))
-        .select("value", "key", F.col("next.key").alias("hub"), (F.col("root") != F.col("next.root")).alias("open"))
+        .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("place").alias("end"))
+        .where((F.col("least") != F.col("most")) & (F.col("end") > done))
     )
+    return known.join(opened.select("value"), "value")
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str, wanted: DataFrame) -> DataFrame:
