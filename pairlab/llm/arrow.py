@@ -19,12 +19,13 @@ def whole_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One batch in, one batch (or none) out."""
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
+                slice_bytes: int = BATCH_BYTES) -> DataFrame:
+    """One batch of about ``slice_bytes`` in, one batch (or none) out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts(batch):
+            for part in parts(batch, slice_bytes):
                 made = work(part)
                 if made is not None and made.num_rows:
                     yield made
@@ -32,14 +33,14 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
-def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of about BATCH_BYTES, so that very long texts don't add up in memory."""
-    if batch.nbytes <= BATCH_BYTES or batch.num_rows < 2:
+def parts(batch: pa.RecordBatch, slice_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``slice_bytes``, so that very long texts don't add up in memory."""
+    if batch.nbytes <= slice_bytes or batch.num_rows < 2:
         yield batch
         return
-    step = max(1, batch.num_rows * BATCH_BYTES // batch.nbytes)
-    for at in range(0, batch.num_rows, step):
-        yield from parts(batch.slice(at, step)) if step < batch.num_rows else (batch.slice(at, step),)
+    half = batch.num_rows // 2
+    yield from parts(batch.slice(0, half), slice_bytes)
+    yield from parts(batch.slice(half), slice_bytes)
 
 
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,8 @@ A window is ``window`` consecutive symbols (bytes or words) of one document. Its
 of least hash, the leftmost of equals; equal windows have equal anchors at equal places, so each window belongs to one
 anchor and can only equal windows of anchors with the same hash. Consecutive windows of one anchor make a piece. Anchors
 whose hash stands alone in the corpus go away before any text moves; the pieces of the rest meet by hash, equal pieces
-being reduced to the earliest one first. The text is shuffled once, by document.
+being reduced to the earliest one first. Texts without a repeated anchor, or without a mark in the end, are told by
+filters of fixed size and are not shuffled; what a filter lets pass by chance is dropped by a join.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pairlab.llm.arrow import batch_of, map_batches, parts, repeated, whole_text
+from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, parts, passes, repeated, stored, whole_text
 from pairlab.llm.words import mix
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -85,46 +87,64 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
     only that of least digest takes part.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    window = symbols.window
-    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_rows else F.lit(None)
+    spark, window = docs.sparkSession, symbols.window
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_rows else F.lit(None).cast("int")
     texts = docs.select(
         F.col(id_column).alias("id"), whole_text(text_column).alias("text"), others.alias("row")
-    ).withColumn("digest", F.md5("text"))
+    ).withColumn("x", F.xxhash64("text"))
     known = texts.where("id IS NOT NULL")
-    firsts = known.groupBy("digest").agg(F.min("id").alias("id")).groupBy("id").agg(F.min("digest").alias("own"))
-    moved = texts.join(firsts, "id", "left")
-    place = {"h": pa.int64(), "start": pa.int32(), "n": pa.int32(), "anchor": pa.int32()}
+    firsts = (
+        known.groupBy(F.md5("text").alias("digest"))
+        .agg(F.min("id").alias("id"), F.any_value("x").alias("x"))
+        .groupBy("id")
+        .agg(F.min("x").alias("own"))
+    )
+    firsts = stored(firsts, "firsts")
+
+    def among(table: DataFrame, key: Column) -> Callable[[pa.RecordBatch], np.ndarray]:
+        """Which rows may have the key (column ``at``) of a row of ``table``."""
+        shared = spark.sparkContext.broadcast(fixed_filter(table.select(key.alias("at")), "at"))
+        return lambda batch: passes(shared.value, batch.column("at").to_numpy())
+
+    leading = known.select("id", "text", F.xxhash64("id", "x").alias("at"))
+    is_first = among(firsts, F.xxhash64("id", "own"))
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        batch = batch.filter(pa.array(is_first(batch)))
         values, offsets, _ = symbols.read(batch.column("text"))
         h, doc, start, size, anchor = anchors(values, offsets, window, symbols.gram)
         if not len(h):
             return None
-        rest = batch_of(place, h, start.astype(np.int32), size.astype(np.int32), anchor.astype(np.int32))
-        return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), *rest.columns], names=["id", *place])
+        rest = batch_of({"h": pa.int64(), "place": pa.int64()}, h, start << 32 | size << 16 | anchor)
+        return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), *rest.columns], names=["id", "h", "place"])
 
-    leading = moved.where("digest = own").select("id", "text")
-    found = map_batches(leading, find, f"id {kind}, h long, start int, n int, anchor int")
-    again = repeated(found, "h", ["id", "start"])
-    flagged = again.groupBy("id").agg(F.collect_list(F.struct("h", "start", "n", "anchor")).alias("places"))
+    again = repeated(map_batches(leading, find, f"id {kind}, h long, place long", SLICE_BYTES), "h", [])
+    flagged = stored(again.groupBy("id").agg(F.collect_list(F.struct("h", "place")).alias("places")), "flagged")
+    is_flagged = among(flagged.join(firsts, "id"), F.xxhash64("id", "own"))
+
+    def keep_flagged(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(is_flagged(batch))).select(["id", "text"])
+
+    moved = map_batches(leading, keep_flagged, f"id {kind}, text string")
+    place = {"h": pa.int64(), "start": pa.int32(), "n": pa.int32(), "anchor": pa.int32()}
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         _, offsets, data = symbols.read(batch.column("text"))
         rows = batch.column("places")
         flat, count = rows.flatten(), np.diff(rows.offsets.to_numpy())
         doc = np.repeat(np.arange(batch.num_rows), count)
-        h, start, n, anchor = (flat.field(k).to_numpy() for k in ("h", "start", "n", "anchor"))
+        h, packed = flat.field("h").to_numpy(), flat.field("place").to_numpy()
+        start, n, anchor = packed >> 32, packed >> 16 & 0xFFFF, packed & 0xFFFF
         begin = offsets[doc] + start
         pieces = [data[b : b + m + window - 1].tobytes() for b, m in zip(begin.tolist(), n.tolist(), strict=True)]
-        rest = batch_of(
-            {**place, "piece": pa.binary()}, h, start, n, anchor, pieces
-        )
+        small = (x.astype(np.int32) for x in (start, n, anchor))
+        rest = batch_of({**place, "piece": pa.binary()}, h, *small, pieces)
         return pa.RecordBatch.from_arrays(
             [batch.column("id").take(pa.array(doc)), *rest.columns], names=["id", *place, "piece"]
         )
 
     pieces = map_batches(
-        leading.join(flagged, "id"), cut, f"id {kind}, h long, start int, n int, anchor int, piece binary"
+        moved.join(flagged, "id"), cut, f"id {kind}, h long, start int, n int, anchor int, piece binary", SLICE_BYTES
     )
     leads = (
         pieces.groupBy("h", F.md5("piece").alias("d"), "anchor")
@@ -144,23 +164,47 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
     )
     # A piece that is no lead has an equal one before it: it is covered as a whole.
     led = judged.groupBy("id").agg(F.collect_list("start").alias("leads"), F.flatten(F.collect_list("spans")).alias("spans"))
+    nothing, pair = F.array(), "array<struct<a:int,b:int>>"
+
+    def copied(p: Column) -> Column:
+        start = F.shiftright(p["place"], 32).cast("int")
+        size = F.shiftright(p["place"], 16).bitwiseAND(0xFFFF).cast("int")
+        return F.struct(start.alias("a"), (start + size + F.lit(window - 1)).alias("b"))
+
+    leads_of = F.coalesce("leads", nothing.cast("array<int>"))
     spans = flagged.join(led, "id", "left").select(
         "id",
         F.concat(
-            F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")),
+            F.coalesce("spans", nothing.cast(pair)),
             F.transform(
-                F.filter("places", lambda p: ~F.array_contains(F.coalesce("leads", F.array().cast("array<int>")), p["start"])),
-                lambda p: F.struct(p["start"].alias("a"), (p["start"] + p["n"] + F.lit(window - 1)).alias("b")),
+                F.filter("places", lambda p: ~F.array_contains(leads_of, F.shiftright(p["place"], 32).cast("int"))), copied
             ),
         ).alias("spans"),
     )
-    return moved.join(spans, "id", "left").select(
-        "id",
-        "text",
-        (F.col("id").isNotNull() & F.col("own").isNull()).alias("whole"),
-        F.when(F.col("digest") == F.col("own"), F.col("spans")).alias("spans"),
-        *(["row"] if whole_rows else []),
+    copies = known.select("id").distinct().join(firsts, "id", "left_anti")
+    marks = stored(
+        spans.where(F.size("spans") > 0).join(firsts, "id").select("id", "own", F.lit(False).alias("whole"), "spans").unionAll(
+            copies.select("id", F.lit(None).cast("long"), F.lit(True), F.lit(None).cast(pair))
+        ),
+        "marks",
+    )
+    # Texts without a mark stay where they are; only the others are shuffled to their marks.
+    is_marked = among(marks, F.xxhash64("id"))
+    rows = texts.select("id", "text", "row", "x", F.xxhash64("id").alias("at"))
+
+    def chosen(marked: bool) -> DataFrame:
+        def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+            hit = is_marked(batch)
+            return batch.filter(pa.array(hit if marked else ~hit))
+
+        return map_batches(rows, keep, rows.schema)
+
+    own = F.col("x") == F.col("own")
+    found = chosen(True).join(marks, "id", "left").select(
+        "id", "text", "row", F.coalesce("whole", F.lit(False)).alias("whole"), F.when(own, F.col("spans")).alias("spans")
     )
+    rest = chosen(False).select("id", "text", "row", F.lit(False).alias("whole"), F.lit(None).cast(pair).alias("spans"))
+    return found.unionAll(rest).select("id", "text", "whole", "spans", *(["row"] if whole_rows else []))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
