@@ -121,9 +121,10 @@ def sentences(value: Column | str) -> Column:
 def rouge_tokens(value: Column | str, separators: str = ROUGE_SEPARATORS) -> Column:
     """Lower-case runs of ``a-z`` and ``0-9``; every other character separates.
 
-    Another pattern of separators, such as one that keeps all letters, suits other languages.
+    Another pattern of separators, such as one that keeps all letters, suits other languages.  Line ends separate
+    under any pattern, so scores by line and by text see the same tokens.
     """
-    return F.array_remove(F.split(F.lower(as_column(value)), separators), "")
+    return F.array_remove(F.split(F.lower(as_column(value)), rf"(?:{separators})|\n"), "")
 
 
 def file_stem(name: Column | str) -> Column:

@@ -17,7 +17,7 @@ MIN_SUMMARY_CHARS, MAX_SUMMARY_CHARS = 20, 2_000
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     missing = sorted(set(names) - set(df.columns))
     if missing:
-        raise KeyError(f"Missing required columns: {missing}; the table has {df.columns}")
+        raise KeyError(f"no column {', '.join(missing)} among {', '.join(df.columns)}")
     return df
 
 

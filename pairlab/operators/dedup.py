@@ -7,41 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.functions.text import joint_digest, text_digest
-from pairlab.sources.scratch import materialize
+from pairlab.sources.scratch import ROW, materialize, with_stored_rows
 
 
 def pair_digest(text_col: str, summary_col: str) -> Column:
     return joint_digest(text_digest(text_col), text_digest(summary_col))
 
 
-def first_ids(
+def first_rows(
     df: DataFrame,
     text_col: str = "article",
     summary_col: str = "highlights",
     id_col: str = "id",
     within: Sequence[str] = ("split",),
 ) -> DataFrame:
-    """Smallest id of each distinct pair per split.
+    """Row number of the first row of each distinct pair within its split: that of the smallest id, equal and null
+    ids in row order.
 
-    The shuffle carries (split, digest, id), reduced map-side: a pair with a third of all rows is one row per
+    The shuffle carries (split, digest, id, row), reduced map-side: a pair with a third of all rows is one row per
     map task.
     """
     key = pair_digest(text_col, summary_col).alias("pair_key")
-    return df.groupBy(*within, key).agg(F.min(id_col).alias(id_col)).select(id_col)
+    order = [F.col(id_col).isNull(), F.col(id_col)] if id_col in df.columns else []
+    return df.groupBy(*within, key).agg(F.min(F.struct(*order, ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
 
 
-def without_repeats(
-    rows: DataFrame, all_ids: DataFrame, kept_ids: DataFrame, id_col: str = "id", store_ids: bool = False
+def repeated_rows(
+    df: DataFrame,
+    text_col: str = "article",
+    summary_col: str = "highlights",
+    id_col: str = "id",
+    within: Sequence[str] = ("split",),
 ) -> DataFrame:
-    """``rows`` without the ids of ``all_ids`` that are not in ``kept_ids``.  Both joins are on unique ids, so
-    no key is hot.
-
-    With ``store_ids`` the ids to remove are written to scratch first: their size is then known when the text
-    join is planned, and where they are few the texts are not shuffled at all.
-    """
-    removed = all_ids.select(id_col).join(kept_ids, id_col, "left_anti")
-    removed = materialize(removed, "repeated-ids") if store_ids else removed
-    return rows.join(removed, id_col, "left_anti")
+    """Row numbers of ``df`` beyond the first of each pair, written to scratch: their true size is known when the text
+    join is planned, and where they are few the texts are not shuffled at all."""
+    if ROW not in df.columns:
+        raise ValueError("rows have no stored number; read them through with_stored_rows first")
+    firsts = first_rows(df, text_col, summary_col, id_col, within)
+    return materialize(df.select(ROW).join(firsts, ROW, "left_anti"), "repeated-rows")
 
 
 def drop_duplicates(
@@ -50,10 +53,15 @@ def drop_duplicates(
     summary_col: str = "highlights",
     id_col: str = "id",
     within: Sequence[str] = ("split",),
-    store_ids: bool = False,
 ) -> DataFrame:
-    """Keep the row with the smallest id of each identical pair, per split; null equals null."""
-    return without_repeats(df, df, first_ids(df, text_col, summary_col, id_col, within), id_col, store_ids)
+    """Keep the first row of each identical pair, per split; null equals null.
+
+    Rows are told apart by a private stored number, never by the caller's ids, which may repeat or be null.  A table
+    that has no such number yet is written to scratch once to get one.
+    """
+    rows = with_stored_rows(df)
+    removed = repeated_rows(rows, text_col, summary_col, id_col, within)
+    return rows.join(removed, ROW, "left_anti").select(*[f"`{c}`" for c in df.columns])
 
 
 def duplicate_counts(df: DataFrame, text_col: str = "article", summary_col: str = "highlights") -> DataFrame:

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pairlab.functions import text
 from pairlab.functions.arrays import pad
-from pairlab.functions.stem import flat_values
 from pairlab.operators.sampling import top_k
 
 # Special ids, the label that losses skip, widths.
@@ -19,8 +14,7 @@ IGNORED_LABEL = -100
 MAX_INPUT_LENGTH, MAX_TARGET_LENGTH = 512, 128
 
 VOCAB_SIZE = 32_000
-# A vocabulary of up to this many words (about 20 MB) is sent to every task; a larger one is joined by shuffle.
-BROADCAST_VOCAB = 1_000_000
+_ROW = "_pairlab_place"
 
 
 def build_vocab(df: DataFrame, cols: tuple[str, ...] = ("article", "highlights"), size: int = VOCAB_SIZE) -> DataFrame:
@@ -36,48 +30,32 @@ def build_vocab(df: DataFrame, cols: tuple[str, ...] = ("article", "highlights")
     return kept.select("token", (place + (FIRST_ID - 1)).cast("bigint").alias("token_id"), "n")
 
 
-def _lookup(vocab: DataFrame, vocab_size: int) -> Callable[[Column], Column]:
-    """Token arrays to id arrays through a vocabulary held by every task.  The filter bounds what is collected."""
-    held = vocab.where(F.col("token_id") < FIRST_ID + vocab_size).select("token", "token_id").toArrow()
-    known = vocab.sparkSession.sparkContext.broadcast(
-        (held["token"].combine_chunks().cast(pa.string()), held["token_id"].combine_chunks().cast(pa.int32()))
-    )
-
-    @F.arrow_udf("array<int>")
-    def to_ids(lists: pa.Array) -> pa.Array:
-        words, ids = known.value
-        values, offsets = flat_values(lists)
-        found = pc.fill_null(ids.take(pc.index_in(values, value_set=words)), UNK)
-        return pa.ListArray.from_arrays(offsets, found)
-
-    return to_ids
+def _looked_up(df: DataFrame, sides: tuple[str, ...], vocab: DataFrame, given: str, found: Column) -> DataFrame:
+    """The array columns ``sides`` with each item replaced by ``found`` of the vocabulary row whose ``given`` equals it.
 
+    Items are reduced to one row per (row, side, item) before the join, whose kind is left to the optimizer: a
+    vocabulary whose size is known to be small is sent to every task, frequent items of a larger one are split at run
+    time.  Rows are told apart by a number given in this plan and used nowhere else, so ids may repeat or be null.
+    Items for which ``found`` is null go.
+    """
+    others = [c for c in df.columns if c not in sides]
+    rows = df.withColumn(_ROW, F.monotonically_increasing_id())
 
-def _joined_ids(df: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
-    """The same for a vocabulary too large to send around: explode, join on the word, gather by id.
+    def cells_of(k: int, side: str) -> Column:
+        return F.transform(side, lambda x, i: F.struct(F.lit(k).alias("side"), i.alias("pos"), x.alias("item")))
 
-    Words are counted down to one row per (id, side, word) first, and a frequent word is spread over salts.
-    """
-    salts = 64
-    both = [F.struct(F.lit(side).alias("side"), F.col(side).alias("words")) for side in ("source", "target")]
-    sides = df.select(id_col, F.inline(F.array(*both)))
-    exploded = sides.select(id_col, "side", F.posexplode("words").alias("pos", "token"))
-    grouped = exploded.groupBy(id_col, "side", "token").agg(F.collect_list("pos").alias("at"))
-    salted = grouped.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-    spread = vocab.select("token", "token_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    found = salted.join(spread, ["token", "salt"], "left").select(
-        id_col, "side", F.explode("at").alias("pos"), F.coalesce(F.col("token_id"), F.lit(UNK)).cast("int").alias("code")
-    )
+    cells = [cells_of(k, c) for k, c in enumerate(sides)]
+    exploded = rows.select(_ROW, *others, F.explode_outer(F.concat(*cells)).alias("cell"))
+    places = F.collect_list(F.col("cell.pos")).alias("places")
+    grouped = exploded.groupBy(_ROW, *others, "cell.side", "cell.item").agg(places)
+    joined = grouped.join(vocab.withColumnRenamed(given, "item"), "item", "left").withColumn("value", found)
 
-    def gather(side: str) -> Column:
-        chosen = F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "code"))))
-        return F.transform(chosen, lambda x: x["code"]).alias(side)
+    def gather(k: int, side: str) -> Column:
+        mine = F.collect_list(F.when((F.col("side") == k) & F.col("value").isNotNull(), F.struct("value", "places")))
+        spread = F.flatten(F.transform(mine, lambda v: F.transform(v["places"], lambda p: F.struct(p.alias("p"), v["value"].alias("v")))))
+        return F.transform(F.array_sort(spread), lambda x: x["v"]).alias(side)
 
-    coded = found.groupBy(id_col).agg(gather("source"), gather("target"))
-    empty = F.array().cast("array<int>")
-    return df.select(id_col).join(coded, id_col, "left").select(
-        id_col, F.coalesce("source", empty).alias("source"), F.coalesce("target", empty).alias("target")
-    )
+    return joined.groupBy(_ROW, *others).agg(*[gather(k, c) for k, c in enumerate(sides)]).drop(_ROW)
 
 
 def attention_mask(ids: Column) -> Column:
@@ -98,15 +76,13 @@ def encode_pairs(
     max_input_length: int = MAX_INPUT_LENGTH,
     max_target_length: int = MAX_TARGET_LENGTH,
     prefix: str = "",
-    vocab_size: int = VOCAB_SIZE,
     text_col: str = "article",
     summary_col: str = "highlights",
     id_col: str = "id",
 ) -> DataFrame:
     """(id, input_ids, attention_mask, labels), each of fixed width: prefix, split, truncate, end mark, pad.
 
-    Row-local for vocabularies up to ``BROADCAST_VOCAB`` words: no shuffle, and only the kept words leave the
-    JVM.  ``vocab_size`` is the bound on the vocabulary; words beyond it are unknown.
+    The given vocabulary is the whole vocabulary: words not in it are unknown.  Only the kept words are shuffled.
     """
     source = text.add_prefix(text.null_to_text(text_col, "nan"), prefix)
     kept = df.select(
@@ -114,11 +90,8 @@ def encode_pairs(
         text.first_words(source, max_input_length - 1).alias("source"),
         text.first_words(text.null_to_text(summary_col, "nan"), max_target_length - 1).alias("target"),
     )
-    if vocab_size <= BROADCAST_VOCAB:
-        to_ids = _lookup(vocab, vocab_size)
-        coded = kept.select(id_col, to_ids("source").alias("source"), to_ids("target").alias("target"))
-    else:
-        coded = _joined_ids(kept, vocab.where(F.col("token_id") < FIRST_ID + vocab_size), id_col)
+    value = F.coalesce(F.col("token_id").cast("int"), F.lit(UNK))
+    coded = _looked_up(kept, ("source", "target"), vocab.select("token", "token_id"), "token", F.when(F.col("item").isNotNull(), value))
 
     # Real ids are never PAD, so masks follow from lengths and need no look at each id.
     ended = coded.select(
@@ -134,33 +107,12 @@ def encode_pairs(
     )
 
 
-def decode_ids(
-    df: DataFrame,
-    vocab: DataFrame,
-    ids_col: str = "labels",
-    vocab_size: int = VOCAB_SIZE,
-    id_col: str = "id",
-) -> DataFrame:
-    """(id, text): masked labels and special ids are dropped, the rest become words again.
-
-    Up to ``BROADCAST_VOCAB`` words the vocabulary is one array indexed by id; beyond it words are joined.
-    """
-    ids = F.filter(F.col(ids_col), lambda x: x >= FIRST_ID)
-    bounded = vocab.where(F.col("token_id") < FIRST_ID + vocab_size)
-    if vocab_size <= BROADCAST_VOCAB:
-        words = bounded.agg(F.array_sort(F.collect_list(F.struct("token_id", "token"))).alias("v"))
-        words = words.select(F.col("v.token").alias("words"))
-        held = df.select(id_col, ids.alias("ids"), words.scalar().alias("words"))
-        found = F.transform("ids", lambda x: F.get(F.col("words"), (x - FIRST_ID).cast("int")))
-        return held.select(id_col, F.array_join(found, " ").alias("text"))
-    exploded = df.select(id_col, F.posexplode(ids).alias("pos", "token_id"))
-    salted = exploded.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(64)).cast("int"))
-    spread = bounded.select("token_id", "token", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("salt"))
-    found = salted.join(spread, ["token_id", "salt"]).groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("w")
-    )
-    texts = found.select(id_col, F.array_join(F.col("w.token"), " ").alias("text"))
-    return df.select(id_col).join(texts, id_col, "left").select(id_col, F.coalesce("text", F.lit("")).alias("text"))
+def decode_ids(df: DataFrame, vocab: DataFrame, ids_col: str = "labels", id_col: str = "id") -> DataFrame:
+    """(id, text): masked labels and special ids are dropped, the rest become words again; ids that the vocabulary does
+    not hold stand for nothing."""
+    held = df.select(id_col, F.filter(F.col(ids_col), lambda x: x >= FIRST_ID).alias("words"))
+    words = _looked_up(held, ("words",), vocab.select("token_id", "token"), "token_id", F.col("token"))
+    return words.select(id_col, F.array_join("words", " ").alias("text"))
 
 
 def truncation_report(

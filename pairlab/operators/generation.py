@@ -87,10 +87,13 @@ def extractive_predictor(k: int = 3) -> Callable[[], Predictor]:
     """
     ignored = frozenset(text.STOP_WORDS)
 
+    def counts(word: str) -> bool:
+        return word not in ignored and word.isalpha()
+
     def summarize(document: str) -> str:
         found = (" ".join(s.split()) for s in re.findall(text.SENTENCE, document))
         kept = [s for s in found if s]
-        per_sentence = [[w for w in s.lower().split() if w.isalpha() and w not in ignored] for s in kept]
+        per_sentence = [list(filter(counts, s.lower().split())) for s in kept]
         frequency = Counter(w for ws in per_sentence for w in ws)
         score = [sum(frequency[w] for w in ws) / len(ws) if ws else 0.0 for ws in per_sentence]
         best = sorted(range(len(kept)), key=lambda i: (-score[i], i))[:k]

@@ -1,7 +1,7 @@
 """Greedy embedding matching (T. Zhang et al., "BERTScore", 2020) over a token-embedding table.
 
-Input: one row per token ``(id, side, pos, vec)``, side ``pred`` or ``ref``, positions unique per id and side.
-The embeddings are the caller's.
+Input: one row per token ``(id, side, pos, vec)``, side ``pred`` or ``ref``, positions unique per id and side but
+otherwise free: they may be sparse or negative.  The embeddings are the caller's.
 """
 
 from __future__ import annotations
@@ -12,10 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.functions.stem import flat_values
 
-# Positions per block.  A cell holds at most this many vectors of each side, whatever the size of its pair.
+# Tokens per block, on average.  A cell holds about this many vectors of each side, whatever the size of its pair.
 BLOCK = 1024
-# Tasks over which the rows of one very large pair are spread while its size is looked up.
-SPREAD = 256
 
 
 def _unit_rows(vectors: pa.Array) -> np.ndarray:
@@ -54,25 +52,26 @@ def greedy_match_score(
 ) -> DataFrame:
     """(id, precision, recall, f1): per token the best cosine to the other side, averaged per side.
 
-    Token pairs are never rows.  Positions are cut into blocks; a cell is one block of each side and is worked
-    as one matrix product that returns maxima.  A pair of ordinary size is one cell; a huge one becomes many
-    cells on many tasks, and its rows are copied once per block of the other side.
+    Token pairs are never rows.  The tokens of a side are dealt by a hash of their position into as many blocks as
+    their number asks for; a cell is one block of each side and is worked as one matrix product that returns maxima.  A
+    pair of ordinary size is one cell; a huge one becomes many cells on many tasks, and its rows are copied once per
+    block of the other side.  Cost depends on the number of tokens alone, not on their positions.
     """
     is_pred = F.col("side") == "pred"
     rows = tokens.select(
         F.col(id_col).alias("id"),
         F.col(side_col).alias("side"),
         F.col(pos_col).alias("pos"),
-        F.floor(F.col(pos_col) / block).cast("int").alias("block"),
         F.col(vec_col).alias("vec"),
     )
+    # One row per pair; counted map-side, and joined on the pair: a very large one is split at run time.
     extent = rows.groupBy("id").agg(
-        F.coalesce(F.max(F.when(is_pred, F.col("block"))), F.lit(0)).alias("last_pred"),
-        F.coalesce(F.max(F.when(~is_pred, F.col("block"))), F.lit(0)).alias("last_ref"),
+        F.greatest(F.ceil(F.count_if(is_pred) / block), F.lit(1)).cast("int").alias("pred_blocks"),
+        F.greatest(F.ceil(F.count_if(~is_pred) / block), F.lit(1)).cast("int").alias("ref_blocks"),
+    ).withColumns({"last_pred": F.col("pred_blocks") - 1, "last_ref": F.col("ref_blocks") - 1})
+    placed = rows.join(extent, "id").withColumn(
+        "block", F.pmod(F.xxhash64("pos"), F.when(is_pred, F.col("pred_blocks")).otherwise(F.col("ref_blocks"))).cast("int")
     )
-    spread_to = F.least(F.greatest("last_pred", "last_ref"), F.lit(SPREAD - 1))
-    extent = extent.withColumn("spread", F.explode(F.sequence(F.lit(0), spread_to)))
-    placed = rows.withColumn("spread", F.pmod("block", F.lit(SPREAD))).join(extent, ["id", "spread"])
     own = F.array(F.col("block"))
     cells = placed.withColumn(
         "pred_block", F.explode(F.when(is_pred, own).otherwise(F.sequence(F.lit(0), F.col("last_pred"))))

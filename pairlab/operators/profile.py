@@ -149,8 +149,8 @@ def empty_counts(measured: DataFrame) -> DataFrame:
     return length_totals(measured).select("empty_articles", "empty_summaries")
 
 
-def token_counts(measured: DataFrame, sample_size: int | None = 5000, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """Mean and p95 tokens of both texts on a sample (None: whole table)."""
+def token_counts(measured: DataFrame, sample_size: int | None = None, seed: int = 42, id_col: str = "id") -> DataFrame:
+    """Mean and p95 tokens of both texts of the table, or of a sample of given size."""
     sides = ("article_tokens", "summary_tokens")
     sampled = sample_exact(measured, sample_size, seed, id_col)
     counts = value_counts(sampled, sides).unionByName(_zero_rows(measured, sides))
@@ -180,7 +180,7 @@ def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
 def split_inspection(measured: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows and mean words per split; a table without a split column gives one row holding a note."""
     if split_col not in measured.columns:
-        note = "single dataframe passed, no split column present"
+        note = "the table has no split column"
         return measured.sparkSession.range(1).select(F.lit(note).alias("note"))
     return measured.groupBy(split_col).agg(
         F.count("*").alias("num_rows"),
@@ -209,8 +209,8 @@ def length_histogram(measured: DataFrame, bins: int = 50) -> DataFrame:
     )
 
 
-def scatter_sample(measured: DataFrame, n: int = 5000, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """Points (article words, summary words) of a sample."""
+def scatter_sample(measured: DataFrame, n: int | None = None, seed: int = 42, id_col: str = "id") -> DataFrame:
+    """Points (article words, summary words) of the table, or of a sample of given size."""
     return sample_exact(measured, n, seed, id_col).select(
         id_col, F.col("article_tokens").alias("article_words"), F.col("summary_tokens").alias("summary_words")
     )

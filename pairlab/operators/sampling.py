@@ -1,9 +1,9 @@
 """Exact, reproducible samples and ranked heads.
 
-A row's place in the sample is the order of ``md5(seed:id)``.  The n smallest are found by selection on the
-digest's first four hex digits: count rows per prefix, find the prefix where the running count reaches n, take
-everything below it and rank only the rows that share it (about one in 65,536).  No row set of size n is ever
-sorted or collected, and text columns are not read until the ids are known.
+A row's place in the sample is the order of ``md5(seed:id)``, rows of one id in the order of a hash of the row.  The n
+smallest are found by selection, digits at a time: count rows per leading digits, find those at which the running count
+reaches n, look further only inside them.  Rows below the cut pass a filter where they are; the few that share the last
+cut are ranked.  Ids need not be unique or filled, and no row set of size n is ever sorted, joined or collected.
 """
 
 from __future__ import annotations
@@ -21,73 +21,79 @@ PRESETS = {
     "full": {"train": None, "validation": None, "test": None},
 }
 
-# An id table of at most this many rows (16 MB) is broadcast; a larger one is joined by shuffle.
-BROADCAST_IDS = 1_000_000
-
-DIRECT_TOP_K = 1_000
-TOP_BUCKETS = 64
+# The digits of a row's rank that one round of counting looks at: first those of the id's digest, last those of the row.
+ROUNDS = ((1, 4), (5, 4), (33, 4))
 
 
 def sample_rank(seed: int, id_col: str = "id") -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
-def sample_ids(
+def sample_rows(
     df: DataFrame, limits: Mapping[str, int], seed: int = 42, id_col: str = "id", by: str | None = None
 ) -> DataFrame:
-    """Ids of the sample.  ``limits`` gives the rows per value of ``by`` (or of ``""`` without groups)."""
+    """The sampled rows.  ``limits`` gives the rows per value of ``by`` (or of ``""`` without groups)."""
+    names = df.columns
     group = F.col(by) if by else F.lit("")
     wanted = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-    ranked = df.select(F.col(id_col), group.alias("grp"), sample_rank(seed, id_col).alias("rank"))
-    ranked = ranked.where(F.col("grp").isin(list(limits))).withColumn("prefix", F.substring("rank", 1, 4))
-    # At most 65,536 prefixes per group reach this window, whatever the size of the table.
-    counts = ranked.groupBy("grp", "prefix").agg(F.count("*").alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy("grp").orderBy("prefix")))
-    reached = upto.withColumn("limit", F.try_element_at(wanted, "grp").cast("bigint")).where("upto >= limit")
-    cut = reached.groupBy("grp").agg(
-        F.min("prefix").alias("edge"), F.min_by(F.expr("limit - (upto - n)"), "prefix").alias("need")
-    )
-    # One entry per group of the caller's limits, read as a single value: no join with the rows.
-    entries = F.collect_list(F.struct("grp", F.struct("edge", "need")))
-    cuts = cut.agg(F.map_from_entries(entries).alias("cuts")).scalar()
-    placed = ranked.withColumn("cut", F.try_element_at(cuts, F.col("grp")))
-    edge = F.col("cut.edge")
-    below = placed.where(edge.isNull() | (F.col("prefix") < edge)).select(id_col)
-    place = F.row_number().over(W.partitionBy("grp").orderBy("rank", id_col))
-    at_edge = placed.where(F.col("prefix") == edge).withColumn("place", place)
-    return below.unionAll(at_edge.where(F.col("place") <= F.col("cut.need")).select(id_col))
-
-
-def _keep_ids(df: DataFrame, ids: DataFrame, n: int, id_col: str) -> DataFrame:
-    return df.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, id_col, "left_semi")
+    row_digest = F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in names])), 16, "0")
+    rank = F.concat(sample_rank(seed, id_col), row_digest)
+    ranked = df.select("*", group.alias("_grp"), rank.alias("_rank")).where(F.col("_grp").isin(list(limits)))
+    inside, below, need = ranked, None, F.try_element_at(wanted, F.col("_grp")).cast("bigint")
+    for start, width in ROUNDS:
+        # At most 65,536 prefixes per group reach this window, whatever the size of the table.
+        digits = F.substring("_rank", start, width)
+        counts = inside.groupBy("_grp", digits.alias("_digits"), need.alias("_need")).agg(F.count("*").alias("_n"))
+        upto = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy("_grp").orderBy("_digits")))
+        cut = upto.where("_upto >= _need").groupBy("_grp").agg(
+            F.min("_digits").alias("edge"), F.min_by(F.expr("_need - (_upto - _n)"), "_digits").alias("need")
+        )
+        # One entry per group of the caller's limits, read as a single value: no join with the rows.
+        entries = F.collect_list(F.struct("_grp", F.struct("edge", "need")))
+        cuts = cut.agg(F.map_from_entries(entries).alias("cuts")).scalar()
+        placed = inside.withColumn("_cut", F.try_element_at(cuts, F.col("_grp")))
+        edge = F.col("_cut.edge")
+        passed = placed.where(edge.isNull() | (digits < edge)).select(*[f"`{c}`" for c in names])
+        below = passed if below is None else below.unionAll(passed)
+        inside = placed.where(digits == edge).withColumn("_left", F.col("_cut.need"))
+        inside, need = inside.select(*[f"`{c}`" for c in names], "_grp", "_rank", "_left"), F.col("_left")
+    place = F.row_number().over(W.partitionBy("_grp").orderBy("_rank"))
+    last = inside.withColumn("_place", place).where(F.col("_place") <= F.col("_left"))
+    return below.unionAll(last.select(*[f"`{c}`" for c in names]))
 
 
 def sample_exact(df: DataFrame, n: int | None, seed: int = 42, id_col: str = "id") -> DataFrame:
     """Exactly n rows without replacement; all rows when n is None or not below the row count."""
-    if n is None:
-        return df
-    return _keep_ids(df, sample_ids(df, {"": n}, seed, id_col), n, id_col)
+    return df if n is None else sample_rows(df, {"": n}, seed, id_col)
+
+
+def _sizes(preset: str | Mapping[str, int | None]) -> Mapping[str, int | None]:
+    return PRESETS[preset] if isinstance(preset, str) else preset
 
 
 def load_subset(
-    df: DataFrame, preset: str = "medium", seed: int = 42, id_col: str = "id", split_col: str = "split"
+    df: DataFrame, preset: str | Mapping[str, int | None] = "full", seed: int = 42, id_col: str = "id",
+    split_col: str = "split",
 ) -> DataFrame:
-    """All three splits cut to the sizes of a preset in one pass.  Unknown preset: KeyError."""
-    sizes = PRESETS[preset]
+    """The splits cut to the sizes of a preset or to given ones (0: none, None: all) in one pass.  Unknown preset:
+    KeyError."""
+    sizes = _sizes(preset)
     limits = {split: n for split, n in sizes.items() if n is not None}
     known = df.where(F.col(split_col).isin(list(sizes)))
     if not limits:
         return known
-    ids = sample_ids(known, limits, seed, id_col, by=split_col)
-    return _keep_ids(known, ids, sum(limits.values()), id_col)
+    whole = known.where(~F.col(split_col).isin(list(limits)))
+    cut = sample_rows(known, limits, seed, id_col, by=split_col)
+    return cut if len(limits) == len(sizes) else whole.unionAll(cut)
 
 
 def load_subset_split(
-    df: DataFrame, split: str, preset: str = "medium", seed: int = 42, id_col: str = "id", split_col: str = "split"
+    df: DataFrame, split: str, preset: str | Mapping[str, int | None] = "full", seed: int = 42, id_col: str = "id",
+    split_col: str = "split",
 ) -> DataFrame:
-    sizes = PRESETS[preset]
+    sizes = _sizes(preset)
     if split not in sizes:
-        raise ValueError(f"split must be one of {list(sizes)}, got '{split}'")
+        raise ValueError(f"no split named {split!r}; there are {', '.join(sizes)}")
     return sample_exact(df.where(F.col(split_col) == split), sizes[split], seed, id_col)
 
 
@@ -115,12 +121,11 @@ def head(df: DataFrame, max_samples: int | None, seed: int = 42, id_col: str = "
 def top_k(counts: DataFrame, k: int, term_col: str = "term", count_col: str = "n") -> DataFrame:
     """The k most frequent; ties in term order (first-seen order does not exist in a distributed count).
 
-    ``limit`` sends up to k rows of every partition to one task.  For a large k each of a few hash buckets
-    gives its own k first, so that task gets ``TOP_BUCKETS * k`` rows however many partitions there are.
+    Terms per count are counted first, which gives the count at the cut.  Terms above it pass a filter, and only
+    those at the cut itself are ranked, so no task ever sorts more than about k terms and the ties.
     """
     order = [F.desc(count_col), F.asc(term_col)]
-    if k > DIRECT_TOP_K:
-        bucket = F.pmod(F.xxhash64(term_col), F.lit(TOP_BUCKETS))
-        place = F.row_number().over(W.partitionBy(bucket).orderBy(*order))
-        counts = counts.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
-    return counts.orderBy(*order).limit(k)
+    sizes = counts.groupBy(F.col(count_col).alias("_c")).agg(F.count("*").alias("_terms"))
+    upto = sizes.withColumn("_upto", F.sum("_terms").over(W.orderBy(F.desc("_c"))))
+    cut = upto.where(F.col("_upto") >= k).agg(F.max("_c").alias("c")).scalar()
+    return counts.where(cut.isNull() | (F.col(count_col) >= cut)).orderBy(*order).limit(k)

@@ -27,15 +27,15 @@ def ngram_counts(df: DataFrame, ngram_range: tuple[int, int] = (2, 3), text_col:
 
 
 def top_words(
-    df: DataFrame, top_n: int = 30, sample: int | None = 2000, seed: int = 42, text_col: str = "highlights",
+    df: DataFrame, top_n: int = 30, sample: int | None = None, seed: int = 42, text_col: str = "highlights",
     id_col: str = "id",
 ) -> DataFrame:
-    """The most frequent words of a sample (None: whole table)."""
+    """The most frequent words of the table, or of a sample of given size."""
     return top_k(word_counts(sample_exact(df, sample, seed, id_col), text_col), top_n)
 
 
 def top_ngrams(
-    df: DataFrame, top_n: int = 30, ngram_range: tuple[int, int] = (2, 3), sample: int | None = 2000, seed: int = 42,
+    df: DataFrame, top_n: int = 30, ngram_range: tuple[int, int] = (2, 3), sample: int | None = None, seed: int = 42,
     text_col: str = "highlights", id_col: str = "id",
 ) -> DataFrame:
     return top_k(ngram_counts(sample_exact(df, sample, seed, id_col), ngram_range, text_col), top_n)

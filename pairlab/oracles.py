@@ -322,6 +322,12 @@ PARTS |= {
                row_number() OVER (PARTITION BY id ORDER BY coalesce(score, 0) DESC, pos) AS place
         FROM sentence_rows LEFT JOIN sentence_scores USING (id, pos)""",
 }
+# A vocabulary of all words, with a gap after each id.
+PARTS["vocab_gaps"] = """
+    SELECT token, CAST(2 * (row_number() OVER (ORDER BY n DESC, token) + 2) - 3 AS BIGINT) AS token_id FROM vocab_counts"""
+for _part in ("source_ids", "target_ids"):
+    PARTS[f"{_part}_gaps"] = PARTS[_part].replace("JOIN vocab USING", "JOIN vocab_gaps USING")
+PARTS["encoded_gaps"] = PARTS["encoded"].replace("source_ids", "source_ids_gaps").replace("target_ids", "target_ids_gaps")
 EXTRACTIVE_PARTS = "pairs sentence_rows sentence_words frequencies sentence_scores ranked_sentences"
 ENCODE_PARTS = "pairs vocab_counts vocab kept_words source_ids target_ids encoded"
 CORPUS = ", ".join(
@@ -344,6 +350,28 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": ALL_PAIRS,
     "drop_na": with_parts("pairs filled", "SELECT * FROM filled"),
     "drop_duplicates": with_parts("pairs filled firsts", "SELECT * FROM firsts"),
+    "drop_duplicates_repeated_ids": with_parts(
+        "pairs filled", "SELECT DISTINCT min(id % 100) OVER (PARTITION BY split, article, highlights) AS id, split, article, highlights FROM filled"
+    ),
+    "sample_exact_repeated_ids": with_parts("pairs filled", "SELECT least(150, 2 * count(*)) AS num_rows FROM filled"),
+    "load_subset_sizes": with_parts(
+        "pairs",
+        f"""SELECT id, split, article, highlights FROM ({sampled("pairs WHERE split = 'train'", 10)})
+            UNION ALL SELECT id, split, article, highlights FROM pairs WHERE split = 'test'""",
+    ),
+    "processed_empty_split": with_parts(
+        "pairs filled firsts cleaned_firsts processed",
+        """SELECT s.split, count(p.id) AS num_rows FROM (VALUES ('train'), ('validation'), ('test')) s(split)
+           LEFT JOIN processed p ON p.split = s.split AND p.split <> 'validation' GROUP BY s.split""",
+    ),
+    "encode_pairs_large_vocab": with_parts(
+        "pairs vocab_counts vocab_gaps kept_words source_ids_gaps target_ids_gaps encoded_gaps",
+        f"""SELECT id, array_to_string(input_ids, ',') AS input_ids, array_to_string({MASKED}, ',') AS labels
+            FROM encoded_gaps""",
+    ),
+    "decode_ids_large_vocab": with_parts(
+        "pairs", f"""SELECT id, array_to_string({words("coalesce(article, 'nan')")}[1:511], ' ') AS text FROM pairs"""
+    ),
     "clean_text": with_parts(
         "pairs", f"SELECT id, split, {clean('article')} AS article, {clean('highlights')} AS highlights FROM pairs"
     ),

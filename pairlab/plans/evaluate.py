@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairlab.functions import text
 from pairlab.operators import cleaning, generation, matching, profile, rouge, sampling
+from pairlab.plans import report
 from pairlab.plans.preprocess import preprocess
 from pairlab.sources import readers, sinks
-from pairlab.sources.scratch import scratch_path
+from pairlab.sources.scratch import ROW, materialize, scratch_path, with_stored_rows
 
 
 def evaluate(
@@ -46,7 +47,7 @@ def evaluate_table(
     df: DataFrame,
     predictor_factory: Callable[[], generation.Predictor],
     output_dir: str | None = None,
-    preset: str = "medium",
+    preset: str | Mapping[str, int | None] = "full",
     max_samples: int | None = None,
     text_col: str = "article",
     summary_col: str = "highlights",
@@ -54,11 +55,15 @@ def evaluate_table(
     seed: int = 42,
     batch_size: int = 8,
     prefix: str = "",
+    token_embeddings: Callable[[DataFrame], DataFrame] | None = None,
+    latency: bool = True,
     **overrides,
 ) -> DataFrame:
     """Test subset, generate, score, write results and the comparison table.
 
-    Predictions are written before they are scored: no metric makes the predictor run again.
+    Predictions are written before they are scored, and so are the scores: nothing runs twice.  ``token_embeddings`` maps
+    the stored predictions to a table for the embedding match; ``latency`` adds seconds per sample.  ``overrides`` reach
+    the predictor, ``max_input_length`` among them.
     """
     subset = sampling.load_subset_split(df, "test", preset, seed, id_col)
     subset = sampling.head(subset, max_samples, seed, id_col)
@@ -72,7 +77,9 @@ def evaluate_table(
     path = scratch_path(df.sparkSession, "predictions")
     measured = sinks.timed_write(compared, path)
     stored = df.sparkSession.read.schema(compared.schema).parquet(path)
-    results = evaluate(stored, throughput=measured)
+    embedded = None if token_embeddings is None else token_embeddings(stored)
+    scored = evaluate(stored, throughput=measured if latency else None, token_embeddings=embedded)
+    results = materialize(scored, "results")
     if output_dir is not None:
         sinks.write_report_json(results, f"{output_dir}/evaluation_results")
         table = generation.comparison(stored, text_col, "reference_summary", id_col=id_col)
@@ -104,11 +111,15 @@ def summarize_csv(
     batch_size: int = 8,
     **overrides,
 ) -> DataFrame:
-    """CSV in, the same rows with a summary out."""
+    """CSV in, the same rows with a summary out: as CSV in ``output_dir``, and as the stored table that is returned.
+
+    One task reads a CSV file; its rows are dealt out before the predictor sees them.
+    """
     rows = cleaning.require_columns(readers.read_csv(spark, input_csv), text_col)
-    predicted = generation.summarize_table(rows, predictor_factory, text_col, batch_size, **overrides)
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism)
+    predicted = materialize(generation.summarize_table(dealt, predictor_factory, text_col, batch_size, **overrides), "summaries")
     sinks.write_csv(predicted, output_dir)
-    return readers.read_csv(spark, output_dir)
+    return predicted
 
 
 def summarize_folder(
@@ -136,14 +147,24 @@ def run_preprocessing(
 ) -> DataFrame:
     """CSV splits to a processed table and its row counts per split.
 
-    The multi-line CSV is read once, into a scratch table with stored ids; everything after it runs on Parquet.
+    The multi-line CSV is read once, into a scratch table with stored row numbers; everything after it runs on Parquet.
+    A split of which no row is left has a count of 0.
     """
-    raw = readers.with_id(readers.read_pairs_csv(spark, raw_dir, text_col, summary_col, require_any=False))
-    path = scratch_path(spark, "raw")
-    raw.write.partitionBy("split").parquet(path)
-    stored = spark.read.schema(raw.schema).parquet(path)
-    sinks.write_processed(preprocess(stored, text_col, summary_col, store_ids=True, **options), processed_dir)
-    counts = profile.split_sizes(spark.read.schema(raw.schema).parquet(processed_dir))
+    raw = with_stored_rows(readers.with_id(readers.read_pairs_csv(spark, raw_dir, text_col, summary_col, require_any=False)))
+    sinks.write_processed(preprocess(raw, text_col, summary_col, **options).drop(ROW), processed_dir)
+    counts = profile.split_sizes(raw.limit(0))
+    for split, _ in readers.split_files(spark, raw_dir):
+        rows = readers.read_split(spark, processed_dir, split) if raw.take(1) else raw.limit(0)
+        counts = counts.unionAll(rows.agg(F.lit(split).alias("split"), F.count("*").alias("num_rows")))
     stats = counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("split", "num_rows")))).alias("num_rows"))
     sinks.write_report_json(stats, f"{processed_dir}_stats")
     return counts
+
+
+def run_profile(spark: SparkSession, raw_dir: str, output_dir: str, text_col: str = "article",
+                summary_col: str = "highlights", **options) -> DataFrame:
+    """CSV splits in, all analyses as one JSON report out."""
+    raw = materialize(readers.with_id(readers.read_pairs_csv(spark, raw_dir, text_col, summary_col)), "raw")
+    made = materialize(report.eda_report(raw, text_col, summary_col, **options), "report")
+    sinks.write_report_json(made, output_dir)
+    return made

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.operators import cleaning, dedup
+from pairlab.sources.scratch import ROW, with_stored_rows
 
 
 def preprocess(
@@ -12,29 +13,29 @@ def preprocess(
     text_col: str = "article",
     summary_col: str = "highlights",
     id_col: str = "id",
-    within: tuple[str, ...] = ("split",),
+    within: tuple[str, ...] | None = None,
     use_drop_na: bool = True,
     use_drop_duplicates: bool = True,
     lowercase: bool = False,
-    store_ids: bool = False,
     **bounds: int,
 ) -> DataFrame:
     """Null removal, exact dedup on the raw texts, cleaning, length bounds.
 
     Duplicates are decided on raw text, so pairs that become equal only by cleaning all stay.  Equal raw pairs
-    have equal cleaned lengths; the rows may therefore be cleaned and filtered before the repeated ids are
-    joined away, and fewer and shorter texts reach that join.  The list of all ids is read without the texts:
-    ids of rows dropped for a null may be in it, they are gone from the rows already.
+    have equal cleaned lengths; the rows may therefore be cleaned and filtered before the repeated rows are
+    joined away, and fewer and shorter texts reach that join.  ``within`` is the split column where there is one.
     """
     cleaning.require_columns(df, text_col, summary_col)
-    filled = cleaning.drop_na(df, text_col, summary_col) if use_drop_na else df
+    within = (("split",) if "split" in df.columns else ()) if within is None else within
+    rows = with_stored_rows(df) if use_drop_duplicates else df
+    filled = cleaning.drop_na(rows, text_col, summary_col) if use_drop_na else rows
     kept = cleaning.length_filter(
         cleaning.clean_pairs(filled, text_col, summary_col, lowercase), text_col, summary_col, **bounds
     )
     if not use_drop_duplicates:
         return kept
-    firsts = dedup.first_ids(filled, text_col, summary_col, id_col, within)
-    return dedup.without_repeats(kept, df, firsts, id_col, store_ids).select(*df.columns)
+    removed = dedup.repeated_rows(filled, text_col, summary_col, id_col, within)
+    return kept.join(removed, ROW, "left_anti").select(*[f"`{c}`" for c in df.columns])
 
 
 def step_row_counts(

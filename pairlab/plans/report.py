@@ -28,8 +28,8 @@ def report_rows(
     text_col: str = "article",
     summary_col: str = "highlights",
     top: int = 15,
-    sample: int | None = 2000,
-    token_sample: int | None = 5000,
+    sample: int | None = None,
+    token_sample: int | None = None,
 ) -> DataFrame:
     """(section, key, value) digest: totals, duplicates, mean lengths, compression, p95 tokens, rows per split,
     first words.  Numbers with a fraction have six decimals."""
@@ -61,8 +61,8 @@ def eda_report(
     summary_col: str = "highlights",
     top_n: int = 30,
     ngram_range: tuple[int, int] = (2, 3),
-    sample: int | None = 2000,
-    token_sample: int | None = 5000,
+    sample: int | None = None,
+    token_sample: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """All analyses as one row with one nested column each, ready for ``write_report_json``.

@@ -68,6 +68,45 @@ def pairs_union_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.union_splits(*parts).select("id", "split", "article", "highlights")
 
 
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs whose ids repeat: each is doubled whole, and different ones share ``id % 100``."""
+    table = filled(spark, sf_dir).withColumn("id", F.col("id") % 100)
+    return table.unionAll(table)
+
+
+def vocabulary_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the table, numbered in order of frequency with a gap after each number."""
+    table = pairs(spark, sf_dir)
+    vocab = features.build_vocab(table, size=1_000_000_000)
+    return vocab.withColumn("token_id", F.col("token_id") * 2 - features.FIRST_ID)
+
+
+def encode_pairs_large_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = features.encode_pairs(pairs(spark, sf_dir), vocabulary_with_gaps(spark, sf_dir), prefix=PREFIX)
+    return joined_with_commas(codes.select("id", "input_ids", "labels"))
+
+
+def decode_ids_large_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = materialize(vocabulary_with_gaps(spark, sf_dir), "vocab")
+    return features.decode_ids(features.encode_pairs(pairs(spark, sf_dir), vocab), vocab, "input_ids")
+
+
+def load_subset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = {"train": 10, "validation": 0, "test": None}
+    return sampling.load_subset(pairs(spark, sf_dir), sizes).select("id", "split", "article", "highlights")
+
+
+def processed_empty_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per split read back from a processed table whose validation rows were all filtered."""
+    folder = scratch_path(spark, "processed")
+    kept = preprocess(pairs(spark, sf_dir)).where("split <> 'validation'")
+    sinks.write_processed(kept, folder)
+    counts = [
+        readers.read_split(spark, folder, s).agg(F.lit(s).alias("split"), F.count("*").alias("num_rows")) for s in readers.SPLITS
+    ]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
 def processed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preprocess, write one folder per split, read the three splits back."""
     folder = scratch_path(spark, "processed")
@@ -99,7 +138,7 @@ def joined_with_commas(df: DataFrame) -> DataFrame:
 
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = pairs(spark, sf_dir)
-    return features.encode_pairs(table, features.build_vocab(table, size=VOCAB), prefix=PREFIX, vocab_size=VOCAB)
+    return features.encode_pairs(table, features.build_vocab(table, size=VOCAB), prefix=PREFIX)
 
 
 def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,9 +148,9 @@ def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = pairs(spark, sf_dir)
     vocab = materialize(features.build_vocab(table, size=VOCAB), "vocab")
-    codes = features.encode_pairs(table, vocab, prefix=PREFIX, vocab_size=VOCAB)
+    codes = features.encode_pairs(table, vocab, prefix=PREFIX)
     restored = codes.select("id", features.unmask_labels(F.col("labels")).alias("labels"))
-    return features.decode_ids(restored, vocab, vocab_size=VOCAB)
+    return features.decode_ids(restored, vocab)
 
 
 def token_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +159,7 @@ def token_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.select(
         F.col("label").cast("bigint").alias("id"),
         F.when(F.col("vec_id") % 2 == 0, "pred").otherwise("ref").alias("side"),
-        F.col("vec_id").alias("pos"),
+        F.col("vec_id").alias("pos"),  # sparse within a pair
         F.col("embedding").alias("vec"),
     )
 
@@ -158,6 +197,14 @@ QUERIES: dict[str, Query] = {
     "pairs_union_splits": pairs_union_splits,
     "drop_na": filled,
     "drop_duplicates": lambda s, d: dedup.drop_duplicates(filled(s, d)).select("id", "split", "article", "highlights"),
+    "drop_duplicates_repeated_ids": lambda s, d: dedup.drop_duplicates(repeated_ids(s, d)).select(
+        "id", "split", "article", "highlights"
+    ),
+    "sample_exact_repeated_ids": lambda s, d: sampling.sample_exact(repeated_ids(s, d), 150).agg(F.count("*").alias("num_rows")),
+    "encode_pairs_large_vocab": encode_pairs_large_vocab,
+    "decode_ids_large_vocab": decode_ids_large_vocab,
+    "load_subset_sizes": load_subset_sizes,
+    "processed_empty_split": processed_empty_split,
     "clean_text": lambda s, d: cleaning.clean_pairs(pairs(s, d)),
     "length_filter": lambda s, d: cleaning.length_filter(filled(s, d)),
     "preprocess_rows": lambda s, d: preprocess(pairs(s, d)),
@@ -178,10 +225,10 @@ QUERIES: dict[str, Query] = {
     "non_empty_articles": lambda s, d: cleaning.non_empty_articles(pairs(s, d)),
     "sample_exact": lambda s, d: sampling.sample_exact(pairs(s, d), 500).select("id", "split", "article", "highlights"),
     "load_subset_dev": lambda s, d: sampling.load_subset(pairs(s, d), "dev").select("id", "split", "article", "highlights"),
-    "token_counts": lambda s, d: rounded(profile.token_counts(_lengths(s, d))),
+    "token_counts": lambda s, d: rounded(profile.token_counts(_lengths(s, d), 5000)),
     "token_counts_all": lambda s, d: rounded(profile.token_counts(_lengths(s, d), None)),
     "sample_pairs": lambda s, d: sampling.sample_pairs(pairs(s, d)),
-    "scatter_sample": lambda s, d: profile.scatter_sample(_lengths(s, d)),
+    "scatter_sample": lambda s, d: profile.scatter_sample(_lengths(s, d), 5000),
     "top_words": lambda s, d: words.top_words(pairs(s, d), sample=None),
     "top_ngrams": lambda s, d: words.top_ngrams(pairs(s, d), sample=None),
     "summarize_lead": lambda s, d: generation.summarize_lead(pairs(s, d)).select("id", "generated_summary"),

@@ -13,22 +13,6 @@ from pairlab.operators.cleaning import require_columns, tag_split, union_splits
 
 SPLITS = ("train", "validation", "test")
 
-
-# A table up to this size is spread over the cores when read; a larger one has enough row groups of its own.
-SPREAD_BELOW_BYTES = 256 << 20
-BYTES_PER_TASK = 1 << 20
-
-
-def read_table(spark: SparkSession, path: str, *spread_by: str) -> DataFrame:
-    """Parquet scan.  A row group is read by one task, so a small table in one row group would keep all later
-    work on one core: it is spread by its key first, at most 256 MB in all.  Filters and column pruning still
-    reach the scan."""
-    table = spark.read.parquet(path)
-    n_bytes = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    tasks = min(spark.sparkContext.defaultParallelism, n_bytes // BYTES_PER_TASK)
-    return table.repartition(tasks, *spread_by) if 1 < tasks and n_bytes <= SPREAD_BELOW_BYTES else table
-
-
 def _base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -38,8 +22,9 @@ def _glob_text(name: str) -> str:
 
 
 def validate_source(spark: SparkSession, folder: str, expected_files: Sequence[str]) -> DataFrame:
-    """(file, path, n_bytes, ok) for every expected name, searched below ``folder``; missing and empty are not ok.
+    """(file, path, n_bytes, ok) for every expected name; missing and empty are not ok.
 
+    A file in ``folder`` itself comes before any below it; several below it and none in it have no path and are not ok.
     Only file names and sizes are listed, never contents.
     """
     wanted = "{" + ",".join(_glob_text(name) for name in expected_files) + "}"
@@ -50,9 +35,21 @@ def validate_source(spark: SparkSession, folder: str, expected_files: Sequence[s
         .load(folder)
         .select(_base_name(F.col("path")).alias("file"), "path", F.col("length").alias("n_bytes"))
     )
-    found = listed.groupBy("file").agg(F.max_by("path", "n_bytes").alias("path"), F.max("n_bytes").alias("n_bytes"))
+    # Depth in the folder tree, least first; with a tie there is no telling which file is meant.
+    depth = F.size(F.split("path", "/"))
+    by_depth = listed.groupBy("file", depth.alias("depth")).agg(
+        F.count("*").alias("n"), F.min("path").alias("path"), F.max("n_bytes").alias("n_bytes")
+    )
+    nearest = by_depth.groupBy("file").agg(F.min_by(F.struct("n", "path", "n_bytes"), "depth").alias("f"))
+    one = F.col("f.n") == 1
+    found = nearest.select(
+        "file", F.when(one, F.col("f.path")).alias("path"), F.when(one, F.col("f.n_bytes")).alias("n_bytes"),
+        (~one).alias("ambiguous"),
+    )
     expected = spark.createDataFrame([(name,) for name in expected_files], "file string")
-    return expected.join(found, "file", "left").withColumn("ok", F.coalesce(F.col("n_bytes") > 0, F.lit(False)))
+    return expected.join(found, "file", "left").withColumns(
+        {"ok": F.coalesce(F.col("n_bytes") > 0, F.lit(False)), "ambiguous": F.coalesce("ambiguous", F.lit(False))}
+    )
 
 
 def require_source(spark: SparkSession, folder: str, expected_files: Sequence[str]) -> DataFrame:
@@ -82,8 +79,12 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[text.null_spelling_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
-def _split_files(spark: SparkSession, folder: str, splits: Sequence[str]) -> list[tuple[str, str]]:
+def split_files(spark: SparkSession, folder: str, splits: Sequence[str] = SPLITS) -> list[tuple[str, str]]:
+    """(split, path) of the split files present."""
     verdict = validate_source(spark, folder, [f"{s}.csv" for s in splits])
+    unclear = [row.file for row in verdict.where("ambiguous").toLocalIterator()]
+    if unclear:
+        raise ValueError(f"several files below {folder} could be meant by {', '.join(unclear)}")
     paths = {row.file: row.path for row in verdict.where(F.col("path").isNotNull()).toLocalIterator()}
     return [(s, paths[f"{s}.csv"]) for s in splits if f"{s}.csv" in paths]
 
@@ -101,10 +102,10 @@ def read_pairs_csv(
     A missing file is skipped.  With ``require_any`` (profiling) none at all is an error; without it
     (preprocessing) the result is empty.
     """
-    present = _split_files(spark, folder, splits)
+    present = split_files(spark, folder, splits)
     if not present:
         if require_any:
-            raise FileNotFoundError(f"No {'/'.join(splits)} csv files found under {folder}")
+            raise FileNotFoundError(f"{folder} holds none of {', '.join(splits)} as CSV")
         return spark.createDataFrame([], f"`{text_col}` string, `{summary_col}` string, split string")
     united = union_splits(*[tag_split(read_csv(spark, path), split) for split, path in present])
     return require_columns(united, text_col, summary_col)
@@ -119,17 +120,21 @@ def read_processed(spark: SparkSession, folder: str) -> DataFrame:
     try:
         return spark.read.parquet(folder)
     except AnalysisException as error:
-        raise FileNotFoundError(f"Processed table not found at {folder}. Run preprocessing first.") from error
+        raise FileNotFoundError(f"nothing to read at {folder}") from error
 
 
 def read_split(spark: SparkSession, folder: str, split: str) -> DataFrame:
-    """One split of a processed table; only its partition folder is listed and read."""
+    """One split of a processed table; only its partition folder is read.  A split of the table that has no rows is an
+    empty table with its columns."""
     if split not in SPLITS:
-        raise ValueError(f"split must be one of {list(SPLITS)}, got '{split}'")
+        raise ValueError(f"no split named {split!r}; there are {', '.join(SPLITS)}")
     try:
         return spark.read.option("basePath", folder).parquet(f"{folder}/split={split}")
-    except AnalysisException as error:
-        raise FileNotFoundError(f"Processed split not found: {folder}/split={split}") from error
+    except AnalysisException:
+        whole = read_processed(spark, folder)
+    if "split" not in whole.columns:
+        raise FileNotFoundError(f"{folder} is not cut into splits")
+    return whole.limit(0)
 
 
 def read_text_folder(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Column of a table's private row numbers.
+ROW = "_pairlab_row"
 
 _local_folder: str | None = None
 
@@ -31,3 +34,10 @@ def materialize(df: DataFrame, name: str = "step", path: str | None = None) -> D
     path = path or scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_stored_rows(df: DataFrame) -> DataFrame:
+    """The table with a private number per row, unique and stored, so that every later read sees the same one."""
+    if ROW in df.columns:
+        return df
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")

@@ -21,7 +21,7 @@ def test_vocab(vocab):
 
 @pytest.fixture(scope="module")
 def encoded(table, vocab):
-    return features.encode_pairs(table, vocab, 6, 4, prefix="a ", vocab_size=3)
+    return features.encode_pairs(table, vocab, 6, 4, prefix="a ")
 
 
 def test_encoding(encoded):
@@ -32,21 +32,32 @@ def test_encoding(encoded):
     assert got[4].input_ids == [4, 5, 3, 5, 1, 0] and got[4].attention_mask == [1, 1, 1, 1, 1, 0]
 
 
-def test_joined_path_gives_the_same(table, vocab, encoded, monkeypatch):
-    monkeypatch.setattr(features, "BROADCAST_VOCAB", 0)
-    joined = features.encode_pairs(table, vocab, 6, 4, prefix="a ", vocab_size=3)
-    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, encoded.collect()))
-
-
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_decoding(encoded, vocab, monkeypatch, limit):
-    monkeypatch.setattr(features, "BROADCAST_VOCAB", limit)
-    got = {r.id: r.text for r in features.decode_ids(encoded, vocab, "labels", 3).collect()}
+def test_decoding(encoded, vocab):
+    got = {r.id: r.text for r in features.decode_ids(encoded, vocab, "labels").collect()}
     assert got == {1: "a b", 2: "", 3: "", 4: "a zz"}
-    inputs = {r.id: r.text for r in features.decode_ids(encoded, vocab, "input_ids", 3).collect()}
+    inputs = {r.id: r.text for r in features.decode_ids(encoded, vocab, "input_ids").collect()}
     assert inputs[4] == "a zz b zz"
 
 
+def test_repeated_and_null_ids_stay_apart(spark):
+    df = spark.createDataFrame([(1, "a b", "a"), (1, "b", "b"), (None, "a", "")], "id long, article string, highlights string")
+    vocab = spark.createDataFrame([("a", 3), ("b", 9)], "token string, token_id long")
+    codes = features.encode_pairs(df, vocab, 4, 2)
+    got = sorted(((r.id, r.input_ids) for r in codes.collect()), key=str)
+    assert got == [(1, [3, 9, 1, 0]), (1, [9, 1, 0, 0]), (None, [3, 1, 0, 0])]
+    texts = sorted((r.text for r in features.decode_ids(codes, vocab, "input_ids").collect()))
+    assert texts == ["a", "a b", "b"]
+
+
+def test_the_given_vocabulary_is_the_whole_one(spark):
+    words = [f"w{i}" for i in range(32_101)]
+    vocab = spark.createDataFrame([(w, i + 3) for i, w in enumerate(words)], "token string, token_id long")
+    df = spark.createDataFrame([(1, " ".join(words[-3:]), "")], "id long, article string, highlights string")
+    codes = features.encode_pairs(df, vocab, 5, 2)
+    assert codes.first().input_ids == [32_101, 32_102, 32_103, 1, 0]
+    assert features.decode_ids(codes, vocab, "input_ids").first().text == " ".join(words[-3:])
+
+
 def test_decode_undoes_encode_for_known_words(spark):
     df = spark.createDataFrame([(1, "x y  z x", "z")], "id long, article string, highlights string")
     vocab = features.build_vocab(df)

@@ -43,3 +43,11 @@ def test_corpus(spark, rows):
     df = spark.createDataFrame(rows, "id long, side string, pos long, vec array<float>")
     row = matching.greedy_match_corpus(df).first()
     assert row.match_precision == pytest.approx(np.mean([v[0] for v in brute(rows).values()]), abs=1e-4)
+
+
+def test_positions_may_be_sparse_and_negative(spark):
+    g = np.random.default_rng(3)
+    rows = [(1, side, pos, g.normal(size=4).tolist()) for side in ("pred", "ref") for pos in (0, 10**9, -7)]
+    df = spark.createDataFrame(rows, "id long, side string, pos long, vec array<float>")
+    row = matching.greedy_match_score(df).first()
+    assert (row.precision, row.recall, row.f1) == pytest.approx(brute(rows)[1], abs=1e-5)

@@ -23,7 +23,6 @@ def test_drop_duplicates_takes_null_for_equal(spark):
     df = spark.createDataFrame([(1, "s", None, "x"), (2, "s", None, "x"), (3, "s", "x", None)],
                                "id long, split string, article string, highlights string")
     assert ids(dedup.drop_duplicates(df)) == [1, 3]
-    assert ids(dedup.drop_duplicates(df, store_ids=True)) == [1, 3]
 
 
 def test_dedup_is_stable_under_repartitioning(pairs_small):
@@ -49,7 +48,6 @@ def test_preprocess_flags(pairs_small):
     assert ids(preprocess(pairs_small, use_drop_duplicates=False)) == [1, 5, 6, 7]
     # Without null removal a null is cleaned as the text "nan", which is too short.
     assert ids(preprocess(pairs_small, use_drop_na=False)) == [1, 6, 7]
-    assert ids(preprocess(pairs_small, store_ids=True)) == [1, 6, 7]
     assert ids(preprocess(pairs_small, min_summary_chars=5, min_article_chars=1)) == [1, 4, 6, 7, 8]
 
 
@@ -88,10 +86,41 @@ def test_each_raw_pair_is_kept_at_most_once(spark):
     assert kept.groupBy("split", "article", "highlights").count().where("count > 1").count() == 0
 
 
-def test_no_text_in_the_dedup_shuffle(pairs_small):
-    plan = plan_of(dedup.first_ids(pairs_small))
-    exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
-    assert "article" not in exchange and "highlights" not in exchange
+@pytest.mark.parametrize("made", [dedup.drop_duplicates, preprocess])
+def test_no_text_in_the_dedup_shuffle(spark, pairs_small, made):
+    """With few repeated rows no exchange carries a text, whatever the broadcast limit for whole tables."""
+    seen = []
+    write = dedup.materialize
+
+    def spy(df, *args):
+        seen.append(plan_of(df))
+        return write(df, *args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(dedup, "materialize", spy)
+        df = made(pairs_small)
+    for plan in [*seen, plan_of(df)]:
+        for line in plan.splitlines():
+            assert "Exchange" not in line or ("article" not in line and "highlights" not in line)
+
+
+def test_rows_are_told_apart_without_ids(spark):
+    rows = [(7, "train", "x", "y"), (7, "train", "x", "y"), (0, "train", "a", "b"), (0, "test", "a", "b"), (1, "train", "a", "b"),
+            (None, "test", "n", "m"), (None, "test", "n", "m"), (None, "test", "o", "m")]
+    df = spark.createDataFrame(rows, "id long, split string, article string, highlights string")
+    kept = sorted((tuple(r) for r in dedup.drop_duplicates(df).collect()), key=str)
+    assert kept == sorted({rows[0], rows[2], rows[3], rows[5], rows[7]}, key=str)
+    assert dedup.drop_duplicates(df.drop("id")).count() == 5
+    assert dedup.drop_duplicates(df.drop("split"), within=()).count() == 4
+
+
+def test_no_split_column(pairs_small):
+    assert ids(preprocess(pairs_small.drop("split"))) == [1, 7]
+
+
+def test_repeated_rows_need_a_stored_number(pairs_small):
+    with pytest.raises(ValueError):
+        dedup.repeated_rows(pairs_small)
 
 
 def test_patterns_run_once_per_text(pairs_small):

@@ -217,3 +217,10 @@ def test_empty_reference_counts_as_zero_in_the_corpus(cases):
     assert rouge.rouge_corpus(cases.where("id in (1, 6)")).first().rouge1 == 50.0
     assert rouge.rouge_corpus(cases.where("id in (1, 5)")).first().rouge1 == 100.0
     assert rouge.rouge_rows(cases.where("id = 6")).first().rouge1 is None
+
+
+def test_one_tokenizer_for_all_scores(spark):
+    df = spark.createDataFrame([(1, "a b\nc d", "a\nb c e")], "id long, generated_summary string, reference_summary string")
+    by_text = rouge.rouge_n(df, 1, stem=False, separators=" ").first().f1
+    assert rouge.with_f1(df, stem=False, separators=" ").first().rouge1 == pytest.approx(by_text)
+    assert by_text == pytest.approx(0.75)

@@ -67,8 +67,20 @@ def test_plan_reads_ids_and_sorts_no_rows(rows):
     assert "TakeOrdered" not in plan and "NestedLoop" not in plan
 
 
-def test_top_k_through_buckets(spark, monkeypatch):
+def test_top_k_ranks_only_ties_at_the_cut(spark):
     counts = spark.range(500).selectExpr("concat('t', id) AS term", "id % 7 AS n")
-    direct = [tuple(r) for r in sampling.top_k(counts, 120).collect()]
-    monkeypatch.setattr(sampling, "DIRECT_TOP_K", 10)
-    assert [tuple(r) for r in sampling.top_k(counts, 120).collect()] == direct
+    want = sorted(((r.term, r.n) for r in counts.collect()), key=lambda x: (-x[1], x[0]))
+    for k in (1, 70, 120, 500, 900):
+        assert [tuple(r) for r in sampling.top_k(counts, k).collect()] == want[:k]
+
+
+@pytest.mark.parametrize("n", [0, 2, 7, 30, 100])
+def test_repeated_and_null_ids(spark, n):
+    rows = spark.range(30).selectExpr("CASE WHEN id < 12 THEN NULL ELSE id % 3 END AS id", "id AS x")
+    got = [r.x for r in sampling.sample_exact(rows, n).collect()]
+    assert len(got) == len(set(got)) == min(n, 30)
+
+
+def test_sizes_given_by_the_caller(rows):
+    counts = {r.split: r["count"] for r in sampling.load_subset(rows, {"train": 10, "validation": 0, "test": None}).groupBy("split").count().collect()}
+    assert counts == {"train": 10, "test": 500}

@@ -80,8 +80,7 @@ def test_run_preprocessing(spark, raw, tmp_path):
     assert counts == {"train": 1, "test": 1}
     kept = readers.read_split(spark, target, "train").first()
     assert kept.article.startswith("xxx") and kept.url == "u1"
-    with pytest.raises(FileNotFoundError):
-        readers.read_split(spark, target, "validation")
+    assert readers.read_split(spark, target, "validation").count() == 0
     with pytest.raises(ValueError):
         readers.read_split(spark, target, "dev")
     with pytest.raises(FileNotFoundError):
@@ -132,3 +131,28 @@ def test_single_text_with_and_without_reference(spark):
     df = spark.createDataFrame([(1, "One. Two.", "one"), (2, "One. Two.", None)], "id long, article string, reference_summary string")
     got = {r.id: r for r in scoring.summarize_single(df, generation.extractive_predictor(1)).collect()}
     assert got[1].generated_summary == "One." and got[1].rouge1 == 100.0 and got[2].rouge1 is None
+
+
+def test_the_file_in_the_folder_itself_wins(spark, tmp_path):
+    (tmp_path / "backup").mkdir()
+    (tmp_path / "old").mkdir()
+    (tmp_path / "train.csv").write_text("article,highlights\na,b\n")
+    (tmp_path / "backup" / "train.csv").write_text("article,highlights\n" + "c,d\n" * 9)
+    assert [r.article for r in readers.read_pairs_csv(spark, str(tmp_path)).collect()] == ["a"]
+    for folder in ("backup", "old"):
+        (tmp_path / folder / "test.csv").write_text("article,highlights\ne,f\n")
+    with pytest.raises(ValueError):
+        readers.read_pairs_csv(spark, str(tmp_path))
+
+
+def test_empty_and_none_like_summaries_are_returned(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("article\nx\ny\n")
+    made = lambda: lambda texts, **settings: ["" if t == "x" else "None" for t in texts]
+    out = scoring.summarize_csv(spark, str(tmp_path / "in.csv"), made, str(tmp_path / "out"))
+    assert {r.article: r.generated_summary for r in out.collect()} == {"x": "", "y": "None"}
+
+
+def test_run_profile(spark, raw, tmp_path):
+    made = scoring.run_profile(spark, raw, str(tmp_path / "profile")).first()
+    saved = json.loads(next((tmp_path / "profile").glob("part-*")).read_text())
+    assert saved["num_total_rows"] == made.num_total_rows == 5
