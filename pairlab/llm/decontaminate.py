@@ -6,10 +6,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, whole_text
-from pairlab.llm.words import rolling, word_hashes
+from pairlab.llm.words import mix, rolling
 
 WINDOW = 8
 SHORTEST = 4
@@ -29,51 +30,61 @@ LITERAL, NUM, NAME, UNIT = range(4)
 KINDS = np.array([0, 11, 22, 33], np.uint64)
 
 
-class _Forms(dict):
-    """Word to (literal, kind when inside a sentence, whether it ends one)."""
+def bare(word: str) -> str:
+    return EDGES.sub("", word)
 
-    def __missing__(self, word: str) -> tuple[str, int, bool]:
-        bare = EDGES.sub("", word)
+
+class _Codes(dict):
+    """Word to one number: 60 bits of the bare word's hash, its kind inside a sentence (2 bits), whether it ends a
+    sentence, whether nothing is left of it."""
+
+    def __missing__(self, word: str) -> int:
+        core = bare(word)
+        low = core.lower()
         kind = LITERAL
-        if NUMBER.match(bare):
+        if NUMBER.match(core):
             kind = NUM
-        elif bare.lower() in UNITS:
+        elif low in UNITS:
             kind = UNIT
-        elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+        elif len(core) > 1 and core[0].isupper() and core[1:].islower():
             kind = NAME
-        made = (bare.lower(), kind, word.rstrip("\"')]»”’")[-1:] in ".!?:;|")
+        ends = word.rstrip("\"')]»”’")[-1:] in ".!?:;|"
+        made = xxhash.xxh3_64_intdigest(low) >> 5 << 4 | kind << 2 | ends << 1 | (not core)
         if len(self) > CACHED_WORDS:
             self.clear()
         self[word] = made
         return made
 
 
-_forms = _Forms()
+_codes = _Codes()
 
 
-def template(text: str) -> tuple[list[str], np.ndarray]:
-    """(bare words, kinds): a capitalised word is a name inside a sentence only, a unit only after a number."""
-    words, kinds, start, before = [], [], True, LITERAL
+def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(words, value, kinds): a capitalised word is a name inside a sentence only, a unit only after a number."""
+    words, line_starts = [], []
     for line in text.split("\n"):
-        start = True
-        for bare, kind, ends in map(_forms.__getitem__, line.split()):
-            if bare:
-                if (kind == NAME and start) or (kind == UNIT and before != NUM):
-                    kind = LITERAL
-                words.append(bare)
-                kinds.append(kind)
-                before, start = kind, ends
-            else:
-                start = start or ends
-    return words, np.array(kinds, np.int8)
+        line_starts.append(len(words))
+        words += line.split()
+    codes = np.fromiter(map(_codes.__getitem__, words), np.int64, len(words))
+    marks = np.zeros(len(words) + 1, np.int64)  # sentence ends and line starts before each word
+    marks[1:] = codes >> 1 & 1
+    np.add.at(marks, line_starts, 1)
+    marks = np.cumsum(marks)
+    filled = np.flatnonzero(codes & 1 == 0)
+    codes, marks = codes[filled], marks[filled]
+    kinds = (codes >> 2 & 3).astype(np.int8)
+    start = np.diff(marks, prepend=-1) > 0
+    number_before = np.concatenate([[False], kinds[:-1] == NUM]) if len(kinds) else np.zeros(0, bool)
+    kinds[(kinds == NAME) & start | (kinds == UNIT) & ~number_before] = LITERAL
+    values = np.where(kinds == LITERAL, mix((codes >> 4).view(np.uint64)), KINDS[kinds])
+    return [words[k] for k in filled.tolist()] if len(filled) < len(words) else words, values, kinds
 
 
 def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, list[str], np.ndarray]]:
     """(width, hash of each template window or 0, words, kinds); a window needs literals in more than half its places."""
-    words, kinds = template(text)
+    words, values, kinds = template(text)
     if not words:
         return []
-    values = np.where(kinds == LITERAL, word_hashes([w.encode() for w in words]), KINDS[kinds])
     literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
     found = []
     for width in widths:
@@ -85,7 +96,7 @@ def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, list[st
 
 
 def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str]:
-    return [words[k] for k in range(at, at + width) if kinds[k] != LITERAL]
+    return [bare(words[k]).lower() for k in range(at, at + width) if kinds[k] != LITERAL]
 
 
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
