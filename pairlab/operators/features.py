@@ -17,15 +17,17 @@ VOCAB_SIZE = 32_000
 _ROW = "_pairlab_place"
 
 
-def build_vocab(df: DataFrame, cols: tuple[str, ...] = ("article", "highlights"), size: int = VOCAB_SIZE) -> DataFrame:
-    """(token, token_id, n): the ``size`` most frequent words, ids from 3 in order of (n desc, token).
+def build_vocab(
+    df: DataFrame, cols: tuple[str, ...] = ("article", "highlights"), size: int | None = VOCAB_SIZE
+) -> DataFrame:
+    """(token, token_id, n): the ``size`` most frequent words (None: all), ids from 3 in order of (n desc, token).
 
     Only the limited table is numbered in one task, never the word counts of the corpus.
     """
     texts = F.array_compact(F.array(*[F.col(c) for c in cols]))
     words = df.select(F.explode(F.flatten(F.transform(texts, text.words))).alias("token"))
     counts = words.groupBy("token").agg(F.count("*").alias("n"))
-    kept = top_k(counts, size, "token")
+    kept = counts if size is None else top_k(counts, size, "token")
     place = F.row_number().over(W.orderBy(F.desc("n"), "token"))
     return kept.select("token", (place + (FIRST_ID - 1)).cast("bigint").alias("token_id"), "n")
 

@@ -5,8 +5,30 @@ Each statement is put together from named WITH parts; all run over the whole tab
 
 from __future__ import annotations
 
-from pairlab.functions.stem import IRREGULAR, STEP_2, STEP_3, STEP_4
-from pairlab.functions.text import STOP_WORDS
+# Fixed values, written out here so that no table under test is its own check.
+STOP_WORDS = [
+    "the", "a", "an", "and", "of", "to", "in", "for", "on", "with", "is", "are", "was", "were", "be", "by", "at",
+    "as", "it", "this", "that", "from", "or", "has", "have", "had", "but", "not", "will", "would", "can", "could",
+    "said", "its", "his", "her", "they", "he", "she", "you", "your", "we", "our", "i",
+]
+IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news", "innings":
+    "inning", "inning": "inning", "outings": "outing", "outing": "outing", "cannings": "canning", "canning":
+    "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "bli": "ble", "alli": "al",
+    "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al",
+    "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble", "fulli":
+    "ful", "logi": "log",
+}
+STEP_3 = {
+    "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": "",
+}
+STEP_4 = [
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+    "iti", "ous", "ive", "ize",
+]
 
 WS = r"'\s+'"
 
@@ -372,6 +394,10 @@ ORACLES: dict[str, str] = {
     "decode_ids_large_vocab": with_parts(
         "pairs", f"""SELECT id, array_to_string({words("coalesce(article, 'nan')")}[1:511], ' ') AS text FROM pairs"""
     ),
+    "dash_runs": with_parts(
+        "pairs",
+        f"""SELECT id, {clean("replace(article, ' ', CASE WHEN id % 3 = 0 THEN ' --- ' ELSE '--' END)")} AS article FROM pairs""",
+    ),
     "clean_text": with_parts(
         "pairs", f"SELECT id, split, {clean('article')} AS article, {clean('highlights')} AS highlights FROM pairs"
     ),
@@ -587,3 +613,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'splits', split, CAST(count(*) AS VARCHAR) FROM pairs GROUP BY split""",
     ),
 }
+
+ORACLES["summarize_csv_roundtrip"] = ORACLES["summarize_extractive"]
+ORACLES["evaluate_table_subset"] = ORACLES["evaluate_table"].replace(
+    "SELECT * FROM processed WHERE split = 'test'", sampled("processed WHERE split = 'test'", 20)
+)

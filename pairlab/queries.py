@@ -77,7 +77,7 @@ def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vocabulary_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the table, numbered in order of frequency with a gap after each number."""
     table = pairs(spark, sf_dir)
-    vocab = features.build_vocab(table, size=1_000_000_000)
+    vocab = features.build_vocab(table, size=None)
     return vocab.withColumn("token_id", F.col("token_id") * 2 - features.FIRST_ID)
 
 
@@ -107,6 +107,26 @@ def processed_empty_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionAll(counts[1]).unionAll(counts[2])
 
 
+def dash_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning over texts whose blanks have become runs of dashes."""
+    dashed = F.replace(F.col("article"), F.lit(" "), F.when(F.col("id") % 3 == 0, " --- ").otherwise("--"))
+    return pairs(spark, sf_dir).select("id", cleaning.text.clean_text(dashed).alias("article"))
+
+
+def summarize_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, target = scratch_path(spark, "csv"), scratch_path(spark, "summaries")
+    sinks.write_csv(pairs(spark, sf_dir).select("id", "article"), source)
+    made = scoring.summarize_csv(spark, source, generation.extractive_predictor(), target)
+    return made.select(F.col("id").cast("bigint").alias("id"), "generated_summary")
+
+
+def evaluate_table_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = scoring.evaluate_table(
+        preprocess(pairs(spark, sf_dir)), generation.extractive_predictor(), preset={"test": None}, max_samples=20, latency=False
+    )
+    return rounded(results)
+
+
 def processed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preprocess, write one folder per split, read the three splits back."""
     folder = scratch_path(spark, "processed")
@@ -205,6 +225,9 @@ QUERIES: dict[str, Query] = {
     "decode_ids_large_vocab": decode_ids_large_vocab,
     "load_subset_sizes": load_subset_sizes,
     "processed_empty_split": processed_empty_split,
+    "dash_runs": dash_runs,
+    "summarize_csv_roundtrip": summarize_csv_roundtrip,
+    "evaluate_table_subset": evaluate_table_subset,
     "clean_text": lambda s, d: cleaning.clean_pairs(pairs(s, d)),
     "length_filter": lambda s, d: cleaning.length_filter(filled(s, d)),
     "preprocess_rows": lambda s, d: preprocess(pairs(s, d)),

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pairlab.oracles import ORACLES
 
 SF = os.environ.get("PAIRLAB_TEST_DATA", "/root/testdata/sf0.001")
 
@@ -40,7 +41,7 @@ def test_query(spark, duck, name):
 
 
 def test_integers_are_bigint_on_both_sides(spark, duck):
-    for name, sql in entry.oracle_sql().items():
+    for name, sql in ORACLES.items():
         kinds = {c[0]: str(c[1]) for c in duck.execute(f"DESCRIBE {sql}").fetchall()}
         ours = dict(entry.queries()[name](spark, SF).dtypes)
         wanted = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
