@@ -13,6 +13,7 @@ from pairlab.llm.words import LOWER, mix, rolling, word_hashes
 
 BANDS = 40
 ROWS = 5
+HUBS = 3
 _PROBES = mix(np.arange(1, 64 * BANDS * ROWS + 1, dtype=np.uint64)).reshape(64, BANDS * ROWS)
 
 
@@ -111,9 +112,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ``percent`` or more between their sets of ``width``-word shingles (A-Z in lower case).
 
     Texts with equal words are one node from the start. Nodes meet in the buckets of BANDS bands; in each bucket every
-    node is paired with the bucket's hub alone, so pairs are at most nodes x BANDS. Pairs are confirmed on full sets. A
-    bucket whose nodes do not all come together takes further nodes as hubs, three times as many as it had, against those
-    of other components, until each of its nodes has been hub or it is one component: no pair that shares a bucket goes
+    node is paired with the bucket's HUBS hubs alone, so pairs are at most nodes x BANDS x HUBS. Pairs are confirmed on
+    full sets. A bucket whose nodes do not all come together takes further nodes as hubs, seven times as many as it had,
+    against those of other components, until each of its nodes has been hub or it is one component: no pair that shares a bucket goes
     untested. Two texts at the
     threshold share no bucket with probability (1 - 0.8^5)^40, about 1e-7.
 
@@ -127,7 +128,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         repeated(nodes.select(F.explode("bands").alias("value"), "key"), "value", ["key"], place="place"), "members"
     )
     texts = stored(_texts(docs, id_column, text_column, members.select("key").distinct().join(nodes.drop("bands"), "key")), "texts")
-    tested, roots, low, high = None, None, 0, 1
+    tested, roots, low, high = None, None, 0, HUBS
     while members.take(1):
         # Hubs are few and spread over all buckets; each meets the members after it that are not joined to it yet.
         hubs = members.where(F.col("place").between(low, high - 1)).withColumnsRenamed({"key": "a", "place": "at"})
@@ -140,7 +141,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         tested = judged if tested is None else tested.union(judged)
         roots = stored(components(tested.where("linked").select("a", "b")), "roots")
         members = stored(_open_buckets(members, roots, high), "members")
-        low, high = high, 4 * high
+        low, high = high, 8 * high
     if roots is None:
         roots = docs.sparkSession.createDataFrame([], "node binary, root binary")
     least = nodes.select("key", "least").join(roots, F.col("key") == F.col("node"), "left").withColumn(
