@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import stored
 
+SALTS = 16
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of the links: the smallest node it is joined to, directly or over others.
@@ -20,7 +22,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # The hub of a large group is the end of many links: its rows are dealt over salts.
+        up = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+        spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        large = up.join(spread, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
