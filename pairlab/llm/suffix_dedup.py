@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, flat_bytes, map_batches
-from pairlab.llm.passages import Symbols, covered, union_of
+from pairlab.llm.passages import SLICE_BYTES, Symbols, covered, union_of
 from pairlab.llm.words import mix
 
 GRAM = 32
@@ -92,6 +92,20 @@ def columnwise(pieces: list[np.ndarray], anchors: np.ndarray, window: int) -> np
     return again
 
 
+def _found(docs: DataFrame, id_column: str, text_column: str, width: int, whole_rows: bool = False) -> DataFrame:
+    symbols = Symbols(_read, np.uint8, width, GRAM)
+    return covered(docs, id_column, text_column, symbols, lambda p, at: columnwise(p, at, width), whole_rows)
+
+
+def _texts_and_runs(batch: pa.RecordBatch, width: int) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Each text of a batch of ``covered`` with the maximal runs of bytes to remove."""
+    out = []
+    for text, whole, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "whole", "spans")), strict=True):
+        size = len(text.encode()) if whole else 0
+        out.append((text, [(0, size)] if size >= width else union_of([(s["a"], s["b"]) for s in spans or ()])))
+    return out
+
+
 def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 100) -> DataFrame:
     """(id, text, spans) per row: ``spans`` are the maximal runs of UTF-8 bytes of the text that are covered by strings of
     ``width`` bytes with an earlier start, in a document of smaller id or earlier in the same one.
@@ -99,22 +113,17 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     A null text is empty. Texts shorter than ``width`` have no spans. Strings never cross documents. Null and
     repeated ids: see ``passages.covered``. Empty tables give empty ones; other columns are not read.
     """
-    symbols = Symbols(_read, np.uint8, width, GRAM)
-    found = covered(docs, id_column, text_column, symbols, lambda pieces, at: columnwise(pieces, at, width))
     kind = docs.schema[id_column].dataType.simpleString()
     span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes = np.diff(flat_bytes(batch.column("text"))[1]).tolist()
-        out = []
-        for size, whole, spans in zip(sizes, batch.column("whole").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            runs = [(0, size)] if whole and size >= width else union_of([(s["a"], s["b"]) for s in spans or ()])
-            out.append([{"a": a, "b": b} for a, b in runs])
+        out = [[{"a": a, "b": b} for a, b in runs] for _, runs in _texts_and_runs(batch, width)]
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("text"), pa.array(out, span)], names=[id_column, "text", "spans"]
         )
 
-    return map_batches(found, work, f"`{id_column}` {kind}, text string, spans array<struct<a:int,b:int>>")
+    found = _found(docs, id_column, text_column, width)
+    return map_batches(found, work, f"`{id_column}` {kind}, text string, spans array<struct<a:int,b:int>>", SLICE_BYTES)
 
 
 def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -138,42 +147,38 @@ def kept_text(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def digest(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 100) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``repeated_bytes``."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) per row; edge cases as for ``repeated_bytes``."""
     kind = docs.schema[id_column].dataType.simpleString()
     fields = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for text, runs in _texts_and_runs(batch, width):
             raw = text.encode()
-            kept = kept_bytes(raw, [(s["a"], s["b"]) for s in spans])
-            rows.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+            kept = kept_bytes(raw, runs)
+            rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
         rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
-        return pa.RecordBatch.from_arrays([batch.column(0), *rest.columns], names=[id_column, *fields])
+        return pa.RecordBatch.from_arrays([batch.column("id"), *rest.columns], names=[id_column, *fields])
 
     return map_batches(
-        repeated_bytes(docs, id_column, text_column, width),
+        _found(docs, id_column, text_column, width),
         work,
         f"`{id_column}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+        SLICE_BYTES,
     )
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 100) -> DataFrame:
     """All rows and columns of ``docs``, the repeated spans taken out of the texts, characters kept whole. A null text
     stays null; edge cases as for ``repeated_bytes``."""
-    symbols = Symbols(_read, np.uint8, width, GRAM)
-    found = covered(docs, id_column, text_column, symbols, lambda p, at: columnwise(p, at, width), whole_rows=True)
+    found = _found(docs, id_column, text_column, width, whole_rows=True)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = []
-        for text, whole, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "whole", "spans")), strict=True):
-            size = len(text.encode()) if whole else 0
-            runs = [(0, size)] if size >= width else union_of([(s["a"], s["b"]) for s in spans or ()])
-            texts.append(kept_text(text, runs) if runs else text)
+        texts = [kept_text(text, runs) if runs else text for text, runs in _texts_and_runs(batch, width)]
         return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "kept"])
 
     schema = found.select("row", F.col("text").alias("kept")).schema
-    made = map_batches(found, work, schema)
+    made = map_batches(found, work, schema, SLICE_BYTES)
     return made.select(
         *(
             F.when(F.col(f"row.`{c}`").isNotNull(), F.col("kept")).alias(c) if c == text_column else F.col(f"row.`{c}`")
