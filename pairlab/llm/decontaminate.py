@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, whole_text
+from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, stored, whole_text
 from pairlab.llm.words import mix, rolling
 
 WINDOW = 8
@@ -139,6 +139,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     """
     spark = docs.sparkSession
     known = benchmark_windows(items, item_id_column, item_text_column).where(F.col("item_id").isNotNull())
+    known = stored(known, "benchmark-windows")
     widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # SHORTEST to WINDOW
     table = fixed_filter(known, "h")
     shared = spark.sparkContext.broadcast((table, widths))
@@ -163,7 +164,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         work,
         f"id {kind}, h long, width int, doc_slots array<string>",
     ).distinct()
-    joined = hits.join(known, ["h", "width"])
+    joined = stored(hits, "template-hits").join(known, ["h", "width"])
     windows_held = joined.groupBy("id", "item_id").agg(
         F.count_distinct("h", "slots").alias("held"), F.first("n_windows").alias("n_windows")
     )
