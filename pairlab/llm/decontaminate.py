@@ -15,6 +15,7 @@ from pairlab.llm.words import mix, rolling
 WINDOW = 8
 SHORTEST = 4
 COVERAGE = 0.6
+DRIFT = 16
 CACHED_WORDS = 500_000
 
 # Units that stand after numbers; fixed values.
@@ -100,9 +101,10 @@ def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str
 
 
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(item_id, h, n_windows, width, slots) of every template window of every item. An item shorter than a window is
-    one window of its own length; items under SHORTEST words have none: any text would hold them."""
-    fields = {"h": pa.int64(), "n_windows": pa.int64(), "width": pa.int32(), "slots": pa.list_(pa.string())}
+    """(item_id, h, n_windows, width, at, slots) of every template window of every item, ``at`` being its first word. An
+    item shorter than a window is one window of its own length; items under SHORTEST words have none: any text would
+    hold them."""
+    fields = {"h": pa.int64(), "n_windows": pa.int64(), "width": pa.int32(), "at": pa.int32(), "slots": pa.list_(pa.string())}
     kind = items.schema[id_column].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -115,7 +117,7 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
                 good = np.flatnonzero(hashes)
                 for at in good:
                     ids.append(k)
-                    rows.append((int(hashes[at].view(np.int64)), len(good), width, _slots(words, kinds, at, width)))
+                    rows.append((int(hashes[at].view(np.int64)), len(good), width, at, _slots(words, kinds, at, width)))
         if not rows:
             return None
         rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
@@ -124,7 +126,7 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
     return map_batches(
         items.select(id_column, whole_text(text_column).alias("text")),
         work,
-        f"item_id {kind}, h long, n_windows long, width int, slots array<string>",
+        f"item_id {kind}, h long, n_windows long, width int, at int, slots array<string>",
     )
 
 
@@ -132,10 +134,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
                  item_id_column: str = "item_id", item_text_column: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """(id, item_id, coverage, n_slots, n_conflicts) per document and benchmark item it holds.
 
-    An item counts as held when the document has at least ``coverage`` of its template windows, and the values in their
-    placeholders agree: each value of the item stands for one value of the document, but for a quarter at most. Null
-    texts and texts without words hold nothing and are no items; rows with a null id take no part; rows that share an id
-    are read as one document. Empty tables give an empty result; other columns are not read.
+    An item counts as held when one occurrence in the document has at least ``coverage`` of its template windows, and
+    the values in their placeholders are the item's own, or agree: each value of the item stands for one value of the
+    document, but for a quarter at most. An occurrence is what lies at one distance (place in the document minus place
+    in the item), at distances up to DRIFT words apart (words put in or left out), or the document as a whole; what is
+    given is that of the best one. Null texts and texts without words hold nothing and are no items; rows with a null id
+    take no part; rows that share an id are read as one document, each text having its own places. Empty tables give an
+    empty result; other columns are not read.
     """
     spark = docs.sparkSession
     known = benchmark_windows(items, item_id_column, item_text_column).where(F.col("item_id").isNotNull())
@@ -144,16 +149,18 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     table = fixed_filter(known, "h")
     shared = spark.sparkContext.broadcast((table, widths))
     kind = docs.schema[id_column].dataType.simpleString()
-    fields = {"h": pa.int64(), "width": pa.int32(), "doc_slots": pa.list_(pa.string())}
+    fields = {"h": pa.int64(), "width": pa.int32(), "part": pa.int64(), "doc_at": pa.int32(), "doc_slots": pa.list_(pa.string())}
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         bits, sizes = shared.value
         ids, rows = [], []
         for k, text in enumerate(batch.column(1).to_pylist()):
+            part = None
             for width, hashes, words, kinds in windows(text, sizes):
                 for at in np.flatnonzero(passes(bits, hashes) & (hashes != 0)):
+                    part = xxhash.xxh3_64_intdigest(text) >> 1 if part is None else part
                     ids.append(k)
-                    rows.append((int(hashes[at].view(np.int64)), width, _slots(words, kinds, at, width)))
+                    rows.append((int(hashes[at].view(np.int64)), width, part, at, _slots(words, kinds, at, width)))
         if not rows:
             return None
         rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
@@ -162,28 +169,55 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     hits = map_batches(
         docs.where(F.col(id_column).isNotNull()).select(id_column, whole_text(text_column).alias("text")),
         work,
-        f"id {kind}, h long, width int, doc_slots array<string>",
+        f"id {kind}, h long, width int, part long, doc_at int, doc_slots array<string>",
     ).distinct()
-    joined = stored(hits, "template-hits").join(known, ["h", "width"])
-    windows_held = joined.groupBy("id", "item_id").agg(
-        F.count_distinct("h", "slots").alias("held"), F.first("n_windows").alias("n_windows")
+    return (
+        _judged(stored(hits, "template-hits").join(known, ["h", "width"]), coverage)
+        .groupBy("id", "item_id")
+        .agg(F.max(F.struct("coverage", F.negative("n_conflicts").alias("rank"), "n_slots", "n_conflicts")).alias("best"))
+        .select(F.col("id").alias(id_column), "item_id", "best.coverage", "best.n_slots", "best.n_conflicts")
+    )
+
+
+def _judged(joined: DataFrame, coverage: float) -> DataFrame:
+    """(id, item_id, coverage, n_slots, n_conflicts) of each occurrence that counts."""
+    away = F.col("doc_at") - F.col("at")
+
+    def occurrence(what: int, part, number):
+        return F.struct(F.lit(what).alias("what"), part.alias("part"), number.cast("long").alias("number"))
+
+    part, none = F.col("part"), F.lit(0).cast("long")
+    placed = joined.withColumn("same", F.col("slots") == F.col("doc_slots")).withColumn(
+        "o",
+        F.explode(F.array(
+            occurrence(0, part, away),
+            # Two rows of stretches, each half a stretch off: distances up to DRIFT apart share one of them.
+            occurrence(1, part, F.floor(away / (2 * DRIFT))),
+            occurrence(2, part, F.floor((away + DRIFT) / (2 * DRIFT))),
+            occurrence(3, none, none),
+        )),
+    )
+    key = ["id", "item_id", "o"]
+    held = (
+        placed.groupBy(*key, "at").agg(F.max("same").alias("same"), F.first("n_windows").alias("n_windows"))
+        .groupBy(*key)
+        .agg(
+            (F.count("*") / F.first("n_windows")).alias("coverage"),
+            (F.count_if("same") / F.first("n_windows")).alias("plain"),
+        )
+        .where(F.col("coverage") >= coverage)
     )
     values = (
-        joined.select("id", "item_id", F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
-        .groupBy("id", "item_id", F.col("s.slots").alias("value"))
+        placed.select(*key, F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
+        .groupBy(*key, F.col("s.slots").alias("value"))
         .agg((F.min("s.doc_slots") != F.max("s.doc_slots")).alias("conflict"))
-        .groupBy("id", "item_id")
+        .groupBy(*key)
         .agg(F.count("*").alias("n_slots"), F.sum(F.col("conflict").cast("long")).alias("n_conflicts"))
     )
+    none = F.lit(0).cast("long")
     return (
-        windows_held.where(F.col("held") >= coverage * F.col("n_windows"))
-        .join(values, ["id", "item_id"], "left")
-        .select(
-            F.col("id").alias(id_column),
-            F.col("item_id").alias("item_id"),
-            F.least(F.lit(1.0), F.col("held") / F.col("n_windows")).alias("coverage"),
-            F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
-            F.coalesce("n_conflicts", F.lit(0)).alias("n_conflicts"),
-        )
-        .where(4 * F.col("n_conflicts") <= F.col("n_slots"))
+        held.join(values, key, "left")
+        .withColumns({"n_slots": F.coalesce("n_slots", none), "n_conflicts": F.coalesce("n_conflicts", none)})
+        .where((F.col("plain") >= coverage) | (4 * F.col("n_conflicts") <= F.col("n_slots")))
+        .drop("o", "plain")
     )
