@@ -10,10 +10,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, stored, whole_text
-from pairlab.llm.words import mix, rolling
+from pairlab.llm.words import mix
 
 WINDOW = 8
 SHORTEST = 4
+FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
 CACHED_WORDS = 500_000
@@ -61,7 +62,9 @@ _codes = _Codes()
 
 
 def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(words, value, kinds): a capitalised word is a name inside a sentence only, a unit only after a number."""
+    """(words, values, kinds), with a row of values and kinds for each reading: every word as it is; placeholders, a
+    capitalised word being a name inside a sentence only; placeholders, a capitalised word being a name everywhere. A
+    unit is one only after a number."""
     words, line_starts = [], []
     for line in text.split("\n"):
         line_starts.append(len(words))
@@ -73,26 +76,49 @@ def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     marks = np.cumsum(marks)
     filled = np.flatnonzero(codes & 1 == 0)
     codes, marks = codes[filled], marks[filled]
-    kinds = (codes >> 2 & 3).astype(np.int8)
+    kinds = np.zeros((3, len(codes)), np.int8)
+    kinds[1:] = codes >> 2 & 3
     start = np.diff(marks, prepend=-1) > 0
-    number_before = np.concatenate([[False], kinds[:-1] == NUM]) if len(kinds) else np.zeros(0, bool)
-    kinds[(kinds == NAME) & start | (kinds == UNIT) & ~number_before] = LITERAL
+    number_before = np.concatenate([[False], kinds[1, :-1] == NUM]) if len(codes) else np.zeros(0, bool)
+    kinds[1:, (kinds[1] == UNIT) & ~number_before] = LITERAL
+    kinds[1, (kinds[1] == NAME) & start] = LITERAL
     values = np.where(kinds == LITERAL, mix((codes >> 4).view(np.uint64)), KINDS[kinds])
     return [words[k] for k in filled.tolist()] if len(filled) < len(words) else words, values, kinds
 
 
-def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, list[str], np.ndarray]]:
-    """(width, hash of each template window or 0, words, kinds); a window needs literals in more than half its places."""
+def _runs(values: np.ndarray, width: int) -> np.ndarray:
+    """``rolling`` of each row, by doubling."""
+    factor, step, size, total = 0x9E3779B97F4A7C15, 1, 0, values
+    while True:
+        scale = np.uint64(factor)
+        if width & step:
+            total = total[:, : values.shape[1] - size] * scale + values[:, size:] if size else values
+            size += step
+        if 2 * step > width:
+            return mix(total)
+        values = values[:, :-step] * scale + values[:, step:]
+        factor, step = factor * factor % 2**64, 2 * step
+
+
+def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]]:
+    """(width, hashes, good, able, words, kinds), hashes and good with a row for each reading of ``template``.
+
+    Good tells which windows count in a reading: all as they are; with the first placeholders those with literals in more
+    than half their places (able), with the second those with FEWEST literals. What a reading has in common with one
+    before it counts once; windows of less than SHORTEST words count as they are only."""
     words, values, kinds = template(text)
-    if not words:
-        return []
-    literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+    literal = np.zeros((3, len(words) + 1), np.int64)
+    np.cumsum(kinds == LITERAL, axis=1, out=literal[:, 1:])
     found = []
     for width in widths:
-        hashes = rolling(values, width)
-        if len(hashes):
-            enough = 2 * (literal[width:] - literal[:-width]) > width
-            found.append((width, np.where(enough, hashes, 0).astype(np.uint64), words, kinds))
+        if width > len(words):
+            continue
+        n = literal[:, width:] - literal[:, :-width]
+        able = 2 * n[1] > width
+        good = np.stack([n[0] == width, able & (n[1] < width), (n[2] >= FEWEST) & (n[2] < np.where(able, n[1], width))])
+        if width < SHORTEST:
+            good[1:] = False
+        found.append((width, _runs(values, width), good, able, words, kinds))
     return found
 
 
@@ -101,23 +127,24 @@ def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str
 
 
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(item_id, h, n_windows, width, at, slots) of every template window of every item, ``at`` being its first word. An
-    item shorter than a window is one window of its own length; items under SHORTEST words have none: any text would
-    hold them."""
-    fields = {"h": pa.int64(), "n_windows": pa.int64(), "width": pa.int32(), "at": pa.int32(), "slots": pa.list_(pa.string())}
+    """(item_id, h, width, at, slots, able, n_windows, n_able) of every window of every item in each reading that counts,
+    ``at`` being its first word. An item shorter than a window is one window of its own length; items under SHORTEST
+    words are found word for word only."""
+    fields = {
+        "h": pa.int64(), "width": pa.int32(), "at": pa.int32(), "slots": pa.list_(pa.string()), "able": pa.bool_(),
+        "n_windows": pa.int64(), "n_able": pa.int64(),
+    }
     kind = items.schema[id_column].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         ids, rows = [], []
         for k, text in enumerate(batch.column(1).to_pylist()):
             n = len(template(text)[0])
-            if n < SHORTEST:
-                continue
-            for width, hashes, words, kinds in windows(text, [min(WINDOW, n)]):
-                good = np.flatnonzero(hashes)
-                for at in good:
+            for width, hashes, good, able, words, kinds in windows(text, [min(WINDOW, n)] if n else []):
+                for reading, at in zip(*np.nonzero(good), strict=True):
+                    h, slots = int(hashes[reading, at].view(np.int64)), _slots(words, kinds[reading], at, width)
                     ids.append(k)
-                    rows.append((int(hashes[at].view(np.int64)), len(good), width, at, _slots(words, kinds, at, width)))
+                    rows.append((h, width, at, slots, bool(able[at]), len(able), int(able.sum())))
         if not rows:
             return None
         rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
@@ -126,7 +153,7 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
     return map_batches(
         items.select(id_column, whole_text(text_column).alias("text")),
         work,
-        f"item_id {kind}, h long, n_windows long, width int, at int, slots array<string>",
+        f"item_id {kind}, h long, width int, at int, slots array<string>, able boolean, n_windows long, n_able long",
     )
 
 
@@ -134,9 +161,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
                  item_id_column: str = "item_id", item_text_column: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """(id, item_id, coverage, n_slots, n_conflicts) per document and benchmark item it holds.
 
-    An item counts as held when one occurrence in the document has at least ``coverage`` of its template windows, and
-    the values in their placeholders are the item's own, or agree: each value of the item stands for one value of the
-    document, but for a quarter at most. An occurrence is what lies at one distance (place in the document minus place
+    An item counts as held when one occurrence in the document has at least ``coverage`` of its windows, or of those with
+    literals in more than half their places, and the values in their placeholders are the item's own, or agree: each
+    value of the item stands for one value of the document, but for a quarter at most. Words at the start of a sentence
+    are read as names and as plain words. Items under SHORTEST words are held where they stand word for word. An occurrence is what lies at one distance (place in the document minus place
     in the item), at distances up to DRIFT words apart (words put in or left out), or the document as a whole; what is
     given is that of the best one. Null texts and texts without words hold nothing and are no items; rows with a null id
     take no part; rows that share an id are read as one document, each text having its own places. Empty tables give an
@@ -145,7 +173,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     spark = docs.sparkSession
     known = benchmark_windows(items, item_id_column, item_text_column).where(F.col("item_id").isNotNull())
     known = stored(known, "benchmark-windows")
-    widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # SHORTEST to WINDOW
+    widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # up to WINDOW
     table = fixed_filter(known, "h")
     shared = spark.sparkContext.broadcast((table, widths))
     kind = docs.schema[id_column].dataType.simpleString()
@@ -156,11 +184,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         ids, rows = [], []
         for k, text in enumerate(batch.column(1).to_pylist()):
             part = None
-            for width, hashes, words, kinds in windows(text, sizes):
-                for at in np.flatnonzero(passes(bits, hashes) & (hashes != 0)):
+            for width, hashes, good, _, words, kinds in windows(text, sizes):
+                places = np.flatnonzero(good)
+                made = hashes.ravel()[places]
+                hit = np.flatnonzero(passes(bits, made))
+                if width < SHORTEST:  # once in a text is enough
+                    hit = hit[np.unique(made[hit], return_index=True)[1]]
+                for i in hit.tolist():
                     part = xxhash.xxh3_64_intdigest(text) >> 1 if part is None else part
+                    reading, at = divmod(int(places[i]), hashes.shape[1])
                     ids.append(k)
-                    rows.append((int(hashes[at].view(np.int64)), width, part, at, _slots(words, kinds, at, width)))
+                    rows.append((int(made[i].view(np.int64)), width, part, at, _slots(words, kinds[reading], at, width)))
         if not rows:
             return None
         rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
@@ -199,10 +233,12 @@ def _judged(joined: DataFrame, coverage: float) -> DataFrame:
     )
     key = ["id", "item_id", "o"]
     held = (
-        placed.groupBy(*key, "at").agg(F.max("same").alias("same"), F.first("n_windows").alias("n_windows"))
+        placed.groupBy(*key, "at").agg(F.max("same").alias("same"), *(F.first(c).alias(c) for c in ("able", "n_windows", "n_able")))
         .groupBy(*key)
         .agg(
-            (F.count("*") / F.first("n_windows")).alias("coverage"),
+            F.greatest(
+                F.count("*") / F.first("n_windows"), F.count_if("able") / F.greatest(F.first("n_able"), F.lit(1))
+            ).alias("coverage"),
             (F.count_if("same") / F.first("n_windows")).alias("plain"),
         )
         .where(F.col("coverage") >= coverage)

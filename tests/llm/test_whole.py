@@ -18,3 +18,13 @@ def test_variants_of_a_held_item_hide_nothing(spark):
     years = " ".join(f"in {y} the price of one loaf of dark bread was {p} cents in the city." for y, p in ((2001, 5), (2002, 6)))
     docs = [f"{ITEM}. {twin}", f"{twin} {other}", years, f"so it was: {years} and {years.replace('6', '8')}"]
     assert held(spark, docs, [ITEM, years]) == {(0, 0), (1, 0), (2, 1), (3, 1)}
+
+
+def test_items_of_numbers_names_and_few_words(spark):
+    sums = "12 + 7 = 19 and 30 - 4 = 26 and 5 * 5 = 25"
+    table = "Berlin 3 km 40 kg Paris 4 km 55 kg Rome 6 km 70 kg Vienna 9 km 12 kg"
+    asked = "Tom buys {} red apples. Tom eats {} of them. How many of the red apples does Tom have left?"
+    items = [sums, table, asked.format(9, 2), "blue velvet umbrella"]
+    docs = [f"see {sums} there", f"as in this list: {table}", asked.format(7, 3).replace("Tom", "Anna"),
+            "a blue velvet umbrella stood there", "a blue umbrella of velvet, 12 + 8 = 20, Berlin 4 km 41 kg Paris 5 km"]
+    assert held(spark, docs, items) == {(0, 0), (1, 1), (2, 2), (3, 3)}
