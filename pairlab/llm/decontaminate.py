@@ -17,6 +17,7 @@ SHORTEST = 4
 FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
+PASSAGE = 13
 CACHED_WORDS = 500_000
 
 # Units that stand after numbers; fixed values.
@@ -105,7 +106,7 @@ def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, np.ndar
 
     Good tells which windows count in a reading: all as they are; with the first placeholders those with literals in more
     than half their places (able), with the second those with FEWEST literals. What a reading has in common with one
-    before it counts once; windows of less than SHORTEST words count as they are only."""
+    before it counts once; windows of less than SHORTEST words, and passages, count as they are only."""
     words, values, kinds = template(text)
     literal = np.zeros((3, len(words) + 1), np.int64)
     np.cumsum(kinds == LITERAL, axis=1, out=literal[:, 1:])
@@ -116,9 +117,11 @@ def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, np.ndar
         n = literal[:, width:] - literal[:, :-width]
         able = 2 * n[1] > width
         good = np.stack([n[0] == width, able & (n[1] < width), (n[2] >= FEWEST) & (n[2] < np.where(able, n[1], width))])
-        if width < SHORTEST:
-            good[1:] = False
-        found.append((width, _runs(values, width), good, able, words, kinds))
+        if width < SHORTEST or width == PASSAGE:
+            good, values_of = good[:1], values[:1]
+        else:
+            values_of = values
+        found.append((width, _runs(values_of, width), good, able, words, kinds))
     return found
 
 
@@ -129,7 +132,7 @@ def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
     """(item_id, h, width, at, slots, able, n_windows, n_able) of every window of every item in each reading that counts,
     ``at`` being its first word. An item shorter than a window is one window of its own length; items under SHORTEST
-    words are found word for word only."""
+    words are found word for word only. Windows of PASSAGE words are those of which one is enough."""
     fields = {
         "h": pa.int64(), "width": pa.int32(), "at": pa.int32(), "slots": pa.list_(pa.string()), "able": pa.bool_(),
         "n_windows": pa.int64(), "n_able": pa.int64(),
@@ -140,7 +143,7 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
         ids, rows = [], []
         for k, text in enumerate(batch.column(1).to_pylist()):
             n = len(template(text)[0])
-            for width, hashes, good, able, words, kinds in windows(text, [min(WINDOW, n)] if n else []):
+            for width, hashes, good, able, words, kinds in windows(text, [min(WINDOW, n), PASSAGE] if n else []):
                 for reading, at in zip(*np.nonzero(good), strict=True):
                     h, slots = int(hashes[reading, at].view(np.int64)), _slots(words, kinds[reading], at, width)
                     ids.append(k)
@@ -164,7 +167,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     An item counts as held when one occurrence in the document has at least ``coverage`` of its windows, or of those with
     literals in more than half their places, and the values in their placeholders are the item's own, or agree: each
     value of the item stands for one value of the document, but for a quarter at most. Words at the start of a sentence
-    are read as names and as plain words. Items under SHORTEST words are held where they stand word for word. An occurrence is what lies at one distance (place in the document minus place
+    are read as names and as plain words. Items under SHORTEST words are held where they stand word for word, and any
+    item of which PASSAGE words in a row do. An occurrence is what lies at one distance (place in the document minus place
     in the item), at distances up to DRIFT words apart (words put in or left out), or the document as a whole; what is
     given is that of the best one. Null texts and texts without words hold nothing and are no items; rows with a null id
     take no part; rows that share an id are read as one document, each text having its own places. Empty tables give an
@@ -173,7 +177,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     spark = docs.sparkSession
     known = benchmark_windows(items, item_id_column, item_text_column).where(F.col("item_id").isNotNull())
     known = stored(known, "benchmark-windows")
-    widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # up to WINDOW
+    widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # up to WINDOW, and PASSAGE
     table = fixed_filter(known, "h")
     shared = spark.sparkContext.broadcast((table, widths))
     kind = docs.schema[id_column].dataType.simpleString()
@@ -188,7 +192,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
                 places = np.flatnonzero(good)
                 made = hashes.ravel()[places]
                 hit = np.flatnonzero(passes(bits, made))
-                if width < SHORTEST:  # once in a text is enough
+                if width < SHORTEST or width == PASSAGE:  # once in a text is enough
                     hit = hit[np.unique(made[hit], return_index=True)[1]]
                 for i in hit.tolist():
                     part = xxhash.xxh3_64_intdigest(text) >> 1 if part is None else part
@@ -205,16 +209,19 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         work,
         f"id {kind}, h long, width int, part long, doc_at int, doc_slots array<string>",
     ).distinct()
+    joined = stored(hits, "template-hits").join(known, ["h", "width"])
+    passage = F.col("width") == PASSAGE
+    passages = joined.where(passage).select("id", "item_id").distinct()
     return (
-        _judged(stored(hits, "template-hits").join(known, ["h", "width"]), coverage)
+        _judged(joined.where(~passage), passages, coverage)
         .groupBy("id", "item_id")
         .agg(F.max(F.struct("coverage", F.negative("n_conflicts").alias("rank"), "n_slots", "n_conflicts")).alias("best"))
         .select(F.col("id").alias(id_column), "item_id", "best.coverage", "best.n_slots", "best.n_conflicts")
     )
 
 
-def _judged(joined: DataFrame, coverage: float) -> DataFrame:
-    """(id, item_id, coverage, n_slots, n_conflicts) of each occurrence that counts."""
+def _judged(joined: DataFrame, passages: DataFrame, coverage: float) -> DataFrame:
+    """(id, item_id, coverage, n_slots, n_conflicts) of each occurrence that counts; all do where a passage is held."""
     away = F.col("doc_at") - F.col("at")
 
     def occurrence(what: int, part, number):
@@ -241,7 +248,8 @@ def _judged(joined: DataFrame, coverage: float) -> DataFrame:
             ).alias("coverage"),
             (F.count_if("same") / F.first("n_windows")).alias("plain"),
         )
-        .where(F.col("coverage") >= coverage)
+        .join(passages.withColumn("passage", F.lit(True)), ["id", "item_id"], "left")
+        .where((F.col("coverage") >= coverage) | F.col("passage"))
     )
     values = (
         placed.select(*key, F.explode(F.arrays_zip("slots", "doc_slots")).alias("s"))
@@ -254,6 +262,6 @@ def _judged(joined: DataFrame, coverage: float) -> DataFrame:
     return (
         held.join(values, key, "left")
         .withColumns({"n_slots": F.coalesce("n_slots", none), "n_conflicts": F.coalesce("n_conflicts", none)})
-        .where((F.col("plain") >= coverage) | (4 * F.col("n_conflicts") <= F.col("n_slots")))
-        .drop("o", "plain")
+        .where(F.col("passage") | (F.col("plain") >= coverage) | (4 * F.col("n_conflicts") <= F.col("n_slots")))
+        .drop("o", "plain", "passage")
     )

@@ -28,3 +28,11 @@ def test_items_of_numbers_names_and_few_words(spark):
     docs = [f"see {sums} there", f"as in this list: {table}", asked.format(7, 3).replace("Tom", "Anna"),
             "a blue velvet umbrella stood there", "a blue umbrella of velvet, 12 + 8 = 20, Berlin 4 km 41 kg Paris 5 km"]
     assert held(spark, docs, items) == {(0, 0), (1, 1), (2, 2), (3, 3)}
+
+
+def test_passages_and_items_that_repeat_themselves(spark):
+    long = ITEM + " " + " ".join(f"word{k} follows word{k + 1} in the list" for k in range(10))
+    line = "the ferry to the far island leaves once a day at dawn. "
+    words = long.split()
+    docs = ["so " + " ".join(words[5:35]) + " end", "so " + " ".join(words[5:17]) + " end", line * 3, "x " + " ".join(words[3:16]) + " y"]
+    assert held(spark, docs, [long, line * 3]) == {(0, 0), (2, 1), (3, 0)}
