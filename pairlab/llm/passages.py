@@ -106,7 +106,7 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
         shared = spark.sparkContext.broadcast(fixed_filter(table.select(key.alias("at")), "at"))
         return lambda batch: passes(shared.value, batch.column("at").to_numpy())
 
-    leading = known.select("id", "text", F.xxhash64("id", "x").alias("at"))
+    leading = known.select("id", "x", "text", F.xxhash64("id", "x").alias("at"))
     is_first = among(firsts, F.xxhash64("id", "own"))
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -116,16 +116,19 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
         if not len(h):
             return None
         rest = batch_of({"h": pa.int64(), "place": pa.int64()}, h, start << 32 | size << 16 | anchor)
-        return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), *rest.columns], names=["id", "h", "place"])
+        own = [batch.column(c).take(pa.array(doc)) for c in ("id", "x")]
+        return pa.RecordBatch.from_arrays([*own, *rest.columns], names=["id", "x", "h", "place"])
 
-    again = repeated(map_batches(leading, find, f"id {kind}, h long, place long", SLICE_BYTES), "h", [])
-    flagged = stored(again.groupBy("id").agg(F.collect_list(F.struct("h", "place")).alias("places")), "flagged")
-    is_flagged = among(flagged.join(firsts, "id"), F.xxhash64("id", "own"))
+    again = repeated(map_batches(leading, find, f"id {kind}, x long, h long, place long", SLICE_BYTES), "h", [])
+    places = again.groupBy("id", "x").agg(F.collect_list(F.struct("h", "place")).alias("places"))
+    # Other texts of an id that passed the filter by chance end here.
+    flagged = stored(places.join(firsts.withColumnRenamed("own", "x"), ["id", "x"]), "flagged")
+    is_flagged = among(flagged, F.xxhash64("id", "x"))
 
     def keep_flagged(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(is_flagged(batch))).select(["id", "text"])
+        return batch.filter(pa.array(is_flagged(batch))).select(["id", "x", "text"])
 
-    moved = map_batches(leading, keep_flagged, f"id {kind}, text string")
+    moved = map_batches(leading, keep_flagged, f"id {kind}, x long, text string")
     place = {"h": pa.int64(), "start": pa.int32(), "n": pa.int32(), "anchor": pa.int32()}
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -144,7 +147,7 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
         )
 
     pieces = map_batches(
-        moved.join(flagged, "id"), cut, f"id {kind}, h long, start int, n int, anchor int, piece binary", SLICE_BYTES
+        moved.join(flagged, ["id", "x"]).select("id", "text", "places"), cut, f"id {kind}, h long, start int, n int, anchor int, piece binary", SLICE_BYTES
     )
     leads = (
         pieces.groupBy("h", F.md5("piece").alias("d"), "anchor")
@@ -174,6 +177,7 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
     leads_of = F.coalesce("leads", nothing.cast("array<int>"))
     spans = flagged.join(led, "id", "left").select(
         "id",
+        F.col("x").alias("own"),
         F.concat(
             F.coalesce("spans", nothing.cast(pair)),
             F.transform(
@@ -183,7 +187,7 @@ def covered(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
     )
     copies = known.select("id").distinct().join(firsts, "id", "left_anti")
     marks = stored(
-        spans.where(F.size("spans") > 0).join(firsts, "id").select("id", "own", F.lit(False).alias("whole"), "spans").unionAll(
+        spans.where(F.size("spans") > 0).select("id", "own", F.lit(False).alias("whole"), "spans").unionAll(
             copies.select("id", F.lit(None).cast("long"), F.lit(True), F.lit(None).cast(pair))
         ),
         "marks",

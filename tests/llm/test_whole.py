@@ -1,8 +1,9 @@
 """Cases in which an operator once did less than the whole job."""
 
+import numpy as np
 import pytest
 
-from pairlab.llm import decontaminate
+from pairlab.llm import decontaminate, fm_dedup, passages, suffix_dedup
 
 ITEM = "a farmer in the valley sold 12 baskets of ripe apples to every visitor and 5 crates of plums to the old mill"
 
@@ -36,3 +37,15 @@ def test_passages_and_items_that_repeat_themselves(spark):
     words = long.split()
     docs = ["so " + " ".join(words[5:35]) + " end", "so " + " ".join(words[5:17]) + " end", line * 3, "x " + " ".join(words[3:16]) + " y"]
     assert held(spark, docs, [long, line * 3]) == {(0, 0), (2, 1), (3, 0)}
+
+
+@pytest.mark.parametrize("digest", [suffix_dedup.digest, fm_dedup.digest])
+def test_texts_of_one_id_are_told_apart_without_the_filter(spark, monkeypatch, digest):
+    """Filters that let all pass change nothing: each text is cut at its own places only."""
+    fill = [" ".join(f"w{s}n{k}" for k in range(40)) for s in range(5)]
+    rows = [(1, f"{fill[0]} {ITEM} {ITEM}"), (2, f"{fill[1]} {ITEM} {fill[2]}"), (2, f"{ITEM} {fill[3]} {fill[3]}"),
+            (2, f"{fill[4]} x {ITEM} {fill[4]}"), (3, f"{fill[2]} y {fill[3]}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, digest(df).collect()))
+    monkeypatch.setattr(passages, "fixed_filter", lambda *_: np.full(1, 2**64 - 1, np.uint64))
+    assert sorted(map(tuple, digest(df).collect())) == want
