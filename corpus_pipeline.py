@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality, near duplicates, repeated passages, benchmark items, tokens.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; all but the last return the
-columns of ``documents``. Rows without an id pass the filters untouched, as they can't be told apart.
+columns of ``documents``. Near duplicates are told apart by row, whatever their ids; the other filters leave rows without
+an id untouched.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairlab.llm import bpe, decontaminate, minhash, quality, suffix_dedup
 from pairlab.session import ship
+from pairlab.sources.scratch import ROW, materialize, with_stored_rows
 
 # No SQL can express the classifier, near-duplicate groups or the tokenizer; tests hold each stage against a plain version.
 ORACLE_SQL = None
@@ -27,11 +29,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id (words in runs of five, 0.8)."""
+    """One row of each group of near duplicates: that of the smallest id, the first of its rows (words in runs of five,
+    0.8). Rows without an id come last."""
     ship(spark)
-    groups = minhash.near_duplicates(docs, width=5, percent=80)
-    gone = groups.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = with_stored_rows(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
+    groups = minhash.near_duplicates(rows.select(order.alias("place"), "text"), "place", width=5, percent=80)
+    gone = groups.where("NOT kept").select(F.col("place.row").alias(ROW))
+    return rows.join(gone, ROW, "left_anti").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,6 +76,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{k}")
     return docs

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from pairlab.llm import decontaminate, fm_dedup, passages, suffix_dedup
 
 ITEM = "a farmer in the valley sold 12 baskets of ripe apples to every visitor and 5 crates of plums to the old mill"
@@ -49,3 +50,13 @@ def test_texts_of_one_id_are_told_apart_without_the_filter(spark, monkeypatch, d
     want = sorted(map(tuple, digest(df).collect()))
     monkeypatch.setattr(passages, "fixed_filter", lambda *_: np.full(1, 2**64 - 1, np.uint64))
     assert sorted(map(tuple, digest(df).collect())) == want
+
+
+def test_near_duplicates_are_told_apart_by_row(spark):
+    """Whole repeated rows, different texts under one id, and rows without an id."""
+    one, two, three = (" ".join(f"{s}{k}" for k in range(60)) for s in "abc")
+    rows = [(1, one), (1, one), (1, one), (2, one + " end"), (2, two), (3, two), (None, three), (None, three), (None, two), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, one), (2, two), (None, three), (4, None)], key=str)
