@@ -25,6 +25,7 @@ UNWANTED = {
     "svg", "canvas", "object", "audio", "video", "head", "search",
 }
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SECTIONS = {"div", "section"}
 PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "#text"}
 UNWANTED_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|popup|modal|cookies?|consent|gdpr|notices?|"
@@ -33,6 +34,8 @@ UNWANTED_NAMES = re.compile(
     r"search|pagination|pager|widget|toolbar|skip|hidden)(?:$|[\s_-])",
     re.I,
 )
+# Names that only say what the page has beside the element, or which builder made it.
+BESIDE = re.compile(r"(?<![^\s_-])(?:has|no|without|with|elementor)-[\w-]+|(?<![^\s_])[\w]+-(?:open|closed)(?!\S)", re.I)
 UNWANTED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu", "form"}
 TAG = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S
@@ -42,22 +45,31 @@ SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "attributes", "parent", "children", "score", "unwanted", "length", "linked")
+    __slots__ = ("name", "attributes", "parent", "children", "score", "unwanted", "doubtful", "length", "linked")
 
     def __init__(self, name: str, attributes: str, parent: Node | None):
         self.name, self.attributes, self.parent = name, attributes, parent
         self.children: list[Node | str] = []
         self.score, self.length, self.linked = 0.0, 0, 0
         self.unwanted = name in UNWANTED or name in RAW
-        if attributes and not self.unwanted and name not in ("html", "body", "article", "main"):
-            self.unwanted = _unwanted_attributes(attributes)
+        self.doubtful = name == "form"  # unwanted, unless the page's text stands in it
+        if attributes and (self.doubtful or not self.unwanted) and name not in ("html", "body", "article", "main"):
+            if _unwanted_attributes(attributes):
+                self.unwanted, self.doubtful = True, False
+            elif not self.unwanted and _unwanted_names(attributes):
+                self.unwanted = self.doubtful = True
+
+
+def _unwanted_names(text: str) -> bool:
+    return any(
+        name.lower() in ("class", "id") and UNWANTED_NAMES.search(BESIDE.sub(" ", value.strip("\"'")))
+        for name, value in ATTRIBUTE.findall(text)
+    )
 
 
 def _unwanted_attributes(text: str) -> bool:
     for name, value in ATTRIBUTE.findall(text):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and UNWANTED_NAMES.search(value):
-            return True
         if name == "hidden" or (name == "role" and value.lower() in UNWANTED_ROLES):
             return True
         if (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
@@ -124,6 +136,47 @@ def _leave(node: Node, names: set[str], opened: dict[str, int], fence: set[str])
     return node
 
 
+def _clear(root: Node) -> None:
+    """Containers of the page's text are wanted, whatever their names: those with most of its paragraph text outside
+    other doubtful elements, or with an article or main and more of it than all that stands in no doubtful element.
+    Where an article or main stands in none, only containers of most of the text with another one are."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        if node.unwanted and not node.doubtful:
+            continue
+        order.append((node, inside))
+        inside = inside or node.unwanted
+        stack.extend((c, inside) for c in node.children if isinstance(c, Node))
+    if not any(node.doubtful and node.unwanted for node, _ in order):
+        return
+    text, holds, outside, whole, beside = {}, set(), 0, 0, False
+    for node, inside in reversed(order):
+        linked = node.name == "a"
+        own = 0 if linked else sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        own = own if node.name in PARAGRAPHS or own >= 25 else 0
+        below = [c for c in node.children if isinstance(c, Node) and c in text and not c.unwanted]
+        text[node] = own + sum(text[c] for c in below)
+        whole += own
+        outside += 0 if inside or node.unwanted else own
+        if node.name in ("article", "main") and text[node] and not _unwanted_names(node.attributes):
+            holds.add(node)
+            beside |= not inside
+        elif any(c in holds for c in node.children if isinstance(c, Node)):
+            holds.add(node)
+    for node, _ in reversed(order):
+        if not node.unwanted:
+            continue
+        below = sum(text[c] for c in node.children if isinstance(c, Node) and c in text and not c.unwanted)
+        kept = max(text[node], below)
+        most = 2 * kept > whole
+        if (most and (node in holds or not beside)) or (node in holds and not beside and kept > outside):
+            at = node
+            while at is not None:
+                at.unwanted = at.unwanted and not at.doubtful
+                at = at.parent
+
+
 def _walk(root: Node) -> list[Node]:
     """Wanted elements in page order, without recursion: pages can be nested deeply."""
     order, stack = [], [root]
@@ -143,6 +196,7 @@ def main_node(root: Node) -> list[Node]:
     its grandparent half, further ancestors a share that falls with their distance. A container's points are discounted by the share
     of its text that stands in links.
     """
+    _clear(root)
     order = _walk(root)
     for node in reversed(order):
         for child in node.children:
@@ -185,7 +239,8 @@ def main_node(root: Node) -> list[Node]:
             continue
         density = sibling.linked / sibling.length if sibling.length else 0
         if sibling is best or sibling.score * (1 - density) >= max(10, 0.2 * most) or (
-            best.name not in ("article", "main") and sibling.name in PARAGRAPHS and sibling.length > 80 and density < 0.25
+            best.name not in ("article", "main") and (sibling.name in PARAGRAPHS or sibling.name in SECTIONS and sibling.score)
+            and sibling.length > 80 and density < 0.25
         ) or (best.name not in ("article", "main") and sibling.name in HEADINGS and sibling.length):
             kept.append(sibling)
     return kept

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pairlab.llm import decontaminate, fm_dedup, passages, suffix_dedup
+from pairlab.llm import decontaminate, fm_dedup, html, passages, suffix_dedup
 
 ITEM = "a farmer in the valley sold 12 baskets of ripe apples to every visitor and 5 crates of plums to the old mill"
 
@@ -60,3 +60,21 @@ def test_near_duplicates_are_told_apart_by_row(spark):
     got = corpus_pipeline.near_duplicates(spark, df, "")
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, one), (2, two), (None, three), (4, None)], key=str)
+
+
+@pytest.mark.parametrize("opened", [
+    '<div class="content has-sidebar">', '<div class="no-sidebar content-area">', '<div class="post hentry comments-open">',
+    '<div class="elementor-widget-text">', '<div class="site-header-fixed page">', "<form>",
+    '<div class="site-header-fixed page"><article>', '<div class="with-sidebar social"><form><div class="page-widget">',
+])
+def test_containers_of_the_article_stay(opened):
+    text = ["First words, and more of them. " * 9, "Second words, and more of them. " * 9]
+    comments = '<div class="comments"><p>' + "A comment, by a reader. " * 9 + "</p></div>"
+    page = "<body><nav><a href=/>Menu</a></nav>" + opened + "".join(f"<p>{t}</p>" for t in text) + comments
+    assert html.main_text(page).split("\n") == [t.strip() for t in text]
+
+
+def test_short_sections_of_the_article_stay():
+    long, short = "Long words, and more of them. " * 30, "One short section without much in it. " * 8
+    page = f"<body><div><p>{long}</p><p>{long}</p></div><section><p>{short}</p></section><div><p><a href=x>{short}</a></p></div>"
+    assert html.main_text(page).split("\n") == [long.strip(), long.strip(), short.strip()]
