@@ -26,9 +26,10 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, slice_bytes):
-                made = work(part)
+                made = work(part) if part.num_rows else None
                 if made is not None and made.num_rows:
                     yield made
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

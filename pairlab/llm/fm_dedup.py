@@ -10,16 +10,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, map_batches
 from pairlab.llm.passages import Symbols, covered, union_of
-from pairlab.llm.words import word_hashes
+from pairlab.llm.words import hashed_words
 
 GRAM = 8
 STREAM = 1 << 16
 
 
 def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words = [t.encode().split() for t in texts.to_pylist()]
-    offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-    values = word_hashes([w for row in words for w in row])
+    values, offsets = hashed_words(texts)
     return values, offsets, values
 
 

@@ -5,37 +5,41 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, parts, passes, repeated, stored, whole_text
+from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, repeated, stored, whole_text
 from pairlab.llm.components import components
-from pairlab.llm.words import LOWER, mix, rolling, word_hashes
+from pairlab.llm.words import hashed_words, mix, rolling
 
 BANDS = 40
 ROWS = 5
 HUBS = 3
+SLICE_BYTES = 2 << 20
 _PROBES = mix(np.arange(1, 64 * BANDS * ROWS + 1, dtype=np.uint64)).reshape(64, BANDS * ROWS)
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(LOWER).split()
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text's word hashes; a shorter text is one shingle, a text without words
+    none."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    return np.unique(rolling(words, min(width, len(words))) + np.uint64(min(width, len(words)) == width))
 
 
-def shingles(words: list[bytes], width: int) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles; a shorter text is one shingle, a text without words none."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(rolling(word_hashes(words), min(width, len(words))) + np.uint64(min(width, len(words)) == width))
+def text_key(words: np.ndarray) -> bytes:
+    """128-bit digest of a word sequence."""
+    return xxhash.xxh3_128_digest(words.tobytes())
 
 
 def signature(found: np.ndarray, bins: int = BANDS * ROWS) -> np.ndarray:
     """One-permutation MinHash: the least hash in each bin. An empty bin asks the bins that a hash of its own number
     and of the attempt names, until one of them is filled; equal bins ask in equal order, so they borrow alike."""
-    hashes = mix(found)
-    least = np.full(bins, np.iinfo(np.uint64).max, np.uint64)
-    which = (hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)
-    np.minimum.at(least, which.astype(np.int64), hashes)
-    filled = np.bincount(which.astype(np.int64), minlength=bins) > 0
+    hashes = np.sort(mix(found))
+    # Bins rise with the hashes, so the first hash of a bin is its least.
+    which = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    first = np.searchsorted(which, np.arange(bins + 1))
+    filled = first[1:] > first[:-1]
+    least = np.append(hashes, np.uint64(0))[first[:-1]]
     made = least.copy()
     empty = np.flatnonzero(~filled)
     attempt = 0
@@ -56,15 +60,15 @@ def _sets(docs: DataFrame, id_column: str, text_column: str, width: int) -> Data
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, keys, bands = [], [], []
-        for text in batch.column(1).to_pylist():
-            words = words_of(text)
+        values, offsets = hashed_words(batch.column(1), lower=True)
+        for words in np.split(values, offsets[1:-1]):
             found = shingles(words, width)
             sizes.append(len(found))
             if not len(found):
                 keys.append(None)
                 bands.append([])
                 continue
-            keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
+            keys.append(text_key(words))
             rows = signature(found).reshape(BANDS, ROWS)
             total = np.arange(BANDS, dtype=np.uint64)
             for k in range(ROWS):
@@ -77,33 +81,90 @@ def _sets(docs: DataFrame, id_column: str, text_column: str, width: int) -> Data
         docs.select(id_column, whole_text(text_column).alias("text")),
         work,
         f"id {kind}, n_shingles long, key binary, bands array<long>",
+        SLICE_BYTES,
     )
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b, linked) of candidate pairs of keys, judged on the full shingle sets of both texts."""
-
-    def judge(batches):
-        held: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
-        for whole in batches:
-            for batch in parts(whole):
-                linked = []
-                keys, a_texts, b_texts = (batch.column(c).to_pylist() for c in ("a", "a_text", "b_text"))
-                for key, a, b in zip(keys, a_texts, b_texts, strict=True):
-                    if held[0] != key:
-                        held = (key, shingles(words_of(a), width))
-                    other = shingles(words_of(b), width)
-                    both = len(np.intersect1d(held[1], other, assume_unique=True))
-                    linked.append(100 * both >= percent * (len(held[1]) + len(other) - both))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
-                )
-
-    first = texts.select(F.col("key").alias("a"), F.col("text").alias("a_text"))
-    second = texts.select(F.col("key").alias("b"), F.col("text").alias("b_text"))
-    return pairs.join(second, "b").join(first, "a").select("a", "b", "a_text", "b_text").mapInArrow(
-        judge, "a binary, b binary, linked boolean"
+def _sets_of(docs: DataFrame, id_column: str, text_column: str, wanted: DataFrame, width: int) -> DataFrame:
+    """(key, items) of the wanted (key, least id) rows: the whole shingle set, once per key."""
+    wanted = wanted.withColumn("place", _place("key"))
+    shared = docs.sparkSession.sparkContext.broadcast(fixed_filter(wanted, "place"))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        values, offsets = hashed_words(batch.column(1), lower=True)
+        words = np.split(values, offsets[1:-1])
+        keys = [text_key(w) for w in words]
+        places = np.array([int.from_bytes(k[:7], "big") for k in keys], np.int64)
+        keep = np.flatnonzero(passes(shared.value, places))
+        if not len(keep):
+            return None
+        found = [shingles(words[k], width).view(np.int64) for k in keep.tolist()]
+        ends = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+        items = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+        own = [pa.array(keys, pa.binary()).take(pa.array(keep)), batch.column(0).take(pa.array(keep))]
+        return pa.RecordBatch.from_arrays([*own, items], names=["key", "id", "items"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    found = map_batches(
+        docs.select(id_column, whole_text(text_column).alias("text")), work, f"key binary, id {kind}, items array<long>", SLICE_BYTES
     )
+    same = (found["key"] == wanted["key"]) & found["id"].eqNullSafe(wanted["least"])
+    return found.join(wanted, same, "left_semi").dropDuplicates(["key"]).select("key", "items")
+
+
+def _place(key: str) -> Column:
+    """The first 56 bits of a binary key as a number."""
+    return F.conv(F.substring(F.hex(key), 1, 14), 16, 10).cast("long")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (a, b, ...) whose full sets are alike enough."""
+    first = sets.select(F.col("key").alias("a"), F.col("items").alias("a_items"))
+    second = sets.select(F.col("key").alias("b"), F.col("items").alias("b_items"))
+    both = F.size(F.array_intersect("a_items", "b_items"))
+    judged = pairs.join(second, "b").join(first, "a").withColumn("both", both)
+    alike = F.expr(f"100L * both >= {percent}L * (size(a_items) + size(b_items) - both)")
+    return judged.where(alike).select(pairs.columns)
+
+
+def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The (key, root) table after further links (a_root, b_root) between its components."""
+    further = components(links, "a_root", "b_root").select(F.col("node").alias("root"), F.col("root").alias("upper"))
+    return roots.join(further, "root", "left").select("key", F.coalesce("upper", "root").alias("root"))
+
+
+def _lengths_fit(percent: int) -> str:
+    return f"100L * least(a_n, b_n) >= {percent}L * greatest(a_n, b_n)"
+
+
+def _rare_shingles(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(item, key, n, at, alone): the rarest shingles of each set that two linked sets cannot both miss.
+
+    In an order common to all sets, here by frequency among them, two sets of which one has n elements share one of its
+    first n - ceil(n * percent / 100) + 1. Shingles of one set alone come first in it and are only counted (``alone``);
+    ``at`` is a shingle's place.
+    """
+    held = keys.join(sets, "key").select("key", F.size("items").alias("n"), F.explode("items").alias("item"))
+    counts = held.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    # A set's own shingles: its size bounds the list.
+    common = F.sort_array(F.collect_list(F.struct("df", "item"))).alias("common")
+    ranked = held.join(counts, "item").groupBy("key", "n").agg(common).withColumn("alone", F.expr("n - size(common)"))
+    first = F.expr(f"slice(common, 1, greatest(0, n - int(({percent}L * n + 99) div 100) + 1 - alone))")
+    return ranked.select("key", "n", "alone", F.posexplode(first).alias("at", "entry")).select(
+        F.col("entry.item").alias("item"), "key", "n", (F.col("at") + F.col("alone")).alias("at"), "alone"
+    )
+
+
+def _placed_pairs(left: DataFrame, right: DataFrame, percent: int, once: str = "true") -> DataFrame:
+    """Distinct pairs (a, b, a_root, b_root) of rows with a shingle in common that can reach the threshold: lengths fit, and
+    what may follow the shared shingle in both sets is enough."""
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("item", F.col("key").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in rows.columns if c not in ("item", "key")])
+
+    enough = f"{100 + percent}L * least(a_n - a_at, b_n - b_at) >= {percent}L * (a_n + b_n)"
+    met = side(left, "a").join(side(right, "b"), "item").where(f"a_root <> b_root AND {once} AND {_lengths_fit(percent)} AND {enough}")
+    return met.select("a", "b", "a_root", "b_root").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5,
@@ -113,44 +174,57 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Texts with equal words are one node from the start. Nodes meet in the buckets of BANDS bands; in each bucket every
     node is paired with the bucket's HUBS hubs alone, so pairs are at most nodes x BANDS x HUBS. Pairs are confirmed on
-    full sets. A bucket whose nodes do not all come together takes further nodes as hubs, seven times as many as it had,
-    against those of other components, until each of its nodes has been hub or it is one component: no pair that shares a bucket goes
-    untested. Two texts at the
-    threshold share no bucket with probability (1 - 0.8^5)^40, about 1e-7.
+    full sets. Nodes of buckets that do not come together whole are keyed again by their rare shingles, of which linked
+    sets always share one: under each, every node is paired with one hub, the node with the fewest shingles of its own;
+    what is then still apart from its hub is paired with the other components under the same shingle, as far as lengths
+    and places allow a link. No pair that shares a bucket and can be a link goes untested. Two texts at the threshold share
+    no bucket with probability (1 - 0.8^5)^40, about 1e-7.
 
     Null and empty texts and texts without words have 0 shingles and only themselves. Rows with equal ids are separate
     rows, joined where their texts are; a null id is never a component's smallest while another one exists. Empty
     tables give empty ones; other columns are not read.
     """
-    sets = stored(_sets(docs, id_column, text_column, width), "shingle-sets")
-    nodes = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
-    members = stored(
-        repeated(nodes.select(F.explode("bands").alias("value"), "key"), "value", ["key"], place="place"), "members"
+    signed = stored(_sets(docs, id_column, text_column, width), "shingle-sets")
+    nodes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min("id").alias("least"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")
     )
-    texts = stored(_texts(docs, id_column, text_column, members.select("key").distinct().join(nodes.drop("bands"), "key")), "texts")
-    tested, roots, low, high = None, None, 0, HUBS
-    while members.take(1):
-        # Hubs are few and spread over all buckets; each meets the members after it that are not joined to it yet.
-        hubs = members.where(F.col("place").between(low, high - 1)).withColumnsRenamed({"key": "a", "place": "at"})
-        pairs = members.join(hubs.drop("root") if roots is None else hubs.withColumnRenamed("root", "a_root"), "value")
-        pairs = pairs.where("place > at" if roots is None else "place > at AND root <> a_root")
-        pairs = pairs.select("a", F.col("key").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        judged = stored(_confirmed(pairs, texts, width, percent), "judged")
-        tested = judged if tested is None else tested.union(judged)
-        roots = stored(components(tested.where("linked").select("a", "b")), "roots")
-        members = stored(_open_buckets(members, roots, high), "members")
-        low, high = high, 8 * high
-    if roots is None:
-        roots = docs.sparkSession.createDataFrame([], "node binary, root binary")
-    least = nodes.select("key", "least").join(roots, F.col("key") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("root", "key")
+    members = stored(
+        repeated(nodes.select(F.explode("bands").alias("value"), "key", "n"), "value", ["key"], place="place"), "members"
     )
+    known = members.select("key").distinct()
+    sets = stored(_sets_of(docs, id_column, text_column, known.join(nodes.select("key", "least"), "key"), width), "sets")
+
+    # Hubs are few and spread over all buckets; each meets the members after it.
+    hubs = members.where(F.col("place") < HUBS).select("value", F.col("key").alias("a"), F.col("n").alias("a_n"), F.col("place").alias("at"))
+    pairs = members.withColumnsRenamed({"key": "b", "n": "b_n"}).join(hubs, "value").where(f"place > at AND {_lengths_fit(percent)}")
+    linked = stored(_confirmed(pairs.select("a", "b").distinct(), sets, percent), "linked")
+    found = components(linked).withColumnRenamed("node", "key")
+    roots = stored(known.join(found, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "roots")
+
+    opened = members.join(roots, "key").groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    keys = members.join(opened, "value", "left_semi").select("key").distinct()
+    rare = stored(_rare_shingles(keys, sets, percent), "rare-shingles")
+    for last in (False, True):
+        if not rare.take(1):
+            break
+        rooted = rare.join(roots, "key")
+        hub = F.min(F.struct((F.col("alone") / F.col("n")).alias("own"), "key", "n", "at", "root")).alias("hub")
+        groups = rooted.groupBy("item").agg(hub, F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        groups = stored(groups.select("item", "hub.key", "hub.n", "hub.at", "hub.root"), "hubs")
+        if not last:
+            pairs = _placed_pairs(groups, rooted, percent)
+        else:
+            # Nodes outside their hub's component against all others, each two of them once.
+            around = rooted.join(groups.select("item", F.col("root").alias("hub"), F.col("key").alias("tried")), "item")
+            pairs = _placed_pairs(around.where("root <> hub"), around.where("key <> tried"), percent, "(b_hub = b_root OR a < b)")
+        linked = stored(_confirmed(pairs, sets, percent).select("a_root", "b_root"), "linked")
+        roots = stored(_joined_roots(roots, linked), "roots")
+
+    least = nodes.select("key", "least").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = least.groupBy("root").agg(F.min("least").alias("component_id"))
     by_key = stored(least.join(smallest, "root").select("key", "component_id"), "components")
     return (
-        sets.select("id", "n_shingles", "key")
+        signed.select("id", "n_shingles", "key")
         .join(by_key.where("component_id IS NOT NULL"), "key", "left")
         .withColumn("component_id", F.coalesce("component_id", "id"))
         .select(
@@ -160,45 +234,3 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
         )
     )
-
-
-def _open_buckets(members: DataFrame, roots: DataFrame, done: int) -> DataFrame:
-    """Members, with their components, of the buckets that hold more than one component and, besides the last, a member
-    that has not been hub."""
-    known = members.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "value", "key", "place", F.coalesce("root", "key").alias("root")
-    )
-    opened = (
-        known.groupBy("value")
-        .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("place").alias("end"))
-        .where((F.col("least") != F.col("most")) & (F.col("end") > done))
-    )
-    return known.join(opened.select("value"), "value")
-
-
-def _texts(docs: DataFrame, id_column: str, text_column: str, wanted: DataFrame) -> DataFrame:
-    """(key, text) of the wanted (key, least id) rows, one text each."""
-    wanted = wanted.withColumn("place", _place("key"))
-    shared = docs.sparkSession.sparkContext.broadcast(fixed_filter(wanted, "place"))
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        keys = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) for t in batch.column(1).to_pylist()]
-        places = np.array([int.from_bytes(k[:7], "big") for k in keys], np.int64)
-        keep = pa.array(np.flatnonzero(passes(shared.value, places)))
-        if not len(keep):
-            return None
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()).take(keep), *(c.take(keep) for c in batch.columns)], names=["key", "id", "text"]
-        )
-
-    kind = docs.schema[id_column].dataType.simpleString()
-    found = map_batches(
-        docs.select(id_column, whole_text(text_column).alias("text")), work, f"key binary, id {kind}, text string"
-    )
-    same = (found["key"] == wanted["key"]) & found["id"].eqNullSafe(wanted["least"])
-    return found.join(wanted, same, "left_semi").dropDuplicates(["key"])
-
-
-def _place(key: str):
-    """The first 56 bits of a binary key as a number."""
-    return F.conv(F.substring(F.hex(key), 1, 14), 16, 10).cast("long")

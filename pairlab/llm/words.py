@@ -1,37 +1,68 @@
-"""Words of texts as numpy arrays, each distinct word worked out once."""
+"""Words of texts as numpy arrays of hashes, without an object per word."""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+
+from pairlab.llm.arrow import flat_bytes
 
-CACHED_WORDS = 500_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+SEGMENT = 1 << 19
 
 
-class Hashes(dict):
-    """Word (bytes) to its 64-bit hash as a signed integer."""
+def mix(x: np.ndarray) -> np.ndarray:
+    """Bits of 64-bit integers well mixed; the finaliser of a published generator (splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    def __missing__(self, word: bytes) -> int:
-        made = int.from_bytes(xxhash.xxh3_64_digest(word), "big", signed=True)
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        self[word] = made
-        return made
 
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+_LOWERED = _BYTES[list(LOWER)]
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
-_hashes = Hashes()
 
+def _powers(base: int, n: int) -> np.ndarray:
+    made = np.full(n, base, np.uint64)
+    made[:1] = 1
+    return np.cumprod(made, dtype=np.uint64)
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
+_UP, _DOWN = _powers(_BASE, SEGMENT), _powers(_INVERSE, SEGMENT)
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Bits of 64-bit integers well mixed; the finaliser of a published generator (splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+
+def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, n + 1 offsets) of the runs without ASCII white space of an array of texts without nulls; with
+    ``lower``, A-Z count as a-z.
+
+    A word's hash is a polynomial over random numbers of its bytes, read off running sums of the batch, so it is the same
+    wherever the word stands. Sums run over segments of bounded size.
+    """
+    flat, offsets = flat_bytes(texts)
+    solid = ~_SPACE[flat]
+    # A word starts after a blank or at a text's first byte, and ends before a blank or at a text's last byte.
+    before, after = np.concatenate([[True], ~solid])[:-1], np.concatenate([~solid, [True]])[1:]
+    before[offsets[offsets < len(flat)]] = True
+    after[offsets[offsets > 0] - 1] = True
+    starts, ends = np.flatnonzero(solid & before), np.flatnonzero(solid & after) + 1
+    table = _LOWERED if lower else _BYTES
+    values = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        base = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, base + SEGMENT, "right")))
+        piece = flat[base : ends[j - 1]]
+        up, down = (_UP, _DOWN) if len(piece) <= SEGMENT else (_powers(_BASE, len(piece)), _powers(_INVERSE, len(piece)))
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(table[piece] * up[: len(piece)], out=sums[1:])
+        a, b = starts[i:j] - base, ends[i:j] - base
+        values[i:j] = (sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)
+        i = j
+    return mix(values), np.searchsorted(starts, offsets).astype(np.int64)
 
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
