@@ -33,7 +33,13 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Make the package importable in the Python workers, as ``spark-submit --py-files`` would; once per application."""
+    """Make the package importable in the Python workers, as ``spark-submit --py-files`` would; once per application.
+
+    A session that others made gets the library's bound on the rows of an Arrow batch too.
+    """
+    bound = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(bound)) <= int(SETTINGS[bound]):
+        spark.conf.set(bound, SETTINGS[bound])
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         archive = shutil.make_archive(
