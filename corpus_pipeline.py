@@ -47,22 +47,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, plain or with other numbers, names or units."""
+    """Documents that hold no benchmark item, plain or with other numbers, names or units. Each row is judged by its own
+    text, whatever its id."""
     ship(spark)
-    held = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(held.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    rows = with_stored_rows(docs)
+    held = decontaminate.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ROW)
+    return rows.join(held.select(ROW).distinct(), ROW, "left_anti").select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256) of what is left."""
     ship(spark)
-    encoded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return encoded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digest(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True).drop("ids_sha256")
 
 
 STAGES = [

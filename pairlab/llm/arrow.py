@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairlab.sources.scratch import materialize
 
 BATCH_BYTES = 8 << 20
-FILTER_BITS = 1 << 24
+FILTER_BITS, FILTER_SHARE = 1 << 28, 16
 
 
 def whole_text(name: str) -> Column:
@@ -19,9 +20,18 @@ def whole_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at a task's end: workers are used again by other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
-                slice_bytes: int = BATCH_BYTES) -> DataFrame:
-    """One batch of about ``slice_bytes`` in, one batch (or none) out."""
+                slice_bytes: int = BATCH_BYTES, after: Callable[[], None] | None = None) -> DataFrame:
+    """One batch of about ``slice_bytes`` in, one batch (or none) out. ``after`` runs at a task's end, to drop what the work
+    has put aside in the worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -29,7 +39,9 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
                 made = work(part) if part.num_rows else None
                 if made is not None and made.num_rows:
                     yield made
-        pa.default_memory_pool().release_unused()
+        if after is not None:
+            after()
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -107,9 +119,12 @@ def repeated(df: DataFrame, key: str, order: list[str], place: str | None = None
     return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, out)
 
 
-def fixed_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of ``bits`` bits with the bit of each long value set. It has one size however many values there are, so
-    it may be broadcast; what passes it by chance has to be dropped by a join afterwards."""
+def sized_filter(df: DataFrame, column: str) -> np.ndarray:
+    """A bitmap with the bit of each long value of a stored table set: FILTER_SHARE bits per value, up to FILTER_BITS, so it
+    may be broadcast. Beyond FILTER_BITS / FILTER_SHARE values it lets more pass; what passes it by chance has to be dropped
+    by a join afterwards."""
+    wanted = FILTER_SHARE * df.count()
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (wanted - 1).bit_length()))
     word = F.pmod(F.col(column), F.lit(bits))
     rows = (
         df.select(F.floor(word / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (word % 64).cast("int")).alias("bit"))

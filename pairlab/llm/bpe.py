@@ -8,18 +8,21 @@ import struct
 import unicodedata
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from pairlab.llm.arrow import batch_of, map_batches, whole_text
 from pairlab.llm.token_counts import byte_symbols
+from pairlab.llm.words import Recent
 
 # The published pattern of this tokenizer's words; a fixed value.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-CACHED_WORDS = 500_000
-LONG_WORD = 64
+CACHED_WORDS, CACHED_CHUNKS = 150_000, 100_000
+SLICE_BYTES = 2 << 20
 
 
 class WordBpe:
@@ -34,70 +37,73 @@ class WordBpe:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings |= {i: s for s, i in self.specials.items()}
         self.end = model["end_of_word_suffix"]
-        self.merges = {}
+        # A pair of symbols, as one number, to the rank of its merge and the symbol it makes.
+        self.pairs: dict[int, int] = {}
         for rank, (left, right) in enumerate(model["merges"]):
-            self.merges.setdefault((left, right), rank)
-        self.symbols = byte_symbols()
+            pair = self.vocab[left] << 16 | self.vocab[right]
+            self.pairs.setdefault(pair, rank << 16 | self.vocab[left + right])
+        if len(self.vocab) + 512 > 1 << 16:
+            raise ValueError("symbols are numbered in 16 bits")
+        # Bytes as symbols, inside a word and at its end; those that the vocabulary lacks get numbers beyond it.
+        symbols = byte_symbols()
+        self.unknown = max(self.vocab.values()) + 1
+        self.inside = [self.vocab.get(symbols[b], self.unknown + b) for b in range(256)]
+        self.final = [self.vocab.get(symbols[b] + self.end, self.unknown + 256 + b) for b in range(256)]
         self.split = regex.compile(WORDS)
+        self.sign = commonprefix(list(self.specials))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes]] = {"": (b"", b"")}
+        self.words = Recent(self._word, CACHED_WORDS)
+        self.chunks = Recent(self._chunk, CACHED_CHUNKS)
 
-    def merge(self, symbols: list[str]) -> list[str]:
+    def merge(self, symbols: list[int]) -> list[int]:
         """Join the pair of lowest rank, leftmost first, until no pair has a rank.
 
-        Symbols form a doubly linked list; the queue holds (rank, place of the left symbol, the pair's strings). An
-        entry is stale, and skipped, when its pair no longer stands at its place.
+        Symbols form a doubly linked list; the queue holds rank, made symbol and place of the left symbol as one number. An
+        entry is stale, and skipped, when the pair at its place is no longer the one it was made for.
         """
-        n, ranks = len(symbols), self.merges
+        n, pairs = len(symbols), self.pairs
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
         queue = [
-            (rank, k, symbols[k], symbols[k + 1])
-            for k in range(n - 1)
-            if (rank := ranks.get((symbols[k], symbols[k + 1]))) is not None
+            found << 32 | k for k in range(n - 1) if (found := pairs.get(symbols[k] << 16 | symbols[k + 1])) is not None
         ]
         heapify(queue)
         while queue:
-            _, k, first, second = heappop(queue)
+            entry = heappop(queue)
+            k, found = entry & 0xFFFFFFFF, entry >> 32
             after = right[k]
-            if after < 0 or symbols[k] != first or symbols[after] != second:
+            if after < 0 or pairs.get(symbols[k] << 16 | symbols[after]) != found:
                 continue
-            symbols[k] = joined = first + second
-            symbols[after] = ""
+            symbols[k] = joined = found & 0xFFFF
+            symbols[after] = -1
             right[k] = beyond = right[after]
             right[after] = -1
             if beyond >= 0:
                 left[beyond] = k
-                rank = ranks.get((joined, symbols[beyond]))
-                if rank is not None:
-                    heappush(queue, (rank, k, joined, symbols[beyond]))
+                found = pairs.get(joined << 16 | symbols[beyond])
+                if found is not None:
+                    heappush(queue, found << 32 | k)
             before = left[k]
             if before >= 0:
-                rank = ranks.get((symbols[before], joined))
-                if rank is not None:
-                    heappush(queue, (rank, before, symbols[before], joined))
-        return [s for s in symbols if s]
-
-    def encode_word(self, word: str) -> list[int]:
-        found = self.words.get(word)
-        if found is None:
-            symbols = [self.symbols[b] for b in word.encode()]
-            symbols[-1] += self.end
-            vocab = self.vocab
-            found = [vocab[s] for s in self.merge([s for s in symbols if s in vocab])]
-            if len(word) <= LONG_WORD:
-                self.words[word] = found
-        return found
+                found = pairs.get(symbols[before] << 16 | joined)
+                if found is not None:
+                    heappush(queue, found << 32 | before)
+        return [s for s in symbols if s >= 0]
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        raw, inside = word.encode(), self.inside
+        symbols = [inside[b] for b in raw]
+        symbols[-1] = self.final[raw[-1]]
+        return tuple(s for s in self.merge(symbols) if s < self.unknown)
 
     def encode_part(self, part: str) -> list[int]:
         """Ids of a text without special tokens. The lower case is that of each character alone: a capital sigma at a
         word's end is no exception."""
         normal = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
-        return [i for word in self.split.findall(normal.lower()) for i in self.encode_word(word)]
+        return [i for word in self.split.findall(normal.lower()) for i in self.words[word]]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; special tokens in it become their ids."""
-        if not any(s in text for s in self.specials):
+        if self.sign not in text or not any(s in text for s in self.specials):
             return self.encode_part(text)
         return [
             i
@@ -109,25 +115,19 @@ class WordBpe:
         """The vocabulary's strings, one space between tokens; this tokenizer declares no decoder that joins them."""
         return " ".join(self.strings[i] for i in ids)
 
+    def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
+        ids = self.encode(chunk)
+        return np.array(ids, "<u4").tobytes(), self.decode(ids).encode()
+
+    def forget(self) -> None:
+        """Drop the words and chunks worked out so far."""
+        self.words.forget()
+        self.chunks.forget()
+
     def encode_chunks(self, text: str) -> tuple[bytes, bytes]:
         """(ids as little-endian unsigned 32-bit integers, decoded text as UTF-8). No token crosses a space, so each
-        distinct chunk between spaces is worked out once."""
-        chunks = text.split(" ")
-        try:
-            pairs = list(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            if len(self.chunks) > CACHED_WORDS or len(self.words) > CACHED_WORDS:
-                self.words.clear()
-                self.chunks = {"": (b"", b"")}
-            pairs = []
-            for chunk in chunks:
-                pair = self.chunks.get(chunk)
-                if pair is None:
-                    ids = self.encode(chunk)
-                    pair = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids).encode())
-                    if len(chunk) <= LONG_WORD:
-                        self.chunks[chunk] = pair
-                pairs.append(pair)
+        distinct chunk between spaces is worked out once while it is in use."""
+        pairs = list(map(self.chunks.__getitem__, text.split(" ")))
         return b"".join([p[0] for p in pairs]), b" ".join([p[1] for p in pairs if p[1]])
 
 
@@ -156,6 +156,8 @@ def encode(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str
         df.select(id_column, whole_text(text_column).alias("text")),
         work,
         f"`{id_column}` {kind.simpleString()}, ids binary, decoded string",
+        SLICE_BYTES,
+        lambda: codec(path).forget(),
     )
 
 
@@ -171,23 +173,32 @@ def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str
     return map_batches(df.select(id_column, ids_column), work, f"`{id_column}` {kind.simpleString()}, decoded string")
 
 
-def digest(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) per row: ``encode`` reduced to digests where it is made, so that
-    neither ids nor decoded texts leave the worker. Edge cases as for ``encode``."""
+def digest(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) per row: ``encode`` reduced to digests where it is made, so that decoded
+    texts never leave the worker; with ``keep_ids`` also the ids. Edge cases as for ``encode``."""
     kind = df.schema[id_column].dataType
-    fields = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    fields = {"n_tokens": pa.int64(), "ids": pa.binary(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    if not keep_ids:
+        del fields["ids"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = codec(path)
-        rows = []
+        columns: dict[str, list] = {name: [] for name in fields}
         for text in batch.column(1).to_pylist():
             ids, decoded = made.encode_chunks(text)
-            rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-        rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
+            columns["n_tokens"].append(len(ids) // 4)
+            columns["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
+            columns["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
+            if keep_ids:
+                columns["ids"].append(ids)
+        rest = batch_of(fields, *columns.values())
         return pa.RecordBatch.from_arrays([batch.column(0), *rest.columns], names=[id_column, *fields])
 
+    sql = {pa.int64(): "long", pa.binary(): "binary", pa.string(): "string"}
     return map_batches(
         df.select(id_column, whole_text(text_column).alias("text")),
         work,
-        f"`{id_column}` {kind.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        ", ".join([f"`{id_column}` {kind.simpleString()}", *(f"{name} {sql[t]}" for name, t in fields.items())]),
+        SLICE_BYTES,
+        lambda: codec(path).forget(),
     )

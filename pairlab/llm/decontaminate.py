@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, stored, whole_text
+from pairlab.llm.arrow import batch_of, sized_filter, map_batches, passes, stored, whole_text
 from pairlab.llm.words import mix
 
 WINDOW = 8
@@ -18,7 +18,8 @@ FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
 PASSAGE = 13
-CACHED_WORDS = 500_000
+CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+SLICE_BYTES = 2 << 20
 
 # Units that stand after numbers; fixed values.
 UNITS = set(
@@ -53,9 +54,10 @@ class _Codes(dict):
             kind = NAME
         ends = word.rstrip("\"')]»”’")[-1:] in ".!?:;|"
         made = xxhash.xxh3_64_intdigest(low) >> 5 << 4 | kind << 2 | ends << 1 | (not core)
-        if len(self) > CACHED_WORDS:
+        if len(self) >= CACHED_WORDS:
             self.clear()
-        self[word] = made
+        if len(word) <= CACHED_LENGTH:
+            self[word] = made
         return made
 
 
@@ -178,7 +180,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
     known = benchmark_windows(items, item_id_column, item_text_column).where(F.col("item_id").isNotNull())
     known = stored(known, "benchmark-windows")
     widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # up to WINDOW, and PASSAGE
-    table = fixed_filter(known, "h")
+    table = sized_filter(known, "h")
     shared = spark.sparkContext.broadcast((table, widths))
     kind = docs.schema[id_column].dataType.simpleString()
     fields = {"h": pa.int64(), "width": pa.int32(), "part": pa.int64(), "doc_at": pa.int32(), "doc_slots": pa.list_(pa.string())}
@@ -208,6 +210,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         docs.where(F.col(id_column).isNotNull()).select(id_column, whole_text(text_column).alias("text")),
         work,
         f"id {kind}, h long, width int, part long, doc_at int, doc_slots array<string>",
+        SLICE_BYTES,
+        _codes.clear,
     ).distinct()
     joined = stored(hits, "template-hits").join(known, ["h", "width"])
     passage = F.col("width") == PASSAGE

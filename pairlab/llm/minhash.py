@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairlab.llm.arrow import batch_of, fixed_filter, map_batches, passes, repeated, stored, whole_text
+from pairlab.llm.arrow import batch_of, sized_filter, map_batches, passes, repeated, stored, whole_text
 from pairlab.llm.components import components
 from pairlab.llm.words import hashed_words, mix, rolling
 
@@ -87,8 +87,8 @@ def _sets(docs: DataFrame, id_column: str, text_column: str, width: int) -> Data
 
 def _sets_of(docs: DataFrame, id_column: str, text_column: str, wanted: DataFrame, width: int) -> DataFrame:
     """(key, items) of the wanted (key, least id) rows: the whole shingle set, once per key."""
-    wanted = wanted.withColumn("place", _place("key"))
-    shared = docs.sparkSession.sparkContext.broadcast(fixed_filter(wanted, "place"))
+    wanted = stored(wanted.withColumn("place", _place("key")), "wanted-keys")
+    shared = docs.sparkSession.sparkContext.broadcast(sized_filter(wanted, "place"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         values, offsets = hashed_words(batch.column(1), lower=True)

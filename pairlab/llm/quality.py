@@ -10,27 +10,28 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairlab.llm.arrow import parts, whole_text
+from pairlab.llm.arrow import give_back, parts, whole_text
 
-WORD_BUCKETS = 4096
+WORD_BUCKETS = 16_384
 FORM_BUCKETS = 512
 DIMENSIONS = 64
 NONZEROS = 4
-CACHED_WORDS = 500_000
+CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+SLICE_BYTES = 2 << 20
 _TAIL = re.compile(r"[^\w]+$")
 _rng = np.random.default_rng(20)
 
 
-def _index_vectors(n: int) -> np.ndarray:
-    """Sparse ternary index vectors: NONZEROS places of +1 or -1 each."""
-    made = np.zeros((n, DIMENSIONS), np.int8)
-    for row in made:
-        row[_rng.choice(DIMENSIONS, NONZEROS, replace=False)] = _rng.choice((-1, 1), NONZEROS)
-    return made
+def _index_vectors(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse ternary index vectors: NONZEROS different places and the +1 or -1 at each."""
+    places = np.argsort(_rng.random((n, DIMENSIONS)), axis=1)[:, :NONZEROS]
+    return places, _rng.choice(np.array([-1.0, 1.0]), (n, NONZEROS))
 
 
 WORD_INDEX = _index_vectors(WORD_BUCKETS)
 FORM_INDEX = _index_vectors(2 * FORM_BUCKETS)
+FORM_VECTORS = np.zeros((2 * FORM_BUCKETS, DIMENSIONS), np.float32)
+np.put_along_axis(FORM_VECTORS, FORM_INDEX[0], FORM_INDEX[1].astype(np.float32), axis=1)
 
 
 class _Codes(dict):
@@ -43,9 +44,10 @@ class _Codes(dict):
         case = "U" if len(core) > 1 and core.isupper() else "T" if core[:1].isupper() else "D" if core.isdigit() else "L"
         form = xxhash.xxh3_64_intdigest(f"{case if core else '-'}{tail}") % FORM_BUCKETS
         made = xxhash.xxh3_64_intdigest(core.lower()) % WORD_BUCKETS * FORM_BUCKETS + form
-        if len(self) > CACHED_WORDS:
+        if len(self) >= CACHED_WORDS:
             self.clear()
-        self[word] = made
+        if len(word) <= CACHED_LENGTH:
+            self[word] = made
         return made
 
 
@@ -69,20 +71,30 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
     names = [f"v{d}" for d in range(DIMENSIONS)]
 
     def gather(batches):
-        pairs = np.zeros(WORD_BUCKETS * WORD_BUCKETS, np.int32)
-        forms = np.zeros(WORD_BUCKETS * 2 * FORM_BUCKETS, np.int32)
+        total = np.zeros(WORD_BUCKETS * DIMENSIONS)
+
+        def add(rows: np.ndarray, index: tuple[np.ndarray, np.ndarray], vectors: np.ndarray) -> None:
+            cells = (rows[:, None] * DIMENSIONS + index[0][vectors]).ravel()
+            np.add(total, np.bincount(cells, index[1][vectors].ravel(), len(total)), out=total)
+
         for whole in batches:
-            for batch in parts(whole):
+            for batch in parts(whole, SLICE_BYTES):
                 found = [tokens(text) for text in batch.column(0).to_pylist()]
-                for word, form in found:
-                    np.add.at(pairs, word[:-1] * WORD_BUCKETS + word[1:], 1)
-                    np.add.at(forms, word * (2 * FORM_BUCKETS) + form, 1)
-        after = pairs.reshape(WORD_BUCKETS, WORD_BUCKETS).astype(np.float64)
-        index = WORD_INDEX.astype(np.float64)
-        total = after @ index + after.T @ index
-        total += forms.reshape(WORD_BUCKETS, -1).astype(np.float64) @ FORM_INDEX.astype(np.float64)
-        total = np.rint(total).astype(np.int64)
-        columns = [pa.array(np.arange(WORD_BUCKETS), pa.int32()), *(pa.array(total[:, d]) for d in range(DIMENSIONS))]
+                if not found:
+                    continue
+                word, form = (np.concatenate(c) for c in zip(*found))
+                ends = np.cumsum([len(w) for w, _ in found])
+                linked = np.ones(max(len(word) - 1, 0), bool)
+                linked[ends[(ends > 0) & (ends < len(word))] - 1] = False
+                left, right = word[:-1][linked], word[1:][linked]
+                add(left, WORD_INDEX, right)
+                add(right, WORD_INDEX, left)
+                add(word, FORM_INDEX, form)
+        _codes.clear()
+        give_back()
+        sums = np.rint(total).astype(np.int64).reshape(WORD_BUCKETS, DIMENSIONS)
+        seen = np.flatnonzero(sums.any(1))
+        columns = [pa.array(seen, pa.int32()), *(pa.array(sums[seen, d]) for d in range(DIMENSIONS))]
         yield pa.RecordBatch.from_arrays(columns, names=["bucket", *names])
 
     partial = df.select(whole_text(text_column).alias("text")).mapInArrow(
@@ -104,7 +116,7 @@ def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
     forms = np.bincount(form, minlength=2 * FORM_BUCKETS).astype(np.float32)
     seen, shapes = np.flatnonzero(words), np.flatnonzero(forms)
     a = words[seen] @ vectors[seen] / len(word)
-    b = forms[shapes] @ FORM_INDEX[shapes].astype(np.float32) / len(word)
+    b = forms[shapes] @ FORM_VECTORS[shapes] / len(word)
     extra = [np.linalg.norm(a), len(seen) / len(word), float((form >= FORM_BUCKETS).mean())]
     return np.concatenate([a, b, np.array(extra, np.float32)])
 
@@ -177,31 +189,37 @@ def held_out(id_column: str):
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           label_column: str = "quality", max_train_rows: int = 20_000) -> Model:
     """A model from word vectors of all of ``docs`` and at most ``max_train_rows`` labelled rows: those of lowest hash of
-    the id, held-out rows and null labels excepted. Without labelled rows of both kinds the scores tell nothing, but
-    exist."""
+    the id, held-out rows and null labels excepted. An id counts once: its least label, and of its texts that of least
+    digest. Without labelled rows of both kinds the scores tell nothing, but exist."""
     vectors = word_vectors(docs, text_column)
     chosen = (
         labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull() & ~held_out(id_column))
         .select(F.col(id_column).alias("_llm_id"), F.col(label_column).cast("int").alias("_llm_label"))
+        .groupBy("_llm_id")
+        .agg(F.min("_llm_label").alias("_llm_label"))
         .withColumn("_llm_order", F.xxhash64("_llm_id"))
-        .orderBy("_llm_order", "_llm_id", "_llm_label")
+        .orderBy("_llm_order", "_llm_id")
         .limit(max_train_rows)
     )
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vectors)  # WORD_BUCKETS x DIMENSIONS floats: 1 MB
+    shared = spark.sparkContext.broadcast(vectors)  # WORD_BUCKETS x DIMENSIONS floats: 4 MB
 
     def features(batches):
         for whole in batches:
-            for batch in parts(whole):
+            for batch in parts(whole, SLICE_BYTES):
                 rows = [pooled(t, shared.value).tolist() for t in batch.column("_llm_text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_llm_order"), batch.column("_llm_label"), pa.array(rows, pa.list_(pa.float64()))],
                     names=["place", "label", "features"],
                 )
 
+    found = docs.select(F.col(id_column).alias("_llm_id"), whole_text(text_column).alias("_llm_text")).join(
+        F.broadcast(chosen), "_llm_id"  # at most max_train_rows
+    )
     rows = (
-        docs.select(F.col(id_column).alias("_llm_id"), whole_text(text_column).alias("_llm_text"))
-        .join(F.broadcast(chosen), "_llm_id")  # at most max_train_rows
+        found.groupBy("_llm_id", "_llm_label", "_llm_order")
+        .agg(F.min(F.struct(F.xxhash64("_llm_text"), "_llm_text")).alias("_llm_least"))
+        .select("_llm_order", "_llm_label", F.col("_llm_least._llm_text").alias("_llm_text"))
         .mapInArrow(features, "place long, label int, features array<double>")
         .toPandas()
     )
@@ -213,17 +231,20 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 
 def with_score(df: DataFrame, model: Model, text_column: str = "text", score_column: str = "score") -> DataFrame:
-    """All columns and the score of each row's whole text (null: empty)."""
+    """All columns and the score of each row's whole text (null: empty). A column of the score's name is replaced."""
+    df = df.drop(score_column)
     shared = df.sparkSession.sparkContext.broadcast(model)  # fixed size
     at = df.columns.index(text_column)
 
     def run(batches):
         for whole in batches:
-            for batch in parts(whole):
+            for batch in parts(whole, SLICE_BYTES):
                 scores = shared.value.scores([t or "" for t in batch.column(at).cast(pa.string()).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_column]
                 )
+        _codes.clear()
+        give_back()
 
     schema = df.select("*", F.lit(0.0).alias(score_column)).schema
     return df.mapInArrow(run, schema)

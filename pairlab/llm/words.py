@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
@@ -74,3 +76,27 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     for k in range(1, width):
         total = total * np.uint64(0x9E3779B97F4A7C15) + values[k : k + n]
     return mix(total)
+
+
+class Recent(dict):
+    """Results of ``work`` by key, of bounded number: the last ``limit`` made and the ``limit`` in use before them. Keys
+    longer than ``longest`` are worked out each time."""
+
+    def __init__(self, work: Callable, limit: int, longest: int = 64):
+        super().__init__()
+        self.work, self.limit, self.longest, self.before = work, limit, longest, {}
+
+    def __missing__(self, key):
+        made = self.before.pop(key, None)
+        if made is None:
+            made = self.work(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[key] = made
+        return made
+
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}

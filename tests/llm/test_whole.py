@@ -1,5 +1,8 @@
 """Cases in which an operator once did less than the whole job."""
 
+import random
+import time
+
 import numpy as np
 import pytest
 
@@ -48,10 +51,48 @@ def test_texts_of_one_id_are_told_apart_without_the_filter(spark, monkeypatch, d
             (2, f"{fill[4]} x {ITEM} {fill[4]}"), (3, f"{fill[2]} y {fill[3]}")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted(map(tuple, digest(df).collect()))
-    monkeypatch.setattr(passages, "fixed_filter", lambda *_: np.full(1, 2**64 - 1, np.uint64))
+    monkeypatch.setattr(passages, "sized_filter", lambda *_: np.full(1, 2**64 - 1, np.uint64))
     assert sorted(map(tuple, digest(df).collect())) == want
 
 
+@pytest.mark.parametrize("digest, symbols", [(suffix_dedup.digest, lambda t: t.encode()), (fm_dedup.digest, lambda t: t.encode().split())])
+@pytest.mark.parametrize("hot", [3, 20_000])
+def test_one_phrase_in_many_surroundings(spark, monkeypatch, digest, symbols, hot):
+    """Pieces around one phrase are cut over many small blocks, or judged window by window where there are too many."""
+    from test_small import brute_removed
+
+    monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "BLOCK_BYTES", 2_000)
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choices("abcdefgh", k=draw.choice((3, 5, 8))))
+    phrase, tails = " ".join(word() for _ in range(14)), [" ".join(word() for _ in range(12)) for _ in range(3)]
+    rows = []
+    for k in range(80):
+        filler = [word() for _ in range(draw.choice((0, 2, 30)))]
+        rows.append((k, " ".join([*filler, phrase, draw.choice(tails), *filler[:3], phrase if k % 7 == 0 else "", word()])))
+    width = 100 if digest is suffix_dedup.digest else 20
+    want = {i: sum(hit) for i, (_, hit) in brute_removed(rows, width, symbols).items()}
+    got = digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == want and sum(want.values())
+
+
+def test_a_long_text_takes_time_in_proportion(spark):
+    """Two nearly equal texts of 1 and of 4 MB."""
+    seconds = []
+    for size in (1 << 20, 4 << 20):
+        raw = np.random.default_rng(size).integers(97, 123, size, dtype=np.uint8)
+        other = raw.copy()
+        other[:: 1 << 14] = 48
+        rows = [(k, t.tobytes().decode()) for k, t in enumerate((raw, other))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        start = time.perf_counter()
+        got = {r.doc_id: r for r in suffix_dedup.digest(df).collect()}
+        seconds.append(time.perf_counter() - start)
+        # All but the changed bytes themselves lies in windows between two of them.
+        assert got[0].n_removed == 0 and got[1].n_removed == size - (size >> 14) and got[1].n_spans == size >> 14
+    assert seconds[1] < 8 * seconds[0] + 10
+
+
 def test_near_duplicates_are_told_apart_by_row(spark):
     """Whole repeated rows, different texts under one id, and rows without an id."""
     one, two, three = (" ".join(f"{s}{k}" for k in range(60)) for s in "abc")
