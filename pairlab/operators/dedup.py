@@ -1,4 +1,4 @@
-"""Exact duplicates of (article, summary) pairs, found without shuffling text."""
+"""Exact duplicates of (article, summary) pairs, found by digests; rows whose pair stands alone are never shuffled for it."""
 
 from __future__ import annotations
 
@@ -7,44 +7,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.functions.text import joint_digest, text_digest
-from pairlab.sources.scratch import ROW, materialize, with_stored_rows
+from pairlab.sources.scratch import materialize
+
+_KEY = "_pairlab_pair"
 
 
 def pair_digest(text_col: str, summary_col: str) -> Column:
     return joint_digest(text_digest(text_col), text_digest(summary_col))
 
 
-def first_rows(
-    df: DataFrame,
-    text_col: str = "article",
-    summary_col: str = "highlights",
-    id_col: str = "id",
-    within: Sequence[str] = ("split",),
+def repeated_pairs(
+    df: DataFrame, text_col: str = "article", summary_col: str = "highlights", within: Sequence[str] = ("split",)
 ) -> DataFrame:
-    """Row number of the first row of each distinct pair within its split: that of the smallest id, equal and null
-    ids in row order.
+    """(split, digest) of the pairs with more than one row, written to scratch: their true size is known when rows are held
+    against them.
 
-    The shuffle carries (split, digest, id, row), reduced map-side: a pair with a third of all rows is one row per
-    map task.
+    The shuffle carries (split, digest), counted map-side: a pair with a third of all rows is one row per map task.
     """
-    key = pair_digest(text_col, summary_col).alias("pair_key")
-    order = [F.col(id_col).isNull(), F.col(id_col)] if id_col in df.columns else []
-    return df.groupBy(*within, key).agg(F.min(F.struct(*order, ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    keys = df.groupBy(*within, pair_digest(text_col, summary_col).alias(_KEY)).agg(F.count("*").alias("n"))
+    return materialize(keys.where("n > 1").drop("n"), "repeated-pairs")
 
 
-def repeated_rows(
+def split_by_repetition(
     df: DataFrame,
+    repeated: DataFrame,
     text_col: str = "article",
     summary_col: str = "highlights",
-    id_col: str = "id",
     within: Sequence[str] = ("split",),
-) -> DataFrame:
-    """Row numbers of ``df`` beyond the first of each pair, written to scratch: their true size is known when the text
-    join is planned, and where they are few the texts are not shuffled at all."""
-    if ROW not in df.columns:
-        raise ValueError("rows have no stored number; read them through with_stored_rows first")
-    firsts = first_rows(df, text_col, summary_col, id_col, within)
-    return materialize(df.select(ROW).join(firsts, ROW, "left_anti"), "repeated-rows")
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose pair stands alone, and the others."""
+    keyed = df.withColumn(_KEY, pair_digest(text_col, summary_col))
+    same = [F.col(f"k.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in (*within, _KEY)]
+    joined = [keyed.alias("k").join(repeated.alias("r"), same, how) for how in ("left_anti", "left_semi")]
+    return joined[0].drop(_KEY), joined[1]
+
+
+def first_of_each(keyed: DataFrame, id_col: str = "id", within: Sequence[str] = ("split",)) -> DataFrame:
+    """One row per pair of rows that have a digest: that of the smallest id, null ids last, equal ids in the order of a hash
+    of the row.  Rows that agree in all of it are equal, and any of them stands for the others."""
+    names = [c for c in keyed.columns if c != _KEY]
+    columns = [F.col(f"`{c}`") for c in names]
+    by_id = [F.col(id_col).isNull(), F.col(id_col)] if id_col in names else []
+    first = F.min_by(F.struct(*columns), F.struct(*by_id, F.xxhash64(*columns))).alias("first")
+    return keyed.groupBy(*within, _KEY).agg(first).select("first.*")
 
 
 def drop_duplicates(
@@ -54,14 +59,13 @@ def drop_duplicates(
     id_col: str = "id",
     within: Sequence[str] = ("split",),
 ) -> DataFrame:
-    """Keep the first row of each identical pair, per split; null equals null.
+    """Keep one row of each identical pair, per split; null equals null.
 
-    Rows are told apart by a private stored number, never by the caller's ids, which may repeat or be null.  A table
-    that has no such number yet is written to scratch once to get one.
+    Ids may repeat or be null: the row kept is chosen by its content.  Rows whose pair stands alone pass a filter where they
+    are; of the others each map task hands on one row per pair.
     """
-    rows = with_stored_rows(df)
-    removed = repeated_rows(rows, text_col, summary_col, id_col, within)
-    return rows.join(removed, ROW, "left_anti").select(*[f"`{c}`" for c in df.columns])
+    alone, others = split_by_repetition(df, repeated_pairs(df, text_col, summary_col, within), text_col, summary_col, within)
+    return alone.unionByName(first_of_each(others, id_col, within)).select(*[f"`{c}`" for c in df.columns])
 
 
 def duplicate_counts(df: DataFrame, text_col: str = "article", summary_col: str = "highlights") -> DataFrame:
@@ -80,3 +84,33 @@ def duplicate_counts(df: DataFrame, text_col: str = "article", summary_col: str
         total("summary").alias("duplicate_summaries"),
         total("pair").alias("duplicate_pairs"),
     )
+
+
+def split_leakage(
+    df: DataFrame,
+    splits: Sequence[str],
+    text_col: str = "article",
+    summary_col: str = "highlights",
+    split_col: str = "split",
+) -> DataFrame:
+    """(split_a, split_b, n_pairs) for every two splits: distinct pairs that both have.
+
+    Each pair's splits are one bit mask, put together map-side; what is left is one count per mask.  At most 62 splits.
+    """
+    if len(splits) > 62:
+        raise ValueError("a mask has room for 62 splits")
+    bit = F.coalesce(*[F.when(F.col(split_col) == s, F.lit(1 << k).cast("bigint")) for k, s in enumerate(splits)])
+    masks = df.groupBy(pair_digest(text_col, summary_col).alias(_KEY)).agg(F.bit_or(bit).alias("mask"))
+    counts = masks.groupBy("mask").agg(F.count("*").alias("n"))
+
+    def shared(a: int, b: int) -> Column:
+        both = F.lit(1 << a | 1 << b).cast("bigint")
+        return F.coalesce(F.sum(F.when(F.col("mask").bitwiseAND(both) == both, F.col("n"))), F.lit(0).cast("bigint"))
+
+    numbers = [(a, b) for b in range(len(splits)) for a in range(b)]
+    totals = counts.agg(*[shared(a, b).alias(f"n{a}_{b}") for a, b in numbers])
+    rows = [
+        F.struct(F.lit(splits[a]).alias("split_a"), F.lit(splits[b]).alias("split_b"), F.col(f"n{a}_{b}").alias("n_pairs"))
+        for a, b in numbers
+    ]
+    return totals.select(F.inline(F.array(*rows)))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pairlab.functions import text
 from pairlab.functions.arrays import pad
 from pairlab.operators.sampling import top_k
+from pairlab.sources.scratch import materialize
 
 # Special ids, the label that losses skip, widths.
 PAD, EOS, UNK, FIRST_ID = 0, 1, 2, 3
@@ -14,6 +20,8 @@ IGNORED_LABEL = -100
 MAX_INPUT_LENGTH, MAX_TARGET_LENGTH = 512, 128
 
 VOCAB_SIZE = 32_000
+# Vocabularies of up to so many words are sent to every task; larger ones are joined.
+IN_MEMORY = 1_000_000
 _ROW = "_pairlab_place"
 
 
@@ -32,13 +40,53 @@ def build_vocab(
     return kept.select("token", (place + (FIRST_ID - 1)).cast("bigint").alias("token_id"), "n")
 
 
+def _in_memory(vocab: DataFrame, limit: int) -> tuple[DataFrame, pa.Table | None]:
+    """The vocabulary stored, and as an Arrow table if it has at most ``limit`` rows."""
+    kept = materialize(vocab, "vocab")
+    return kept, kept.toArrow() if kept.count() <= limit else None
+
+
+def _coded(words: Column, vocab: DataFrame, held: pa.Table) -> Column:
+    """Arrays of words as arrays of ids; words that the vocabulary lacks are UNK."""
+    shared = vocab.sparkSession.sparkContext.broadcast(held)  # at most IN_MEMORY rows
+
+    @F.arrow_udf("array<int>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens = shared.value["token"].combine_chunks()
+        ids = np.append(shared.value["token_id"].to_numpy(), UNK)
+        for lists in batches:
+            place = pc.index_in(lists.flatten(), value_set=tokens).fill_null(len(tokens)).to_numpy()
+            offsets = np.cumsum(np.concatenate([[0], pc.list_value_length(lists).fill_null(0).to_numpy()]))
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[place], pa.int32()))
+
+    return code(words)
+
+
+def _spelled(ids: Column, vocab: DataFrame, held: pa.Table) -> Column:
+    """Arrays of ids as texts; ids that the vocabulary lacks stand for nothing."""
+    shared = vocab.sparkSession.sparkContext.broadcast(held)  # at most IN_MEMORY rows
+
+    @F.arrow_udf("string")
+    def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens = shared.value["token"].combine_chunks()
+        known = shared.value["token_id"].combine_chunks()
+        for lists in batches:
+            place = pc.index_in(lists.flatten().cast(known.type), value_set=known)
+            words, offsets = place.is_valid().to_numpy(zero_copy_only=False), np.zeros(len(lists) + 1, np.int64)
+            np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(), out=offsets[1:])
+            kept = np.concatenate([[0], np.cumsum(words)])[offsets]
+            texts = pa.ListArray.from_arrays(pa.array(kept, pa.int32()), tokens.take(place.drop_null()))
+            yield pc.binary_join(texts, " ")
+
+    return spell(ids)
+
+
 def _looked_up(df: DataFrame, sides: tuple[str, ...], vocab: DataFrame, given: str, found: Column) -> DataFrame:
     """The array columns ``sides`` with each item replaced by ``found`` of the vocabulary row whose ``given`` equals it.
 
-    Items are reduced to one row per (row, side, item) before the join, whose kind is left to the optimizer: a
-    vocabulary whose size is known to be small is sent to every task, frequent items of a larger one are split at run
-    time.  Rows are told apart by a number given in this plan and used nowhere else, so ids may repeat or be null.
-    Items for which ``found`` is null go.
+    Items are reduced to one row per (row, side, item) before the join, whose kind is left to the optimizer: frequent
+    items of a large vocabulary are split at run time.  Rows are told apart by a number given in this plan and used nowhere
+    else, so ids may repeat or be null. Items for which ``found`` is null go.
     """
     others = [c for c in df.columns if c not in sides]
     rows = df.withColumn(_ROW, F.monotonically_increasing_id())
@@ -81,10 +129,12 @@ def encode_pairs(
     text_col: str = "article",
     summary_col: str = "highlights",
     id_col: str = "id",
+    in_memory: int = IN_MEMORY,
 ) -> DataFrame:
     """(id, input_ids, attention_mask, labels), each of fixed width: prefix, split, truncate, end mark, pad.
 
-    The given vocabulary is the whole vocabulary: words not in it are unknown.  Only the kept words are shuffled.
+    The given vocabulary is the whole vocabulary: words not in it are unknown.  It is stored once and counted: up to
+    ``in_memory`` words it goes to every task and nothing is shuffled; beyond that the kept words are joined with it.
     """
     source = text.add_prefix(text.null_to_text(text_col, "nan"), prefix)
     kept = df.select(
@@ -92,8 +142,12 @@ def encode_pairs(
         text.first_words(source, max_input_length - 1).alias("source"),
         text.first_words(text.null_to_text(summary_col, "nan"), max_target_length - 1).alias("target"),
     )
-    value = F.coalesce(F.col("token_id").cast("int"), F.lit(UNK))
-    coded = _looked_up(kept, ("source", "target"), vocab.select("token", "token_id"), "token", F.when(F.col("item").isNotNull(), value))
+    known, held = _in_memory(vocab.select("token", "token_id"), in_memory)
+    if held is not None:
+        coded = kept.select(id_col, _coded(F.col("source"), known, held).alias("source"), _coded(F.col("target"), known, held).alias("target"))
+    else:
+        value = F.coalesce(F.col("token_id").cast("int"), F.lit(UNK))
+        coded = _looked_up(kept, ("source", "target"), known, "token", F.when(F.col("item").isNotNull(), value))
 
     # Real ids are never PAD, so masks follow from lengths and need no look at each id.
     ended = coded.select(
@@ -109,11 +163,16 @@ def encode_pairs(
     )
 
 
-def decode_ids(df: DataFrame, vocab: DataFrame, ids_col: str = "labels", id_col: str = "id") -> DataFrame:
+def decode_ids(
+    df: DataFrame, vocab: DataFrame, ids_col: str = "labels", id_col: str = "id", in_memory: int = IN_MEMORY
+) -> DataFrame:
     """(id, text): masked labels and special ids are dropped, the rest become words again; ids that the vocabulary does
-    not hold stand for nothing."""
-    held = df.select(id_col, F.filter(F.col(ids_col), lambda x: x >= FIRST_ID).alias("words"))
-    words = _looked_up(held, ("words",), vocab.select("token_id", "token"), "token_id", F.col("token"))
+    not hold stand for nothing.  The vocabulary goes to every task or is joined, as in ``encode_pairs``."""
+    real = F.coalesce(F.filter(F.col(ids_col), lambda x: x >= FIRST_ID), F.array().cast("array<int>"))
+    known, held = _in_memory(vocab.select("token", "token_id"), in_memory)
+    if held is not None:
+        return df.select(id_col, _spelled(real, known, held).alias("text"))
+    words = _looked_up(df.select(id_col, real.alias("words")), ("words",), known, "token_id", F.col("token"))
     return words.select(id_col, F.array_join("words", " ").alias("text"))
 
 

@@ -618,3 +618,163 @@ ORACLES["summarize_csv_roundtrip"] = ORACLES["summarize_extractive"]
 ORACLES["evaluate_table_subset"] = ORACLES["evaluate_table"].replace(
     "SELECT * FROM processed WHERE split = 'test'", sampled("processed WHERE split = 'test'", 20)
 )
+
+
+def report_lines(section: str, key: str, value: str, source: str, floating: bool = False) -> str:
+    shown = f"printf('%.6f', {value})" if floating else f"CAST({value} AS VARCHAR)"
+    return f"SELECT '{section}' AS section, {key} AS key, {shown} AS value FROM {source}"
+
+
+def _length_lines(metric: str) -> list[str]:
+    numbers = {
+        "mean": f"avg({metric})", "median": f"quantile_cont({metric}, 0.5)", "std": f"stddev_pop({metric})",
+        "p90": f"quantile_cont({metric}, 0.9)", "p95": f"quantile_cont({metric}, 0.95)", "p99": f"quantile_cont({metric}, 0.99)",
+    }
+    lines = [report_lines("length_distribution", f"'{metric}.{k}'", v, "lengths", True) for k, v in numbers.items()]
+    return lines + [report_lines("length_distribution", f"'{metric}.{k}'", f"{k}({metric})", "lengths") for k in ("min", "max")]
+
+
+def _duplicate_line(kind: str, columns: str) -> str:
+    return report_lines("duplicates", f"'duplicate_{kind}'", "(SELECT count(*) FROM pairs) - count(*)", f"(SELECT DISTINCT {columns} FROM pairs)")
+
+
+def _top_lines(section: str, tokens: str) -> str:
+    return f"""(SELECT '{section}' AS section, term || '.n' AS key, CAST(count(*) AS VARCHAR) AS value FROM ({tokens})
+               GROUP BY term ORDER BY count(*) DESC, term LIMIT 30)"""
+
+
+REPORT_LINES = [
+    report_lines("num_total_rows", "''", "count(*)", "pairs"),
+    report_lines("overview", "'num_rows'", "count(*)", "pairs"),
+    report_lines("overview", "'num_columns'", "4", "(SELECT 1)"),
+    report_lines("overview", "'text_bytes'", "sum(strlen(split)) + sum(strlen(article)) + sum(strlen(highlights))", "pairs"),
+    *(
+        f"SELECT * FROM ({report_lines('missing_values', f"'{c}.n_missing'", f'count(*) - count({c})', 'pairs')}) WHERE value <> '0'"
+        for c in ("id", "split", "article", "highlights")
+    ),
+    report_lines("missing_values", "'missing.n_missing'", "0", "(SELECT 1) WHERE NOT EXISTS (SELECT 1 FROM pairs WHERE "
+                 "id IS NULL OR split IS NULL OR article IS NULL OR highlights IS NULL)"),
+    *(_duplicate_line(k, c) for k, c in (("articles", "article"), ("summaries", "highlights"), ("pairs", "article, highlights"))),
+    *(line for m in ("article_chars", "summary_chars", "article_words", "summary_words") for line in _length_lines(m)),
+    report_lines("length_totals", "'num_rows'", "count(*)", "lengths"),
+    report_lines("length_totals", "'article_words_mean'", "avg(article_words)", "lengths", True),
+    report_lines("length_totals", "'summary_words_mean'", "avg(summary_words)", "lengths", True),
+    report_lines("length_totals", "'compression_ratio_mean'",
+                 "coalesce(avg(summary_words / article_words) FILTER (article_words > 0), 0)", "lengths", True),
+    report_lines("length_totals", "'empty_articles'", "count(*) FILTER (article_words = 0)", "lengths"),
+    report_lines("length_totals", "'empty_summaries'", "count(*) FILTER (summary_words = 0)", "lengths"),
+    report_lines("token_counts", "'sample_size'", "count(*)", "nan_words"),
+    *(
+        report_lines("token_counts", f"'{side}_tokens_{k}'", v.format(side), "nan_words", True)
+        for side in ("article", "summary") for k, v in (("mean", "avg({})"), ("p95", "quantile_cont({}, 0.95)"))
+    ),
+    _top_lines("top_words", "SELECT unnest(w) AS term FROM counted"),
+    _top_lines("top_ngrams", f"SELECT unnest({grams(2, 'w')}) AS term FROM counted UNION ALL SELECT unnest({grams(3, 'w')}) FROM counted"),
+    report_lines("split_inspection", "split || '.num_rows'", "count(*)", "nan_words GROUP BY split"),
+    report_lines("split_inspection", "split || '.avg_article_words'", "avg(article)", "nan_words GROUP BY split", True),
+    report_lines("split_inspection", "split || '.avg_summary_words'", "avg(summary)", "nan_words GROUP BY split", True),
+    report_lines("sample_pairs", "id || '.article'", "substr(coalesce(article, 'nan'), 1, 500)", f"({sampled('pairs', 5)})"),
+    report_lines("sample_pairs", "id || '.summary'", "coalesce(highlights, 'nan')", f"({sampled('pairs', 5)})"),
+]
+
+NULL_TEXTS = (
+    "('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', "
+    "'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"
+)
+
+# Cumulative probabilities of a Poisson law of mean 1: 1/e times the sum of 1/k! up to k.
+_POISSON = [f"exp(-1) * ({' + '.join(f'1.0 / factorial({i})' for i in range(k + 1))})" for k in range(10)]
+INTERVAL_PARTS = f"""
+    digests AS (SELECT rs.k, s1.id, s1.f1 AS f1, s2.f1 AS f2,
+                       CAST('0x' || substr(md5(rs.k || ':' || s1.id), 1, 8) AS BIGINT) / 4294967296.0 AS u
+                FROM scores1 s1 JOIN scores2 s2 ON s1.id = s2.id CROSS JOIN range(1, 101) rs(k)),
+    drawn AS (SELECT *, {' + '.join(f'CAST(u >= {p} AS BIGINT)' for p in _POISSON)} AS w FROM digests),
+    means AS (SELECT k, sum(w * f1) / sum(w) AS f1, sum(w * f2) / sum(w) AS f2 FROM drawn GROUP BY k)"""
+
+
+def interval_row(name: str, column: str) -> str:
+    at = [f"round(100 * quantile_cont({column}, {q}), 4)" for q in (0.025, 0.5, 0.975)]
+    return f"SELECT '{name}' AS score, {at[0]} AS low, {at[1]} AS mid, {at[2]} AS high FROM means"
+
+
+ORACLES |= {
+    "eda_report": with_parts("pairs lengths nan_words counted", " UNION ALL ".join(REPORT_LINES)),
+    "sample_exact_many_ids": with_parts(
+        "pairs", "SELECT id FROM (SELECT unnest(range(id * 400, id * 400 + 400)) AS id FROM pairs) ORDER BY md5('42:' || id), id LIMIT 1000"
+    ),
+    "predictor_throughput": with_parts(
+        "pairs",
+        """SELECT id % 8 AS task, count(*) AS num_rows, (count(*) + 15) // 16 AS num_batches, true AS measured
+           FROM pairs GROUP BY id % 8""",
+    ),
+    "run_step_counts": ORACLES["step_row_counts"],
+    "rouge_interval": scores_of(
+        LEAD_PARTS, plain_tokens("lead"), ngram_scores(1), ngram_scores(2), INTERVAL_PARTS,
+        body=f"{interval_row('rouge1', 'f1')} UNION ALL {interval_row('rouge2', 'f2')}",
+    ),
+    "preprocess_stream": with_parts("pairs filled cleaned", f"SELECT id, split, article, highlights FROM cleaned WHERE {FITS}"),
+    "split_leakage": with_parts(
+        "pairs filled cleaned",
+        """
+        , d AS (SELECT DISTINCT split, article, highlights FROM cleaned),
+        n AS (SELECT a.split AS split_a, b.split AS split_b, count(*) AS n_pairs
+              FROM d a JOIN d b ON a.article = b.article AND a.highlights = b.highlights GROUP BY ALL)
+        SELECT s.a AS split_a, s.b AS split_b, coalesce(n_pairs, 0) AS n_pairs
+        FROM (VALUES ('train', 'validation'), ('train', 'test'), ('validation', 'test')) s(a, b)
+             LEFT JOIN n ON n.split_a = s.a AND n.split_b = s.b""",
+    ),
+    "top_words_first_seen": with_parts(
+        "pairs counted",
+        """SELECT term, count(*) AS n FROM (SELECT id, unnest(w) AS term, generate_subscripts(w, 1) AS i FROM counted)
+           GROUP BY term ORDER BY n DESC, min({'id': id, 'i': i}) LIMIT 30""",
+    ),
+    "csv_quarantine": with_parts(
+        "pairs",
+        f"""SELECT 'row' AS kind, id || ',' || split || ',' || CASE WHEN highlights IS NULL OR highlights IN {NULL_TEXTS} THEN '-'
+                   ELSE highlights END AS value FROM pairs WHERE id % 7 > 1
+            UNION ALL SELECT 'line', id || ',' || split || ',' || coalesce('"' || replace(highlights, '"', '""') || '"', '') || ',more'
+                      FROM pairs WHERE id % 7 = 0
+            UNION ALL SELECT 'line', id || ',"' || split || ',' || replace(coalesce(highlights, ''), '"', '') FROM pairs WHERE id % 7 = 1""",
+    ),
+    "read_text_folder": with_parts(
+        "pairs",
+        """SELECT split, CAST(sum(length(highlights) + 1) AS BIGINT) AS num_chars, count(*) AS num_lines, true AS named
+           FROM pairs WHERE highlights IS NOT NULL GROUP BY split""",
+    ),
+    "report_json": with_parts(
+        "pairs lengths",
+        """SELECT count(*) AS num_rows, count(*) FILTER (article_words = 0) AS empty_articles,
+                  count(*) FILTER (summary_words = 0) AS empty_summaries FROM lengths""",
+    ),
+    "summarize_single": scores_of(
+        "pairs",
+        f"best AS (SELECT id, split, {clean('article')} AS article, {clean('highlights')} AS highlights FROM pairs)",
+        *(f"{n} AS ({PARTS[n].replace('FROM pairs', 'FROM best')})" for n in EXTRACTIVE_PARTS.split()[1:]),
+        """chosen AS (SELECT b.id, nullif(b.highlights, '') AS reference_summary, coalesce(g.s, '') AS generated_summary
+           FROM best b LEFT JOIN (SELECT id, string_agg(sentence, ' ' ORDER BY pos) AS s
+                                  FROM ranked_sentences WHERE place <= 3 GROUP BY id) g USING (id))""",
+        stemmed_tokens("chosen"), ngram_scores(1), ngram_scores(2), LCS_SCORES, recursive=True,
+        body="""SELECT c.id, c.generated_summary, round(100 * s1.f1, 4) AS "rouge1", round(100 * s2.f1, 4) AS "rouge2",
+                       round(100 * l.f1, 4) AS "rougeL"
+                FROM chosen c LEFT JOIN scores1 s1 USING (id) LEFT JOIN scores2 s2 USING (id) LEFT JOIN scoresL l USING (id)""",
+    ),
+    "user_extensions": with_parts(
+        "pairs",
+        rf"""
+        , kept AS (SELECT length(coalesce(article, '')) AS ac, length(coalesce(highlights, '')) AS sc,
+                          len(regexp_extract_all(coalesce(article, 'nan'), '[A-Za-z]+')) AS "at",
+                          len(regexp_extract_all(coalesce(highlights, 'nan'), '[A-Za-z]+')) AS st
+                   FROM pairs WHERE {word_count('article', '')} > 3)
+        SELECT 'tokens' AS section, 'article' AS key, CAST(sum("at") AS VARCHAR) AS value FROM kept
+        UNION ALL SELECT 'tokens', 'summary', CAST(sum(st) AS VARCHAR) FROM kept
+        UNION ALL SELECT 'longest', 'article', CAST(max(ac) AS VARCHAR) FROM kept
+        UNION ALL SELECT 'longest', 'summary', CAST(max(sc) AS VARCHAR) FROM kept""",
+    ),
+    "length_stats_empty": with_parts(
+        "pairs lengths",
+        " UNION ALL ".join(
+            stats(m).replace("FROM lengths", "FROM (SELECT * FROM lengths WHERE id < 0)")
+            for m in ("article_chars", "summary_chars", "article_words", "summary_words")
+        ),
+    ),
+}

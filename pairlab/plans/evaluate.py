@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from pairlab.functions import text
 from pairlab.operators import cleaning, generation, matching, profile, rouge, sampling
 from pairlab.plans import report
-from pairlab.plans.preprocess import preprocess
+from pairlab.plans.preprocess import POINTS, preprocess, step_row_counts, steps_from
 from pairlab.sources import readers, sinks
-from pairlab.sources.scratch import ROW, materialize, scratch_path, with_stored_rows
+from pairlab.sources.scratch import materialize, scratch_path
 
 
 def evaluate(
@@ -147,11 +147,12 @@ def run_preprocessing(
 ) -> DataFrame:
     """CSV splits to a processed table and its row counts per split.
 
-    The multi-line CSV is read once, into a scratch table with stored row numbers; everything after it runs on Parquet.
-    A split of which no row is left has a count of 0.
+    The multi-line CSV is read once, into a scratch table with stored ids; everything after it runs on Parquet. The rows
+    before and after each step are counted by the job that writes the table, and stored beside it
+    (``read_step_counts``). A split of which no row is left has a count of 0.
     """
-    raw = with_stored_rows(readers.with_id(readers.read_pairs_csv(spark, raw_dir, text_col, summary_col, require_any=False)))
-    sinks.write_processed(preprocess(raw, text_col, summary_col, **options).drop(ROW), processed_dir)
+    raw = materialize(readers.with_id(readers.read_pairs_csv(spark, raw_dir, text_col, summary_col, require_any=False)), "raw")
+    write_preprocessed(raw, processed_dir, text_col, summary_col, **options)
     counts = profile.split_sizes(raw.limit(0))
     for split, _ in readers.split_files(spark, raw_dir):
         rows = readers.read_split(spark, processed_dir, split) if raw.take(1) else raw.limit(0)
@@ -161,6 +162,34 @@ def run_preprocessing(
     return counts
 
 
+def write_preprocessed(
+    df: DataFrame, processed_dir: str, text_col: str = "article", summary_col: str = "highlights", **options
+) -> DataFrame:
+    """Preprocess and write by split; (step, rows_before, rows_after) of that run, stored under ``<processed_dir>_steps``.
+
+    The numbers come out of the writing job itself. Where one of its stages had to run again they are counted anew.
+    """
+    seen = {point: Observation() for point in POINTS}
+    cleaned = preprocess(df, text_col, summary_col, seen=seen, **options)
+    found = sinks.counted_write(cleaned, seen, lambda rows: sinks.write_processed(rows, processed_dir))
+    if found is None:
+        again = dict(options)
+        plain = again.pop("use_drop_na", True) and again.pop("use_drop_duplicates", True)
+        within = again.pop("within", None) or (("split",) if "split" in df.columns else ())
+        again.pop("id_col", None)
+        if not plain:
+            raise RuntimeError("a stage ran again and the counts of the steps are lost; the table is written")
+        steps = step_row_counts(df, text_col, summary_col, within, **again)
+    else:
+        steps = steps_from(df.sparkSession.createDataFrame([tuple(found[p] for p in POINTS)], ", ".join(f"{p} long" for p in POINTS)))
+    steps.write.mode("overwrite").parquet(f"{processed_dir}_steps")
+    return read_step_counts(df.sparkSession, processed_dir)
+
+
+def read_step_counts(spark: SparkSession, processed_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{processed_dir}_steps")
+
+
 def run_profile(spark: SparkSession, raw_dir: str, output_dir: str, text_col: str = "article",
                 summary_col: str = "highlights", **options) -> DataFrame:
     """CSV splits in, all analyses as one JSON report out."""

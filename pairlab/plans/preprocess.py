@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from pairlab.operators import cleaning, dedup
-from pairlab.sources.scratch import ROW, with_stored_rows
+
+# Points of the pipeline at which its rows can be counted while it runs.
+POINTS = ("read", "filled", "unique", "fitting")
 
 
 def preprocess(
@@ -17,25 +21,48 @@ def preprocess(
     use_drop_na: bool = True,
     use_drop_duplicates: bool = True,
     lowercase: bool = False,
+    seen: Mapping[str, Observation] | None = None,
     **bounds: int,
 ) -> DataFrame:
     """Null removal, exact dedup on the raw texts, cleaning, length bounds.
 
-    Duplicates are decided on raw text, so pairs that become equal only by cleaning all stay.  Equal raw pairs
-    have equal cleaned lengths; the rows may therefore be cleaned and filtered before the repeated rows are
-    joined away, and fewer and shorter texts reach that join.  ``within`` is the split column where there is one.
+    Duplicates are decided on raw text, so pairs that become equal only by cleaning all stay.  ``within`` is the split column
+    where there is one.  ``seen`` may hold an observation for each of POINTS: it counts the rows that pass there in the
+    job that uses the result.
     """
     cleaning.require_columns(df, text_col, summary_col)
     within = (("split",) if "split" in df.columns else ()) if within is None else within
-    rows = with_stored_rows(df) if use_drop_duplicates else df
-    filled = cleaning.drop_na(rows, text_col, summary_col) if use_drop_na else rows
-    kept = cleaning.length_filter(
-        cleaning.clean_pairs(filled, text_col, summary_col, lowercase), text_col, summary_col, **bounds
-    )
-    if not use_drop_duplicates:
-        return kept
-    removed = dedup.repeated_rows(filled, text_col, summary_col, id_col, within)
-    return kept.join(removed, ROW, "left_anti").select(*[f"`{c}`" for c in df.columns])
+
+    def counted(rows: DataFrame, point: str) -> DataFrame:
+        return rows.observe(seen[point], F.count("*").alias("rows")) if seen else rows
+
+    def filled(rows: DataFrame) -> DataFrame:
+        return cleaning.drop_na(rows, text_col, summary_col) if use_drop_na else rows
+
+    unique = counted(filled(counted(df, "read")), "filled")
+    if use_drop_duplicates:
+        repeated = dedup.repeated_pairs(filled(df), text_col, summary_col, within)
+        # Every row passes the first branch, which counts; the second takes the repeated ones alone.
+        alone, _ = dedup.split_by_repetition(unique, repeated, text_col, summary_col, within)
+        _, others = dedup.split_by_repetition(filled(df), repeated, text_col, summary_col, within)
+        unique = alone.unionByName(dedup.first_of_each(others, id_col, within)).select(*[f"`{c}`" for c in df.columns])
+    cleaned = cleaning.clean_pairs(counted(unique, "unique"), text_col, summary_col, lowercase)
+    return counted(cleaning.length_filter(cleaned, text_col, summary_col, **bounds), "fitting")
+
+
+def steps_from(totals: DataFrame) -> DataFrame:
+    """(step, rows_before, rows_after) of one row with the numbers at POINTS."""
+    steps = [
+        ("drop_na", "read", "filled"),
+        ("drop_duplicates", "filled", "unique"),
+        ("text_cleaning", "unique", "unique"),
+        ("length_filter", "unique", "fitting"),
+    ]
+    rows = [
+        F.struct(F.lit(step).alias("step"), F.col(before).alias("rows_before"), F.col(after).alias("rows_after"))
+        for step, before, after in steps
+    ]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def step_row_counts(
@@ -71,21 +98,4 @@ def step_row_counts(
         F.count_if(F.col("filled")).alias("unique"),
         F.count_if(F.col("filled") & F.col("fits")).alias("fitting"),
     )
-    steps = [
-        ("drop_na", "read", "filled"),
-        ("drop_duplicates", "filled", "unique"),
-        ("text_cleaning", "unique", "unique"),
-        ("length_filter", "unique", "fitting"),
-    ]
-    return totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(step).alias("step"), F.col(before).alias("rows_before"), F.col(after).alias("rows_after")
-                    )
-                    for step, before, after in steps
-                ]
-            )
-        )
-    )
+    return steps_from(totals)

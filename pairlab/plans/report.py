@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairlab.operators import dedup, profile, sampling, words
 from pairlab.sources.scratch import materialize
@@ -99,3 +101,58 @@ def eda_report(
     )
 
 
+
+
+def shared_scan(df: DataFrame, analyses: Mapping[str, Sequence[Column]]) -> DataFrame:
+    """(section, key, value) of any number of analyses in one pass over ``df``.
+
+    An analysis is a list of named aggregates; the names are its keys.  All of them are columns of one aggregate, so a user's
+    analysis costs no further read of the texts.  Numbers with a fraction have six decimals.
+    """
+    flat = [(section, column) for section, columns in analyses.items() for column in columns]
+    totals = df.agg(*[column.alias(f"v{k}") for k, (_, column) in enumerate(flat)])
+    keys = [df.agg(column).columns[0] for _, column in flat]
+    kinds = dict(totals.dtypes)
+    values = [
+        _number(F.col(f"v{k}")) if kinds[f"v{k}"] in ("double", "float") else F.col(f"v{k}").cast("string") for k in range(len(flat))
+    ]
+    rows = [
+        F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), value.alias("value"))
+        for (section, _), key, value in zip(flat, keys, values)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def flattened(report: DataFrame) -> DataFrame:
+    """A report of ``eda_report`` as (section, key, value) rows; numbers with a fraction have six decimals."""
+
+    def text(value: Column, kind: T.DataType) -> Column:
+        return _number(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value.cast("string")
+
+    def rows(section: str, prefix: Column, value: Column, kind: T.StructType, skipped: str | None = None) -> list[Column]:
+        return [
+            F.struct(
+                F.lit(section).alias("section"), F.concat(prefix, F.lit(f.name)).alias("key"),
+                text(value[f.name], f.dataType).alias("value"),
+            )
+            for f in kind.fields if f.name != skipped and not isinstance(f.dataType, T.ArrayType)
+        ]
+
+    def entries(section: str, column: Column, kind: T.StructType) -> Column:
+        """Of an array of entries, each named by its first field."""
+        named = kind.fields[0].name
+        return F.flatten(
+            F.transform(column, lambda x: F.array(*rows(section, F.concat(x[named].cast("string"), F.lit(".")), x, kind, named)))
+        )
+
+    parts = []
+    for field in report.schema.fields:
+        column, kind = F.col(field.name), field.dataType
+        if isinstance(kind, T.StructType):
+            parts.append(F.array(*rows(field.name, F.lit(""), column, kind)))
+        elif isinstance(kind, T.ArrayType):
+            parts.append(entries(field.name, column, kind.elementType))
+        else:
+            one = F.struct(F.lit(field.name).alias("section"), F.lit("").alias("key"), text(column, kind).alias("value"))
+            parts.append(F.array(one))
+    return report.select(F.inline(F.concat(*parts)))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairlab.operators import (
     cleaning,
@@ -22,6 +24,7 @@ from pairlab.plans.pairs import pairs, turn_pairs
 from pairlab.plans.preprocess import preprocess, step_row_counts
 from pairlab.sources import readers, sinks
 from pairlab.sources.scratch import materialize, scratch_path
+from pairlab.streaming import stateless
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,13 +85,14 @@ def vocabulary_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_pairs_large_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = features.encode_pairs(pairs(spark, sf_dir), vocabulary_with_gaps(spark, sf_dir), prefix=PREFIX)
+    """As with a vocabulary too large to be sent to every task."""
+    codes = features.encode_pairs(pairs(spark, sf_dir), vocabulary_with_gaps(spark, sf_dir), prefix=PREFIX, in_memory=0)
     return joined_with_commas(codes.select("id", "input_ids", "labels"))
 
 
 def decode_ids_large_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = materialize(vocabulary_with_gaps(spark, sf_dir), "vocab")
-    return features.decode_ids(features.encode_pairs(pairs(spark, sf_dir), vocab), vocab, "input_ids")
+    return features.decode_ids(features.encode_pairs(pairs(spark, sf_dir), vocab), vocab, "input_ids", in_memory=0)
 
 
 def load_subset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,10 +207,108 @@ def evaluate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = report.eda_report(pairs(spark, sf_dir), sample=None)
-    return made.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("section"), F.to_json(F.struct(F.col(c))).alias("value")) for c in made.columns
-    ])))
+    """The one-row report as (section, key, value) rows."""
+    return report.flattened(report.eda_report(pairs(spark, sf_dir), sample=None))
+
+
+def sample_exact_many_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of 400 ids for each pair: so many that some share the leading digits of their digests."""
+    many = pairs(spark, sf_dir).select(F.explode(F.sequence(F.col("id") * 400, F.col("id") * 400 + 399)).alias("id"))
+    return sampling.sample_exact(many, 1000)
+
+
+def predictor_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and batches per task, and whether the predictor's seconds were measured."""
+    dealt = pairs(spark, sf_dir).repartitionById(8, (F.col("id") % 8).cast("int"))
+    made = generation.summarize_table(dealt, generation.extractive_predictor(1), batch_size=16, timing_col="timing")
+    seconds = generation.predictor_seconds(materialize(made.select("id", "timing"), "timed"))
+    return seconds.select(F.col("task").cast("bigint").alias("task"), "num_rows", "num_batches", (F.col("seconds") > 0).alias("measured"))
+
+
+def run_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before and after each step, as counted by the job that wrote the table."""
+    return scoring.write_preprocessed(pairs(spark, sf_dir), scratch_path(spark, "processed"))
+
+
+def rouge_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = rouge.with_f1(lead_predictions(spark, sf_dir), stem=False)
+    return rouge.rouge_interval(materialize(scored.select("id", "rouge1", "rouge2"), "scored"), ("rouge1", "rouge2"))
+
+
+def preprocess_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a folder, the second of which finds nothing new."""
+    source, target, checkpoint = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "checkpoint"))
+    pairs(spark, sf_dir).write.parquet(source)
+    for _ in range(2):
+        stateless.run_preprocess_stream(spark, source, target, checkpoint)
+    return spark.read.parquet(target)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some have a field too many or a quote that is never closed: good rows and lines set aside."""
+    folder, aside = scratch_path(spark, "lines"), scratch_path(spark, "quarantine")
+    value = F.concat(F.lit('"'), F.replace("highlights", F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = F.concat_ws(",", F.col("id").cast("string"), F.col("split"), F.coalesce(value, F.lit("")))
+    broken = F.concat(F.col("id").cast("string"), F.lit(',"'), F.col("split"), F.lit(","), F.coalesce(F.replace("highlights", F.lit('"')), F.lit("")))
+    last = F.col("id") % 7
+    line = F.when(last == 0, F.concat(fields, F.lit(",more"))).when(last == 1, broken)
+    pairs(spark, sf_dir).select(line.otherwise(fields)).write.text(folder)
+    good = readers.read_csv_strict(spark, folder, ["id", "split", "highlights"], aside, header=False)
+    rows = good.select(F.lit("row").alias("kind"), F.concat_ws(",", "id", "split", F.coalesce("highlights", F.lit("-"))).alias("value"))
+    return rows.unionAll(spark.read.parquet(aside).select(F.lit("line"), "line"))
+
+
+def read_text_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of all texts in folders of text files: one line per text, read as whole documents by split."""
+    folder = scratch_path(spark, "texts")
+    lines = pairs(spark, sf_dir).select("split", F.replace("highlights", F.lit("\n"), F.lit(" ")).alias("value"))
+    lines.where("value IS NOT NULL").write.partitionBy("split").text(folder)
+    found = None
+    for split in readers.SPLITS:
+        texts = readers.read_text_folder(spark, f"{folder}/split={split}")
+        named = F.concat(cleaning.text.file_stem("file_name"), F.lit(".txt")) == F.col("file_name")
+        rows = texts.agg(
+            F.lit(split).alias("split"), F.sum(F.char_length("text")).alias("num_chars"),
+            F.sum(F.regexp_count("text", F.lit("\n"))).cast("bigint").alias("num_lines"), F.bool_and(named).alias("named"),
+        )
+        found = rows if found is None else found.unionAll(rows)
+    return found
+
+
+def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length totals written as a JSON report and read back."""
+    folder = scratch_path(spark, "report")
+    totals = profile.length_totals(_lengths(spark, sf_dir)).select("num_rows", "empty_articles", "empty_summaries")
+    sinks.write_report_json(totals, folder)
+    return spark.read.schema("num_rows bigint, empty_articles bigint, empty_summaries bigint").json(folder)
+
+
+def summarize_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary and scores of each text next to its reference."""
+    texts = cleaning.clean_pairs(pairs(spark, sf_dir)).withColumnRenamed("highlights", "reference_summary")
+    made = scoring.summarize_single(texts, generation.extractive_predictor())
+    return made.select("id", "generated_summary", "rouge1", "rouge2", "rougeL")
+
+
+def letter_tokens(value: Column) -> Column:
+    """A user's tokenizer: runs of ASCII letters, counted in Python."""
+
+    @F.arrow_udf("bigint")
+    def count(texts: pa.Array) -> pa.Array:
+        return pc.cast(pc.count_substring_regex(texts, "[A-Za-z]+"), pa.int64())
+
+    return count(value)
+
+
+def user_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's step, tokenizer and analysis beside the library's own: two columns folded into the profile's one pass."""
+    table = pairs(spark, sf_dir).transform(lambda df: df.where(cleaning.text.word_count("article") > 3))
+    measured = profile.lengths(table, count_tokens=letter_tokens)
+    analyses = {
+        "tokens": [F.sum("article_tokens").alias("article"), F.sum("summary_tokens").alias("summary")],
+        "longest": [F.max("article_chars").alias("article"), F.max("summary_chars").alias("summary")],
+    }
+    return report.shared_scan(measured, analyses)
 
 
 def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,4 +384,17 @@ QUERIES: dict[str, Query] = {
     "greedy_match_corpus": lambda s, d: matching.greedy_match_corpus(token_embeddings(s, d)),
     "report_rows": lambda s, d: report.report_rows(pairs(s, d), sample=None),
     "eda_report": eda_report,
+    "sample_exact_many_ids": sample_exact_many_ids,
+    "predictor_throughput": predictor_throughput,
+    "run_step_counts": run_step_counts,
+    "rouge_interval": rouge_interval,
+    "preprocess_stream": preprocess_stream,
+    "split_leakage": lambda s, d: dedup.split_leakage(cleaning.clean_pairs(filled(s, d)), readers.SPLITS),
+    "top_words_first_seen": lambda s, d: words.top_words(pairs(s, d), sample=None, ties="first"),
+    "csv_quarantine": csv_quarantine,
+    "read_text_folder": read_text_folder,
+    "report_json": report_json,
+    "summarize_single": summarize_single,
+    "user_extensions": user_extensions,
+    "length_stats_empty": lambda s, d: rounded(profile.length_stats(profile.lengths(pairs(s, d).where("id < 0")))),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairlab.functions import text
 from pairlab.operators.cleaning import require_columns, tag_split, union_splits
+from pairlab.sources.scratch import materialize
 
 SPLITS = ("train", "validation", "test")
 
@@ -79,6 +80,37 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[text.null_spelling_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
+MALFORMED = "_malformed"
+
+
+def read_csv_strict(
+    spark: SparkSession, path: str, columns: Sequence[str], quarantine: str, header: bool = True
+) -> DataFrame:
+    """A CSV of one record a line whose rows must have the declared text columns.
+
+    Lines that do not (too few or too many fields, a quote that is never closed) go to a table (line, path) in the folder
+    ``quarantine``, which is written at once from one read of the file; the rows come from that same read.  Files of this
+    kind can be cut, so any number of tasks reads them.
+    """
+    schema = ", ".join([*(f"`{c}` string" for c in columns), f"{MALFORMED} string"])
+    raw = (
+        spark.read.schema(schema)
+        .option("header", header)
+        .option("enforceSchema", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .csv(path)
+        .withColumn("_path", F.col("_metadata.file_path"))
+    )
+    kept = materialize(raw, "csv")
+    bad = kept.where(F.col(MALFORMED).isNotNull())
+    bad.select(F.col(MALFORMED).alias("line"), F.col("_path").alias("path")).write.mode("overwrite").parquet(quarantine)
+    good = kept.where(F.col(MALFORMED).isNull())
+    return good.select(*[text.null_spelling_to_null(F.col(f"`{c}`")).alias(c) for c in columns])
+
+
 def split_files(spark: SparkSession, folder: str, splits: Sequence[str] = SPLITS) -> list[tuple[str, str]]:
     """(split, path) of the split files present."""
     verdict = validate_source(spark, folder, [f"{s}.csv" for s in splits])

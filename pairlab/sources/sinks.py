@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -57,6 +59,24 @@ class Throughput:
         return self.seconds / max(self.rows, 1)
 
 
+def counted_write(df: DataFrame, seen: Mapping[str, Observation], write: Callable[[DataFrame], None]) -> dict[str, int] | None:
+    """Write a table whose plan holds the observations ``seen``, and what they counted.  A stage that ran again, after a lost
+    executor or a failed task, may have counted twice: then there is no count (None), and the caller has to count anew."""
+    context = df.sparkSession.sparkContext
+    outer, group = context.getLocalProperty("spark.jobGroup.id"), f"pairlab-{uuid.uuid4().hex}"
+    context.setLocalProperty("spark.jobGroup.id", group)
+    try:
+        write(df)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", outer)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(s) for job in jobs if job for s in job.stageIds]
+    if any(stage is not None and (stage.currentAttemptId or stage.numFailedTasks) for stage in stages):
+        return None
+    return {point: observation.get["rows"] for point, observation in seen.items()}
+
+
 def timed_write(df: DataFrame, folder: str, mode: str = "overwrite") -> Throughput:
     """Write once and measure: wall time over rows counted on the way, without a second job."""
     seen = Observation("throughput")

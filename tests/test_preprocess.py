@@ -87,21 +87,25 @@ def test_each_raw_pair_is_kept_at_most_once(spark):
 
 
 @pytest.mark.parametrize("made", [dedup.drop_duplicates, preprocess])
-def test_no_text_in_the_dedup_shuffle(spark, pairs_small, made):
-    """With few repeated rows no exchange carries a text, whatever the broadcast limit for whole tables."""
+def test_only_repeated_rows_move(spark, pairs_small, made):
+    """No copy of the table is stored: digests of repeated pairs are. Exchanges carry texts only above the semi join."""
     seen = []
     write = dedup.materialize
 
     def spy(df, *args):
-        seen.append(plan_of(df))
+        seen.append(df)
         return write(df, *args)
 
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(dedup, "materialize", spy)
         df = made(pairs_small)
-    for plan in [*seen, plan_of(df)]:
-        for line in plan.splitlines():
-            assert "Exchange" not in line or ("article" not in line and "highlights" not in line)
+    assert [d.columns for d in seen] == [["split", dedup._KEY]]
+    for line in plan_of(seen[0]).splitlines():
+        assert "Exchange" not in line or ("article" not in line and "highlights" not in line)
+    lines = plan_of(df).splitlines()
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert any("LeftSemi" in below for below in lines[k:])
 
 
 def test_rows_are_told_apart_without_ids(spark):
@@ -118,11 +122,6 @@ def test_no_split_column(pairs_small):
     assert ids(preprocess(pairs_small.drop("split"))) == [1, 7]
 
 
-def test_repeated_rows_need_a_stored_number(pairs_small):
-    with pytest.raises(ValueError):
-        dedup.repeated_rows(pairs_small)
-
-
 def test_patterns_run_once_per_text(pairs_small):
     """The length filter sits above the generator that cleans, so cleaning is not repeated inside it."""
     plan = plan_of(preprocess(pairs_small, use_drop_duplicates=False))
