@@ -37,20 +37,64 @@ UNWANTED_NAMES = re.compile(
 # Names that only say what the page has beside the element, or which builder made it.
 BESIDE = re.compile(r"(?<![^\s_-])(?:has|no|without|with|elementor)-[\w-]+|(?<![^\s_])[\w]+-(?:open|closed)(?!\S)", re.I)
 UNWANTED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu", "form"}
-TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S
-)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+MARK = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+BETWEEN = re.compile(r"[\s/]*")
+NAME = re.compile(r"=?[^\s/>=]*")
+EQUALS = re.compile(r"\s*=\s*")
+BARE = re.compile(r"[^\s>]*")
 SPACES = re.compile(r"\s+")
+# Elements that a start tag of the same kind ends, unless one of the second set stands between. Fixed values.
+SCOPES = (
+    ({"p"}, {"td", "th", "button", "object"}),
+    ({"li"}, {"ul", "ol", "menu"}),
+    ({"dt", "dd"}, {"dl"}),
+    ({"td", "th"}, {"tr", "table"}),
+    ({"tr"}, {"table"}),
+)
+SCOPED = set().union(*(names | fence for names, fence in SCOPES))
+Attributes = list[tuple[str, str]]
+
+
+def attributes_at(page: str, at: int) -> tuple[Attributes, int, bool]:
+    """(attributes, place after the tag, whether it ends in a slash) of a tag whose name ends at ``at``. Quotes count only after
+    an equals sign; one that is never closed is an ordinary character."""
+    found: Attributes = []
+    while True:
+        begin = at
+        at = BETWEEN.match(page, at).end()
+        if at >= len(page) or page[at] == ">":
+            return found, min(at + 1, len(page)), at > begin and page[at - 1] == "/"
+        name = NAME.match(page, at)
+        at = name.end()
+        value, equals = "", EQUALS.match(page, at)
+        if equals:
+            at = equals.end()
+            quote = page[at : at + 1]
+            close = page.find(quote, at + 1) if quote in ('"', "'") else -1
+            if close >= 0:
+                value, at = page[at + 1 : close], close + 1
+            else:
+                value = BARE.match(page, at)[0]
+                at += len(value)
+        found.append((name[0].lower(), value))
 
 
 class Node:
-    __slots__ = ("name", "attributes", "parent", "children", "score", "unwanted", "doubtful", "length", "linked")
+    __slots__ = (
+        "name", "attributes", "parent", "children", "points", "score", "unwanted", "doubtful", "length", "linked", "holders",
+    )
 
-    def __init__(self, name: str, attributes: str, parent: Node | None):
+    def __init__(self, name: str, attributes: Attributes, parent: Node | None):
         self.name, self.attributes, self.parent = name, attributes, parent
         self.children: list[Node | str] = []
-        self.score, self.length, self.linked = 0.0, 0, 0
+        self.points, self.score, self.length, self.linked = (0.0, 0.0, 0.0), 0.0, 0, 0
+        # The innermost open element of each scope; shared with the parent where nothing changes.
+        self.holders: tuple[Node | None, ...] = parent.holders if parent else (None,) * len(SCOPES)
+        if name in SCOPED:
+            self.holders = tuple(
+                self if name in names else None if name in fence else held
+                for (names, fence), held in zip(SCOPES, self.holders)
+            )
         self.unwanted = name in UNWANTED or name in RAW
         self.doubtful = name == "form"  # unwanted, unless the page's text stands in it
         if attributes and (self.doubtful or not self.unwanted) and name not in ("html", "body", "article", "main"):
@@ -60,16 +104,12 @@ class Node:
                 self.unwanted = self.doubtful = True
 
 
-def _unwanted_names(text: str) -> bool:
-    return any(
-        name.lower() in ("class", "id") and UNWANTED_NAMES.search(BESIDE.sub(" ", value.strip("\"'")))
-        for name, value in ATTRIBUTE.findall(text)
-    )
+def _unwanted_names(attributes: Attributes) -> bool:
+    return any(name in ("class", "id") and UNWANTED_NAMES.search(BESIDE.sub(" ", value)) for name, value in attributes)
 
 
-def _unwanted_attributes(text: str) -> bool:
-    for name, value in ATTRIBUTE.findall(text):
-        name, value = name.lower(), value.strip("\"'")
+def _unwanted_attributes(attributes: Attributes) -> bool:
+    for name, value in attributes:
         if name == "hidden" or (name == "role" and value.lower() in UNWANTED_ROLES):
             return True
         if (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
@@ -78,23 +118,27 @@ def _unwanted_attributes(text: str) -> bool:
 
 
 def parse(page: str) -> Node:
-    """Tree of a page; end tags that open nothing are skipped, open elements end with their parents."""
-    root = node = Node("#root", "", None)
+    """Tree of a page; end tags that open nothing are skipped, open elements end with their parents. Every character is
+    looked at a bounded number of times."""
+    root = node = Node("#root", [], None)
     at, end, opened = 0, len(page), {}
     while at < end:
-        tag = TAG.search(page, at)
-        if tag is None:
+        mark = MARK.search(page, at)
+        if mark is None:
             node.children.append(page[at:])
             break
-        if tag.start() > at:
-            node.children.append(page[at : tag.start()])
-        at = tag.end()
-        if tag[2] is None:
+        if mark.start() > at:
+            node.children.append(page[at : mark.start()])
+        if mark[2] is None:
+            sign = "-->" if mark[0] == "<!--" else ">"
+            close = page.find(sign, mark.end())
+            at = end if close < 0 else close + len(sign)
             continue
-        name = tag[2].lower()
-        if tag[1]:
+        name = mark[2].lower()
+        attributes, at, closed = attributes_at(page, mark.end())
+        if mark[1]:
             if name == "p" and not opened.get("p"):
-                node.children.append(Node("p", "", node))
+                node.children.append(Node("p", [], node))
             elif opened.get(name):
                 while node.name != name:
                     opened[node.name] -= 1
@@ -102,38 +146,32 @@ def parse(page: str) -> Node:
                 opened[name] -= 1
                 node = node.parent
             continue
-        if name in CLOSES_P and opened.get("p"):
-            node = _leave(node, {"p"}, opened, {"td", "th", "button", "object"})
-        if name == "li":
-            node = _leave(node, {"li"}, opened, {"ul", "ol", "menu"})
-        elif name in ("dt", "dd"):
-            node = _leave(node, {"dt", "dd"}, opened, {"dl"})
-        elif name in ("td", "th"):
-            node = _leave(node, {"td", "th"}, opened, {"tr", "table"})
-        elif name == "tr":
-            node = _leave(node, {"tr"}, opened, {"table"})
-        child = Node(name, tag[3] or "", node)
+        if name in CLOSES_P:
+            node = _leave(node, 0, opened)
+        for k in (1, 2, 3, 4):
+            if name in SCOPES[k][0]:
+                node = _leave(node, k, opened)
+        child = Node(name, attributes, node)
         node.children.append(child)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
-        elif name not in VOID and not (tag[3] or "").endswith("/"):
+        elif name not in VOID and not closed:
             opened[name] = opened.get(name, 0) + 1
             node = child
     return root
 
 
-def _leave(node: Node, names: set[str], opened: dict[str, int], fence: set[str]) -> Node:
-    at = node
-    while at.parent is not None and at.name not in fence:
-        if at.name in names:
-            while True:
-                opened[node.name] -= 1
-                if node is at:
-                    return node.parent
-                node = node.parent
-        at = at.parent
-    return node
+def _leave(node: Node, scope: int, opened: dict[str, int]) -> Node:
+    """The parent of the innermost open element of a scope; all below it end."""
+    target = node.holders[scope]
+    if target is None:
+        return node
+    while node is not target:
+        opened[node.name] -= 1
+        node = node.parent
+    opened[node.name] -= 1
+    return node.parent
 
 
 def _clear(root: Node) -> None:
@@ -164,6 +202,7 @@ def _clear(root: Node) -> None:
             beside |= not inside
         elif any(c in holds for c in node.children if isinstance(c, Node)):
             holds.add(node)
+    cleared: set[Node] = set()
     for node, _ in reversed(order):
         if not node.unwanted:
             continue
@@ -172,8 +211,9 @@ def _clear(root: Node) -> None:
         most = 2 * kept > whole
         if (most and (node in holds or not beside)) or (node in holds and not beside and kept > outside):
             at = node
-            while at is not None:
+            while at is not None and at not in cleared:
                 at.unwanted = at.unwanted and not at.doubtful
+                cleared.add(at)
                 at = at.parent
 
 
@@ -193,8 +233,8 @@ def main_node(root: Node) -> list[Node]:
     """The best container and those of its siblings that belong to it, in page order.
 
     Each paragraph gives 1 point, 1 for each comma and 1 for each 100 characters up to 3; its parent takes them whole,
-    its grandparent half, further ancestors a share that falls with their distance. A container's points are discounted by the share
-    of its text that stands in links.
+    its grandparent half, the next ancestor a sixth, and each further one two thirds of what the one below it takes. A
+    container's points are discounted by the share of its text that stands in links.
     """
     _clear(root)
     order = _walk(root)
@@ -213,13 +253,17 @@ def main_node(root: Node) -> list[Node]:
         density = node.linked / node.length if node.length else 0
         commas = sum(c.count(",") for c in node.children if isinstance(c, str))
         points = (1 + commas + min(text / 100, 3)) * (1 - density)
-        ancestor, share = (node.parent, 1.0) if node.name in PARAGRAPHS else (node, 1.0)
-        depth = 1
-        while ancestor is not None:
-            ancestor.score += points * share
-            ancestor = ancestor.parent
-            depth += 1
-            share = 0.5 if depth == 2 else 1 / (3 * (depth - 1))
+        taker = node.parent if node.name in PARAGRAPHS else node
+        if taker is not None:
+            own, upper, rest = taker.points
+            taker.points = own + points, upper, rest
+    # One sweep from the leaves up: points of paragraphs right below, one further down, and all others.
+    for node in reversed(order):
+        own, upper, rest = node.points
+        node.score = own + upper / 2 + rest
+        if node.parent is not None:
+            mine, second, others = node.parent.points
+            node.parent.points = mine, second + own, others + upper / 6 + rest * 2 / 3
     best, most = root, -1.0
     for node in order:
         value = node.score * (1 - (node.linked / node.length if node.length else 0))

@@ -119,3 +119,47 @@ def test_short_sections_of_the_article_stay():
     long, short = "Long words, and more of them. " * 30, "One short section without much in it. " * 8
     page = f"<body><div><p>{long}</p><p>{long}</p></div><section><p>{short}</p></section><div><p><a href=x>{short}</a></p></div>"
     assert html.main_text(page).split("\n") == [long.strip(), long.strip(), short.strip()]
+
+
+def test_quotes_count_after_an_equals_sign_only():
+    text = ["First words, and more of them. " * 9, "Second words, and more of them. " * 9, "Third words, and more. " * 9]
+    for opened in ("<p title=it's>", "<p it's>", "<p title='it\"s' lang=en>", '<p title = "a>b">', "<p/title=x'>", "<p title='never closed>"):
+        page = f"<body><p>{text[0]}</p>{opened}{text[1]}</p><p>{text[2]}</p></body>"
+        assert html.main_text(page).split("\n") == [t.strip() for t in text], opened
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<p title='x>" * n + "words", lambda n: "<p>a</p><p title='x>" + "<p class=y>w</p>" * n,
+    lambda n: "<div>" * n + "words, and more words to be counted here. " * 3, lambda n: "<li><div>" * n,
+    lambda n: "<p><button>" + "<div>" * n + "<p>x" * n, lambda n: "<a" + " b=" * n + ">", lambda n: "<!-- a" * n,
+    lambda n: '<div class="menu">' * n + "<article>words, and more words, to be counted here.",
+])
+def test_pages_take_time_in_proportion(page):
+    """16,000 tags cost about twice what 8,000 do; a quadratic path would make it minutes for 64,000."""
+    start = time.perf_counter()
+    html.main_text(page(64_000))
+    assert time.perf_counter() - start < 20
+
+
+def test_scores_of_distant_ancestors():
+    """One bottom-up sweep gives what adding each paragraph to each of its ancestors gives."""
+    draw = random.Random(6)
+    page = ""
+    for _ in range(60):
+        page += draw.choice(["<div>", "<section>", "<div><div>", "</div>", "</section>"]) + f"<p>{'word, ' * draw.randint(1, 60)}</p>"
+    root = html.parse(page)
+    html.main_node(root)
+    want, stack = {}, [root]
+    while stack:
+        node = stack.pop()
+        stack += [c for c in node.children if not isinstance(c, str)]
+        if node.name != "p":
+            continue
+        points = 1 + sum(c.count(",") for c in node.children) + min(node.length / 100, 3)
+        at, share = node.parent, 1.0
+        for shares in (0.5, 1 / 6, *[None] * 500):
+            if at is None:
+                break
+            want[at] = want.get(at, 0) + points * share
+            at, share = at.parent, share * 2 / 3 if shares is None else shares
+    assert want and all(node.score == pytest.approx(value) for node, value in want.items())
