@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pairlab.llm import decontaminate, fm_dedup, html, passages, suffix_dedup
+from pairlab.llm import decontaminate, fm_dedup, html, passages, suffix_dedup, topk_search
 
 ITEM = "a farmer in the valley sold 12 baskets of ripe apples to every visitor and 5 crates of plums to the old mill"
 
@@ -163,3 +163,44 @@ def test_scores_of_distant_ancestors():
             want[at] = want.get(at, 0) + points * share
             at, share = at.parent, share * 2 / 3 if shares is None else shares
     assert want and all(node.score == pytest.approx(value) for node, value in want.items())
+
+
+def brute_products(vectors, k, every):
+    out = set()
+    for q in (i for i in vectors if i % every == 0):
+        ranked = sorted((-sum(a * b for a, b in zip(vectors[q], vectors[i])), i) for i in vectors if i != q)
+        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(ranked[:k])}
+    return out
+
+
+def test_bounds_leave_out_far_clusters(spark, monkeypatch):
+    """On vectors in far clusters each one is copied to few of the groups, and the result is that of all products."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 60, (12, 8))
+    points = np.floor(centres[np.arange(600) % 12] + rng.normal(0, 1, (600, 8))).astype(int)
+    df = spark.createDataFrame([(i, p.astype(float).tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    copies = []
+    work = topk_search.map_batches
+
+    def spy(given, *args, **more):
+        made = work(given, *args, **more)
+        if "group" in made.columns:
+            copies.append(made.count())
+        return made
+
+    monkeypatch.setattr(topk_search, "map_batches", spy)
+    monkeypatch.setattr(topk_search, "DATA_BLOCK", 100)
+    got = topk_search.top_products(df, k=5, every=7, scale=1, pivots=12)
+    assert {tuple(r) for r in got.collect()} == brute_products({i: p.tolist() for i, p in enumerate(points)}, 5, 7)
+    assert 0 < copies[0] < 5 * len(points)
+
+
+def test_products_beyond_doubles(spark):
+    rng = np.random.default_rng(5)
+    points = rng.integers(-(2**29), 2**29, (60, 4)).tolist() + [[2**61, 1, 0, 0], [2, 3, 0, 0], [0, 2**31 + 1, 0, 0]]
+    vectors = {i: p for i, p in enumerate(points) if i != 60}
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in vectors.items()], "vec_id long, embedding array<double>")
+    got = topk_search.top_products(df, k=4, every=3, scale=1)
+    assert {tuple(r) for r in got.collect()} == brute_products(vectors, 4, 3)
+    alone = spark.createDataFrame([(0, [2.0, 3.0]), (1, [2.0**61, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk_search.top_products(alone, k=1, scale=1).collect()] == [(0, 1, 1, 2**62 + 3)]
