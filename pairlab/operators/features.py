@@ -30,14 +30,31 @@ def build_vocab(
 ) -> DataFrame:
     """(token, token_id, n): the ``size`` most frequent words (None: all), ids from 3 in order of (n desc, token).
 
-    Only the limited table is numbered in one task, never the word counts of the corpus.
+    Only the limited table is numbered in one task; all words are numbered range by range (``numbered``).
     """
     texts = F.array_compact(F.array(*[F.col(c) for c in cols]))
     words = df.select(F.explode(F.flatten(F.transform(texts, text.words))).alias("token"))
     counts = words.groupBy("token").agg(F.count("*").alias("n"))
-    kept = counts if size is None else top_k(counts, size, "token")
+    if size is None:
+        placed = numbered(counts, [F.desc("n"), F.asc("token")], "_place")
+        return placed.select("token", (F.col("_place") + FIRST_ID).alias("token_id"), "n")
     place = F.row_number().over(W.orderBy(F.desc("n"), "token"))
-    return kept.select("token", (place + (FIRST_ID - 1)).cast("bigint").alias("token_id"), "n")
+    return top_k(counts, size, "token").select("token", (place + (FIRST_ID - 1)).cast("bigint").alias("token_id"), "n")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The rows numbered from 0 in an order that tells all of them apart, without one task that sees them all.
+
+    Rows are dealt by range and sorted within their part; a stored column holds part and place, and what the parts before
+    hold moves the places up: one number per part.
+    """
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = materialize(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumns({"_part": part, name: place})
+    sizes = rows.groupBy("_part").agg((F.max(name) + 1).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
+    starts = sizes.select("_part", before.alias("_start"))
+    return rows.join(starts, "_part").withColumn(name, F.col(name) + F.col("_start")).drop("_at", "_part", "_start")
 
 
 def _in_memory(vocab: DataFrame, limit: int) -> tuple[DataFrame, pa.Table | None]:

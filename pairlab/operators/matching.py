@@ -6,6 +6,8 @@ otherwise free: they may be sparse or negative.  The embeddings are the caller's
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -108,9 +110,10 @@ def greedy_match_score(
     return per_pair.withColumn("f1", F.coalesce(F.try_divide(2 * p * r, p + r), zero))
 
 
+def corpus_means(scored: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    return scored.groupBy(*group_cols).agg(*[F.round(F.avg(c), 4).alias(f"match_{c}") for c in ("precision", "recall", "f1")])
+
+
 def greedy_match_corpus(tokens: DataFrame, **columns) -> DataFrame:
     """Means over all pairs, four decimals."""
-    scored = greedy_match_score(tokens, **columns)
-    return scored.agg(
-        *[F.round(F.avg(c), 4).alias(f"match_{c}") for c in ("precision", "recall", "f1")]
-    )
+    return corpus_means(greedy_match_score(tokens, **columns))

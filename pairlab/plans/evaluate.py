@@ -23,8 +23,13 @@ def evaluate(
     separators: str = text.ROUGE_SEPARATORS,
     token_embeddings: DataFrame | None = None,
     throughput: sinks.Throughput | None = None,
+    id_col: str = "id",
 ) -> DataFrame:
-    """Corpus ROUGE and prediction lengths from one pass, optionally with embedding matching and latency."""
+    """Corpus ROUGE and prediction lengths from one pass, optionally with embedding matching and latency.
+
+    With groups the embedding match of a group is the mean over its own rows, brought together by ``id_col``; a group without
+    matched rows has null there.
+    """
     scored = rouge.with_f1(df.select(*group_cols, pred_col, ref_col), stem, pred_col, ref_col, separators)
     count = text.word_count(text.null_to_text(pred_col))
     result = scored.groupBy(*group_cols).agg(
@@ -35,7 +40,13 @@ def evaluate(
     )
     if throughput is not None:
         result = result.withColumn("avg_latency_sec_per_sample", F.lit(throughput.seconds_per_row))
-    if token_embeddings is not None:
+    if token_embeddings is not None and group_cols:
+        rows = df.select(F.col(id_col).alias("id"), *group_cols)
+        matched = matching.greedy_match_score(token_embeddings)
+        means = matching.corpus_means(matched.join(rows.withColumnsRenamed({c: f"_{c}" for c in group_cols}), "id"), [f"_{c}" for c in group_cols])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group_cols]
+        result = result.join(means, same, "left").drop(*[f"_{c}" for c in group_cols])
+    elif token_embeddings is not None:
         # Three single numbers of the whole corpus.
         match = matching.greedy_match_corpus(token_embeddings)
         numbers = match.select(F.struct(*match.columns).alias("m")).scalar()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 ROW = "_pairlab_row"
 
 _local_folder: str | None = None
+_written: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,10 +34,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str = "step", path: str | None = None) -> DataFrame:
     """Write a table and read it back: lineage ends there, and a lost executor costs nothing that was written."""
     path = path or scratch_path(df.sparkSession, name)
+    _written.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, keep: Iterable[str] = ()) -> int:
+    """Delete the scratch tables this process has written so far, but for the paths in ``keep``; their number. To be called
+    when nothing that reads them is still to be used, as at the end of a job whose result has been written."""
+    kept, gone = set(keep), 0
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [p for p in _written if p not in kept]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(configuration).delete(place, True))
+        _written.remove(path)
+    return gone
+
+
 def with_stored_rows(df: DataFrame) -> DataFrame:
     """The table with a private number per row, unique and stored, so that every later read sees the same one."""
     if ROW in df.columns:

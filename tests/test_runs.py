@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pairlab.operators import dedup, features, generation, rouge, sampling, words
 from pairlab.plans import evaluate
 from pairlab.plans.preprocess import preprocess, step_row_counts
-from pairlab.sources import readers, sinks
+from pairlab.sources import readers, scratch, sinks
 from pairlab.streaming import stateless
 
 
@@ -168,3 +168,29 @@ def test_vocabularies_in_memory_and_joined_agree(spark):
     few, many = (sorted(map(str, features.decode_ids(codes, vocab, "input_ids", in_memory=limit).collect())) for limit in (3, 2))
     assert few == many
     assert "Exchange" not in plan_of(features.encode_pairs(df, vocab, 6, 3))
+
+
+def test_all_words_are_numbered_in_order(spark):
+    df = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(k % 50, 50))) for k in range(200)], "id long, highlights string")
+    vocab = features.build_vocab(df, ("highlights",), size=None).collect()
+    want = sorted(((r.n, r.token) for r in vocab), key=lambda x: (-x[0], x[1]))
+    assert [(r.n, r.token) for r in sorted(vocab, key=lambda r: r.token_id)] == want
+    assert sorted(r.token_id for r in vocab) == list(range(3, 53))
+
+
+def test_groups_have_their_own_match(spark):
+    scored = spark.createDataFrame([(1, "a", "x", "x"), (2, "b", "x y", "x"), (3, None, "z", "x")], "id long, grp string, generated_summary string, reference_summary string")
+    tokens = [(1, "pred", 0, [1.0, 0.0]), (1, "ref", 0, [1.0, 0.0]), (2, "pred", 0, [1.0, 0.0]), (2, "ref", 0, [0.0, 1.0]), (3, "pred", 0, [3.0, 4.0]), (3, "ref", 0, [1.0, 0.0])]
+    vectors = spark.createDataFrame(tokens, "id long, side string, pos long, vec array<float>")
+    got = {r.grp: (r.match_f1, r.rouge1) for r in evaluate.evaluate(scored, group_cols=["grp"], token_embeddings=vectors).collect()}
+    assert got == {"a": (1.0, 100.0), "b": (0.0, 66.6667), None: (0.6, 0.0)}
+
+
+def test_scratch_tables_can_be_discarded(spark):
+    kept = scratch.materialize(spark.range(3), "kept")
+    gone = scratch.materialize(spark.range(3), "gone")
+    path = [p for p in scratch._written if "/kept-" in p][-1]
+    assert scratch.discard(spark, keep=scratch._written[:-2] + [path]) == 1
+    assert kept.count() == 3 and path in scratch._written
+    with pytest.raises(Exception, match="gone"):
+        spark.read.parquet(gone.inputFiles()[0])
