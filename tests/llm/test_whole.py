@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pairlab.llm import decontaminate, fm_dedup, html, passages, suffix_dedup, topk_search
+from pairlab.llm import decontaminate, fm_dedup, html, passages, sharding, suffix_dedup, topk_search
 
 ITEM = "a farmer in the valley sold 12 baskets of ripe apples to every visitor and 5 crates of plums to the old mill"
 
@@ -204,3 +204,75 @@ def test_products_beyond_doubles(spark):
     assert {tuple(r) for r in got.collect()} == brute_products(vectors, 4, 3)
     alone = spark.createDataFrame([(0, [2.0, 3.0]), (1, [2.0**61, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk_search.top_products(alone, k=1, scale=1).collect()] == [(0, 1, 1, 2**62 + 3)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_full_shards_overflow_clockwise_key_by_key(seed):
+    """Loads far from equal: what walking the ring with one key after another gives."""
+    draw = random.Random(seed)
+    shards = draw.choice((1, 2, 5, 16))
+    nodes = sharding.ring(shards, 8)
+    counts = {arc: draw.choice((0, 0, 1, 3, 200)) for arc in range(len(nodes))}
+    total = sum(counts.values())
+    room = [total // shards + (s < total % shards) for s in range(shards)]
+    want, over = {}, []
+    for arc in range(len(nodes)):
+        for rank in range(counts[arc]):
+            shard = nodes[arc][1]
+            if room[shard]:
+                room[shard] -= 1
+                want[arc, rank] = shard
+            else:
+                over.append((arc, rank))
+    for arc, rank in over:
+        at = arc
+        while not room[nodes[at % len(nodes)][1]]:
+            at += 1
+        room[nodes[at % len(nodes)][1]] -= 1
+        want[arc, rank] = nodes[at % len(nodes)][1]
+    made = sharding.flows(nodes, counts, shards)
+    assert {(arc, rank): s for arc, first, end, s, _ in made for rank in range(first, end)} == want
+    assert shards == 1 or over
+    for s in range(shards):
+        slots = sorted(slot + k for _, first, end, shard, slot in made if shard == s for k in range(end - first))
+        assert slots == list(range(total // shards + (s < total % shards)))
+
+
+def plainly_held(doc, item):
+    """Word by word over all alignments: texts without numbers, names, units and sentence ends."""
+    if len(item) >= decontaminate.PASSAGE:
+        runs = {tuple(doc[k : k + decontaminate.PASSAGE]) for k in range(len(doc))}
+        if any(tuple(item[k : k + decontaminate.PASSAGE]) in runs for k in range(len(item) - decontaminate.PASSAGE + 1)):
+            return True
+    width = min(decontaminate.WINDOW, len(item))
+    n = len(item) - width + 1
+    hits = [(a, d) for a in range(n) for d in range(len(doc) - width + 1) if doc[d : d + width] == item[a : a + width]]
+    span = 2 * decontaminate.DRIFT
+    for group in (lambda away: away, lambda away: away // span, lambda away: (away + decontaminate.DRIFT) // span, lambda away: 0):
+        found = {}
+        for a, d in hits:
+            found.setdefault(group(d - a), set()).add(a)
+        if any(len(at) >= decontaminate.COVERAGE * n for at in found.values()):
+            return True
+    return False
+
+
+def test_held_items_equal_word_by_word_comparison(spark):
+    draw = random.Random(12)
+    word = lambda: draw.choice("ab") + draw.choice("cdefgh") * 2 + draw.choice("klmn")
+    items = [[word() for _ in range(draw.choice((2, 3, 5, 9, 14, 25, 60)))] for _ in range(40)]
+    docs = []
+    for k in range(160):
+        own = list(draw.choice(items))
+        for _ in range(draw.choice((0, 0, 1, 2, 4))):
+            at = draw.randrange(len(own) + 1)
+            change = draw.choice(("put", "drop", "move"))
+            if change == "put":
+                own[at:at] = [word() for _ in range(draw.choice((1, 3, 20)))]
+            elif change == "drop":
+                del own[at : at + draw.choice((1, 4))]
+            else:
+                own = own[at:] + own[:at]
+        docs.append([word() for _ in range(draw.choice((0, 7)))] + own + [word() for _ in range(draw.choice((0, 9)))])
+    want = {(d, i) for d, doc in enumerate(docs) for i, item in enumerate(items) if plainly_held(doc, item)}
+    assert len(want) > 60 and held(spark, [" ".join(d) for d in docs], [" ".join(i) for i in items]) == want
