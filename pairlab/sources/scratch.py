@@ -51,6 +51,15 @@ def discard(spark: SparkSession, keep: Iterable[str] = ()) -> int:
     return gone
 
 
+def with_row_numbers(df: DataFrame) -> tuple[DataFrame, str]:
+    """The table with a private number per row, unique and stored, so that every later read sees the same one, and the name
+    of that column, which no column of the table has."""
+    name = ROW
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def with_stored_rows(df: DataFrame) -> DataFrame:
     """The table with a private number per row, unique and stored, so that every later read sees the same one."""
     if ROW in df.columns:
