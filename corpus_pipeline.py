@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairlab.llm import bpe, decontaminate, minhash, quality, suffix_dedup
 from pairlab.session import ship
-from pairlab.sources.scratch import ROW, materialize, with_stored_rows
+from pairlab.sources.scratch import materialize, with_row_numbers
 
 # No SQL can express the classifier, near-duplicate groups or the tokenizer; tests hold each stage against a plain version.
 ORACLE_SQL = None
@@ -32,11 +32,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of each group of near duplicates: that of the smallest id, the first of its rows (words in runs of five,
     0.8). Rows without an id come last."""
     ship(spark)
-    rows = with_stored_rows(docs)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
+    rows, number = with_row_numbers(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(number).alias("row"))
     groups = minhash.near_duplicates(rows.select(order.alias("place"), "text"), "place", width=5, percent=80)
-    gone = groups.where("NOT kept").select(F.col("place.row").alias(ROW))
-    return rows.join(gone, ROW, "left_anti").select(docs.columns)
+    gone = groups.where("NOT kept").select(F.col("place.row").alias(number))
+    return rows.join(gone, number, "left_anti").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,9 @@ def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold no benchmark item, plain or with other numbers, names or units. Each row is judged by its own
     text, whatever its id."""
     ship(spark)
-    rows = with_stored_rows(docs)
-    held = decontaminate.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ROW)
-    return rows.join(held.select(ROW).distinct(), ROW, "left_anti").select(docs.columns)
+    rows, number = with_row_numbers(docs)
+    held = decontaminate.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), number)
+    return rows.join(held.select(number).distinct(), number, "left_anti").select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
