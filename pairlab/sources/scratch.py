@@ -58,10 +58,3 @@ def with_row_numbers(df: DataFrame) -> tuple[DataFrame, str]:
     while name.lower() in (c.lower() for c in df.columns):
         name += "_"
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
-
-
-def with_stored_rows(df: DataFrame) -> DataFrame:
-    """The table with a private number per row, unique and stored, so that every later read sees the same one."""
-    if ROW in df.columns:
-        return df
-    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
