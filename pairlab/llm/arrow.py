@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairlab.sources.scratch import materialize
 
 BATCH_BYTES = 8 << 20
-FILTER_BITS, FILTER_SHARE = 1 << 28, 16
+FILTER_LEAST, FILTER_BITS, FILTER_SHARE = 1 << 24, 1 << 28, 16
 
 
 def whole_text(name: str) -> Column:
@@ -120,11 +120,11 @@ def repeated(df: DataFrame, key: str, order: list[str], place: str | None = None
 
 
 def sized_filter(df: DataFrame, column: str) -> np.ndarray:
-    """A bitmap with the bit of each long value of a stored table set: FILTER_SHARE bits per value, up to FILTER_BITS, so it
-    may be broadcast. Beyond FILTER_BITS / FILTER_SHARE values it lets more pass; what passes it by chance has to be dropped
+    """A bitmap with the bit of each long value of a stored table set: FILTER_SHARE bits per value, FILTER_LEAST at least and
+    FILTER_BITS at most, so it may be broadcast. Beyond FILTER_BITS / FILTER_SHARE values it lets more pass; what passes it by chance has to be dropped
     by a join afterwards."""
     wanted = FILTER_SHARE * df.count()
-    bits = min(FILTER_BITS, max(1 << 16, 1 << (wanted - 1).bit_length()))
+    bits = min(FILTER_BITS, max(FILTER_LEAST, 1 << (wanted - 1).bit_length()))
     word = F.pmod(F.col(column), F.lit(bits))
     rows = (
         df.select(F.floor(word / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (word % 64).cast("int")).alias("bit"))

@@ -21,7 +21,7 @@ from pairlab.llm.words import Recent
 
 # The published pattern of this tokenizer's words; a fixed value.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-CACHED_WORDS, CACHED_CHUNKS = 150_000, 100_000
+CACHED_WORDS, CACHED_CHUNKS = 300_000, 250_000
 SLICE_BYTES = 2 << 20
 
 

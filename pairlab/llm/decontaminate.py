@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, sized_filter, map_batches, passes, stored, whole_text
-from pairlab.llm.words import mix
+from pairlab.llm.words import Recent, mix
 
 WINDOW = 8
 SHORTEST = 4
@@ -18,7 +18,7 @@ FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
 PASSAGE = 13
-CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+CACHED_WORDS = 200_000
 SLICE_BYTES = 2 << 20
 
 # Units that stand after numbers; fixed values.
@@ -38,30 +38,28 @@ def bare(word: str) -> str:
     return EDGES.sub("", word)
 
 
-class _Codes(dict):
-    """Word to one number: 60 bits of the bare word's hash, its kind inside a sentence (2 bits), whether it ends a
-    sentence, whether nothing is left of it."""
+def _code(word: str) -> int:
+    """One number: 60 bits of the bare word's hash, its kind inside a sentence (2 bits), whether it ends a sentence, whether
+    nothing is left of it."""
+    core = bare(word)
+    low = core.lower()
+    kind = LITERAL
+    if NUMBER.match(core):
+        kind = NUM
+    elif low in UNITS:
+        kind = UNIT
+    elif len(core) > 1 and core[0].isupper() and core[1:].islower():
+        kind = NAME
+    ends = word.rstrip("\"')]»”’")[-1:] in ".!?:;|"
+    return xxhash.xxh3_64_intdigest(low) >> 5 << 4 | kind << 2 | ends << 1 | (not core)
 
-    def __missing__(self, word: str) -> int:
-        core = bare(word)
-        low = core.lower()
-        kind = LITERAL
-        if NUMBER.match(core):
-            kind = NUM
-        elif low in UNITS:
-            kind = UNIT
-        elif len(core) > 1 and core[0].isupper() and core[1:].islower():
-            kind = NAME
-        ends = word.rstrip("\"')]»”’")[-1:] in ".!?:;|"
-        made = xxhash.xxh3_64_intdigest(low) >> 5 << 4 | kind << 2 | ends << 1 | (not core)
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) <= CACHED_LENGTH:
-            self[word] = made
-        return made
 
+_codes = Recent(_code, CACHED_WORDS)
 
-_codes = _Codes()
+
+def forget() -> None:
+    """Drop this worker's words; a function of the module, so that a task finds the module's own cache."""
+    _codes.forget()
 
 
 def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -211,7 +209,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         work,
         f"id {kind}, h long, width int, part long, doc_at int, doc_slots array<string>",
         SLICE_BYTES,
-        _codes.clear,
+        forget,
     ).distinct()
     joined = stored(hits, "template-hits").join(known, ["h", "width"])
     passage = F.col("width") == PASSAGE

@@ -11,12 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import give_back, parts, whole_text
+from pairlab.llm.words import Recent
 
 WORD_BUCKETS = 16_384
 FORM_BUCKETS = 512
 DIMENSIONS = 64
 NONZEROS = 4
-CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+CACHED_WORDS = 200_000
 SLICE_BYTES = 2 << 20
 _TAIL = re.compile(r"[^\w]+$")
 _rng = np.random.default_rng(20)
@@ -34,24 +35,22 @@ FORM_VECTORS = np.zeros((2 * FORM_BUCKETS, DIMENSIONS), np.float32)
 np.put_along_axis(FORM_VECTORS, FORM_INDEX[0], FORM_INDEX[1].astype(np.float32), axis=1)
 
 
-class _Codes(dict):
-    """Word to (bucket of its lower-case core) * FORM_BUCKETS + (bucket of its form: letter case and end marks)."""
+def _code(word: str) -> int:
+    """(bucket of the word's lower-case core) * FORM_BUCKETS + (bucket of its form: letter case and end marks)."""
+    tail = _TAIL.search(word)
+    tail = tail[0] if tail else ""
+    core = word[: len(word) - len(tail)]
+    case = "U" if len(core) > 1 and core.isupper() else "T" if core[:1].isupper() else "D" if core.isdigit() else "L"
+    form = xxhash.xxh3_64_intdigest(f"{case if core else '-'}{tail}") % FORM_BUCKETS
+    return xxhash.xxh3_64_intdigest(core.lower()) % WORD_BUCKETS * FORM_BUCKETS + form
 
-    def __missing__(self, word: str) -> int:
-        tail = _TAIL.search(word)
-        tail = tail[0] if tail else ""
-        core = word[: len(word) - len(tail)]
-        case = "U" if len(core) > 1 and core.isupper() else "T" if core[:1].isupper() else "D" if core.isdigit() else "L"
-        form = xxhash.xxh3_64_intdigest(f"{case if core else '-'}{tail}") % FORM_BUCKETS
-        made = xxhash.xxh3_64_intdigest(core.lower()) % WORD_BUCKETS * FORM_BUCKETS + form
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) <= CACHED_LENGTH:
-            self[word] = made
-        return made
 
+_codes = Recent(_code, CACHED_WORDS)
 
-_codes = _Codes()
+
+def forget() -> None:
+    """Drop this worker's words; a function of the module, so that a task finds the module's own cache."""
+    _codes.forget()
 
 
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +89,7 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
                 add(left, WORD_INDEX, right)
                 add(right, WORD_INDEX, left)
                 add(word, FORM_INDEX, form)
-        _codes.clear()
+        forget()
         give_back()
         sums = np.rint(total).astype(np.int64).reshape(WORD_BUCKETS, DIMENSIONS)
         seen = np.flatnonzero(sums.any(1))
@@ -112,11 +111,10 @@ def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
     word, form = tokens(text)
     if not len(word):
         return np.zeros(2 * DIMENSIONS + 3, np.float32)
-    words = np.bincount(word, minlength=WORD_BUCKETS).astype(np.float32)
-    forms = np.bincount(form, minlength=2 * FORM_BUCKETS).astype(np.float32)
-    seen, shapes = np.flatnonzero(words), np.flatnonzero(forms)
-    a = words[seen] @ vectors[seen] / len(word)
-    b = forms[shapes] @ FORM_VECTORS[shapes] / len(word)
+    seen, words = np.unique(word, return_counts=True)
+    shapes, forms = np.unique(form, return_counts=True)
+    a = words.astype(np.float32) @ vectors[seen] / len(word)
+    b = forms.astype(np.float32) @ FORM_VECTORS[shapes] / len(word)
     extra = [np.linalg.norm(a), len(seen) / len(word), float((form >= FORM_BUCKETS).mean())]
     return np.concatenate([a, b, np.array(extra, np.float32)])
 
@@ -243,7 +241,7 @@ def with_score(df: DataFrame, model: Model, text_column: str = "text", score_col
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_column]
                 )
-        _codes.clear()
+        forget()
         give_back()
 
     schema = df.select("*", F.lit(0.0).alias(score_column)).schema
