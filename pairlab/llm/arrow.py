@@ -29,18 +29,18 @@ def give_back() -> None:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
-                slice_bytes: int = BATCH_BYTES, after: Callable[[], None] | None = None) -> DataFrame:
-    """One batch of about ``slice_bytes`` in, one batch (or none) out. ``after`` runs at a task's end, to drop what the work
-    has put aside in the worker."""
+                slice_bytes: int = BATCH_BYTES, before: Callable[[], None] | None = None) -> DataFrame:
+    """One batch of about ``slice_bytes`` in, one batch (or none) out. ``before`` runs at a task's start, to claim the worker
+    for what the work puts aside there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if before is not None:
+            before()
         for batch in batches:
             for part in parts(batch, slice_bytes):
                 made = work(part) if part.num_rows else None
                 if made is not None and made.num_rows:
                     yield made
-        if after is not None:
-            after()
         give_back()
 
     return df.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from pairlab.llm.arrow import batch_of, map_batches, whole_text
 from pairlab.llm.token_counts import byte_symbols
-from pairlab.llm.words import Recent
+from pairlab.llm.words import Recent, claim
 
 # The published pattern of this tokenizer's words; a fixed value.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -119,10 +119,8 @@ class WordBpe:
         ids = self.encode(chunk)
         return np.array(ids, "<u4").tobytes(), self.decode(ids).encode()
 
-    def forget(self) -> None:
-        """Drop the words and chunks worked out so far."""
-        self.words.forget()
-        self.chunks.forget()
+    def claim(self) -> None:
+        claim(self.words, self.chunks)
 
     def encode_chunks(self, text: str) -> tuple[bytes, bytes]:
         """(ids as little-endian unsigned 32-bit integers, decoded text as UTF-8). No token crosses a space, so each
@@ -157,7 +155,7 @@ def encode(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str
         work,
         f"`{id_column}` {kind.simpleString()}, ids binary, decoded string",
         SLICE_BYTES,
-        lambda: codec(path).forget(),
+        lambda: codec(path).claim(),
     )
 
 
@@ -200,5 +198,5 @@ def digest(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str
         work,
         ", ".join([f"`{id_column}` {kind.simpleString()}", *(f"{name} {sql[t]}" for name, t in fields.items())]),
         SLICE_BYTES,
-        lambda: codec(path).forget(),
+        lambda: codec(path).claim(),
     )

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, sized_filter, map_batches, passes, stored, whole_text
-from pairlab.llm.words import Recent, mix
+from pairlab.llm.words import Recent, claim, mix
 
 WINDOW = 8
 SHORTEST = 4
@@ -18,7 +18,7 @@ FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
 PASSAGE = 13
-CACHED_WORDS = 200_000
+CACHED_WORDS = 250_000
 SLICE_BYTES = 2 << 20
 
 # Units that stand after numbers; fixed values.
@@ -57,9 +57,9 @@ def _code(word: str) -> int:
 _codes = Recent(_code, CACHED_WORDS)
 
 
-def forget() -> None:
-    """Drop this worker's words; a function of the module, so that a task finds the module's own cache."""
-    _codes.forget()
+def claim_words() -> None:
+    """A function of the module, so that a task finds the module's own cache."""
+    claim(_codes)
 
 
 def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -209,7 +209,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         work,
         f"id {kind}, h long, width int, part long, doc_at int, doc_slots array<string>",
         SLICE_BYTES,
-        forget,
+        claim_words,
     ).distinct()
     joined = stored(hits, "template-hits").join(known, ["h", "width"])
     passage = F.col("width") == PASSAGE

@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import give_back, parts, whole_text
-from pairlab.llm.words import Recent
+from pairlab.llm.words import Recent, claim
 
 WORD_BUCKETS = 16_384
 FORM_BUCKETS = 512
 DIMENSIONS = 64
 NONZEROS = 4
-CACHED_WORDS = 200_000
+CACHED_WORDS = 250_000
 SLICE_BYTES = 2 << 20
 _TAIL = re.compile(r"[^\w]+$")
 _rng = np.random.default_rng(20)
@@ -48,9 +48,9 @@ def _code(word: str) -> int:
 _codes = Recent(_code, CACHED_WORDS)
 
 
-def forget() -> None:
-    """Drop this worker's words; a function of the module, so that a task finds the module's own cache."""
-    _codes.forget()
+def claim_words() -> None:
+    """A function of the module, so that a task finds the module's own cache."""
+    claim(_codes)
 
 
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +70,7 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
     names = [f"v{d}" for d in range(DIMENSIONS)]
 
     def gather(batches):
+        claim_words()
         total = np.zeros(WORD_BUCKETS * DIMENSIONS)
 
         def add(rows: np.ndarray, index: tuple[np.ndarray, np.ndarray], vectors: np.ndarray) -> None:
@@ -89,7 +90,6 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
                 add(left, WORD_INDEX, right)
                 add(right, WORD_INDEX, left)
                 add(word, FORM_INDEX, form)
-        forget()
         give_back()
         sums = np.rint(total).astype(np.int64).reshape(WORD_BUCKETS, DIMENSIONS)
         seen = np.flatnonzero(sums.any(1))
@@ -203,6 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     shared = spark.sparkContext.broadcast(vectors)  # WORD_BUCKETS x DIMENSIONS floats: 4 MB
 
     def features(batches):
+        claim_words()
         for whole in batches:
             for batch in parts(whole, SLICE_BYTES):
                 rows = [pooled(t, shared.value).tolist() for t in batch.column("_llm_text").to_pylist()]
@@ -235,13 +236,13 @@ def with_score(df: DataFrame, model: Model, text_column: str = "text", score_col
     at = df.columns.index(text_column)
 
     def run(batches):
+        claim_words()
         for whole in batches:
             for batch in parts(whole, SLICE_BYTES):
                 scores = shared.value.scores([t or "" for t in batch.column(at).cast(pa.string()).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_column]
                 )
-        forget()
         give_back()
 
     schema = df.select("*", F.lit(0.0).alias(score_column)).schema

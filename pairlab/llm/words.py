@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 import numpy as np
@@ -80,11 +81,15 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
 
 class Recent(dict):
     """Results of ``work`` by key, of bounded number: the last ``limit`` made and the ``limit`` in use before them. Keys
-    longer than ``longest`` are worked out each time."""
+    longer than ``longest`` are worked out each time. Tasks of one operator share it in their worker; ``claim`` drops it
+    when the worker goes on to another."""
+
+    made: list[weakref.ref] = []
 
     def __init__(self, work: Callable, limit: int, longest: int = 64):
         super().__init__()
         self.work, self.limit, self.longest, self.before = work, limit, longest, {}
+        Recent.made.append(weakref.ref(self))
 
     def __missing__(self, key):
         made = self.before.pop(key, None)
@@ -100,3 +105,11 @@ class Recent(dict):
     def forget(self) -> None:
         self.clear()
         self.before = {}
+
+
+def claim(*own: Recent) -> None:
+    """Called by a task before its work: forget what other operators have put aside in this worker."""
+    for reference in Recent.made:
+        cache = reference()
+        if cache is not None and not any(cache is o for o in own):
+            cache.forget()
