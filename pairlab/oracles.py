@@ -704,7 +704,7 @@ ORACLES |= {
     ),
     "predictor_throughput": with_parts(
         "pairs",
-        """SELECT id % 8 AS task, count(*) AS num_rows, (count(*) + 15) // 16 AS num_batches, true AS measured
+        """SELECT id % 8 AS task, count(*) AS num_rows, (count(*) + 15) // 16 AS num_batches, CAST(1 AS BIGINT) AS measured
            FROM pairs GROUP BY id % 8""",
     ),
     "run_step_counts": ORACLES["step_row_counts"],
@@ -738,7 +738,7 @@ ORACLES |= {
     ),
     "read_text_folder": with_parts(
         "pairs",
-        """SELECT split, CAST(sum(length(highlights) + 1) AS BIGINT) AS num_chars, count(*) AS num_lines, true AS named
+        """SELECT split, CAST(sum(length(highlights) + 1) AS BIGINT) AS num_chars, count(*) AS num_lines, CAST(0 AS BIGINT) AS odd_names
            FROM pairs WHERE highlights IS NOT NULL GROUP BY split""",
     ),
     "report_json": with_parts(

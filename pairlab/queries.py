@@ -222,7 +222,7 @@ def predictor_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = pairs(spark, sf_dir).repartitionById(8, (F.col("id") % 8).cast("int"))
     made = generation.summarize_table(dealt, generation.extractive_predictor(1), batch_size=16, timing_col="timing")
     seconds = generation.predictor_seconds(materialize(made.select("id", "timing"), "timed"))
-    return seconds.select(F.col("task").cast("bigint").alias("task"), "num_rows", "num_batches", (F.col("seconds") > 0).alias("measured"))
+    return seconds.select(F.col("task").cast("bigint").alias("task"), "num_rows", "num_batches", (F.col("seconds") > 0).cast("bigint").alias("measured"))
 
 
 def run_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +269,7 @@ def read_text_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = F.concat(cleaning.text.file_stem("file_name"), F.lit(".txt")) == F.col("file_name")
         rows = texts.agg(
             F.lit(split).alias("split"), F.sum(F.char_length("text")).alias("num_chars"),
-            F.sum(F.regexp_count("text", F.lit("\n"))).cast("bigint").alias("num_lines"), F.bool_and(named).alias("named"),
+            F.sum(F.regexp_count("text", F.lit("\n"))).cast("bigint").alias("num_lines"), F.count_if(~named).alias("odd_names"),
         )
         found = rows if found is None else found.unionAll(rows)
     return found
