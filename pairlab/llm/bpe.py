@@ -10,7 +10,6 @@ from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from os.path import commonprefix
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -21,7 +20,7 @@ from pairlab.llm.words import Recent, claim
 
 # The published pattern of this tokenizer's words; a fixed value.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-CACHED_WORDS, CACHED_CHUNKS = 300_000, 250_000
+CACHED_WORDS, CACHED_CHUNKS = 400_000, 300_000
 SLICE_BYTES = 2 << 20
 
 
@@ -117,7 +116,7 @@ class WordBpe:
 
     def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
         ids = self.encode(chunk)
-        return np.array(ids, "<u4").tobytes(), self.decode(ids).encode()
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join(map(self.strings.__getitem__, ids)).encode()
 
     def claim(self) -> None:
         claim(self.words, self.chunks)

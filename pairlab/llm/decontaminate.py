@@ -18,7 +18,7 @@ FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
 PASSAGE = 13
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
 SLICE_BYTES = 2 << 20
 
 # Units that stand after numbers; fixed values.
