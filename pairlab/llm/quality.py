@@ -143,8 +143,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(features) / self.temperature, -40, 40)))
 
 
-def fit(features: np.ndarray, labels: np.ndarray, vectors: np.ndarray, hidden: int = 32, epochs: int = 40) -> Model:
-    """Adam on the log loss with weight decay; every fifth row is kept out of it and sets the temperature."""
+def fit(features: np.ndarray, labels: np.ndarray, vectors: np.ndarray, hidden: int = 32, epochs: int = 40,
+        least_steps: int = 600) -> Model:
+    """Adam on the log loss with weight decay; every fifth row is kept out of it and sets the temperature. Few rows are gone
+    through more often than ``epochs`` times, until ``least_steps`` steps have been made."""
     rng = np.random.default_rng(7)
     width = features.shape[1]
     held = np.arange(len(labels)) % 5 == 0
@@ -155,7 +157,8 @@ def fit(features: np.ndarray, labels: np.ndarray, vectors: np.ndarray, hidden: i
     weights = [w1, b1, w2, b2]
     first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
     x = (x - mean) / scale
-    for _ in range(epochs if len(x) else 0):
+    per_epoch = max(1, -(-len(x) // 256))
+    for _ in range(max(epochs, -(-least_steps // per_epoch)) if len(x) else 0):
         order = rng.permutation(len(x))
         for at in range(0, len(x), 256):
             rows = order[at : at + 256]
