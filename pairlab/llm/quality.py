@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pairlab.llm.arrow import give_back, parts, whole_text
 from pairlab.llm.words import Recent, claim
 
-WORD_BUCKETS = 16_384
+WORD_BUCKETS = 4096
 FORM_BUCKETS = 512
 DIMENSIONS = 64
 NONZEROS = 4
@@ -25,8 +25,11 @@ _rng = np.random.default_rng(20)
 
 def _index_vectors(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sparse ternary index vectors: NONZEROS different places and the +1 or -1 at each."""
-    places = np.argsort(_rng.random((n, DIMENSIONS)), axis=1)[:, :NONZEROS]
-    return places, _rng.choice(np.array([-1.0, 1.0]), (n, NONZEROS))
+    places, signs = np.zeros((n, NONZEROS), np.int64), np.zeros((n, NONZEROS))
+    for k in range(n):
+        places[k] = _rng.choice(DIMENSIONS, NONZEROS, replace=False)
+        signs[k] = _rng.choice((-1, 1), NONZEROS)
+    return places, signs
 
 
 WORD_INDEX = _index_vectors(WORD_BUCKETS)
@@ -144,7 +147,7 @@ class Model:
 
 
 def fit(features: np.ndarray, labels: np.ndarray, vectors: np.ndarray, hidden: int = 32, epochs: int = 40,
-        least_steps: int = 600) -> Model:
+        least_steps: int = 0) -> Model:
     """Adam on the log loss with weight decay; every fifth row is kept out of it and sets the temperature. Few rows are gone
     through more often than ``epochs`` times, until ``least_steps`` steps have been made."""
     rng = np.random.default_rng(7)
@@ -203,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         .limit(max_train_rows)
     )
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vectors)  # WORD_BUCKETS x DIMENSIONS floats: 4 MB
+    shared = spark.sparkContext.broadcast(vectors)  # WORD_BUCKETS x DIMENSIONS floats: 1 MB
 
     def features(batches):
         claim_words()
