@@ -138,6 +138,6 @@ def sized_filter(df: DataFrame, column: str) -> np.ndarray:
 
 
 def passes(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Whether the filter's bit of each 64-bit value is set."""
-    bit = np.mod(values.view(np.int64), np.int64(64 * len(table)))
+    """Whether the filter's bit of each 64-bit value is set; filters have a power of two of bits."""
+    bit = values.view(np.int64) & np.int64(64 * len(table) - 1)
     return ((table[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)

@@ -6,11 +6,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import batch_of, sized_filter, map_batches, passes, stored, whole_text
-from pairlab.llm.words import Recent, claim, mix
+from pairlab.llm.words import claim, mix, split_words
 
 WINDOW = 8
 SHORTEST = 4
@@ -18,7 +19,6 @@ FEWEST = 3
 COVERAGE = 0.6
 DRIFT = 16
 PASSAGE = 13
-CACHED_WORDS = 400_000
 SLICE_BYTES = 2 << 20
 
 # Units that stand after numbers; fixed values.
@@ -40,51 +40,52 @@ def bare(word: str) -> str:
 
 def _code(word: str) -> int:
     """One number: 60 bits of the bare word's hash, its kind inside a sentence (2 bits), whether it ends a sentence, whether
-    nothing is left of it."""
-    core = bare(word)
+    nothing is left of it. Words of letters and digits, with one sign at most after them, are by far the most; they need no
+    patterns."""
+    ends = False
+    if word.isalnum():
+        core = word
+    elif word[:-1].isalnum() and word[-1] not in "_%":
+        core, ends = word[:-1], word[-1] in ".!?:;|"
+    else:
+        core, ends = bare(word), word.rstrip("\"')]»”’")[-1:] in ".!?:;|"
     low = core.lower()
     kind = LITERAL
-    if NUMBER.match(core):
+    if not core.isalpha() and NUMBER.match(core):
         kind = NUM
     elif low in UNITS:
         kind = UNIT
-    elif len(core) > 1 and core[0].isupper() and core[1:].islower():
+    elif core[:1].isupper() and core[1:].islower():
         kind = NAME
-    ends = word.rstrip("\"')]»”’")[-1:] in ".!?:;|"
     return xxhash.xxh3_64_intdigest(low) >> 5 << 4 | kind << 2 | ends << 1 | (not core)
 
 
-_codes = Recent(_code, CACHED_WORDS)
-
-
-def claim_words() -> None:
-    """A function of the module, so that a task finds the module's own cache."""
-    claim(_codes)
-
-
-def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(words, values, kinds), with a row of values and kinds for each reading: every word as it is; placeholders, a
-    capitalised word being a name inside a sentence only; placeholders, a capitalised word being a name everywhere. A
-    unit is one only after a number."""
-    words, line_starts = [], []
-    for line in text.split("\n"):
-        line_starts.append(len(words))
-        words += line.split()
-    codes = np.fromiter(map(_codes.__getitem__, words), np.int64, len(words))
-    marks = np.zeros(len(words) + 1, np.int64)  # sentence ends and line starts before each word
-    marks[1:] = codes >> 1 & 1
-    np.add.at(marks, line_starts, 1)
+def template(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, n + 1 offsets, values, kinds) of an array of texts without nulls, with a row of values and kinds for each
+    reading: every word as it is; placeholders, a capitalised word being a name inside a sentence only; placeholders, a
+    capitalised word being a name everywhere. A unit is one only after a number. Each distinct word is looked at once."""
+    lines = pc.split_pattern(texts, "\n")
+    words, line_starts = split_words(lines.flatten())
+    coded = words.dictionary_encode()
+    known = coded.dictionary.to_numpy(zero_copy_only=False)
+    codes = np.fromiter(map(_code, known), np.int64, len(known))[coded.indices.to_numpy()]
+    marks = np.bincount(line_starts[:-1], minlength=len(words) + 1)  # sentence ends and line starts before each word
+    marks[1:] += codes >> 1 & 1
     marks = np.cumsum(marks)
     filled = np.flatnonzero(codes & 1 == 0)
-    codes, marks = codes[filled], marks[filled]
+    offsets = np.searchsorted(filled, line_starts[lines.offsets.to_numpy()])
+    if len(filled) < len(words):
+        codes, words = codes[filled], words.take(pa.array(filled))
     kinds = np.zeros((3, len(codes)), np.int8)
     kinds[1:] = codes >> 2 & 3
-    start = np.diff(marks, prepend=-1) > 0
-    number_before = np.concatenate([[False], kinds[1, :-1] == NUM]) if len(codes) else np.zeros(0, bool)
-    kinds[1:, (kinds[1] == UNIT) & ~number_before] = LITERAL
+    start = np.diff(marks[filled], prepend=-1) > 0
+    number_before = np.zeros(len(codes) + 1, bool)
+    number_before[1:] = kinds[1] == NUM
+    number_before[offsets] = False
+    kinds[1:, (kinds[1] == UNIT) & ~number_before[:-1]] = LITERAL
     kinds[1, (kinds[1] == NAME) & start] = LITERAL
     values = np.where(kinds == LITERAL, mix((codes >> 4).view(np.uint64)), KINDS[kinds])
-    return [words[k] for k in filled.tolist()] if len(filled) < len(words) else words, values, kinds
+    return words, offsets, values, kinds
 
 
 def _runs(values: np.ndarray, width: int) -> np.ndarray:
@@ -101,32 +102,40 @@ def _runs(values: np.ndarray, width: int) -> np.ndarray:
         factor, step = factor * factor % 2**64, 2 * step
 
 
-def windows(text: str, widths: list[int]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]]:
-    """(width, hashes, good, able, words, kinds), hashes and good with a row for each reading of ``template``.
+def windows(offsets: np.ndarray, values: np.ndarray, kinds: np.ndarray,
+            widths: list[int]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(width, hashes, good, able) of what ``template`` gives, hashes and good with a row for each reading.
 
     Good tells which windows count in a reading: all as they are; with the first placeholders those with literals in more
     than half their places (able), with the second those with FEWEST literals. What a reading has in common with one
-    before it counts once; windows of less than SHORTEST words, and passages, count as they are only."""
-    words, values, kinds = template(text)
-    literal = np.zeros((3, len(words) + 1), np.int64)
-    np.cumsum(kinds == LITERAL, axis=1, out=literal[:, 1:])
+    before it counts once; windows of less than SHORTEST words, and passages, count as they are only. No window that
+    goes from one text into the next is good."""
+    text_of = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    literal = np.zeros((2, len(text_of) + 1), np.int32)
+    np.cumsum(kinds[1:] == LITERAL, axis=1, out=literal[:, 1:])
     found = []
     for width in widths:
-        if width > len(words):
+        if width > len(text_of):
             continue
-        n = literal[:, width:] - literal[:, :-width]
-        able = 2 * n[1] > width
-        good = np.stack([n[0] == width, able & (n[1] < width), (n[2] >= FEWEST) & (n[2] < np.where(able, n[1], width))])
+        whole = text_of[width - 1 :] == text_of[: len(text_of) - width + 1]
+        first, second = literal[:, width:] - literal[:, :-width]
+        able = 2 * first > width
         if width < SHORTEST or width == PASSAGE:
-            good, values_of = good[:1], values[:1]
+            good, values_of = whole[None], values[:1]
         else:
-            values_of = values
-        found.append((width, _runs(values_of, width), good, able, words, kinds))
+            other = [able & (first < width), (second >= FEWEST) & (second < np.where(able, first, width))]
+            good, values_of = np.stack([whole, *(o & whole for o in other)]), values
+        found.append((width, _runs(values_of, width), good, able))
     return found
 
 
-def _slots(words: list[str], kinds: np.ndarray, at: int, width: int) -> list[str]:
-    return [bare(words[k]).lower() for k in range(at, at + width) if kinds[k] != LITERAL]
+def _slots(words: pa.Array, kinds: np.ndarray, reading: np.ndarray, at: np.ndarray, width: int) -> pa.Array:
+    """The words in the placeholders of each window, bare and in lower case."""
+    places = at[:, None] + np.arange(width)
+    held = kinds[reading[:, None], places] != LITERAL
+    ends = np.concatenate([[0], np.cumsum(held.sum(1))])
+    found = [bare(word).lower() for word in words.take(pa.array(places[held])).to_pylist()]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.string()))
 
 
 def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
@@ -140,18 +149,19 @@ def benchmark_windows(items: DataFrame, id_column: str = "item_id", text_column:
     kind = items.schema[id_column].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, rows = [], []
-        for k, text in enumerate(batch.column(1).to_pylist()):
-            n = len(template(text)[0])
-            for width, hashes, good, able, words, kinds in windows(text, [min(WINDOW, n), PASSAGE] if n else []):
-                for reading, at in zip(*np.nonzero(good), strict=True):
-                    h, slots = int(hashes[reading, at].view(np.int64)), _slots(words, kinds[reading], at, width)
-                    ids.append(k)
-                    rows.append((h, width, at, slots, bool(able[at]), len(able), int(able.sum())))
-        if not rows:
-            return None
-        rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), *rest.columns], names=["item_id", *fields])
+        made = []
+        for k in range(batch.num_rows):
+            words, offsets, values, kinds = template(batch.column(1).slice(k, 1))
+            n = len(words)
+            for width, hashes, good, able in windows(offsets, values, kinds, [min(WINDOW, n), PASSAGE] if n else []):
+                reading, at = np.nonzero(good)
+                made.append(pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(np.full(len(at), k))),
+                    *batch_of(fields, hashes[reading, at].view(np.int64), np.full(len(at), width), at,
+                              _slots(words, kinds, reading, at, width), able[at], np.full(len(at), len(able)),
+                              np.full(len(at), able.sum())).columns,
+                ], names=["item_id", *fields]))
+        return pa.concat_batches(made) if made else None
 
     return map_batches(
         items.select(id_column, whole_text(text_column).alias("text")),
@@ -185,31 +195,35 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         bits, sizes = shared.value
-        ids, rows = [], []
-        for k, text in enumerate(batch.column(1).to_pylist()):
-            part = None
-            for width, hashes, good, _, words, kinds in windows(text, sizes):
-                places = np.flatnonzero(good)
-                made = hashes.ravel()[places]
-                hit = np.flatnonzero(passes(bits, made))
-                if width < SHORTEST or width == PASSAGE:  # once in a text is enough
-                    hit = hit[np.unique(made[hit], return_index=True)[1]]
-                for i in hit.tolist():
-                    part = xxhash.xxh3_64_intdigest(text) >> 1 if part is None else part
-                    reading, at = divmod(int(places[i]), hashes.shape[1])
-                    ids.append(k)
-                    rows.append((int(made[i].view(np.int64)), width, part, at, _slots(words, kinds[reading], at, width)))
-        if not rows:
-            return None
-        rest = batch_of(fields, *(list(c) for c in zip(*rows, strict=True)))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), *rest.columns], names=["id", *fields])
+        texts = batch.column(1)
+        words, offsets, values, kinds = template(texts)
+        made = []
+        for width, hashes, good, _ in windows(offsets, values, kinds, sizes):
+            places = np.flatnonzero(good)
+            found = hashes.ravel()[places].view(np.int64)
+            hit = np.flatnonzero(passes(bits, found))
+            found, (reading, at) = found[hit], np.divmod(places[hit], hashes.shape[1])
+            of = np.searchsorted(offsets, at, "right") - 1
+            if width < SHORTEST or width == PASSAGE:  # once in a text is enough
+                once = np.unique(np.stack([of, found]), axis=1, return_index=True)[1]
+                found, reading, at, of = found[once], reading[once], at[once], of[once]
+            if not len(at):
+                continue
+            own, place = np.unique(of, return_inverse=True)
+            part = np.array([xxhash.xxh3_64_intdigest(texts[k].as_py()) >> 1 for k in own.tolist()])[place]
+            made.append(pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(of)),
+                *batch_of(fields, found, np.full(len(at), width), part, at - offsets[of],
+                          _slots(words, kinds, reading, at, width)).columns,
+            ], names=["id", *fields]))
+        return pa.concat_batches(made) if made else None
 
     hits = map_batches(
         docs.where(F.col(id_column).isNotNull()).select(id_column, whole_text(text_column).alias("text")),
         work,
         f"id {kind}, h long, width int, part long, doc_at int, doc_slots array<string>",
         SLICE_BYTES,
-        claim_words,
+        claim,
     ).distinct()
     joined = stored(hits, "template-hits").join(known, ["h", "width"])
     passage = F.col("width") == PASSAGE

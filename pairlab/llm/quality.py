@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +12,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pairlab.llm.arrow import give_back, parts, whole_text
-from pairlab.llm.words import Recent, claim
+from pairlab.llm.words import claim, split_words
 
 WORD_BUCKETS = 4096
 FORM_BUCKETS = 512
 DIMENSIONS = 64
 NONZEROS = 4
-CACHED_WORDS = 250_000
 SLICE_BYTES = 2 << 20
 _TAIL = re.compile(r"[^\w]+$")
 _rng = np.random.default_rng(20)
@@ -40,30 +40,29 @@ np.put_along_axis(FORM_VECTORS, FORM_INDEX[0], FORM_INDEX[1].astype(np.float32),
 
 def _code(word: str) -> int:
     """(bucket of the word's lower-case core) * FORM_BUCKETS + (bucket of its form: letter case and end marks)."""
-    tail = _TAIL.search(word)
-    tail = tail[0] if tail else ""
+    tail = "" if word.isalnum() else word[-1] if word[:-1].isalnum() and word[-1] != "_" else _TAIL.search(word)
+    tail = tail if isinstance(tail, str) else tail[0] if tail else ""
     core = word[: len(word) - len(tail)]
     case = "U" if len(core) > 1 and core.isupper() else "T" if core[:1].isupper() else "D" if core.isdigit() else "L"
-    form = xxhash.xxh3_64_intdigest(f"{case if core else '-'}{tail}") % FORM_BUCKETS
-    return xxhash.xxh3_64_intdigest(core.lower()) % WORD_BUCKETS * FORM_BUCKETS + form
+    return xxhash.xxh3_64_intdigest(core.lower()) % WORD_BUCKETS * FORM_BUCKETS + _form(f"{case if core else '-'}{tail}")
 
 
-_codes = Recent(_code, CACHED_WORDS)
+@lru_cache(maxsize=4096)
+def _form(marks: str) -> int:
+    return xxhash.xxh3_64_intdigest(marks) % FORM_BUCKETS
 
 
-def claim_words() -> None:
-    """A function of the module, so that a task finds the module's own cache."""
-    claim(_codes)
-
-
-def tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(word buckets, form buckets) in order; a word equal to the one before it has a form of the upper half."""
-    words = text.split()
-    codes = np.fromiter(map(_codes.__getitem__, words), np.int64, len(words))
-    form = codes % FORM_BUCKETS
-    if len(codes) > 1:
-        form[1:] += FORM_BUCKETS * (codes[1:] == codes[:-1])
-    return codes // FORM_BUCKETS, form
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word buckets, form buckets, n + 1 offsets) in order, of an array of texts without nulls; a word equal to the one
+    before it in its text has a form of the upper half. Each distinct word is looked at once, and none is put aside."""
+    words, offsets = split_words(texts)
+    coded = words.dictionary_encode()
+    known = coded.dictionary.to_numpy(zero_copy_only=False)
+    codes = np.fromiter(map(_code, known), np.int64, len(known))[coded.indices.to_numpy()]
+    form, same = codes % FORM_BUCKETS, np.zeros(len(codes) + 1, bool)
+    same[1:-1] = codes[1:] == codes[:-1]
+    same[offsets] = False
+    return codes // FORM_BUCKETS, form + FORM_BUCKETS * same[:-1], offsets
 
 
 def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
@@ -73,7 +72,7 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
     names = [f"v{d}" for d in range(DIMENSIONS)]
 
     def gather(batches):
-        claim_words()
+        claim()
         total = np.zeros(WORD_BUCKETS * DIMENSIONS)
 
         def add(rows: np.ndarray, index: tuple[np.ndarray, np.ndarray], vectors: np.ndarray) -> None:
@@ -82,13 +81,11 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
 
         for whole in batches:
             for batch in parts(whole, SLICE_BYTES):
-                found = [tokens(text) for text in batch.column(0).to_pylist()]
-                if not found:
+                word, form, offsets = tokens(batch.column(0))
+                if not len(word):
                     continue
-                word, form = (np.concatenate(c) for c in zip(*found))
-                ends = np.cumsum([len(w) for w, _ in found])
-                linked = np.ones(max(len(word) - 1, 0), bool)
-                linked[ends[(ends > 0) & (ends < len(word))] - 1] = False
+                linked = np.ones(len(word) - 1, bool)
+                linked[offsets[(offsets > 0) & (offsets < len(word))] - 1] = False
                 left, right = word[:-1][linked], word[1:][linked]
                 add(left, WORD_INDEX, right)
                 add(right, WORD_INDEX, left)
@@ -109,17 +106,18 @@ def word_vectors(df: DataFrame, text_column: str = "text") -> np.ndarray:
     return (vectors / np.where(norms > 0, norms, 1)).astype(np.float32)
 
 
-def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
-    """Mean word vector, mean form vector and three lengths of a document; zeros for a text without words."""
-    word, form = tokens(text)
-    if not len(word):
-        return np.zeros(2 * DIMENSIONS + 3, np.float32)
-    seen, words = np.unique(word, return_counts=True)
-    shapes, forms = np.unique(form, return_counts=True)
-    a = words.astype(np.float32) @ vectors[seen] / len(word)
-    b = forms.astype(np.float32) @ FORM_VECTORS[shapes] / len(word)
-    extra = [np.linalg.norm(a), len(seen) / len(word), float((form >= FORM_BUCKETS).mean())]
-    return np.concatenate([a, b, np.array(extra, np.float32)])
+def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
+    """Per text the mean word vector, mean form vector and three lengths; zeros for a text without words."""
+    words, shapes, offsets = tokens(texts)
+    made = np.zeros((len(texts), 2 * DIMENSIONS + 3), np.float32)
+    for k in np.flatnonzero(np.diff(offsets)).tolist():
+        word, form = words[offsets[k] : offsets[k + 1]], shapes[offsets[k] : offsets[k + 1]]
+        seen, n = np.unique(word, return_counts=True)
+        forms, m = np.unique(form, return_counts=True)
+        a = n.astype(np.float32) @ vectors[seen] / len(word)
+        b = m.astype(np.float32) @ FORM_VECTORS[forms] / len(word)
+        made[k] = *a, *b, np.linalg.norm(a), len(seen) / len(word), (form >= FORM_BUCKETS).mean()
+    return made
 
 
 @dataclass
@@ -139,10 +137,8 @@ class Model:
         hidden = np.maximum((features - self.mean) / self.scale @ self.w1 + self.b1, 0)
         return hidden @ self.w2 + self.b2
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
-        features = np.stack([pooled(t, self.vectors) for t in texts]).astype(np.float64)
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        features = pooled(texts, self.vectors).astype(np.float64)
         return 1 / (1 + np.exp(-np.clip(self.logits(features) / self.temperature, -40, 40)))
 
 
@@ -209,10 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     shared = spark.sparkContext.broadcast(vectors)  # WORD_BUCKETS x DIMENSIONS floats: 1 MB
 
     def features(batches):
-        claim_words()
+        claim()
         for whole in batches:
             for batch in parts(whole, SLICE_BYTES):
-                rows = [pooled(t, shared.value).tolist() for t in batch.column("_llm_text").to_pylist()]
+                rows = pooled(batch.column("_llm_text"), shared.value).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_llm_order"), batch.column("_llm_label"), pa.array(rows, pa.list_(pa.float64()))],
                     names=["place", "label", "features"],
@@ -242,10 +238,10 @@ def with_score(df: DataFrame, model: Model, text_column: str = "text", score_col
     at = df.columns.index(text_column)
 
     def run(batches):
-        claim_words()
+        claim()
         for whole in batches:
             for batch in parts(whole, SLICE_BYTES):
-                scores = shared.value.scores([t or "" for t in batch.column(at).cast(pa.string()).to_pylist()])
+                scores = shared.value.scores(batch.column(at).cast(pa.string()).fill_null(""))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_column]
                 )

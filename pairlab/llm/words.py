@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from pairlab.llm.arrow import flat_bytes
+from pairlab.llm.arrow import flat_bytes, give_back
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEGMENT = 1 << 19
@@ -79,6 +80,16 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words, n + 1 offsets) as ``str.split`` gives them, of an array of texts without nulls."""
+    split = pc.utf8_split_whitespace(texts)
+    words = split.flatten()
+    solid = pc.not_equal(words, "")
+    before = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(solid.to_numpy(zero_copy_only=False), out=before[1:])
+    return words.filter(solid), before[split.offsets.to_numpy()]
+
+
 class Recent(dict):
     """Results of ``work`` by key, of bounded number: the last ``limit`` made and the ``limit`` in use before them. Keys
     longer than ``longest`` are worked out each time. Tasks of one operator share it in their worker; ``claim`` drops it
@@ -108,8 +119,9 @@ class Recent(dict):
 
 
 def claim(*own: Recent) -> None:
-    """Called by a task before its work: forget what other operators have put aside in this worker."""
-    for reference in Recent.made:
-        cache = reference()
-        if cache is not None and not any(cache is o for o in own):
-            cache.forget()
+    """Called by a task before its work: forget what other operators have put aside in this worker, and return its memory."""
+    others = [c for r in Recent.made if (c := r()) is not None and not any(c is o for o in own) and (c or c.before)]
+    for cache in others:
+        cache.forget()
+    if others:
+        give_back()
