@@ -10,9 +10,10 @@ from itertools import chain
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairlab.functions import text
+from pairlab.functions.arrays import let
 from pairlab.operators.cleaning import require_columns
 
 # Generation settings handed to the predictor unless overridden.
@@ -119,6 +120,43 @@ def extractive_predictor(k: int = 3) -> Callable[[], Predictor]:
     return lambda: lambda texts, **settings: list(map(summarize, texts))
 
 
+def _runs(items: Column, field: str, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of each run of equal ``field`` in a sorted array of structs, and of the run's length."""
+
+    def of_starts(s: Column, starts: Column) -> Column:
+        def one(start: Column, j: Column) -> Column:
+            n = F.coalesce(F.get(starts, j + 1), F.size(s)) - start
+            return let(n, lambda n: body(F.slice(s, start + 1, n), n))
+
+        return F.transform(starts, one)
+
+    def of_sorted(s: Column) -> Column:
+        start = F.transform(s, lambda x, i: F.when((i == 0) | (x[field] != F.get(s, i - 1)[field]), i))
+        return let(F.array_compact(start), lambda starts: of_starts(s, starts))
+
+    return let(F.sort_array(items), of_sorted)
+
+
+def _best_sentences(found: Column, k: int) -> Column:
+    """The k sentences whose words have the highest mean frequency, in their order; ties go to the earlier one."""
+
+    def ranked(counted: Column) -> Column:
+        words = F.flatten(F.transform(counted, lambda ws, i: F.transform(ws, lambda w: F.struct(w.alias("word"), i.alias("at")))))
+        counts = F.flatten(_runs(words, "word", lambda run, n: F.transform(run, lambda x: F.struct(x["at"].alias("at"), n.alias("n")))))
+        # A row of 0 per sentence, so that those without words are there too.
+        rows = F.concat(F.transform(counted, lambda ws, i: F.struct(i.alias("at"), F.lit(0).alias("n"))), counts)
+
+        def mean(run: Column, n: Column) -> Column:
+            total = F.aggregate(run, F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
+            value = F.coalesce(F.try_divide(total.cast("double"), (n - 1).cast("double")), F.lit(0.0))
+            return F.struct((-value).alias("mean"), F.get(run, F.lit(0))["at"].alias("at"))
+
+        return F.sort_array(F.transform(F.slice(F.sort_array(_runs(rows, "at", mean)), 1, k), lambda x: x["at"]))
+
+    counted = F.transform(found, lambda s: F.filter(text.words(F.lower(s)), text.is_counted_word))
+    return let(let(counted, ranked), lambda best: F.transform(best, lambda i: F.get(found, i)))
+
+
 def summarize_extractive(
     df: DataFrame, k: int = 3, text_col: str = "article", output_col: str = "generated_summary"
 ) -> DataFrame:
@@ -127,24 +165,11 @@ def summarize_extractive(
     Mean word frequency after A. Nenkova and L. Vanderwende, "The impact of frequency on summarization", 2005.
     Ties go to the earlier sentence.  It extracts; it does not write.
 
-    Words and sentences are rows dealt by a digest of the text: equal texts are summarised once, the words of one text
-    meet in one partition, and the counts, means and ranks that follow need no further exchange of them.  A text of any
-    number of sentences costs in proportion to its words.
+    Row-local: words are sorted and counted as an array inside their row, so nothing is exchanged and a task holds one text's
+    words at a time, however many texts there are.  A text of any number of sentences costs what sorting its words costs.
     """
-    names = [f"`{c}`" for c in df.columns]
-    rows = df.withColumn("_text", text.null_to_text(text_col)).withColumn("_key", text.text_digest("_text"))
-    texts = rows.groupBy("_key").agg(F.any_value("_text").alias("_text"))
-    sentences = texts.select("_key", F.posexplode(text.sentences("_text")).alias("_at", "_sentence"))
-    # A sentence without counted words keeps one row with a null word.
-    counted = F.filter(text.words(F.lower("_sentence")), text.is_counted_word)
-    words = sentences.select("_key", "_at", "_sentence", F.explode_outer(counted).alias("_word"))
-    of_text = F.count("_word").over(W.partitionBy("_key", "_word"))
-    scored = words.withColumn("_n", of_text).groupBy("_key", "_at", "_sentence").agg(F.coalesce(F.avg(F.when(F.col("_word").isNotNull(), F.col("_n"))), F.lit(0.0)).alias("_mean"))
-    place = F.row_number().over(W.partitionBy("_key").orderBy(F.desc("_mean"), "_at"))
-    best = scored.withColumn("_place", place).where(F.col("_place") <= k)
-    kept = F.array_sort(F.collect_list(F.struct("_at", "_sentence")))  # at most k
-    summaries = best.groupBy("_key").agg(F.array_join(F.transform(kept, lambda s: s["_sentence"]), " ").alias("_summary"))
-    return rows.join(summaries, "_key", "left").select(*names, F.coalesce("_summary", F.lit("")).alias(output_col))
+    best = let(text.sentences(text.null_to_text(text_col)), lambda found: _best_sentences(found, k))
+    return df.withColumn(output_col, F.array_join(best, " "))
 
 
 def generation_length_stats(preds: DataFrame, pred_col: str = "generated_summary") -> DataFrame:

@@ -71,6 +71,12 @@ def test_extractive_plan_on_a_very_long_text(spark):
     assert generation.summarize_extractive(df).first().generated_summary == "worda thingx. wordb thingy. wordc thingz."
 
 
+def test_extractive_work_stays_in_its_row(spark):
+    df = spark.createDataFrame([(1, "one two. two two. three.")], "id long, article string")
+    plan = plan_of(generation.summarize_extractive(df, 1))
+    assert not any(node in plan for node in ("Exchange", "Sort", "Window", "Generate"))
+
+
 def test_seconds_of_the_predictor(spark):
     df = spark.range(50).select("id", F.lit("a text").alias("article")).repartitionById(4, (F.col("id") % 4).cast("int"))
     made = generation.summarize_table(df, generation.extractive_predictor(), batch_size=5, timing_col="timing")
