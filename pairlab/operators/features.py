@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from pairlab.functions import text
 from pairlab.functions.arrays import pad
@@ -101,28 +101,41 @@ def _spelled(ids: Column, vocab: DataFrame, held: pa.Table) -> Column:
 def _looked_up(df: DataFrame, sides: tuple[str, ...], vocab: DataFrame, given: str, found: Column) -> DataFrame:
     """The array columns ``sides`` with each item replaced by ``found`` of the vocabulary row whose ``given`` equals it.
 
-    Items are reduced to one row per (row, side, item) before the join, whose kind is left to the optimizer: frequent
-    items of a large vocabulary are split at run time.  Rows are told apart by a number given in this plan and used nowhere
-    else, so ids may repeat or be null. Items for which ``found`` is null go.
+    Each Arrow batch of rows becomes a stored block: its distinct items, and the rows with places among them instead of
+    items. Only the items of the blocks are joined, whose kind is left to the optimizer, and what they stand for goes back
+    to their block; rows never meet their words again one by one, and ids may repeat or be null. Items for which ``found``
+    is null go.
     """
     others = [c for c in df.columns if c not in sides]
-    rows = df.withColumn(_ROW, F.monotonically_increasing_id())
-
-    def cells_of(k: int, side: str) -> Column:
-        return F.transform(side, lambda x, i: F.struct(F.lit(k).alias("side"), i.alias("pos"), x.alias("item")))
-
-    cells = [cells_of(k, c) for k, c in enumerate(sides)]
-    exploded = rows.select(_ROW, *others, F.explode_outer(F.concat(*cells)).alias("cell"))
-    places = F.collect_list(F.col("cell.pos")).alias("places")
-    grouped = exploded.groupBy(_ROW, *others, "cell.side", "cell.item").agg(places)
-    joined = grouped.join(vocab.withColumnRenamed(given, "item"), "item", "left").withColumn("value", found)
-
-    def gather(k: int, side: str) -> Column:
-        mine = F.collect_list(F.when((F.col("side") == k) & F.col("value").isNotNull(), F.struct("value", "places")))
-        spread = F.flatten(F.transform(mine, lambda v: F.transform(v["places"], lambda p: F.struct(p.alias("p"), v["value"].alias("v")))))
-        return F.transform(F.array_sort(spread), lambda x: x["v"]).alias(side)
-
-    return joined.groupBy(_ROW, *others).agg(*[gather(k, c) for k, c in enumerate(sides)]).drop(_ROW)
+    places = T.ArrayType(T.IntegerType())
+    rows_type = T.StructType([*(df.schema[c] for c in others), *(T.StructField(s, places) for s in sides)])
+    schema = T.StructType([T.StructField("items", df.schema[sides[0]].dataType), T.StructField("rows", T.ArrayType(rows_type))])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(s) for s in sides]
+            flat = [x.flatten() for x in lists]
+            coded = pa.concat_arrays(flat).dictionary_encode()
+            columns, at = [batch.column(c) for c in others], 0
+            for values, part in zip(lists, flat):
+                offsets = np.cumsum(np.concatenate([[0], pc.list_value_length(values).fill_null(0).to_numpy()]))
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), coded.indices.slice(at, len(part)).cast(pa.int32())))
+                at += len(part)
+            rows = pa.StructArray.from_arrays(columns, names=[*others, *sides])
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (coded.dictionary, rows)], names=["items", "rows"]
+            )
+
+    blocks = materialize(df.select(*others, *sides).mapInArrow(pack, schema).withColumn(_ROW, F.monotonically_increasing_id()), "blocks")
+    cells = blocks.select(_ROW, F.posexplode("items").alias("pos", "item"))
+    joined = cells.join(vocab.withColumnRenamed(given, "item"), "item", "left").select(_ROW, F.struct("pos", found.alias("value")).alias("cell"))
+    values = joined.groupBy(_ROW).agg(F.transform(F.sort_array(F.collect_list("cell")), lambda x: x["value"]).alias("values"))
+
+    def filled(row: Column, side: str) -> Column:
+        return F.filter(F.transform(row[side], lambda i: F.get("values", i)), lambda x: x.isNotNull()).alias(side)
+
+    whole = F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in others], *[filled(r, s) for s in sides]))
+    return blocks.drop("items").join(values, _ROW, "left").select(F.explode(whole).alias("row")).select("row.*")
 
 
 def attention_mask(ids: Column) -> Column:

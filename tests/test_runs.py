@@ -77,6 +77,17 @@ def test_extractive_work_stays_in_its_row(spark):
     assert not any(node in plan for node in ("Exchange", "Sort", "Window", "Generate"))
 
 
+def test_words_of_a_large_vocabulary_meet_it_once_a_block(spark):
+    rows = [(k % 7, "the cat sat the cat", "x the" if k % 2 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, "id long, article string, highlights string").coalesce(1)
+    vocab = features.build_vocab(df, size=None)
+    joined = features.encode_pairs(df, vocab, 8, 4, in_memory=0)
+    assert joined.exceptAll(features.encode_pairs(df, vocab, 8, 4)).isEmpty() and joined.count() == 200
+    paths = {f for f in joined.inputFiles() if "/blocks-" in f}
+    blocks = spark.read.parquet(*paths)
+    assert blocks.selectExpr("sum(size(items))").first()[0] <= 5 * len(paths)
+
+
 def test_seconds_of_the_predictor(spark):
     df = spark.range(50).select("id", F.lit("a text").alias("article")).repartitionById(4, (F.col("id") % 4).cast("int"))
     made = generation.summarize_table(df, generation.extractive_predictor(), batch_size=5, timing_col="timing")
