@@ -13,6 +13,7 @@ from pairlab.sources.scratch import materialize
 
 BATCH_BYTES = 8 << 20
 FILTER_LEAST, FILTER_BITS, FILTER_SHARE = 1 << 24, 1 << 28, 16
+BLOCK_BITS = 1 << 15  # of Spark's bitmap aggregate
 
 
 def whole_text(name: str) -> Column:
@@ -125,16 +126,19 @@ def sized_filter(df: DataFrame, column: str) -> np.ndarray:
     by a join afterwards."""
     wanted = FILTER_SHARE * df.count()
     bits = min(FILTER_BITS, max(FILTER_LEAST, 1 << (wanted - 1).bit_length()))
-    word = F.pmod(F.col(column), F.lit(bits))
-    rows = (
-        df.select(F.floor(word / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (word % 64).cast("int")).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
+    bit = F.pmod(F.col(column), F.lit(bits))
+    # A row for the driver is a block of bits, not a word: hundreds of thousands of rows would be as many Python objects there.
+    blocks = (
+        df.where(F.col(column).isNotNull())
+        .select(F.floor(bit / BLOCK_BITS).alias("block"), (bit % BLOCK_BITS).alias("bit"))
+        .repartition("block")
+        .groupBy("block")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
-    table = np.zeros(bits // 64, np.uint64)
-    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return table
+    table = np.zeros(bits // 8, np.uint8)
+    for block, made in blocks.collect():
+        table[block * BLOCK_BITS // 8 : (block + 1) * BLOCK_BITS // 8] = np.frombuffer(made, np.uint8)
+    return table.view("<u8")
 
 
 def passes(table: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -7,6 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pairlab.functions.stem import flat_values
 from pairlab.llm.arrow import batch_of, sized_filter, map_batches, passes, repeated, stored, whole_text
 from pairlab.llm.components import components
 from pairlab.llm.words import hashed_words, mix, rolling
@@ -86,30 +87,30 @@ def _sets(docs: DataFrame, id_column: str, text_column: str, width: int) -> Data
 
 
 def _sets_of(docs: DataFrame, id_column: str, text_column: str, wanted: DataFrame, width: int) -> DataFrame:
-    """(key, items) of the wanted (key, least id) rows: the whole shingle set, once per key."""
-    wanted = stored(wanted.withColumn("place", _place("key")), "wanted-keys")
+    """(key, items) of the wanted (key, least id) rows: the whole shingle set, once per key.
+
+    The filter knows key and id, so of many copies of a text one is sent on; what passes by chance goes in the join. Rows
+    of a key have equal sets: any of them will do."""
+    wanted = stored(wanted.withColumn("place", _place("key").bitwiseXOR(F.xxhash64("least"))), "wanted-keys")
     shared = docs.sparkSession.sparkContext.broadcast(sized_filter(wanted, "place"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         values, offsets = hashed_words(batch.column(1), lower=True)
         words = np.split(values, offsets[1:-1])
         keys = [text_key(w) for w in words]
-        places = np.array([int.from_bytes(k[:7], "big") for k in keys], np.int64)
+        places = np.array([int.from_bytes(k[:7], "big") for k in keys], np.int64) ^ batch.column(0).to_numpy()
         keep = np.flatnonzero(passes(shared.value, places))
         if not len(keep):
             return None
         found = [shingles(words[k], width).view(np.int64) for k in keep.tolist()]
         ends = np.concatenate([[0], np.cumsum([len(f) for f in found])])
         items = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
-        own = [pa.array(keys, pa.binary()).take(pa.array(keep)), batch.column(0).take(pa.array(keep))]
-        return pa.RecordBatch.from_arrays([*own, items], names=["key", "id", "items"])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()).take(pa.array(keep)), items], names=["key", "items"])
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    found = map_batches(
-        docs.select(id_column, whole_text(text_column).alias("text")), work, f"key binary, id {kind}, items array<long>", SLICE_BYTES
-    )
-    same = (found["key"] == wanted["key"]) & found["id"].eqNullSafe(wanted["least"])
-    return found.join(wanted, same, "left_semi").dropDuplicates(["key"]).select("key", "items")
+    texts = docs.select(F.xxhash64(id_column).alias("id"), whole_text(text_column).alias("text"))
+    found = map_batches(texts, work, "key binary, items array<long>", SLICE_BYTES)
+    # Both by key alone: the whole sets are dealt out once.
+    return found.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
 
 
 def _place(key: str) -> Column:
@@ -137,15 +138,40 @@ def _lengths_fit(percent: int) -> str:
     return f"100L * least(a_n, b_n) >= {percent}L * greatest(a_n, b_n)"
 
 
+def _held(sets: DataFrame, open_keys: np.ndarray, shared_items: np.ndarray | None = None) -> DataFrame:
+    """(key, n, items) of the sets whose key passes the one filter, with the items that pass the other; ``n`` counts all."""
+    filters = sets.sparkSession.sparkContext.broadcast((open_keys, shared_items))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        keys, items = filters.value
+        places = np.array([int.from_bytes(k[:7], "big") for k in batch.column(0).to_pylist()], np.int64)
+        batch = batch.filter(pa.array(passes(keys, places)))
+        values, offsets = flat_values(batch.column(1))
+        offsets = offsets.to_numpy()
+        n = pa.array(np.diff(offsets), pa.int32())
+        if items is not None:
+            keep = passes(items, values.to_numpy())
+            offsets, values = np.concatenate([[0], np.cumsum(keep)])[offsets], values.filter(pa.array(keep))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+        return pa.RecordBatch.from_arrays([batch.column(0), n, lists], names=["key", "n", "items"])
+
+    return map_batches(sets.select("key", "items"), work, "key binary, n int, items array<long>")
+
+
 def _rare_shingles(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(item, key, n, at, alone): the rarest shingles of each set that two linked sets cannot both miss.
 
     In an order common to all sets, here by frequency among them, two sets of which one has n elements share one of its
     first n - ceil(n * percent / 100) + 1. Shingles of one set alone come first in it and are only counted (``alone``);
     ``at`` is a shingle's place.
+
+    Most shingles are in one set alone: they are counted, but a filter keeps them from being dealt out with their keys.
+    Sets that pass the filter of ``keys`` by chance take part; they add candidates at most.
     """
-    held = keys.join(sets, "key").select("key", F.size("items").alias("n"), F.explode("items").alias("item"))
-    counts = held.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    opened = sized_filter(stored(keys.select(_place("key").alias("place")), "open-keys"), "place")
+    counts = _held(sets, opened).select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("df"))
+    counts = stored(counts.where("df > 1"), "shared-shingles")
+    held = _held(sets, opened, sized_filter(counts, "item")).select("key", "n", F.explode("items").alias("item"))
     # A set's own shingles: its size bounds the list.
     common = F.sort_array(F.collect_list(F.struct("df", "item"))).alias("common")
     ranked = held.join(counts, "item").groupBy("key", "n").agg(common).withColumn("alone", F.expr("n - size(common)"))

@@ -5,6 +5,7 @@ import random
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,31 @@ def test_minhash(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_minhash_moves_sets_once_and_lone_shingles_never(spark):
+    rows = [(k, f"w{k} w{k}a w{k}b w{k}c shared shared2 shared3 shared4 w{k}d") for k in range(40)]
+    docs = spark.createDataFrame([*rows, *((k + 100, text) for k, text in rows)], "doc_id long, text string")
+    signed = minhash._sets(docs, "doc_id", "text", 4)
+    wanted = signed.groupBy("key").agg(F.min("id").alias("least"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = minhash._sets_of(docs, "doc_id", "text", wanted, 4)
+        # One exchange of the wanted keys, one of the sets.
+        assert sets._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert sets.count() == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sets = minhash.stored(sets, "sets")
+    every = np.full(1 << 18, ~np.uint64(0))
+    common = sets.select(F.explode("items").alias("item")).groupBy("item").count().where("count > 1")
+    assert common.count() == 1
+    held = minhash._held(sets, every, minhash.sized_filter(minhash.stored(common, "common"), "item"))
+    # By chance a lone shingle may pass.
+    assert [r.n for r in held.collect()] == [6] * 40 and held.select(F.sum(F.size("items"))).first()[0] < 45
+    rare = minhash._rare_shingles(wanted.select("key"), sets, 10)
+    assert rare.select("n", "at", "alone").distinct().collect() == [(6, 5, 5)] and rare.count() == 40
+    assert minhash._rare_shingles(wanted.select("key"), sets, 80).count() == 0
+
+
 def test_minhash_chains_and_near_misses(spark):
     base, rows = prose(60, 50).split(), []
     for i in range(60):
