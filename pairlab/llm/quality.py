@@ -208,9 +208,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         claim()
         for whole in batches:
             for batch in parts(whole, SLICE_BYTES):
-                rows = pooled(batch.column("_llm_text"), shared.value).tolist()
+                # One value per row: as lists of numbers, they would be millions of Python objects in the driver.
+                rows = [row.tobytes() for row in pooled(batch.column("_llm_text"), shared.value)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_llm_order"), batch.column("_llm_label"), pa.array(rows, pa.list_(pa.float64()))],
+                    [batch.column("_llm_order"), batch.column("_llm_label"), pa.array(rows, pa.binary())],
                     names=["place", "label", "features"],
                 )
 
@@ -221,12 +222,12 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         found.groupBy("_llm_id", "_llm_label", "_llm_order")
         .agg(F.min(F.struct(F.xxhash64("_llm_text"), "_llm_text")).alias("_llm_least"))
         .select("_llm_order", "_llm_label", F.col("_llm_least._llm_text").alias("_llm_text"))
-        .mapInArrow(features, "place long, label int, features array<double>")
+        .mapInArrow(features, "place long, label int, features binary")
         .toPandas()
     )
     if rows.empty:
         return fit(np.zeros((0, 2 * DIMENSIONS + 3)), np.zeros(0), vectors)
-    found = np.stack(rows["features"].to_numpy())
+    found = np.frombuffer(b"".join(rows["features"]), np.float32).reshape(len(rows), -1).astype(float)
     order = np.lexsort((rows["label"].to_numpy(), *found.T[:2], rows["place"].to_numpy()))
     return fit(found[order], rows["label"].to_numpy()[order], vectors)
 

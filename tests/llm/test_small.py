@@ -75,6 +75,16 @@ def test_minhash(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_quality_training_rows_reach_the_driver_packed(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"some words {k}") for k in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    kinds, inner = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, work, schema, *a, **k: kinds.append(str(schema)) or inner(df, work, schema, *a, **k))
+    model = quality.train(docs, labels)
+    assert any("features binary" in k for k in kinds) and not any("array" in k for k in kinds)
+    assert model.mean.dtype == float and model.mean.any()
+
+
 def test_minhash_moves_sets_once_and_lone_shingles_never(spark):
     rows = [(k, f"w{k} w{k}a w{k}b w{k}c shared shared2 shared3 shared4 w{k}d") for k in range(40)]
     docs = spark.createDataFrame([*rows, *((k + 100, text) for k, text in rows)], "doc_id long, text string")
