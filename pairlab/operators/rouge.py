@@ -91,7 +91,8 @@ def rouge_l(
 ) -> DataFrame:
     """(id, p, r, f1) of the longest common token subsequence."""
     pred, ref = F.col("pred"), F.col("ref")
-    common = lcs(stem_tokens(pred), stem_tokens(ref)) if stem else lcs(pred, ref)
+    # Stems stay inside: a UDF over two others would hold a second Python worker per task.
+    common = lcs(pred, ref, stem)
     counted = _token_pairs(df, pred_col, ref_col, id_col, separators).select(
         id_col, common.alias("common"), F.size(pred).alias("n_pred"), F.size(ref).alias("n_ref")
     )
@@ -111,7 +112,7 @@ def rouge_lsum(
         id_col, token_lines(pred_col, separators).alias("pred"), token_lines(ref_col, separators).alias("ref")
     )
     pred, ref = F.col("pred"), F.col("ref")
-    hits = union_lcs(stem_lines(ref), stem_lines(pred)) if stem else union_lcs(ref, pred)
+    hits = union_lcs(ref, pred, stem)
     counted = lines.select(
         id_col,
         hits.alias("hits"),

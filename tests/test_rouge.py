@@ -185,6 +185,11 @@ def test_row_scores_need_no_shuffle(cases):
     assert plan_of(rouge.rouge_corpus(cases)).count("Exchange") == 1
 
 
+def test_stems_and_subsequences_share_one_python_worker(cases):
+    for scored in (rouge.rouge_l(cases), rouge.rouge_lsum(cases)):
+        assert plan_of(scored).count("ArrowEvalPython") == 1
+
+
 def test_stem_map(spark):
     df = spark.createDataFrame([("Running runs", ), ("run RUNNING cats!",)], "t string")
     assert {(r.token, r.stem) for r in rouge.stem_map(df, "t").collect()} == {
